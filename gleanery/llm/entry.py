@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .near_dups import near_duplicates
+from .token_files import token_digests
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +19,15 @@ def op9_setsketch_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_docs(spark, sf_dir))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written to token files and read back."""
+    import public_tokenizers
+
+    return token_digests(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_token_files": op5_token_files,
     "op9_setsketch_near_dups": op9_setsketch_near_dups,
 }
 
