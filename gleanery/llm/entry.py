@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .near_dups import near_duplicates
+from .pii import pii_digest
+from .quality import labels_of, quality_report
 from .token_files import token_digests
 
 
@@ -19,6 +21,16 @@ def op9_setsketch_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_docs(spark, sf_dir))
 
 
+def op4_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_report(_docs(spark, sf_dir), labels_of(spark, sf_dir))
+
+
+def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii_digest(_docs(spark, sf_dir))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written to token files and read back."""
     import public_tokenizers
@@ -27,6 +39,8 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_subword_quality": op4_subword_quality,
+    "op6_bootstrapped_pii": op6_bootstrapped_pii,
     "op5_token_files": op5_token_files,
     "op9_setsketch_near_dups": op9_setsketch_near_dups,
 }
