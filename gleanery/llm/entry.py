@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import leaks
 from .near_dups import near_duplicates
 from .pii import pii_digest
 from .quality import labels_of, quality_report
@@ -38,11 +39,17 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages, with the items."""
+    return leaks(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_subword_quality": op4_subword_quality,
     "op6_bootstrapped_pii": op6_bootstrapped_pii,
     "op5_token_files": op5_token_files,
     "op9_setsketch_near_dups": op9_setsketch_near_dups,
+    "op10_spaced_seed_leaks": op10_spaced_seed_leaks,
 }
 
 ORACLE_SQL: dict[str, str] = {}
