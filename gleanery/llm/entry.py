@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import leaks
 from .near_dups import near_duplicates
+from .packing import pack_documents
 from .pii import pii_digest
 from .quality import labels_of, quality_report
 from .token_files import token_digests
@@ -22,6 +23,11 @@ def op9_setsketch_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_docs(spark, sf_dir))
 
 
+def op3_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of several permitted lengths that hold all documents."""
+    return pack_documents(_docs(spark, sf_dir))
+
+
 def op4_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality_report(_docs(spark, sf_dir), labels_of(spark, sf_dir))
@@ -45,6 +51,7 @@ def op10_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_variable_best_fit": op3_variable_best_fit,
     "op4_subword_quality": op4_subword_quality,
     "op6_bootstrapped_pii": op6_bootstrapped_pii,
     "op5_token_files": op5_token_files,
