@@ -11,6 +11,7 @@ from .near_dups import near_duplicates
 from .packing import pack_documents
 from .pii import pii_digest
 from .quality import labels_of, quality_report
+from .repeats import removal_digest
 from .token_files import token_digests
 
 
@@ -18,6 +19,11 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op8_merged_bwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without byte strings that occur elsewhere too."""
+    return removal_digest(_docs(spark, sf_dir))
+
+
 def op9_setsketch_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of documents."""
     return near_duplicates(_docs(spark, sf_dir))
@@ -55,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_subword_quality": op4_subword_quality,
     "op6_bootstrapped_pii": op6_bootstrapped_pii,
     "op5_token_files": op5_token_files,
+    "op8_merged_bwt_repeats": op8_merged_bwt_repeats,
     "op9_setsketch_near_dups": op9_setsketch_near_dups,
     "op10_spaced_seed_leaks": op10_spaced_seed_leaks,
 }

@@ -134,30 +134,52 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return two.withColumn("both", both).where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def _block_pairs(open_rows: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs across components within each bucket, block against block.
+def _in_blocks(rows: DataFrame, threshold: float, percent: int, exact: bool) -> DataFrame:
+    """Pairs across components within each bucket, block against block.
 
-    open_rows: (key, rep, comp, n, regs, blk, blks). A bucket of s rows is dealt into ceil(s / BLOCK_ROWS) blocks and
-    every two blocks meet in one group, which holds at most twice BLOCK_ROWS rows (about).
+    rows: (key, i, j, rep, comp, n, regs[, shingles]); a group holds two blocks of a bucket. Pairs are looked at in the
+    first bucket that both share. Without sets: the rows that have a partner whose estimate comes near the threshold.
+    With sets: verified links, one for each row and component, which is all that components depend on.
     """
-    other = F.explode(F.sequence(F.lit(0), F.col("blks") - 1))
-    rows = open_rows.withColumn("o", other).select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "rep", "comp", "n", "regs")
 
     def run(key, table):
         table = table.combine_chunks()
+        here = key[0].as_py()
         rep, comp = table.column("rep").to_numpy(), table.column("comp").to_numpy()
         n = table.column("n").to_numpy().astype(float)
         regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        got = []
+        bands = _bands(regs)
+        if exact:
+            lists = table.column("shingles").combine_chunks() if isinstance(table.column("shingles"), pa.ChunkedArray) else table.column("shingles")
+            at = np.asarray(lists.offsets)
+            flat = np.asarray(lists.values).view(np.uint64)
+        flagged, links = np.zeros(len(rep), bool), []
         for x in range(len(rep) - 1):
-            other = np.flatnonzero((comp[x + 1 :] != comp[x]) & (np.minimum(n[x + 1 :], n[x]) >= threshold * np.maximum(n[x + 1 :], n[x]) - 1e-9)) + x + 1
-            if len(other):
-                est = estimate((regs[x] > regs[other]).sum(1), (regs[x] < regs[other]).sum(1), np.full(len(other), n[x]), n[other])
-                got += [(rep[x], rep[y], int(n[x]), int(n[y])) for y in other[est >= threshold - MARGIN]]
-        a, b, na, nb = (np.array(c, np.int64) for c in zip(*got, strict=True)) if got else (np.zeros(0, np.int64),) * 4
-        return pa.table({"a": a, "b": b, "na": na, "nb": nb})
-
-    return rows.groupBy("key", "i", "j").applyInArrow(run, "a long, b long, na long, nb long")
+            y = np.flatnonzero((comp[x + 1 :] != comp[x]) & (np.minimum(n[x + 1 :], n[x]) >= threshold * np.maximum(n[x + 1 :], n[x]) - 1e-9)) + x + 1
+            if not len(y):
+                continue
+            y = y[bands[y, (bands[y] == bands[x]).argmax(axis=1)] == here]
+            est = estimate((regs[x] > regs[y]).sum(1), (regs[x] < regs[y]).sum(1), np.full(len(y), n[x]), n[y])
+            y = y[est >= threshold - MARGIN]
+            if not len(y):
+                continue
+            flagged[x] = True
+            flagged[y] = True
+            if exact:
+                own = flat[at[x] : at[x + 1]]
+                theirs = np.concatenate([flat[at[k] : at[k + 1]] for k in y])
+                same = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+                both = np.add.reduceat(same.astype(np.int64), np.concatenate([[0], np.cumsum(n[y].astype(np.int64))[:-1]]))
+                y = y[100 * both >= percent * (n[x] + n[y] - both)]
+                y = y[np.unique(comp[y], return_index=True)[1]]
+                links += [(rep[x], rep[k]) for k in y]
+        if exact:
+            a, b = zip(*links, strict=True) if links else ((), ())
+            return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        kept = table.filter(pa.array(flagged))
+        return pa.table({c: kept.column(c) for c in ("key", "i", "j", "rep", "comp")})
+
+    return rows.groupBy("key", "i", "j").applyInArrow(run, "a long, b long" if exact else "key long, i int, j int, rep long, comp long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5) -> DataFrame:
@@ -200,13 +222,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     open_rows = buckets.withColumn("comp", F.col("rep"))
     for round_ in range(HUB_ROUNDS):
-        # A hub per bucket, another one each round; every class keeps the two hubs that it resembles most.
+        # A hub per bucket, another one each round; every class tries the one that it shares most buckets with.
         order = F.xxhash64("rep", F.lit(round_)) if round_ else F.col("rep")
         hubs = open_rows.groupBy("key").agg(F.min_by(F.struct("rep", "comp"), order).alias("hub"))
-        pairs = open_rows.join(hubs, "key").where("comp <> hub.comp").select(F.col("rep").alias("a"), F.col("hub.rep").alias("b")).distinct()
-        best = attach(pairs).groupBy("a").agg(F.max_by(F.struct("b", "na", "nb"), F.struct("est", "b")).alias("x"))
+        pairs = open_rows.join(hubs, "key").where("comp <> hub.comp").select(F.col("rep").alias("a"), F.col("hub.rep").alias("b"))
+        pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).groupBy("a").agg(F.max_by("b", F.struct("shared", F.xxhash64("b"))).alias("b"))
         before = 0 if links is None else links.count()
-        add(_confirmed(best.select("a", "x.b", "x.na", "x.nb"), sets, percent))
+        add(_confirmed(attach(pairs), sets, percent))
         mixed = labelled(buckets)
         spans = mixed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
         open_rows = stored(mixed.join(spans, "key"), "open")
@@ -214,9 +236,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
     if open_rows.limit(1).count():
         blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
-        rows = open_rows.select("key", "rep", "comp", blocks.alias("blks")).withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blks")).cast("int")).join(regs, "rep")
-        pairs = _block_pairs(rows, threshold).dropDuplicates(["a", "b"])
-        add(_confirmed(pairs, sets, percent))
+        dealt = open_rows.select("key", "rep", "comp", blocks.alias("blks")).withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blks")).cast("int"))
+        rows = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blks") - 1))).select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "rep", "comp")
+        # First which rows have a likely partner, on registers alone; only those bring their sets.
+        likely = stored(_in_blocks(rows.join(regs, "rep"), threshold, percent, exact=False), "likely")
+        add(stored(_in_blocks(likely.join(regs, "rep").join(sets, "rep"), threshold, percent, exact=True), "block-links"))
     out = member.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
     comp = F.coalesce("component", "rep")
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), (comp == F.col("doc_id")).alias("kept"))
