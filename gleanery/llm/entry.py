@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .decontaminate import leaks
 from .near_dups import near_duplicates
@@ -13,6 +14,7 @@ from .pii import pii_digest
 from .quality import labels_of, quality_report
 from .repeats import removal_digest
 from .token_files import token_digests
+from .vp_search import nearest
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +31,11 @@ def op9_setsketch_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_docs(spark, sf_dir))
 
 
+def op2_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every 50th."""
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
 def op3_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of several permitted lengths that hold all documents."""
     return pack_documents(_docs(spark, sf_dir))
@@ -57,6 +64,7 @@ def op10_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_vantage_point_search": op2_vantage_point_search,
     "op3_variable_best_fit": op3_variable_best_fit,
     "op4_subword_quality": op4_subword_quality,
     "op6_bootstrapped_pii": op6_bootstrapped_pii,
