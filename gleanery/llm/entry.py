@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import leaks
+from .licenses import licence_digest
 from .near_dups import near_duplicates
 from .packing import pack_documents
 from .pii import pii_digest
@@ -21,6 +22,11 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op7_sentence_rule_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named or quoted in every document."""
+    return licence_digest(_docs(spark, sf_dir))
+
+
 def op8_merged_bwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without byte strings that occur elsewhere too."""
     return removal_digest(_docs(spark, sf_dir))
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_subword_quality": op4_subword_quality,
     "op6_bootstrapped_pii": op6_bootstrapped_pii,
     "op5_token_files": op5_token_files,
+    "op7_sentence_rule_licenses": op7_sentence_rule_licenses,
     "op8_merged_bwt_repeats": op8_merged_bwt_repeats,
     "op9_setsketch_near_dups": op9_setsketch_near_dups,
     "op10_spaced_seed_leaks": op10_spaced_seed_leaks,
