@@ -12,6 +12,7 @@ from .licenses import licence_digest
 from .near_dups import near_duplicates
 from .packing import pack_documents
 from .pii import pii_digest
+from .pseudo_lm import lm_scores
 from .quality import labels_of, quality_report
 from .repeats import removal_digest
 from .token_files import token_digests
@@ -37,6 +38,11 @@ def op9_setsketch_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_docs(spark, sf_dir))
 
 
+def op1_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-likelihood of every document."""
+    return lm_scores(_docs(spark, sf_dir))
+
+
 def op2_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every 50th."""
     return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
@@ -70,6 +76,7 @@ def op10_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_masked_pseudo_likelihood": op1_masked_pseudo_likelihood,
     "op2_vantage_point_search": op2_vantage_point_search,
     "op3_variable_best_fit": op3_variable_best_fit,
     "op4_subword_quality": op4_subword_quality,
