@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import base, rollups, rows, tables  # noqa: F401
 
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
+Query = base.Callable
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return base.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return base.ORACLE
