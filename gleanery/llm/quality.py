@@ -18,7 +18,8 @@ from .common import chunks, prefix_hash, span_hash, text_buffer
 BUCKETS = 1 << 17
 DIM = 10
 NGRAMS = (3, 4, 5)
-EPOCHS = 8
+#: Passes over the sample, more if it is small: at least so many steps.
+EPOCHS, LEAST_STEPS = 8, 30_000
 RATE = 0.5
 #: The classifier is fitted on at most so many labelled rows of each label.
 MAX_TRAIN = {0: 2000, 1: 4000}
@@ -79,15 +80,16 @@ def _bags(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.nd
 
 
 def fit(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> tuple[np.ndarray, float]:
-    """Scores of the buckets and bias, after EPOCHS of SGD with a falling rate."""
+    """Scores of the buckets and bias, after some epochs of SGD with a falling rate."""
     rng = np.random.default_rng(seed)
     bags = []
     for text in texts:
         bags += _bags(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
-    steps, done = EPOCHS * len(bags), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // len(bags)))
+    steps, done = epochs * len(bags), 0
+    for _ in range(epochs):
         for k in rng.permutation(len(bags)):
             rate = RATE * (1 - done / steps)
             done += 1
