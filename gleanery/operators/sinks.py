@@ -19,10 +19,10 @@ def _path(spark: SparkSession, name: str):
 
 
 def current_version(spark: SparkSession, table: str) -> str | None:
-    pointer, fs = _path(spark, f"{table}/_current")
+    pointer, fs = _path(spark, f"{table}/current.txt")
     if not fs.exists(pointer):
         return None
-    return spark.read.text(f"{table}/_current").first()[0]
+    return spark.read.text(f"{table}/current.txt").first()[0]
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame | None:
@@ -35,11 +35,11 @@ def swap_in(df: DataFrame, table: str) -> None:
     spark = df.sparkSession
     v = f"v-{uuid.uuid4().hex}"
     df.write.parquet(f"{table}/{v}")
-    tmp, fs = _path(spark, f"{table}/.current-{v}")
+    tmp, fs = _path(spark, f"{table}/{v}.pointer")
     out = fs.create(tmp, True)
     out.writeBytes(v + "\n")
     out.close()
-    target, _ = _path(spark, f"{table}/_current")
+    target, _ = _path(spark, f"{table}/current.txt")
     fs.delete(target, False)
     fs.rename(tmp, target)
 
