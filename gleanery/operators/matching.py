@@ -176,3 +176,25 @@ def promote_links(mentions: DataFrame, entities: DataFrame, accepted: DataFrame)
     first = m.where("source_url is not null").groupBy("entity_id").agg(F.min_by("source_url", "mention_id").alias("__first"))
     e = entities.join(first, entities["id"] == first["entity_id"], "left").withColumn("primary_url", F.coalesce("primary_url", "__first")).drop("__first", "entity_id")
     return m, e
+
+
+def anchor_blocks(passages: DataFrame, blocks: DataFrame, head_words: int = 8, width: int = 3) -> DataFrame:
+    """(passage_id, doc_id, pos): the text piece in which a passage begins.
+
+    ``passages`` (passage_id, doc_id, text), ``blocks`` (doc_id, pos, piece). A block that holds the first words of the
+    passage is taken, the first of several; else the block that shares most runs of ``width`` words with it. Candidates
+    come from a join on document and run, never from all blocks of all documents.
+    """
+    p = passages.select("passage_id", "doc_id", match_form(F.col("text")).alias("f"), words(F.col("text")).alias("w"))
+    p = p.withColumn("head", F.array_join(F.slice("w", 1, head_words), " "))
+    b = blocks.select("doc_id", "pos", match_form(F.col("piece")).alias("bf"), words(F.col("piece")).alias("w"))
+
+    def runs(rows: DataFrame, *keep: str) -> DataFrame:
+        n = F.greatest(F.size("w") - (width - 1), F.lit(0))
+        zipped = F.arrays_zip(*(F.slice("w", k + 1, n).alias(f"w{k}") for k in range(width)))
+        return rows.select(*keep, F.explode(zipped).alias("x")).select(*keep, F.xxhash64(*(f"x.w{k}" for k in range(width))).alias("h")).distinct()
+
+    shared = runs(p, "passage_id", "doc_id").join(runs(b, "doc_id", "pos"), ["doc_id", "h"]).groupBy("passage_id", "doc_id", "pos").agg(F.count("*").alias("n"))
+    x = shared.join(p.select("passage_id", "head"), "passage_id").join(b.select("doc_id", "pos", "bf"), ["doc_id", "pos"])
+    rank = F.struct(F.col("bf").contains(F.col("head")), F.col("n"), -F.col("pos"))
+    return x.groupBy("passage_id", "doc_id").agg(F.max_by("pos", rank).alias("pos"))

@@ -107,3 +107,23 @@ def j18(spark, sf_dir):
     mentions = p.where("p_partkey % 10 = 0").select(F.col("p_partkey").alias("mention_id"), F.col("p_name").alias("canonical_name"), F.lit("report").alias("mention_type"))
     links = table(spark, sf_dir, "pages").select("page_id", "url").join(p.select(F.col("p_partkey").alias("page_id"), F.col("p_name").alias("title")), "page_id").select("url", "title")
     return M.link_candidates(mentions, links)
+
+
+@query("j17_anchor_blocks")
+def j17(spark, sf_dir):
+    from ..operators.sinks import text_pieces
+
+    d = table(spark, sf_dir, "documents").where("n_chars > 4000").select("doc_id", "text")
+    passages = d.select(F.col("doc_id").alias("passage_id"), "doc_id", F.substring("text", 2500, 300).alias("text"))
+    return M.anchor_blocks(passages, text_pieces(d, "doc_id", "text"))
+
+
+@query("j19_j20_promoted_links")
+def j20(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    mentions = p.where(k % 10 == 0).select(k.alias("mention_id"), (k % 50).alias("entity_id"), F.col("p_name").alias("canonical_name"), F.lit("report").alias("mention_type"), F.when(k % 30 == 0, F.lit("https://kept.example/x")).alias("source_url"), F.lit("missing").alias("link_status"), F.lit(None).cast("double").alias("link_confidence"))
+    links = table(spark, sf_dir, "pages").select("page_id", "url").join(p.select(k.alias("page_id"), F.col("p_name").alias("title")), "page_id").select("url", "title")
+    best = M.link_candidates(mentions, links).join(mentions.select("mention_id", "canonical_name"), "mention_id").join(links, "url")
+    entities = mentions.select(F.col("entity_id").alias("id")).distinct().withColumn("primary_url", F.lit(None).cast("string"))
+    return M.promote_links(mentions, entities, M.safe_links(best, 0.4))[0].select("mention_id", "source_url", "link_status", "link_confidence")

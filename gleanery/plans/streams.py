@@ -135,3 +135,19 @@ def e08(spark, sf_dir):
 
     e = newest_per_group(view(spark, sf_dir, EPISODES), "show_slug", 5, F.col("publish_date").desc_nulls_last(), F.col("id"))
     return e.select("id", "show_slug", input_hash(F.col("notes"), 5000).alias("input_sha256"))
+
+
+@query("st02_redo_late", "WITH d AS (SELECT doc_id AS episode_id, doc_id % 40 AS batch, CASE WHEN doc_id % 6 = 0 THEN 'show_notes' ELSE 'transcript' END AS source FROM documents), b AS (SELECT DISTINCT batch FROM d WHERE source = 'show_notes' AND episode_id % 9 = 0) SELECT batch, array_to_string(list_sort(list_distinct(list(CAST(episode_id AS VARCHAR)))), ',') AS items, count(DISTINCT episode_id) AS n FROM d WHERE batch IN (SELECT batch FROM b) GROUP BY 1")
+def st02(spark, sf_dir):
+    root = _scratch(spark, "st02")
+    k = F.col("doc_id")
+    done = lambda: table(spark, sf_dir, "documents").select(k.alias("episode_id"), (k % 40).alias("batch"), F.when(k % 6 == 0, "show_notes").otherwise("transcript").alias("source"))
+    came = _stream(spark, sf_dir, "documents").where(k % 9 == 0).select(k.alias("episode_id"))
+    J.redo_late(came, done, lambda df, n: df.write.mode("append").parquet(f"{root}/out"), f"{root}/state").awaitTermination()
+    return spark.read.parquet(f"{root}/out").dropDuplicates(["batch"])
+
+
+@query("st04_stale_sources")
+def st04(spark, sf_dir):
+    e = _stream(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("at"))
+    return _drain(J.stale_sources(e, "event_type", "at", 14), "st04")

@@ -71,3 +71,18 @@ def load_each_batch(stream: DataFrame, load: Callable[[DataFrame, int], None], c
             batch.unpersist()
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def redo_late(transcripts: DataFrame, extracted: Callable[[], DataFrame], redo: Callable[[DataFrame, int], None], checkpoint: str):
+    """Start a query that names whole batches to extract anew when a transcript comes after its episode was read from notes.
+
+    ``transcripts`` is a stream (episode_id); ``extracted`` gives the current table (episode_id, batch, source).
+    """
+    def load(batch: DataFrame, n: int) -> None:
+        from ..operators.changes import damaged_batches
+
+        came = batch.select("episode_id").distinct().withColumn("came", F.lit(True))
+        rows = extracted().join(came, "episode_id", "left")
+        redo(damaged_batches(rows, "batch", "episode_id", F.coalesce("came", F.lit(False)) & (F.col("source") == "show_notes")), n)
+
+    return load_each_batch(transcripts, load, checkpoint)
