@@ -74,7 +74,7 @@ def k08(spark, sf_dir):
     return K.fill_missing(rows, fixed, "c_custkey", ["c_name"]).select("c_custkey", "c_name", F.size("changed").alias("n_changed"))
 
 
-@query("n20_link_status", f"WITH m AS ({MENTIONS}) SELECT mention_id, CASE WHEN source_url IS NOT NULL THEN 'manual_verified' ELSE 'missing' END AS status, CASE WHEN source_url IS NOT NULL THEN 1.0 END AS confidence FROM m")
+@query("n20_link_status", f"WITH m AS ({MENTIONS}) SELECT mention_id, CASE WHEN source_url IS NOT NULL THEN 'manual_verified' ELSE 'missing' END AS status, CASE WHEN source_url IS NOT NULL THEN CAST(1.0 AS DOUBLE) END AS confidence FROM m")
 def n20(spark, sf_dir):
     status, confidence = link_status(F.col("source_url"))
     return view(spark, sf_dir, MENTIONS).select("mention_id", status.alias("status"), confidence.alias("confidence"))
