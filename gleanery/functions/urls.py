@@ -104,3 +104,11 @@ def element_text(page: Column, tag: str) -> Column:
 def links_out(page: Column) -> Column:
     """Number of absolute links."""
     return F.regexp_count(page, F.lit("(?i)href=[\"']https?://")).cast("long")
+
+
+def page_date(page: Column) -> Column:
+    """Date of a page: published-time meta element, JSON-LD ``datePublished``, else the first ``time`` element."""
+    linked = F.nullif(F.regexp_extract(page, '"datePublished"\\s*:\\s*"([^"]*)"', 1), F.lit(""))
+    element = F.nullif(F.regexp_extract(page, "(?is)<time[^>]*datetime=[\"']([^\"']*)", 1), F.lit(""))
+    found = F.coalesce(meta_content(page, "article:published_time"), meta_content(page, "date"), linked, element)
+    return F.try_to_date(F.nullif(F.regexp_extract(found, "^\\s*(\\d{4}-\\d{2}-\\d{2})", 1), F.lit("")), "yyyy-MM-dd")

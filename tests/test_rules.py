@@ -201,3 +201,8 @@ def test_late_sources(spark, days, status):
     queue = late_source_queue(rows, "id", F.col("notes"), "arrived", as_of)
     got = [r.status for r in queue.collect()]
     assert (got or ["pass"]) == [status] and as_check(queue, "x", F.col("id").cast("string")).count() == 1
+
+
+def test_page_dates(spark):
+    pages = ['<meta content="2024-01-02T03:04:05Z" property="article:published_time">', '<script type="application/ld+json">{"datePublished": "2024-02-03"}</script>', '<time datetime="2024-03-04">x</time>', "<p>2024-05-06</p>"]
+    assert each(spark, U.page_date, pages) == [dt.date(2024, 1, 2), dt.date(2024, 2, 3), dt.date(2024, 3, 4), None]
