@@ -11,8 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text that a numpy step handles at once.
-CHUNK_BYTES = 4 << 20
+#: Bytes of text that a numpy step handles at once; a step needs about 60 times as much memory.
+CHUNK_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,16 +40,6 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stored(df: DataFrame) -> None:
-    """Delete the files behind a frame made by stored(), once nothing lazy reads them."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for name in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        if "/gleanery/" in name:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 # ---------------------------------------------------------------- text buffers
 
 

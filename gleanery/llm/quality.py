@@ -8,6 +8,8 @@ times the difference of the two output rows, so whole corpora are scored with ar
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -68,23 +70,35 @@ def features(data: np.ndarray, offsets: np.ndarray):
             yield ((key ^ key >> np.uint64(29)) * _MUL >> _SHIFT).astype(np.int32), ok, np.minimum(starts, m)
 
 
-def _bags(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Distinct buckets of each text with their shares."""
-    parts = list(features(data, offsets))
-    bags = []
-    for k in range(len(offsets) - 1):
-        ids = np.concatenate([idx[first[k] : first[k + 1]][ok[first[k] : first[k + 1]]] for idx, ok, first in parts])
-        found, count = np.unique(ids, return_counts=True)
-        bags.append((found, (count / max(1, len(ids))).astype(np.float32)))
-    return bags
+class _Bags:
+    """Distinct buckets of texts with their shares, in two long arrays: nothing small is left behind in a worker's memory."""
+
+    def __init__(self):
+        self.ids, self.share, self.ends = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.float32), [0]
+
+    def add(self, text: bytes) -> None:
+        parts = list(features(np.frombuffer(text, np.uint8), np.array([0, len(text)])))
+        found, count = np.unique(np.concatenate([idx[ok] for idx, ok, _ in parts]), return_counts=True)
+        a, b = self.ends[-1], self.ends[-1] + len(found)
+        if b > len(self.ids):
+            self.ids, self.share = (np.concatenate([x, np.zeros(max(len(x), len(found)), x.dtype)]) for x in (self.ids, self.share))
+        self.ids[a:b], self.share[a:b] = found, count / max(1, count.sum())
+        self.ends.append(b)
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.ends[k], self.ends[k + 1]
+        return self.ids[a:b], self.share[a:b]
 
 
-def fit(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> tuple[np.ndarray, float]:
+def fit(texts: Iterable[bytes], labels: np.ndarray, seed: int = 5) -> tuple[np.ndarray, float]:
     """Scores of the buckets and bias, after some epochs of SGD with a falling rate."""
     rng = np.random.default_rng(seed)
-    bags = []
+    bags = _Bags()
     for text in texts:
-        bags += _bags(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        bags.add(text)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
     epochs = max(EPOCHS, -(-LEAST_STEPS // len(bags)))
@@ -140,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         y = table.column("__y").to_numpy()
         if len(set(y.tolist())) < 2:
             return pa.table({"scores": pa.array([], pa.binary()), "bias": pa.array([], pa.float64())})
-        scores, bias = fit([(t or "").encode() for t in table.column("__text").to_pylist()], y)
+        scores, bias = fit(((t.as_py() or "").encode() for t in table.column("__text")), y)
         return pa.table({"scores": pa.array([scores.astype(np.float32).tobytes()], pa.binary()), "bias": [bias]})
 
     rows = sample.withColumn("__g", F.lit(1)).groupBy("__g").applyInArrow(run, "scores binary, bias double").collect()
