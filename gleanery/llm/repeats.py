@@ -214,31 +214,37 @@ def _anchor_rows(rows: DataFrame, span: int, gram: int) -> DataFrame:
 
 
 def _context_rows(rows: DataFrame, span: int, gram: int) -> DataFrame:
-    """(doc_id, th, ctx, h, left, right, places): each distinct context of a document once, left read backwards."""
+    """(doc_id, th, ctx, h, left, right, places): each distinct context of a document once, left read backwards.
+
+    A periodic text has an anchor in every period, so positions stay in numpy arrays and rows leave in small batches.
+    """
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            out = {k: [] for k in ("doc", "ctx", "h", "left", "right", "places")}
-            for k, (text, found) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                raw, seen = text.encode(), {}
-                for x in found:
-                    p = x["pos"]
-                    both = raw[max(0, p - span + gram) : p], raw[p : p + span]
-                    seen.setdefault(both, (x["h"], []))[1].append(p)
-                for (left, right), (h, places) in seen.items():
-                    out["doc"].append(k)
-                    out["ctx"].append(hashlib.blake2b(len(left).to_bytes(4, "big") + left + right, digest_size=16).digest())
-                    out["h"].append(h)
-                    out["left"].append(left[::-1])
-                    out["right"].append(right)
-                    out["places"].append(places)
-            take = pa.array(out["doc"], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(out["ctx"], pa.binary()), pa.array(out["h"], pa.int64()), pa.array(out["left"], pa.binary()), pa.array(out["right"], pa.binary()), pa.array(out["places"], pa.list_(pa.int32()))],
-                ["doc_id", "th", "ctx", "h", "left", "right", "places"],
-            )
+        for whole in batches:
+            for first in range(0, whole.num_rows, 128):
+                batch = whole.slice(first, 128)
+                out = {k: [] for k in ("doc", "ctx", "h", "left", "right", "places")}
+                lists = batch.column(3)
+                ends = np.asarray(lists.offsets)
+                pos, h = (np.asarray(lists.values.field(c)) for c in ("pos", "h"))
+                for k in range(batch.num_rows):
+                    raw, seen = batch.column(2)[k].as_py().encode(), {}
+                    for x in range(ends[k], ends[k + 1]):
+                        p = int(pos[x])
+                        both = raw[max(0, p - span + gram) : p], raw[p : p + span]
+                        seen.setdefault(both, (int(h[x]), []))[1].append(p)
+                    for (left, right), (anchor, places) in seen.items():
+                        out["doc"].append(k)
+                        out["ctx"].append(hashlib.blake2b(len(left).to_bytes(4, "big") + left + right, digest_size=16).digest())
+                        out["h"].append(anchor)
+                        out["left"].append(left[::-1])
+                        out["right"].append(right)
+                        out["places"].append(np.array(places, np.int32))
+                take = pa.array(out["doc"], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(out["ctx"], pa.binary()), pa.array(out["h"], pa.int64()), pa.array(out["left"], pa.binary()), pa.array(out["right"], pa.binary()), pa.array(out["places"], pa.list_(pa.int32()))],
+                    ["doc_id", "th", "ctx", "h", "left", "right", "places"],
+                )
 
     return rows.mapInArrow(run, "doc_id long, th long, ctx binary, h long, left binary, right binary, places array<int>")
 
@@ -253,7 +259,8 @@ def _reaches(contexts: DataFrame, span: int, gram: int, hot: int, shard_rows: in
     # span - b behind, so equal windows meet under the hash of those bytes.
     splits = F.array(*(F.struct(F.lit(k * step).alias("a"), F.lit(min(last, (k + 1) * step - 1)).alias("b")) for k in range(RANGES) if k * step <= last))
     whole = F.array(F.struct(F.lit(0).alias("a"), F.lit(last).alias("b")))
-    rows = contexts.join(many, "h", "left").withColumn("r", F.explode(F.when(F.col("hot"), splits).otherwise(whole)))
+    # At most one such anchor for each ``hot`` contexts, so the list is small next to any task's rows.
+    rows = contexts.join(F.broadcast(many), "h", "left").withColumn("r", F.explode(F.when(F.col("hot"), splits).otherwise(whole)))
     shared = F.xxhash64("h", "r.a", F.col("left").substr(F.lit(1), F.col("r.a")), F.col("right").substr(F.lit(1), F.lit(span) - F.col("r.b")))
     rows = rows.withColumn("key", F.when(F.col("hot"), shared).otherwise(F.col("h")))
     spark = contexts.sparkSession
@@ -273,32 +280,30 @@ def _reaches(contexts: DataFrame, span: int, gram: int, hot: int, shard_rows: in
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM, hot: int = HOT_CONTEXTS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(doc_id, th, spans): byte ranges (start, end) of each text, unsorted and overlapping, that windows which occur again cover."""
     rows = _read(docs, id_col, text_col)
-    found = _anchor_rows(rows.where(F.octet_length("text") >= span), span, gram).repartition("h")
+    same = lambda x: F.col("__d").eqNullSafe(F.col(f"{x}.doc_id")) & (F.col("__t") == F.col(f"{x}.th"))  # noqa: E731  null ids are a value like any other
+    found = stored(_anchor_rows(rows.where(F.octet_length("text") >= span), span, gram), "anchors")
     often = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    places = found.join(often, "h").groupBy("doc_id", "th").agg(F.collect_list(F.struct("pos", "h")).alias("found"))
-    # Null ids are a value like any other here.
-    both = rows.withColumnRenamed("doc_id", "__d").withColumnRenamed("th", "__t").join(places, F.col("__d").eqNullSafe(F.col("doc_id")) & (F.col("__t") == F.col("th"))).select("doc_id", "th", "text", "found").dropDuplicates(["doc_id", "th"])
+    places = found.join(often, "h").groupBy("doc_id", "th").agg(F.collect_set(F.struct("pos", "h")).alias("found"))
+    keyed = rows.withColumnsRenamed({"doc_id": "__d", "th": "__t"})
+    both = keyed.join(places.alias("p"), same("p")).select("doc_id", "th", "text", "found")
     held = stored(_context_rows(both, span, gram), "contexts")
-    copies = rows.groupBy("doc_id", "th").agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
-    weighed = held.join(copies.withColumnRenamed("doc_id", "__d").withColumnRenamed("th", "__t"), F.col("__d").eqNullSafe(F.col("doc_id")) & (F.col("__t") == F.col("th")), "left").withColumn("w", F.size("places") * F.coalesce("rows", F.lit(1)))
-    distinct = stored(weighed.groupBy("ctx").agg(F.first("h").alias("h"), F.first("left").alias("left"), F.first("right").alias("right"), F.sum("w").alias("times")), "distinct-contexts")
+    # Rows that repeat one id and text are rows of their own here, so their windows count as often as they occur.
+    weight = F.sum(F.size("places")).alias("times")
+    distinct = stored(held.groupBy("ctx").agg(F.first("h").alias("h"), F.first("left").alias("left"), F.first("right").alias("right"), weight), "distinct-contexts")
     reach = _reaches(distinct, span, gram, hot, shard_rows).groupBy("ctx").agg(F.min("least").alias("least"), F.max("most").alias("most"))
-    hit = held.select("doc_id", "th", "ctx", "places").join(reach, "ctx")
+    hit = held.select("doc_id", "th", "ctx", "places").distinct().join(reach, "ctx")
     spans = F.transform("places", lambda p: F.struct((p - F.col("most")).alias("start"), (p - F.col("least") + span).alias("end")))
     return hit.groupBy("doc_id", "th").agg(F.flatten(F.collect_list(spans)).alias("spans"))
 
 
-def _kept(raw: bytes, spans) -> tuple[bytes, int, int]:
+def _kept(raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[bytes, int, int]:
     """What is left of a text, removed bytes and maximal removed runs."""
-    parts, at, removed, runs, end = [], 0, 0, 0, -1
-    for a, b in sorted(spans):
-        if a > end:
-            runs += 1
-            parts.append(raw[at:a])
-            removed, at, end = removed + b - a, b, b
-        elif b > end:
-            removed, at, end = removed + b - end, b, b
-    return b"".join(parts) + raw[at:], removed, runs
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    first = np.concatenate([[True], start[1:] > reach[:-1]])
+    a, b = start[first], reach[np.concatenate([np.flatnonzero(first)[1:] - 1, [len(start) - 1]])]
+    parts = [raw[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(raw)], strict=True)]
+    return b"".join(parts), int((b - a).sum()), len(a)
 
 
 def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -308,14 +313,19 @@ def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = _read(docs, id_col, text_col)
     spans = repeated_spans(docs, id_col, text_col, **how).withColumnRenamed("doc_id", "__d").withColumnRenamed("th", "__t")
-    both = rows.join(spans, F.col("__d").eqNullSafe(F.col("doc_id")) & (F.col("__t") == F.col("th")), "left").select("doc_id", "text", "spans")
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    both = rows.join(spans, F.col("__d").eqNullSafe(F.col("doc_id")) & (F.col("__t") == F.col("th")), "left").select("doc_id", "text", F.coalesce("spans", none).alias("spans"))
 
     def run(batches):
         for batch in batches:
             n, removed, runs, sha = [], [], [], []
-            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                raw = text.encode()
-                kept, r, k = _kept(raw, [(x["start"], x["end"]) for x in found]) if found else (raw, 0, 0)
+            lists = batch.column(2)
+            ends = np.asarray(lists.offsets)
+            start, end = (np.asarray(lists.values.field(c)) for c in ("start", "end"))
+            for row in range(batch.num_rows):
+                raw = batch.column(1)[row].as_py().encode()
+                x, y = ends[row], ends[row + 1]
+                kept, r, k = _kept(raw, start[x:y], end[x:y]) if y > x else (raw, 0, 0)
                 n.append(len(raw)), removed.append(r), runs.append(k), sha.append(hashlib.sha256(kept).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (n, removed, runs)), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
