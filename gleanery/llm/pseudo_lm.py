@@ -180,7 +180,10 @@ def train(docs: DataFrame, start_docs: int = START_DOCS) -> tuple[np.ndarray, np
                 learn(net, ids, around, RATE / (1 + turn))
         return pa.table({"net": pa.array([net.flat.tobytes()], pa.binary())})
 
-    sample = docs.withColumn("k", F.xxhash64("doc_id", F.lit(4))).orderBy("k", "doc_id").limit(start_docs).select("k", "text").withColumn("g", F.lit(1))
+    # The sample is chosen by hashes alone, so tasks hand on numbers, not texts.
+    hashed = docs.withColumn("k", F.xxhash64("doc_id", "text", F.lit(4)))
+    chosen = hashed.select("k").orderBy("k").limit(start_docs).distinct()
+    sample = hashed.join(F.broadcast(chosen), "k").dropDuplicates(["k"]).select("k", "text").withColumn("g", F.lit(1))
     first = sample.groupBy("g").applyInArrow(start, "net binary").collect()
     begin = spark.sparkContext.broadcast(np.frombuffer(first[0].net, np.float32) if first else Network.fresh().flat)
 
