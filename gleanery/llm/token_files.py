@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,9 @@ from pyspark.sql import types as T
 
 from .common import chunks, scratch_path
 
-#: Distinct pieces that a worker remembers; beyond it starts anew, so memory stays bounded.
-MEMO_PIECES = 600_000
+#: Distinct pieces that a worker remembers; beyond it keeps those that it has used KEEP_USES times, or starts anew if
+#: they are more than half. Memory stays bounded.
+MEMO_PIECES, KEEP_USES = 600_000, 3
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 
 
@@ -60,36 +62,54 @@ class Encoder:
         self.memo: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.start, self.count, self.pieces = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
-
-    def _keep(self, chunk: str, ids: list[int]) -> None:
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.int32)])
-        if self.pieces == len(self.start):
-            self.start, self.count = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (self.start, self.count))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.start[self.pieces], self.count[self.pieces] = self.used, len(ids)
-        self.memo[chunk] = self.pieces
-        self.used += len(ids)
-        self.pieces += 1
+        self.uses = np.zeros(1 << 14, np.int32)
+
+    def _keep(self, chunks: list[str], ids: list) -> None:
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum()))
+        first, n, size = self.pieces, len(chunks), self.used + len(flat)
+        if size > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), size), np.int32)])
+        if first + n > len(self.start):
+            self.start, self.count, self.uses = (np.concatenate([x, np.zeros(max(len(x), n), x.dtype)]) for x in (self.start, self.count, self.uses))
+        self.flat[self.used : size] = flat
+        ends = np.cumsum(counts)
+        self.start[first : first + n] = self.used + ends - counts
+        self.count[first : first + n] = counts
+        self.memo.update(zip(chunks, range(first, first + n), strict=True))
+        self.used, self.pieces = size, first + n
+
+    def _shrink(self) -> None:
+        """Forget the pieces that were rarely used."""
+        old, flat, start, count, uses = self.memo, self.flat, self.start, self.count, self.uses
+        often = uses >= KEEP_USES
+        self.clear()
+        if often.sum() <= MEMO_PIECES // 2:
+            kept = [(chunk, flat[start[k] : start[k] + count[k]]) for chunk, k in old.items() if often[k]]
+            self._keep([c for c, _ in kept], [i for _, i in kept])
 
     def _letters(self, word: str) -> list[int]:
-        word = word.lower()
         if not word.isascii():
             word = "".join(map(self.table.__getitem__, word.encode()))
         return [t.id for t in self.full.model.tokenize(word)]
 
     def _learn(self, new: list[str]) -> None:
-        hard = []
+        hard, easy, ids, seen = [], [], [], {}
         stop = {x: self.full.encode(x, add_special_tokens=False).ids for x in ".,"}
         for chunk in new:
             end = chunk[-1]
             word = chunk[:-1] if end in stop else chunk
-            if word.isalpha() and max(word) < "Ā":
-                self._keep(chunk, self._letters(word) + stop.get(end, []))
+            if word.isalpha() and (word.isascii() or max(word) < "Ā"):
+                low = word.lower()
+                got = seen.get(low)
+                if got is None:
+                    got = seen[low] = self._letters(low)
+                easy.append(chunk)
+                ids.append(got + stop[end] if end in stop else got)
             else:
                 hard.append(chunk)
-        for chunk, got in zip(hard, self.full.encode_batch_fast(hard, add_special_tokens=False), strict=True):
-            self._keep(chunk, got.ids)
+        ids += [x.ids for x in self.full.encode_batch_fast(hard, add_special_tokens=False)]
+        self._keep(easy + hard, ids)
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, each text's followed by end_id, and the n+1 offsets of the texts."""
@@ -97,16 +117,17 @@ class Encoder:
             rows = [[*x.ids, end_id] for x in self.full.encode_batch_fast(texts, add_special_tokens=False)]
             return np.array([i for r in rows for i in r], np.int32), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
         if len(self.memo) > MEMO_PIECES:
-            self.clear()
+            self._shrink()
         split = [re.sub("[\n\t\r]", " ", t).split(" ") for t in texts]
         sizes = np.array([len(s) for s in split], np.int64)
         words = [w for s in split for w in s]
         memo = self.memo
         if "" not in memo:
-            self._keep("", [])
+            self._keep([""], [[]])
         if new := [w for w in dict.fromkeys(words) if w not in memo]:
             self._learn(new)
         at = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+        self.uses[: self.pieces] += np.bincount(at, minlength=self.pieces).astype(np.int32)
         # One further piece for each text's end.
         end = self._end(end_id)
         place = np.arange(len(words)) + np.repeat(np.arange(len(texts)), sizes)
@@ -120,7 +141,7 @@ class Encoder:
     def _end(self, end_id: int) -> int:
         key = f" {end_id} "  # holds blanks, so no chunk has this name
         if key not in self.memo:
-            self._keep(key, [end_id])
+            self._keep([key], [[end_id]])
         return self.memo[key]
 
 
