@@ -431,6 +431,33 @@ def test_scores_equal_a_plain_loop(spark, docs):
     assert x.count() == 9 and x.where("n_tokens = 0 and log_prob = 0 and mean_log_prob is null").count() == 3 and lm_scores(odd(spark).limit(0)).count() == 0
 
 
+def test_every_word_has_its_own_probability(spark, docs, monkeypatch):
+    from gleanery.llm import pseudo_lm as M
+
+    rows = docs.select("doc_id", "text").limit(60)
+    hashes, flat = M.train(rows)
+    assert len(hashes) == M.word_counts(rows).count() > 5 * M.FREQUENT
+    net, voc = M.Network(flat), M.Vocabulary(hashes)
+    ids = voc.ids(hashes)
+    unused = np.setdiff1d(np.arange(M.VOCABULARY), M.cells_of(ids))
+    at = np.tile([[3], [99], [500], [7]], (1, len(ids)))
+    rest = np.exp(net.step(unused, at[:, : len(unused)]).astype(float)).sum()
+    assert len(np.unique(ids)) == len(ids) and abs(np.exp(net.step(ids, at).astype(float)).sum() + rest - 1) < 1e-3
+    # One word three times and another once, in one cell and one context.
+    n = {r.h & (1 << 64) - 1: r.n for r in M.word_counts(rows).collect()}
+    pair = sorted((h for h in hashes[M.FREQUENT :].tolist() if h % M.RARE == 5), key=n.get)
+    low, high = net.step(voc.ids(np.array([pair[0], pair[-1]], np.uint64)), at[:, :2])
+    assert n[pair[-1]] > n[pair[0]] and abs(high - low - np.log(n[pair[-1]] / n[pair[0]])) < 1e-3
+    # Shares that are joined give what shares that are broadcast give, also for repeated rows and null ids.
+    both = rows.unionByName(odd(spark).select("doc_id", "text")).unionByName(rows.limit(9))
+    by = lambda: sorted((tuple(r) for r in M.lm_scores(both).collect()), key=str)
+    want = by()
+    for most in (0, 3000):
+        monkeypatch.setattr(M, "KNOWN_WORDS", most)
+        got = by()
+        assert len(got) == len(want) and all(x[:2] == y[:2] and (x[2] == y[2] == 0 or abs(x[2] / y[2] - 1) < 1e-3) for x, y in zip(sorted(got, key=lambda r: (str(r[0]), r[1])), sorted(want, key=lambda r: (str(r[0]), r[1])), strict=True))
+
+
 # ---------------------------------------------------------------- pipeline
 
 
