@@ -2,7 +2,8 @@
 
 A mask fixes which of SPAN neighbouring tokens count; the others may differ. Training positions and benchmark positions
 meet in a join on the hash of the counted tokens. Around each hit the item is laid on the document at that offset and
-token by token compared; a window of WINDOW tokens with at least MATCH of them equal is a leak.
+token by token compared; a window of WINDOW tokens with at least MATCH of them equal is a leak. An item of fewer than
+SPAN tokens is a leak where all its tokens follow one another.
 """
 
 from __future__ import annotations
@@ -10,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Tokens that count in each mask (fixed values). Weight 6 of 10: two masks find nearly all passages with a fifth replaced.
-MASKS = ("1101100101", "1010011011")
+#: Tokens that count in each mask (fixed values, found by search). However the tokens that MATCH lets differ lie in a
+#: window (WINDOW tokens, or a whole item of SPAN to WINDOW), one mask fits at some offset; a test goes through all cases.
+MASKS = ("10100111", "111011", "11001011")
 SPAN = 10
 WINDOW, MATCH = 20, 0.8
 #: Benchmark tokens up to which the seeds (a few hundred bytes a token with the item's tokens) are broadcast.
@@ -23,17 +25,16 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def spread_seeds(rows: DataFrame, words: str, keep: tuple[str, ...]) -> DataFrame:
-    """A row (keep..., pos, seed) for each position and mask; none under SPAN tokens.
+def spread_seeds(rows: DataFrame, words: str, keep: tuple[str, ...], masks: tuple[str, ...] = MASKS) -> DataFrame:
+    """A row (keep..., pos, seed) for each position and mask that ends inside the text; else the seed is null.
 
-    Shifted copies of the token list are zipped, so every position becomes a row of SPAN columns and the hashes are
+    Shifted copies of the token list are zipped, so every position becomes a row of columns and the hashes are
     computed in generated code; a lambda over positions takes twice as long. explode_outer: with explode, a filter on
     the zipped list would be inferred and the list computed twice.
     """
-    n = F.greatest(F.size(words) - (SPAN - 1), F.lit(0))
-    zipped = F.arrays_zip(*(F.slice(words, k + 1, n).alias(f"w{k}") for k in range(SPAN)))
+    zipped = F.arrays_zip(*(F.slice(words, k + 1, F.size(words)).alias(f"w{k}") for k in range(max(map(len, masks)))))
     at = rows.select(*keep, F.posexplode_outer(zipped).alias("pos", "at"))
-    hashes = (F.xxhash64(F.lit(k), *(F.col(f"at.w{j}") for j, bit in enumerate(mask) if bit == "1")) for k, mask in enumerate(MASKS))
+    hashes = (F.when(F.col(f"at.w{len(mask) - 1}").isNotNull(), F.xxhash64(F.lit(int(mask, 2)), *(F.col(f"at.w{j}") for j, bit in enumerate(mask) if bit == "1"))) for mask in masks)
     return at.select(*keep, "pos", F.explode(F.array(*hashes)).alias("seed"))
 
 
@@ -50,19 +51,24 @@ def _overlap(words: Column, item: Column, diag: Column) -> Column:
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, matched, window): items of which a document holds a passage, and the best window's count.
 
-    Null, empty and short texts (under SPAN tokens) hold no passage, and items under SPAN tokens are not searched: they
-    are too short to tell a leak from a phrase. Rows without an id take no part; an id or item on several rows counts
+    Null and empty texts hold no passage. Items under SPAN tokens are found where they stand whole and unchanged. Rows without an id take no part; an id or item on several rows counts
     once. Either table may be empty. Other columns of both are not read.
     """
-    items = benchmark.select(F.col(item_col).alias("item_id"), tokens(F.col(item_text)).alias("item")).where(F.col("item_id").isNotNull() & (F.size("item") >= SPAN)).distinct()
-    size = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0))).first()[0]
-    probes = spread_seeds(items, "item", ("item_id", "item")).withColumnRenamed("pos", "ipos")
+    items = benchmark.select(F.col(item_col).alias("item_id"), tokens(F.col(item_text)).alias("item")).where(F.col("item_id").isNotNull() & (F.size("item") > 0)).distinct()
+    # Short items: a full mask of each length that occurs, laid on their first token.
+    size, short = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0)), F.collect_set(F.when(F.size("item") < SPAN, F.size("item")))).first()
+    runs = tuple("1" * n for n in sorted(short))
+    probes = spread_seeds(items.where(F.size("item") >= SPAN), "item", ("item_id", "item"))
+    for run in runs:
+        probes = probes.unionByName(spread_seeds(items.where(F.size("item") == len(run)), "item", ("item_id", "item"), (run,)))
+    probes = probes.where("seed is not null").withColumnRenamed("pos", "ipos")
+    masks = (*MASKS, *runs)
     cut = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("words"))
     if size <= BROADCAST_TOKENS:
         # Generators and join stand in one stage, so a document's tokens are at hand for each hit without being copied.
-        hits = spread_seeds(cut, "words", ("doc_id", "words")).join(F.broadcast(probes), "seed").withColumn("diag", F.col("pos") - F.col("ipos"))
+        hits = spread_seeds(cut, "words", ("doc_id", "words"), masks).join(F.broadcast(probes), "seed").withColumn("diag", F.col("pos") - F.col("ipos"))
     else:
-        light = spread_seeds(cut, "words", ("doc_id",)).join(probes.drop("item"), "seed").select("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("diag")).distinct()
+        light = spread_seeds(cut, "words", ("doc_id",), masks).join(probes.drop("item"), "seed").select("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("diag")).distinct()
         hits = light.join(cut, "doc_id").join(items, "item_id")
     window = F.least(F.size("item"), F.lit(WINDOW))
     # The bound is put behind the grouping: as part of the join it would keep generators and join out of one stage.

@@ -203,6 +203,38 @@ def test_leaks_find_passages_with_substitutions(spark):
     assert X.leaks(odd(spark), bench).count() == 0 and X.leaks(docs, bench.limit(0)).count() == 0 and X.drop_leaks(odd(spark), bench).count() == 9
 
 
+def test_a_mask_fits_every_allowed_pattern():
+    import itertools
+    import math
+
+    from gleanery.llm import decontaminate as X
+
+    for n in range(X.SPAN, X.WINDOW + 1):
+        laid = [sum(1 << (a + j) for j, bit in enumerate(m) if bit == "1") for m in X.MASKS for a in range(n - len(m) + 1)]
+        for other in itertools.combinations(range(n), n - math.ceil(n * X.MATCH)):
+            gone = sum(1 << k for k in other)
+            assert any(not m & gone for m in laid), (n, other)
+
+
+def test_leaks_with_each_fifth_token_replaced_and_of_short_items(spark, monkeypatch):
+    from gleanery.llm import decontaminate as X
+
+    items = [(n, " ".join(f"i{n}t{k}" for k in range(n))) for n in (1, 3, 9, 10, 15, 20, 45)]
+    rows, want = [], set()
+    for n, text in items:
+        for start in range(5):
+            w = text.split()
+            if n >= X.SPAN:
+                w[start::5] = ["other"] * len(w[start::5])
+            rows.append((len(rows), " ".join(["x"] * start + w + ["y"] * (4 - start))))
+            want.add((len(rows) - 1, n))
+    rows += [(900, "i3t0 i3t1 x i3t2"), (901, " ".join(f"i9t{k}" for k in range(8))), (902, "i3t0 i3t1")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for most in (X.BROADCAST_TOKENS, 0):
+        monkeypatch.setattr(X, "BROADCAST_TOKENS", most)
+        assert {(r.doc_id, r.item_id) for r in X.leaks(docs, bench).collect()} == want
+
+
 # ---------------------------------------------------------------- personal data
 
 
