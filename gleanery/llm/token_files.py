@@ -7,6 +7,7 @@ reads only the pages it needs and the metadata columns can be read without the i
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
@@ -14,6 +15,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,7 +25,9 @@ from .common import chunks, scratch_path
 
 #: Distinct pieces that a worker remembers; beyond it keeps those that it has used KEEP_USES times, or starts anew if
 #: they are more than half. Memory stays bounded.
-MEMO_PIECES, KEEP_USES = 600_000, 3
+MEMO_PIECES, KEEP_USES = 700_000, 3
+#: Bytes of text in a shard.
+SHARD_BYTES = 32 << 20
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 
 
@@ -34,13 +38,32 @@ def _byte_table() -> list[str]:
     return [rest.get(b, chr(b)) for b in range(256)]
 
 
+#: ASCII signs but for the apostrophe, which the pre-tokenizer may join with letters.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_PARTS = re.compile("([" + re.escape(SIGNS) + "]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([" + re.escape(SIGNS) + "]*)")
+
+
+class _Memo(dict):
+    """Pieces to places. A piece that is looked up for the first time gets the next place and is noted in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = k = len(self)
+        self.new.append(piece)
+        return k
+
+
 class Encoder:
     """Texts to ids with a tokenizers file, each distinct piece encoded once.
 
     The file's pre-tokenizer never joins text over blanks, so a text's ids are those of its blank-separated chunks. The
-    full pipeline encodes a chunk; for a chunk of Latin-1 letters, perhaps with one full stop or comma behind, the
-    model alone gives the same ids at a quarter of the time. Only files known to allow that (lower case, letters
-    separate from punctuation) take this road; with any other the whole text goes through the library as it is.
+    full pipeline encodes a chunk; a chunk of Latin-1 letters with signs before or behind is made of the ids of the
+    word, which the model alone gives in less time, and of the signs, so a word is encoded once in whatever case and
+    with whatever signs. Only files known to allow that (lower case, letters separate from signs, no added token of such
+    a form) take this road; with any other the whole text goes through the library as it is.
     """
 
     def __init__(self, path: str):
@@ -52,64 +75,89 @@ class Encoder:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        added = [t.get("content", "") for t in spec.get("added_tokens", [])]
         norm = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         split = [x.get("pattern", {}).get("Regex", "") for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
         self.by_piece = norm == ["NFC", "Replace", "Lowercase"] and split[:1] == ["'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"]
-        self.table = _byte_table()
+        self.by_piece &= all(_PARTS.fullmatch(t) is None or (t[0] in SIGNS and t[-1] in SIGNS) for t in added)
+        self.by_piece &= not any(set(t) <= set(SIGNS) for t in added)
+        self.table = dict(enumerate(_byte_table()))
         self.clear()
 
     def clear(self) -> None:
-        self.memo: dict[str, int] = {}
+        self.memo = _Memo()
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.start, self.count, self.pieces = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
         self.uses = np.zeros(1 << 14, np.int32)
+        self._keep([[]], np.zeros(1, np.int64), 1)
+        self.memo[""] = 0
 
-    def _keep(self, chunks: list[str], ids: list) -> None:
+    def _keep(self, ids: list, at: np.ndarray, pieces: int) -> None:
+        """Store the ids of the pieces with places ``at``; places under ``pieces`` are in use then."""
+        n = pieces
+        if n > len(self.start):
+            self.start, self.count, self.uses = (np.concatenate([x, np.zeros(max(len(x), n), x.dtype)]) for x in (self.start, self.count, self.uses))
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum()))
-        first, n, size = self.pieces, len(chunks), self.used + len(flat)
+        self._store(np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum())), at, counts)
+        self.pieces = n
+
+    def _store(self, flat: np.ndarray, at: np.ndarray, counts: np.ndarray) -> None:
+        size = self.used + len(flat)
         if size > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), size), np.int32)])
-        if first + n > len(self.start):
-            self.start, self.count, self.uses = (np.concatenate([x, np.zeros(max(len(x), n), x.dtype)]) for x in (self.start, self.count, self.uses))
         self.flat[self.used : size] = flat
-        ends = np.cumsum(counts)
-        self.start[first : first + n] = self.used + ends - counts
-        self.count[first : first + n] = counts
-        self.memo.update(zip(chunks, range(first, first + n), strict=True))
-        self.used, self.pieces = size, first + n
+        self.start[at] = self.used + np.cumsum(counts) - counts
+        self.count[at] = counts
+        self.used = size
 
     def _shrink(self) -> None:
         """Forget the pieces that were rarely used."""
-        old, flat, start, count, uses = self.memo, self.flat, self.start, self.count, self.uses
-        often = uses >= KEEP_USES
+        old, flat, start, count = self.memo, self.flat, self.start, self.count
+        often = self.uses >= KEEP_USES
         self.clear()
         if often.sum() <= MEMO_PIECES // 2:
-            kept = [(chunk, flat[start[k] : start[k] + count[k]]) for chunk, k in old.items() if often[k]]
-            self._keep([c for c, _ in kept], [i for _, i in kept])
+            kept = [(piece, flat[start[k] : start[k] + count[k]]) for piece, k in old.items() if often[k] and piece]
+            self._keep([i for _, i in kept], np.arange(1, len(kept) + 1), len(kept) + 1)
+            self.memo.update(zip((p for p, _ in kept), range(1, len(kept) + 1), strict=True))
 
     def _letters(self, word: str) -> list[int]:
         if not word.isascii():
-            word = "".join(map(self.table.__getitem__, word.encode()))
+            word = word.encode().decode("latin-1").translate(self.table)
         return [t.id for t in self.full.model.tokenize(word)]
 
-    def _learn(self, new: list[str]) -> None:
-        hard, easy, ids, seen = [], [], [], {}
-        stop = {x: self.full.encode(x, add_special_tokens=False).ids for x in ".,"}
-        for chunk in new:
-            end = chunk[-1]
-            word = chunk[:-1] if end in stop else chunk
-            if word.isalpha() and (word.isascii() or max(word) < "Ā"):
-                low = word.lower()
-                got = seen.get(low)
-                if got is None:
-                    got = seen[low] = self._letters(low)
-                easy.append(chunk)
-                ids.append(got + stop[end] if end in stop else got)
+    def _learn(self) -> None:
+        """Encode the pieces that the memo has noted as new; the list grows by the parts that pieces are made of."""
+        memo, known, letters = self.memo, self.pieces, self._letters
+        words, words_at, hard, hard_at, made, left, right = [], [], [], [], [], [], []
+        for at, piece in enumerate(memo.new, known):
+            if (m := _PARTS.fullmatch(piece)) is None:
+                hard.append(piece)
+                hard_at.append(at)
+                continue
+            head, word, tail = m.groups()
+            low = word.lower()
+            if low == piece:
+                words.append(letters(low))
+                words_at.append(at)
+            elif head and tail:
+                hard.append(piece)
+                hard_at.append(at)
             else:
-                hard.append(chunk)
-        ids += [x.ids for x in self.full.encode_batch_fast(hard, add_special_tokens=False)]
-        self._keep(easy + hard, ids)
+                made.append(at)
+                left.append(memo[head or low])
+                right.append(memo[low if head else tail])
+        memo.new = []
+        words += [x.ids for x in self.full.encode_batch_fast(hard, add_special_tokens=False)]
+        self._keep(words, np.array(words_at + hard_at, np.int64), self.pieces + len(words) + len(made))
+        self._join(np.array(made, np.int64), np.array(left, np.int64), np.array(right, np.int64))
+
+    def _join(self, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        """Give the places ``at`` the ids of the pieces ``left`` and ``right``, one behind the other."""
+        both = np.stack([left, right], axis=1).ravel()
+        count = self.count[both]
+        ends = np.cumsum(count)
+        ids = self.flat[np.repeat(self.start[both] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
+        self._store(ids, at, count.reshape(-1, 2).sum(axis=1))
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, each text's followed by end_id, and the n+1 offsets of the texts."""
@@ -118,31 +166,25 @@ class Encoder:
             return np.array([i for r in rows for i in r], np.int32), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
         if len(self.memo) > MEMO_PIECES:
             self._shrink()
-        split = [re.sub("[\n\t\r]", " ", t).split(" ") for t in texts]
-        sizes = np.array([len(s) for s in split], np.int64)
-        words = [w for s in split for w in s]
-        memo = self.memo
-        if "" not in memo:
-            self._keep([""], [[]])
-        if new := [w for w in dict.fromkeys(words) if w not in memo]:
-            self._learn(new)
-        at = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if self.memo.new:
+            gc.disable()  # many short lists are made, none of them in a cycle
+            self._learn()
+            gc.enable()
         self.uses[: self.pieces] += np.bincount(at, minlength=self.pieces).astype(np.int32)
-        # One further piece for each text's end.
-        end = self._end(end_id)
-        place = np.arange(len(words)) + np.repeat(np.arange(len(texts)), sizes)
-        all_ = np.full(len(words) + len(texts), end, np.int64)
-        all_[place] = at
-        count = self.count[all_]
+        # Ids of all pieces one after another, with one further place behind each text's.
+        count = self.count[at]
+        last = np.cumsum(sizes) - 1
         ends = np.cumsum(count)
-        ids = self.flat[np.repeat(self.start[all_] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
-        return ids, np.concatenate([[0], ends[np.cumsum(sizes + 1) - 1]])
-
-    def _end(self, end_id: int) -> int:
-        key = f" {end_id} "  # holds blanks, so no chunk has this name
-        if key not in self.memo:
-            self._keep([key], [[end_id]])
-        return self.memo[key]
+        offsets = np.concatenate([[0], ends[last] + np.arange(1, len(texts) + 1)]) if len(texts) else np.zeros(1, np.int64)
+        ids = np.full(offsets[-1], end_id, np.int32)
+        inside = np.ones(len(ids), bool)
+        inside[offsets[1:] - 1] = False
+        total = int(ends[-1]) if len(ends) else 0
+        ids[inside] = self.flat[np.repeat(self.start[at] - (ends - count), count) + np.arange(total)]
+        return ids, offsets
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -161,16 +203,20 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
     def run(batches):
         enc = encoder(tokenizer)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            sizes = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-            for a, b in chunks(sizes, 2 << 20):
-                ids, offsets = enc.encode(texts[a:b], end_id)
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            for a, b in chunks(np.concatenate([[0], np.cumsum(sizes)]), 1 << 20):
+                ids, offsets = enc.encode([t or "" for t in batch.column(1).slice(a, b - a).to_pylist()], end_id)
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(offsets)), lists], ["doc_id", "n_tokens", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)
 
 
+def shard_number(size: int, shard_bytes: int, cores: int) -> int:
+    """Shards for ``size`` bytes of text."""
+    return max(1, -(-size // shard_bytes), min(cores, size >> 20))
+
+
 def write_token_files(
     docs: DataFrame,
     path: str,
@@ -179,6 +225,7 @@ def write_token_files(
     text_col: str = "text",
     end_id: int = 2,
     shards: int | None = None,
+    shard_bytes: int = SHARD_BYTES,
     row_group_bytes: int = 32 << 20,
     page_bytes: int = 256 << 10,
     page_rows: int = 2000,
@@ -187,11 +234,12 @@ def write_token_files(
     """Encode documents and write them as shards in ascending order of id; rows without an id are left out.
 
     ``encoding``: "delta" (DELTA_BINARY_PACKED) or "dictionary". Documents with equal ids all stay, next to each other.
-    Ranges of ids are dealt out before encoding, so texts move once and are encoded once.
+    Ranges of ids are dealt out before encoding, so texts move once and are encoded once. The number of shards follows
+    the bytes of text: about ``shard_bytes`` in each, but a shard for each core while they hold a MB or more.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = shards or shard_number(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, shard_bytes, spark.sparkContext.defaultParallelism)
     dealt = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
     encoded = encode_documents(dealt, tokenizer, "doc_id", "text", end_id)
     (
@@ -248,8 +296,9 @@ def id_checksums(spark: SparkSession, path: str) -> DataFrame:
 def token_digests(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
     """Write the files, read them back: doc_id, start, n_tokens, ids_crc32.
 
-    Empty and null texts hold the end id alone; an empty table gives an empty result; ids on several rows are returned
-    for each, rows without an id are left out.
+    Empty and null texts hold the end id alone; very long texts are encoded whole, a piece at a time; an empty table
+    gives an empty result. Ids on several rows are returned for each, in an order of their own that ``start`` follows;
+    rows without an id are left out. Other columns of ``docs`` are not read and may have any name.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "token-files")

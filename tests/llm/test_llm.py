@@ -352,6 +352,40 @@ def test_token_files_round_trip(spark, docs):
     assert token_digests(odd(spark).limit(0), path).count() == 0
 
 
+def test_token_file_footers(spark):
+    """Encodings, row groups and page indexes as they stand in the files."""
+    import glob
+
+    import public_tokenizers
+    import pyarrow.parquet as pq
+
+    from gleanery.llm.common import scratch_path
+    from gleanery.llm.token_files import read_token_files, shard_number, write_token_files
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for encoding, want, other in (("delta", "DELTA_BINARY_PACKED", "RLE_DICTIONARY"), ("dictionary", "RLE_DICTIONARY", "DELTA_BINARY_PACKED")):
+        out = scratch_path(spark, "footers")
+        write_token_files(docs, out, path, shards=2, row_group_bytes=200_000, page_rows=64, encoding=encoding)
+        files = sorted(glob.glob(out.removeprefix("file://") + "/part-*.parquet"))
+        assert len(files) == 2
+        last = None
+        for f in files:
+            meta = pq.ParquetFile(f).metadata
+            assert meta.num_row_groups > 1
+            for g in range(meta.num_row_groups):
+                cols = {meta.row_group(g).column(k).path_in_schema.split(".")[0]: meta.row_group(g).column(k) for k in range(meta.num_columns)}
+                assert want in cols["ids"].encodings and other not in cols["ids"].encodings and cols["ids"].compression == "ZSTD"
+                assert all(cols[c].has_offset_index and cols[c].has_column_index for c in ("doc_id", "n_tokens"))
+                low, high = cols["doc_id"].statistics.min, cols["doc_id"].statistics.max
+                assert last is None or low >= last
+                last = high
+        some = read_token_files(spark, out, ("doc_id", "n_tokens")).where("doc_id = 77")
+        plan = some._jdf.queryExecution().toString()
+        assert "EqualTo(doc_id,77)" in plan and "ids" not in plan.split("ReadSchema")[-1] and some.count() == 1
+    assert [shard_number(*x) for x in ((0, 32 << 20, 8), (5 << 20, 32 << 20, 8), (1 << 30, 32 << 20, 8))] == [1, 5, 32]
+
+
 def test_encoder_equals_the_library():
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -359,7 +393,7 @@ def test_encoder_equals_the_library():
     from gleanery.llm.token_files import Encoder
 
     rng = random.Random(1)
-    signs = ["a", "B", " ", "\n", "é", "É", "'s", "1", "23", "́", "\xa0", "\x1c", "İ", "ß", "Σ", "<|endoftext|>", "don't", ".", ",", "!", "漢", "ª", "µ", "Ω", "\x85", "\t", "ǅ", "\U0001f642", "\x00"]
+    signs = ["a", "B", " ", "\n", "é", "É", "'s", "1", "23", "́", "\xa0", "\x1c", "İ", "ß", "Σ", "<|endoftext|>", "don't", ".", ",", "!", "漢", "ª", "µ", "Ω", "\x85", "\t", "ǅ", "\U0001f642", "\x00", "***", "(", "-", "<|", "|>", "endoftext", "ÿ", "µ"]
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
         path = public_tokenizers.path(name)
         enc, tk = Encoder(path), Tokenizer.from_file(path)
