@@ -1,17 +1,20 @@
-"""Removal of byte strings that occur more than once, by merging the suffix orders of shards.
-
-Sampling. In a window of SPAN bytes the least hash of its GRAM-byte strings marks an anchor. Equal windows have equal
-anchors, so every repeated window of SPAN bytes holds an anchor that occurs again, and only suffixes that start at such
-anchors need an order: a sparse Burrows-Wheeler transform, whose symbol is the text that stands before the suffix.
-
-Shards. The suffixes of an anchor (and its left contexts, read backwards) are ordered shard by shard. Two shards are
-merged by interleave refinement: at first all suffixes count as equal and lie shard after shard; each turn deals every
-group of still equal suffixes out by the next block of eight bytes, stably, so that both shards keep their order, until
-groups are single or the depth is reached. The turn and byte at which two neighbours part is their common prefix;
-no suffix is sorted anew.
-
-Repeats. In the merged right order, suffixes with a common prefix of at least r form intervals, likewise backwards for
-left contexts. A window that starts o bytes before an anchor occurs again exactly if another suffix lies in the same
+"""Removal of byte strings that occur more than once, by merging the Burrows-Wheeler transforms of shards.
+
+Sampling. In a window of SPAN bytes the leftmost least hash of its GRAM-byte strings marks the window's anchor. Equal
+windows have their anchor at the same place, so a window that occurs again has an anchor that occurs again, and only the
+texts around such anchors need an order: to the right up to the end of the last window of the anchor, and to the left,
+read backwards, up to the start of the first.
+
+Shards. These strings are cut into blocks of BLOCK bytes; the distinct blocks in lexicographic order are the alphabet.
+Each shard of strings gets its own Burrows-Wheeler transform over blocks: for every suffix of its strings, in order, the
+block that stands before it. Shards are merged by interleave refinement: the interleave says from which shard each next
+suffix comes; at first shard stands after shard. A turn reads the transforms in the order of the interleave and deals
+the shard numbers out by the symbols read, stably. After t turns the suffixes are in order of their first t blocks,
+and a boundary that appears in turn t parts suffixes with t - 1 common blocks; the bytes of the two blocks in which
+neighbours part give the rest of their common prefix. No suffix is compared or sorted anew.
+
+Repeats. In the merged right order, strings with a common prefix of at least r form intervals, likewise backwards for
+left strings. A window that starts o bytes before its anchor occurs again exactly if another string lies in the same
 left interval at depth o and in the same right interval at depth SPAN - o.
 """
 
@@ -24,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, stored, text_buffer
+from .common import chunks, mix64, stored, text_buffer
 
 SPAN, GRAM = 400, 32
-#: Contexts that one shard orders; larger anchor groups are several shards that are merged.
-SHARD_ROWS = 4096
+#: Bytes of a block, the symbol of the transforms; a block and its length are four numbers of 64 bits.
+BLOCK = 31
+#: Strings of one shard, and contexts that a task merges together (about).
+SHARD_ROWS, BUCKET_ROWS = 1024, 4096
 
 
 # ---------------------------------------------------------------- anchors
@@ -54,7 +59,7 @@ def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
 
 
 def _window_minima(values: np.ndarray, width: int, valid: np.ndarray) -> np.ndarray:
-    """Positions of the leftmost least value of each valid window of ``width`` values, each position once, in order."""
+    """Positions of the leftmost least value of each valid window of ``width`` values in order, each with its first and last window."""
     n = len(valid)
     pad = -len(values) % width
     v = np.concatenate([values, np.full(pad, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, width)
@@ -76,105 +81,163 @@ def _window_minima(values: np.ndarray, width: int, valid: np.ndarray) -> np.ndar
             at = int(place[k]) + 1
         while at < end:  # the windows of one run share the minimum, ties follow one another
             p = at + int(values[at : at + width].argmin())
-            more.append(p)
+            more.append((p, at, min(p, end - 1)))
             at = p + 1
-    return np.unique(np.concatenate([place[place >= 0], np.array(more, np.int64)]))
+    more = np.array(more, np.int64).reshape(-1, 3)
+    first = np.stack([place[fell], starts[fell], np.minimum(place[fell], ends[fell] - 1)], axis=1)
+    found = np.concatenate([first, more])
+    return found[np.argsort(found[:, 0], kind="stable")]
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, position in the row, gram hash) of the anchors of each text of at least ``span`` bytes."""
+def anchors(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(row, position in the row, least and greatest offset, gram hash) of the anchors of each text of at least ``span`` bytes.
+
+    The windows of an anchor start at those offsets before it; each window of a text has one anchor.
+    """
     n = len(data) - span + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return (*(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, np.uint64))
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     h = _gram_hashes(data, gram)
-    at = _window_minima(h, span - gram + 1, row[:n] == row[span - 1 :])
-    return row[at], at - offsets[row[at]], h[at]
-
+    at, first, last = _window_minima(h, span - gram + 1, row[:n] == row[span - 1 :]).T
+    return row[at], at - offsets[row[at]], at - last, at - first, h[at]
 
-# ---------------------------------------------------------------- orders of shards and their merge
 
+# ---------------------------------------------------------------- transforms of shards and their merge
 
-def blocks_of(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Strings as rows of big-endian 8-byte blocks, padded with zeros, and their lengths."""
-    wide = -(-width // 8) * 8
-    raw = np.frombuffer(b"".join(s.ljust(wide, b"\0") for s in strings), ">u8").reshape(len(strings), wide // 8)
-    return raw.astype(np.uint64), np.array([len(s) for s in strings], np.int64)
 
+def symbols_of(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of the blocks of each string (0 behind its end), the blocks as four numbers each, and the strings' lengths.
 
-def shard_order(keys: np.ndarray, blocks: np.ndarray, lengths: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The rows of one shard in the order of (key, string)."""
-    return rows[np.lexsort((lengths[rows], *blocks[rows].T[::-1], keys[rows]))]
-
-
-def merge_shards(shards: list[np.ndarray], keys: np.ndarray, blocks: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of ordered shards and the common prefix of each row with the row before it (-1: another key).
-
-    Turn 0 deals by key, turn t by block t. Only groups in which a block differs are dealt anew, stably.
+    The fourth number ends with the block's length, so symbols are in the order of the blocks and a block that ends a
+    string differs from one that goes on with zeros.
+    """
+    lengths = np.fromiter(map(len, strings), np.int64, len(strings))
+    wide = max(1, -(-int(lengths.max(initial=0)) // BLOCK))
+    rows = np.zeros((len(strings), wide, 32), np.uint8)
+    rows[:, :, :BLOCK] = np.frombuffer(b"".join(s.ljust(wide * BLOCK, b"\0") for s in strings), np.uint8).reshape(len(strings), wide, BLOCK)
+    rows[:, :, BLOCK] = np.clip(lengths[:, None] - BLOCK * np.arange(wide), 0, BLOCK)
+    words = rows.view(">u8").astype(np.uint64)
+    present = rows[:, :, BLOCK] > 0
+    flat = words[present]
+    key = flat[:, 0]
+    for k in range(1, 4):
+        key = mix64(key) + flat[:, k]
+    _, first, which = np.unique(mix64(key), return_index=True, return_inverse=True)
+    if (flat[first[which]] != flat).any():  # two blocks with one hash
+        _, first, which = np.unique(flat, axis=0, return_index=True, return_inverse=True)
+    alphabet = flat[first]
+    rank = np.empty(len(alphabet), np.int32)
+    rank[np.lexsort(alphabet.T[::-1])] = np.arange(1, len(alphabet) + 1)
+    symbols = np.zeros((len(strings), wide), np.int32)
+    symbols[present] = rank[which.ravel()]
+    return symbols, words, lengths
+
+
+def transform(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Burrows-Wheeler transform of the strings of one shard, and for each of its places the string that the suffix there is, or -1.
+
+    Suffixes are ordered by doubling the number of blocks looked at; equal ones by string. The end of a string is less
+    than every block, and 0 stands before a string's first block.
+    """
+    n, wide = symbols.shape
+    text = np.concatenate([symbols, np.zeros((n, 1), symbols.dtype)], axis=1)
+    rank, step = text.astype(np.int64), 1
+    while step <= wide:
+        ahead = np.zeros_like(rank)
+        ahead[:, :-step] = rank[:, step:]
+        key = rank * (int(rank.max()) + 1) + ahead
+        rank = np.unique(key, return_inverse=True)[1].reshape(rank.shape)
+        step *= 2
+    string, at = np.nonzero(np.arange(wide + 1) <= (symbols > 0).sum(axis=1)[:, None])
+    order = np.argsort(rank[string, at], kind="stable")
+    string, at = string[order], at[order]
+    return np.where(at > 0, text[string, at - 1], 0), np.where(at == 0, string, -1)
+
+
+def _dealt(symbols: np.ndarray) -> np.ndarray:
+    """Stable order of symbols, 16 bits at a time."""
+    order = np.argsort(symbols.astype(np.uint16), kind="stable")
+    if len(symbols) and symbols.max() > 0xFFFF:
+        order = order[np.argsort((symbols >> 16).astype(np.uint16)[order], kind="stable")]
+    return order
+
+
+def merge(shards: list[tuple[np.ndarray, np.ndarray]], turns: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of all strings of the shards by their first ``turns`` blocks, and the blocks that each shares with the one before.
+
+    Only the transforms are read. Shards must be transforms of sorted suffixes: places are taken from each in its order.
     """
-    order = np.concatenate(shards)
-    m = len(order)
-    lcp = np.full(m, -2, np.int64)  # -2: still together with the row before
-    lcp[:1] = -1
-    for turn in range(-1, blocks.shape[1] + 1):
-        together = lcp == -2
-        if not together.any():
+    symbols = np.concatenate([s for s, _ in shards])
+    strings = [int((w >= 0).sum()) for _, w in shards]
+    base = np.concatenate([[0], np.cumsum(strings)])
+    whole = np.concatenate([np.where(w >= 0, w + b, -1) for (_, w), b in zip(shards, base, strict=False)])
+    kind = np.uint8 if len(shards) < 256 else np.uint16
+    ends = np.repeat(np.arange(len(shards), dtype=kind), strings)
+    mix = np.repeat(np.arange(len(shards), dtype=kind), [len(s) for s, _ in shards])
+    new = np.zeros(len(mix), bool)
+    new[:1] = True
+    group_of = np.zeros(len(ends), np.int64)
+    place, groups = np.empty(len(mix), np.int64), []
+    for turn in range(turns + 1):
+        # The k-th place of the interleave that names a shard is that shard's k-th place.
+        place[np.argsort(mix, kind="stable")] = np.arange(len(mix))
+        group, at = np.cumsum(new), np.flatnonzero(whole[place] >= 0)
+        group_of[whole[place[at]]] = group[at]
+        if turn:
+            groups.append(group_of.copy())
+        if turn == turns:
             break
-        value = keys[order] if turn < 0 else blocks[order, turn] if turn < blocks.shape[1] else lengths[order].astype(np.uint64)
-        differs = np.zeros(m, bool)
-        differs[1:] = together[1:] & (value[1:] != value[:-1])
-        if not differs.any():
-            continue
-        group = np.cumsum(~together) - 1
-        mixed = np.zeros(group[-1] + 1, bool)
-        mixed[group[differs]] = True
-        at = np.flatnonzero(mixed[group])
-        dealt = at[np.lexsort((value[at], group[at]))]  # lexsort is stable
-        order[at], value[at] = order[dealt], value[dealt]
-        new = np.zeros(m, bool)
-        new[1:] = together[1:] & (value[1:] != value[:-1])
-        k = np.flatnonzero(new)
-        if turn < 0:
-            lcp[k] = -1
-        elif turn < blocks.shape[1]:
-            x = value[k] ^ value[k - 1]
-            same = np.zeros(len(k), np.int64)
-            for byte in range(7, 0, -1):
-                same += (x >> np.uint64(8 * byte)) == 0
-            lcp[k] = 8 * turn + same
-        else:
-            lcp[k] = 8 * blocks.shape[1]
-    lcp[lcp == -2] = 8 * blocks.shape[1]
-    short = np.minimum(lengths[order][1:], lengths[order][:-1])
-    lcp[1:] = np.where(lcp[1:] < 0, -1, np.minimum(lcp[1:], short))
-    return order, lcp
-
-
-def repeated_reach(keys: np.ndarray, left: list[bytes], right: list[bytes], times: np.ndarray, lo: np.ndarray, hi: np.ndarray, span: int = SPAN, gram: int = GRAM, shard_rows: int = SHARD_ROWS) -> tuple[np.ndarray, np.ndarray]:
+        read = symbols[place]
+        live = np.flatnonzero(read)
+        live = live[_dealt(read[live])]
+        fresh = np.zeros(len(mix), bool)
+        fresh[[0, len(ends)][: 1 + (len(live) > 0)]] = True
+        x, g = read[live], group[live]
+        fresh[len(ends) + 1 :] = (x[1:] != x[:-1]) | (g[1:] != g[:-1])
+        dealt = np.concatenate([ends, mix[live]])
+        if turn and (dealt == mix).all() and (fresh == new).all():
+            groups += groups[-1:] * (turns - turn)  # settled: what is together now is equal
+            break
+        mix, new = dealt, fresh
+    order = whole[place[at]]
+    shared = np.zeros(len(order), np.int64)
+    for g in groups:
+        shared[1:] += g[order[1:]] == g[order[:-1]]
+    return order, shared
+
+
+def merged_order(strings: list[bytes], shard_rows: int = SHARD_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the strings and the bytes that each shares with the one before it (-1 for the first)."""
+    symbols, words, lengths = symbols_of(strings)
+    order, shared = merge([transform(symbols[a : a + shard_rows]) for a in range(0, len(strings), shard_rows)], symbols.shape[1])
+    at = np.minimum(shared[1:], symbols.shape[1] - 1)
+    differ = (words[order[1:], at] ^ words[order[:-1], at]).astype(">u8").view(np.uint8) != 0
+    same = np.where(differ.any(axis=1), np.minimum(differ.argmax(axis=1), BLOCK), BLOCK)
+    common = np.where(shared[1:] < symbols.shape[1], BLOCK * shared[1:] + same, BLOCK * symbols.shape[1])
+    return order, np.concatenate([[-1], np.minimum(common, np.minimum(lengths[order[1:]], lengths[order[:-1]]))])
+
+
+def repeated_reach(left: list[bytes], right: list[bytes], times: np.ndarray, lo: np.ndarray, hi: np.ndarray, span: int = SPAN, shard_rows: int = SHARD_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """Least and greatest offset (-1: none) at which a window around each context's anchor occurs again.
 
     ``left`` is read backwards from the anchor. Only offsets in [lo, hi] of a row count. All windows of an anchor hold
     the anchor, so what they cover together reaches from the greatest offset before it to the least one's end.
     """
-    m = len(keys)
-    out = []
-    for strings, width in ((right, span), (left, span - gram)):
-        blocks, lengths = blocks_of(strings, width)
-        parts = [shard_order(keys, blocks, lengths, np.arange(a, min(a + shard_rows, m))) for a in range(0, m, shard_rows)]
-        out += [*merge_shards(parts, keys, blocks, lengths), lengths]
-    order_r, lcp_r, len_r, order_l, lcp_l, len_l = out
+    m = len(left)
+    (order_r, lcp_r), (order_l, lcp_l) = (merged_order(x, shard_rows) for x in (right, left))
     least, most = np.full(m, -1, np.int64), np.full(m, -1, np.int64)
     best = lambda order, lcp: np.maximum(lcp, np.concatenate([lcp[1:], [-1]]))[np.argsort(order)]
     alive = (best(order_r, lcp_r) + best(order_l, lcp_l) >= span) | (times > 1)
     if not alive.any():
         return least, most
+    in_r, in_l = np.empty(m, np.int64), np.empty(m, np.int64)
     for o in range(int(lo[alive].min()), int(hi[alive].max()) + 1):
-        in_r, in_l = np.empty(m, np.int64), np.empty(m, np.int64)
-        in_r[order_r] = np.cumsum(lcp_r < span - o)
-        in_l[order_l] = np.cumsum(lcp_l < o)
-        on = np.flatnonzero(alive & (lo <= o) & (o <= hi) & (len_l >= o) & (len_r >= span - o))
+        on = np.flatnonzero(alive & (lo <= o) & (o <= hi))
         if not len(on):
             continue
+        in_r[order_r] = np.cumsum(lcp_r < span - o)
+        in_l[order_l] = np.cumsum(lcp_l < o)
         both = in_r[on] * (m + 1) + in_l[on]
         s = np.argsort(both, kind="stable")
         eq = both[s[1:]] == both[s[:-1]]
@@ -190,9 +253,9 @@ def repeated_reach(keys: np.ndarray, left: list[bytes], right: list[bytes], time
 # ---------------------------------------------------------------- Spark
 
 
-#: Distinct contexts of one anchor above which they are split by the bytes that all windows of an offset range share.
-HOT_CONTEXTS = 20_000
-#: Offset ranges of the split.
+#: Distinct contexts that meet in one task at most; more under one key are split by ranges of offsets.
+HOT_CONTEXTS = 2048
+#: Ranges into which a range of offsets is split.
 RANGES = 8
 
 
@@ -206,14 +269,14 @@ def _anchor_rows(rows: DataFrame, span: int, gram: int) -> DataFrame:
         for batch in batches:
             data, offsets = text_buffer(batch.column(2))
             for a, b in chunks(offsets, 1 << 20):
-                row, at, h = anchors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], span, gram)
+                row, at, lo, hi, h = anchors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], span, gram)
                 take = pa.array(row + a)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(at, pa.int32()), pa.array(h.view(np.int64))], ["doc_id", "th", "pos", "h"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), *(pa.array(x, pa.int32()) for x in (at, lo, hi)), pa.array(h.view(np.int64))], ["doc_id", "th", "pos", "lo", "hi", "h"])
 
-    return rows.mapInArrow(run, "doc_id long, th long, pos int, h long")
+    return rows.mapInArrow(run, "doc_id long, th long, pos int, lo int, hi int, h long")
 
 
-def _context_rows(rows: DataFrame, span: int, gram: int) -> DataFrame:
+def _context_rows(rows: DataFrame, span: int) -> DataFrame:
     """(doc_id, th, ctx, h, left, right, places): each distinct context of a document once, left read backwards.
 
     A periodic text has an anchor in every period, so positions stay in numpy arrays and rows leave in small batches.
@@ -226,12 +289,12 @@ def _context_rows(rows: DataFrame, span: int, gram: int) -> DataFrame:
                 out = {k: [] for k in ("doc", "ctx", "h", "left", "right", "places")}
                 lists = batch.column(3)
                 ends = np.asarray(lists.offsets)
-                pos, h = (np.asarray(lists.values.field(c)) for c in ("pos", "h"))
+                pos, lo, hi, h = (np.asarray(lists.values.field(c)) for c in ("pos", "lo", "hi", "h"))
                 for k in range(batch.num_rows):
                     raw, seen = batch.column(2)[k].as_py().encode(), {}
                     for x in range(ends[k], ends[k + 1]):
                         p = int(pos[x])
-                        both = raw[max(0, p - span + gram) : p], raw[p : p + span]
+                        both = raw[p - hi[x] : p], raw[p : p - lo[x] + span]
                         seen.setdefault(both, (int(h[x]), []))[1].append(p)
                     for (left, right), (anchor, places) in seen.items():
                         out["doc"].append(k)
@@ -250,31 +313,50 @@ def _context_rows(rows: DataFrame, span: int, gram: int) -> DataFrame:
 
 
 def _reaches(contexts: DataFrame, span: int, gram: int, hot: int, shard_rows: int) -> DataFrame:
-    """(ctx, least, most) of each distinct context that holds a repeated window."""
-    counts = contexts.groupBy("h").agg(F.count("*").alias("n"))
-    many = counts.where(F.col("n") > hot).select("h", F.lit(True).alias("hot"))
-    last = span - gram
-    step = -(-(last + 1) // RANGES)
-    # An anchor with very many contexts is split: all windows of an offset range [a, b] share a bytes before it and
-    # span - b behind, so equal windows meet under the hash of those bytes.
-    splits = F.array(*(F.struct(F.lit(k * step).alias("a"), F.lit(min(last, (k + 1) * step - 1)).alias("b")) for k in range(RANGES) if k * step <= last))
-    whole = F.array(F.struct(F.lit(0).alias("a"), F.lit(last).alias("b")))
-    # At most one such anchor for each ``hot`` contexts, so the list is small next to any task's rows.
-    rows = contexts.join(F.broadcast(many), "h", "left").withColumn("r", F.explode(F.when(F.col("hot"), splits).otherwise(whole)))
-    shared = F.xxhash64("h", "r.a", F.col("left").substr(F.lit(1), F.col("r.a")), F.col("right").substr(F.lit(1), F.lit(span) - F.col("r.b")))
-    rows = rows.withColumn("key", F.when(F.col("hot"), shared).otherwise(F.col("h")))
+    """(ctx, least, most) of each distinct context that holds a repeated window.
+
+    Contexts meet under their anchor. All windows at offsets a to b share a bytes before the anchor and span - b bytes
+    from it on, so where a key has more than ``hot`` contexts, its range of offsets is split and equal windows meet
+    under the hash of what the windows of a smaller range share; and again, until few contexts are left or one offset,
+    at which equal keys are equal windows. So no task sees more than ``hot`` contexts of a key, however many share it.
+    """
+    bits = lambda a, b: F.xxhash64("h", a, F.col("left").substr(F.lit(1), a), F.col("right").substr(F.lit(1), F.lit(span) - b))
+    # Offsets of a context: up to the bytes on its left, from what the bytes on its right leave.
+    rows = contexts.select(F.col("h").alias("key"), "h", "ctx", "left", "right", "times", (F.lit(span) - F.octet_length("right")).alias("lo"), F.octet_length("left").alias("hi"))
+    total, width, parts, decided = contexts.count(), span - gram + 1, [], None
+    while True:
+        # Keys over the bound are at most one for each ``hot`` contexts; Spark broadcasts them if they are small.
+        many = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot), "hot-keys")
+        extra = many.agg(F.sum("n")).first()[0]
+        if not extra:
+            parts.append(rows)
+            break
+        parts.append(rows.join(many, "key", "left_anti"))
+        rows = rows.join(many.select("key"), "key", "left_semi")
+        if width == 1:
+            decided = rows.select("ctx", F.col("lo").alias("least"), F.col("hi").alias("most"))
+            break
+        width = -(-width // RANGES)
+        total += extra * RANGES
+        split = rows.withColumn("k", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width)))).withColumn("a", (F.col("k") * width).cast("int")).withColumn("b", (F.col("k") * width + width - 1).cast("int"))
+        split = split.withColumn("key", bits(F.col("a"), F.least("b", F.lit(span - gram)))).withColumn("lo", F.greatest("lo", "a")).withColumn("hi", F.least("hi", "b"))
+        rows = stored(split.drop("k", "a", "b"), "split-contexts")
     spark = contexts.sparkSession
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), contexts.count() // 4096)
-    rows = rows.select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"), "key", "ctx", "left", "right", "times", F.col("r.a").alias("a"), F.col("r.b").alias("b"))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_ROWS)
+    for k, part in enumerate(parts):
+        parts[k] = part.select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"), "ctx", "left", "right", "times", "lo", "hi")
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
 
     def run(table):
-        keys = table.column("key").to_numpy().view(np.uint64)
-        cols = {c: table.column(c).to_numpy() for c in ("times", "a", "b")}
-        least, most = repeated_reach(keys, table.column("left").to_pylist(), table.column("right").to_pylist(), cols["times"], cols["a"].astype(np.int64), cols["b"].astype(np.int64), span, gram, shard_rows)
+        cols = [table.column(c).to_numpy().astype(np.int64) for c in ("times", "lo", "hi")]
+        least, most = repeated_reach(table.column("left").to_pylist(), table.column("right").to_pylist(), *cols, span, shard_rows)
         hit = np.flatnonzero(most >= 0)
         return pa.table({"ctx": table.column("ctx").take(pa.array(hit)).cast(pa.binary()), "least": pa.array(least[hit], pa.int32()), "most": pa.array(most[hit], pa.int32())})
 
-    return rows.groupBy("bucket").applyInArrow(run, "ctx binary, least int, most int")
+    found = rows.groupBy("bucket").applyInArrow(run, "ctx binary, least int, most int")
+    return found if decided is None else found.unionByName(decided)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, gram: int = GRAM, hot: int = HOT_CONTEXTS, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -282,15 +364,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = _read(docs, id_col, text_col)
     same = lambda x: F.col("__d").eqNullSafe(F.col(f"{x}.doc_id")) & (F.col("__t") == F.col(f"{x}.th"))  # noqa: E731  null ids are a value like any other
     found = stored(_anchor_rows(rows.where(F.octet_length("text") >= span), span, gram), "anchors")
-    often = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    places = found.join(often, "h").groupBy("doc_id", "th").agg(F.collect_set(F.struct("pos", "h")).alias("found"))
+    # Tables of their own on the small side let Spark split a hot key of the large side.
+    often = stored(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "frequent-anchors")
+    places = found.join(often, "h").groupBy("doc_id", "th").agg(F.collect_set(F.struct("pos", "lo", "hi", "h")).alias("found"))
     keyed = rows.withColumnsRenamed({"doc_id": "__d", "th": "__t"})
     both = keyed.join(places.alias("p"), same("p")).select("doc_id", "th", "text", "found")
-    held = stored(_context_rows(both, span, gram), "contexts")
+    held = stored(_context_rows(both, span), "contexts")
     # Rows that repeat one id and text are rows of their own here, so their windows count as often as they occur.
     weight = F.sum(F.size("places")).alias("times")
     distinct = stored(held.groupBy("ctx").agg(F.first("h").alias("h"), F.first("left").alias("left"), F.first("right").alias("right"), weight), "distinct-contexts")
-    reach = _reaches(distinct, span, gram, hot, shard_rows).groupBy("ctx").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    reach = stored(_reaches(distinct, span, gram, hot, shard_rows).groupBy("ctx").agg(F.min("least").alias("least"), F.max("most").alias("most")), "reaches")
     hit = held.select("doc_id", "th", "ctx", "places").distinct().join(reach, "ctx")
     spans = F.transform("places", lambda p: F.struct((p - F.col("most")).alias("start"), (p - F.col("least") + span).alias("end")))
     return hit.groupBy("doc_id", "th").agg(F.flatten(F.collect_list(spans)).alias("spans"))
@@ -309,7 +392,9 @@ def _kept(raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[bytes, int, i
 def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row.
 
-    Null and empty texts have 0 bytes and the hash of nothing. Rows that repeat a text make all its windows occur again.
+    Null and empty texts have 0 bytes and the hash of nothing. Rows that repeat a text make all its windows occur again,
+    whether they repeat the id too or have none. Very long texts are read in whole; of a periodic one every distinct
+    context is kept once. An empty table gives an empty result. Other columns of ``docs`` are not read.
     """
     rows = _read(docs, id_col, text_col)
     spans = repeated_spans(docs, id_col, text_col, **how).withColumnRenamed("doc_id", "__d").withColumnRenamed("th", "__t")

@@ -10,11 +10,20 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.accumulators import AccumulatorParam
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+class Largest(AccumulatorParam):
+    def zero(self, value):
+        return [0]
+
+    def addInPlace(self, a, b):
+        return [max(a[0], b[0])]
+
+
 def odd(spark, extra: str = ""):
     """Nulls, empty and blank texts, repeated rows, a long text, and columns with names that operators use inside."""
     long = " ".join(f"w{k % 977}x{k}" for k in range(20_000))
@@ -140,24 +149,72 @@ def test_repeats_match_brute_force(spark):
         rows.append((d if d % 19 else None, t if d % 17 else None))
     rows += [(3, rows[3][1]), (5, "zz" * 60)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    for hot in (20_000, 2):  # the second: split anchors and several shards to merge
+    for hot in (20_000, 2, 1):  # the others: anchors split down to single offsets
         got = sorted((tuple(r) for r in removal_digest(df, span=48, gram=16, hot=hot, shard_rows=7).collect()), key=str)
         assert got == brute_repeats(rows, 48)
 
 
-def test_merge_of_shards_is_the_sorted_order():
-    from gleanery.llm.repeats import blocks_of, merge_shards, shard_order
+def test_hot_passages_are_split_to_a_bound(spark, monkeypatch):
+    """A passage that hundreds of documents share, shorter and longer than a window: no task sees more contexts than the bound."""
+    from gleanery.llm import repeats as R
+
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    short, long = noise(396), noise(450)
+    rows = [(d, noise(rng.randint(300, 900)) + (short if d % 2 else long) + noise(rng.randint(300, 900))) for d in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = spark.sparkContext.accumulator([0], Largest())
+    inner = R.repeated_reach
+
+    def counted(left, right, times, lo, hi, span, shard_rows):
+        for o in range(int(lo.min()), int(hi.max()) + 1, 7):  # contexts with one window at this offset
+            same = collections.Counter((a[:o], b[: span - o]) for a, b, c, d in zip(left, right, lo, hi, strict=True) if c <= o <= d)
+            seen.add([max(same.values(), default=0)])
+        return inner(left, right, times, lo, hi, span, shard_rows)
+
+    monkeypatch.setattr(R, "repeated_reach", counted)
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in R.removal_digest(df, hot=20).collect()}
+    want = {r[0]: (r[2], r[3]) for r in brute_repeats(rows, 400)}
+    assert got == want and sum(n for n, _ in got.values()) >= 150 * 450 and 0 < seen.value[0] <= 20
+
+
+def test_merge_of_transforms_is_the_sorted_order():
+    from gleanery.llm.repeats import merge, merged_order, symbols_of, transform
 
     rng = random.Random(1)
-    s = [bytes(rng.choice(b"ab\0") for _ in range(rng.randint(0, 20))) for _ in range(200)]
-    keys = np.array([rng.randrange(3) for _ in s], np.uint64)
-    blocks, lengths = blocks_of(s, 20)
-    order, lcp = merge_shards([shard_order(keys, blocks, lengths, np.arange(a, min(a + 30, 200))) for a in range(0, 200, 30)], keys, blocks, lengths)
-    assert [(keys[k], s[k]) for k in order] == sorted(zip(keys.tolist(), s, strict=True))
-    for k in range(1, 200):
-        x, y = s[order[k - 1]], s[order[k]]
-        want = next((i for i in range(min(len(x), len(y))) if x[i] != y[i]), min(len(x), len(y)))
-        assert lcp[k] == (want if keys[order[k]] == keys[order[k - 1]] else -1)
+    for most, wide in ((20, 20), (200, 3), (3, 400)):
+        s = [bytes(rng.choice(b"ab\0") for _ in range(rng.randint(0, wide))) + b"c" * rng.randint(0, 200) for _ in range(most)]
+        s += [rng.choice(s)[: rng.randint(0, 500)] for _ in range(most)]
+        for shard in (1000, 30, 1):
+            order, lcp = merged_order(s, shard)
+            assert [s[k] for k in order] == sorted(s) and lcp[0] == -1
+            for k in range(1, len(s)):
+                x, y = s[order[k - 1]], s[order[k]]
+                assert lcp[k] == next((i for i in range(min(len(x), len(y))) if x[i] != y[i]), min(len(x), len(y)))
+    # A transform tells the text: the symbols of a shard are those of its strings.
+    symbols, _, _ = symbols_of(s)
+    shards = [transform(symbols[a : a + 3]) for a in range(0, len(s), 3)]
+    assert sorted(np.concatenate([t for t, _ in shards]).tolist()) == sorted([*symbols[symbols > 0].tolist(), *[0] * len(s)])
+    # The merge reads the shards in their order: with the places of one shard out of order it goes wrong.
+    right = [s[k] for k in merge(shards, symbols.shape[1])[0]]
+    text, whole = shards[0]
+    shards[0] = text[::-1].copy(), whole[::-1].copy()
+    assert right == sorted(s) and [s[k] for k in merge(shards, symbols.shape[1])[0]] != right
+
+
+def test_anchor_of_each_window():
+    from gleanery.llm.repeats import _gram_hashes, anchors
+
+    rng = random.Random(5)
+    texts = [bytes(rng.choice(b"ab") for _ in range(n)) for n in (0, 47, 48, 49, 300, 1000)] + [b"a" * 500, b"ab" * 300]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    found = {(r, p - o): p for r, p, lo, hi, _ in zip(*(x.tolist() for x in anchors(data, offsets, 48, 16)), strict=True) for o in range(lo, hi + 1)}
+    want = {}
+    for r, t in enumerate(texts):
+        for a in range(len(t) - 47):
+            h = _gram_hashes(np.frombuffer(t[a : a + 48], np.uint8), 16)
+            want[(r, a)] = a + int(h.argmin())
+    assert found == want
 
 
 def test_repeats_odd_rows(spark):
