@@ -18,10 +18,13 @@ CHUNK_BYTES = 1 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where the cluster names none (local tests) a new temporary folder is set.
+    A local session (tests) that names none gets a new temporary folder; on a cluster that would lose data, so it raises.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-gleanery-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", found)
         spark.sparkContext.setCheckpointDir(found)
@@ -40,6 +43,14 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def boxed(docs: DataFrame, **columns) -> DataFrame:
+    """The whole row as one struct ``row`` beside new columns: names of the user's columns can't clash with ours.
+
+    ``select("row.*")`` gives the table back as it was.
+    """
+    return docs.select(F.struct("*").alias("row"), *(c.alias(name) for name, c in columns.items()))
+
+
 # ---------------------------------------------------------------- text buffers
 
 

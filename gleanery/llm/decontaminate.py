@@ -77,6 +77,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that hold no benchmark passage, with their columns; rows without an id stay."""
-    bad = leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs[id_col] == F.col("__bad"), "left_anti")
+    """The documents that hold no benchmark passage, with their columns, whatever their names; rows without an id stay.
+
+    If an id stands on several rows and one of them holds a passage, all rows of the id go.
+    """
+    bad = leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("bad")).distinct()
+    return docs.join(bad, docs[id_col] == bad["bad"], "left_anti")

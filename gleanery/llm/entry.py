@@ -49,8 +49,10 @@ def op2_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sequences of several permitted lengths that hold all documents."""
-    return pack_documents(_docs(spark, sf_dir))
+    """Sequences of several permitted lengths that hold the ids of all documents."""
+    import public_tokenizers
+
+    return pack_documents(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op4_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

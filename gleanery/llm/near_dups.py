@@ -74,7 +74,7 @@ def _bands(registers: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(doc_id, n, f1, f2, bands, regs): set size, 128-bit fingerprint of the set, band keys, registers."""
+    """(doc_id, th, n, f1, f2, bands, regs): hash of the text, set size, 128-bit fingerprint of the set, band keys, registers."""
 
     def run(batches):
         for batch in batches:
@@ -89,13 +89,18 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
                 bands = _bands(regs)
                 lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32), pa.array(bands.ravel()))
                 raw = pa.array([r.tobytes() for r in regs], pa.binary())
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(n), pa.array(f1), pa.array(f2), lists, raw], ["doc_id", "n", "f1", "f2", "bands", "regs"])
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n), pa.array(f1), pa.array(f2), lists, raw], ["doc_id", "th", "n", "f1", "f2", "bands", "regs"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bands array<long>, regs binary")
+    return _texts(docs, id_col, text_col).where("doc_id is not null").mapInArrow(run, "doc_id long, th long, n long, f1 long, f2 long, bands array<long>, regs binary")
 
 
-def shingle_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(doc_id, shingles): the sorted full set of each document."""
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"))
+
+
+def shingle_table(rows: DataFrame, width: int) -> DataFrame:
+    """Of rows (rep, text): (rep, shingles), the sorted full set of each text."""
 
     def run(batches):
         for batch in batches:
@@ -106,7 +111,7 @@ def shingle_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> Da
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(ends, pa.array(flat))], ["rep", "shingles"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "rep long, shingles array<long>")
+    return rows.select("rep", "text").mapInArrow(run, "rep long, shingles array<long>")
 
 
 def _likely(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -187,24 +192,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents are linked when 100 * |A and B| >= percent * |A or B| for their sets of ``width``-word shingles.
     Null, empty and blank texts have an empty set: n_shingles 0, no link, kept. Rows without an id are left out. An id
-    that occurs on several rows is returned for each. Other columns of ``docs`` are not read and may have any name.
-    An empty table gives an empty result.
+    that occurs on several rows is returned for each row with the size of its own set; the links of all its texts are
+    the id's links. Very long texts are read whole. Other columns of ``docs`` are not read and may have any name. An
+    empty table gives an empty result.
     """
     threshold = percent / 100
     sk = stored(sketches(docs, id_col, text_col, width), "sketches")
-    classes = sk.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
-    member = stored(sk.select("doc_id", "n", "f1", "f2").join(classes, ["f1", "f2", "n"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
-    reps = sk.where("n > 0").join(classes.select(F.col("rep").alias("doc_id"), "f1", "f2"), ["doc_id", "f1", "f2"]).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "n", "regs", "bands")
-    reps = stored(reps, "reps")
+    # A class is one set of shingles; ``rep`` numbers it, the number is fixed once the table is written.
+    same = sk.where("n > 0").groupBy("f1", "f2", "n").agg(F.min(F.struct("doc_id", "th")).alias("own"), F.first("regs").alias("regs"), F.first("bands").alias("bands"))
+    classes = stored(same.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    # A table of its own on one side lets Spark split a class of very many documents on the other.
+    member = stored(sk.select("doc_id", "n", "f1", "f2").join(classes.select("f1", "f2", "n", "rep"), ["f1", "f2", "n"], "left").select("doc_id", "n", "rep"), "members")
+    reps = classes.select("rep", "n", "regs", "bands")
+    twice = member.where("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("doc_id", "a")
+    links = stored(member.join(twice, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "id-links")
     spread = reps.select("rep", F.explode("bands").alias("key"))
     full = spread.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("least")).where("size > 1")
     buckets = stored(spread.join(full, "key"), "buckets")
-    if not buckets.limit(1).count():
-        return member.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"), (F.col("rep") == F.col("doc_id")).alias("kept"))
+    if not buckets.limit(1).count() and not links.limit(1).count():
+        least = classes.select("rep", F.col("own.doc_id").alias("least"))
+        return _labelled_members(member, least)
     inside = buckets.select("rep").distinct()
     regs = stored(reps.select("rep", "n", "regs").join(inside, "rep"), "regs")
-    sets = stored(shingle_table(docs.select(id_col, text_col).join(inside.withColumnRenamed("rep", id_col), id_col).dropDuplicates([id_col]), id_col, text_col, width), "sets")
-    links, comps = None, None
+    wanted = classes.join(inside, "rep").select("rep", "own.doc_id", "own.th")
+    sets = stored(shingle_table(_texts(docs, id_col, text_col).join(wanted, ["doc_id", "th"]).dropDuplicates(["rep"]), width), "sets")
+    comps = connected_components(links) if links.limit(1).count() else None
 
     def attach(pairs: DataFrame) -> DataFrame:
         side = lambda x: regs.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
@@ -217,17 +229,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def add(found: DataFrame):
         nonlocal links, comps
-        links = stored(found if links is None else links.unionByName(found), "links")
+        links = stored(links.unionByName(found), "links")
         comps = connected_components(links)
 
-    open_rows = buckets.withColumn("comp", F.col("rep"))
+    open_rows = labelled(buckets)
     for round_ in range(HUB_ROUNDS):
         # A hub per bucket, another one each round; every class tries the one that it shares most buckets with.
         order = F.xxhash64("rep", F.lit(round_)) if round_ else F.col("rep")
         hubs = open_rows.groupBy("key").agg(F.min_by(F.struct("rep", "comp"), order).alias("hub"))
         pairs = open_rows.join(hubs, "key").where("comp <> hub.comp").select(F.col("rep").alias("a"), F.col("hub.rep").alias("b"))
         pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).groupBy("a").agg(F.max_by("b", F.struct("shared", F.xxhash64("b"))).alias("b"))
-        before = 0 if links is None else links.count()
+        before = links.count()
         add(_confirmed(attach(pairs), sets, percent))
         mixed = labelled(buckets)
         spans = mixed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
@@ -241,15 +253,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # First which rows have a likely partner, on registers alone; only those bring their sets.
         likely = stored(_in_blocks(rows.join(regs, "rep"), threshold, percent, exact=False), "likely")
         add(stored(_in_blocks(likely.join(regs, "rep").join(sets, "rep"), threshold, percent, exact=True), "block-links"))
-    out = member.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    comp = F.coalesce("component", "rep")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), (comp == F.col("doc_id")).alias("kept"))
+    own = classes.select("rep", "own.doc_id").join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    least = stored(own.groupBy("component").agg(F.min("doc_id").alias("least")), "least-ids")
+    return _labelled_members(member, stored(own.join(least, "component").select("rep", "least"), "class-labels"))
+
+
+def _labelled_members(member: DataFrame, least: DataFrame) -> DataFrame:
+    out = member.join(least, "rep", "left").withColumn("component_id", F.coalesce("least", "doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("component_id") == F.col("doc_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5) -> DataFrame:
     """The documents that represent their group: one of each, and every document that is alike to none.
 
-    All columns are kept. Rows without an id stay as they are; of several rows with one kept id each stays.
+    All columns are kept, whatever their names. Rows without an id stay as they are; of several rows with one kept id
+    each stays.
     """
-    gone = near_duplicates(docs, id_col, text_col, percent, width).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == F.col("__gone"), "left_anti")
+    gone = near_duplicates(docs, id_col, text_col, percent, width).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs[id_col].cast("long") == gone["gone"], "left_anti")

@@ -10,10 +10,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import chunks
+from .token_files import encoder
+
 #: Permitted sequence lengths in tokens, and what a sequence costs besides its length.
 SIZES = (256, 512, 1024, 2048)
 OVERHEAD = 32
@@ -84,20 +88,31 @@ def pack(lengths: np.ndarray, sizes: tuple[int, ...] = SIZES, overhead: int = OV
     return *(np.array(x, np.int64) for x in (text, piece, bin_, start, length)), final
 
 
-def word_tokens(text: Column) -> Column:
-    """Words and one end mark: the length used where no tokenizer's count is at hand."""
-    return (F.coalesce(F.regexp_count(text.cast("string"), F.lit(r"\S+")), F.lit(0)) + 1).cast("long")
-
-
-def pack_documents(docs: DataFrame, length: Column | None = None, id_col: str = "doc_id", text_col: str = "text", sizes: tuple[int, ...] = SIZES, overhead: int = OVERHEAD, block_docs: int = BLOCK_DOCS) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, length: Column | None = None, id_col: str = "doc_id", text_col: str = "text", sizes: tuple[int, ...] = SIZES, overhead: int = OVERHEAD, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """(doc_id, piece, bin_id, bin_size, start, length): where each piece of each document lies.
 
-    ``length``: tokens of a row (default: words and an end mark); null or under 1 counts as 1, so empty texts are packed
-    too. Each row is packed, also rows that repeat an id and rows without one. Only ids and lengths leave the scan; every
-    task packs its own rows, so nothing is shuffled and a lost task is simply done again. An empty table gives no rows.
+    Lengths are the ids that ``tokenizer`` (a file of the tokenizers library) gives a text, with one end mark; or the
+    column ``length``; without either, words and an end mark. A length that is null or under 1 counts as 1, so null and
+    empty texts are packed too; a text over the greatest size is cut into full bins and a rest. Each row is packed, also
+    rows that repeat an id and rows without one; equal lengths go in the order of rows. Other columns are not read. Only
+    ids and lengths leave a batch; every task packs its own rows, so nothing is shuffled and a lost task is simply done
+    again. An empty table gives no rows.
     """
-    n = length if length is not None else word_tokens(F.col(text_col))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.greatest(F.coalesce(n, F.lit(1)).cast("long"), F.lit(1)).alias("n"))
+    if tokenizer is not None:
+        n = F.col(text_col).cast("string")
+    else:
+        words = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(r"\S+")), F.lit(0)) + 1
+        n = F.greatest(F.coalesce(words if length is None else length, F.lit(1)).cast("long"), F.lit(1))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), n.alias("n"))
+
+    def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if tokenizer is None:
+            return batch
+        size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+        enc, found = encoder(tokenizer), [np.zeros(0, np.int64)]
+        for a, b in chunks(np.concatenate([[0], np.cumsum(size)])):
+            found.append(enc.lengths([t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]) + 1)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(found))], ["doc_id", "n"])
 
     def flush(ids: list[pa.Array], counts: list[np.ndarray], first: int):
         id_array = pa.concat_arrays(ids)
@@ -108,7 +123,7 @@ def pack_documents(docs: DataFrame, length: Column | None = None, id_col: str =
     def run(batches):
         base, made = TaskContext.get().partitionId() << 33, 0
         ids, counts, held = [], [], 0
-        for batch in batches:
+        for batch in map(counted, batches):
             for a in range(0, batch.num_rows, block_docs):
                 part = batch.slice(a, block_docs)
                 if held and held + part.num_rows > block_docs:

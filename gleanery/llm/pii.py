@@ -1,7 +1,8 @@
 """Personal data: fixed base kinds, and identifiers that corpus-wide bootstrapping finds by their contexts.
 
-Seeds are the base spans (mail addresses, IPv4 addresses, card and phone numbers). Every seed and every other token
-that looks like an identifier is a mention with lexical patterns: the words beside it and the key glued to it. Spark
+Seeds are the base spans (mail addresses, IPv4 addresses, card and phone numbers) and what stands in a seed pattern (a
+label such as ``password=``, or a published format of keys). Every seed and every other token that looks like an
+identifier is a mention with lexical patterns: the words beside it, the key glued to it, its label, its format. Spark
 scores the graph of patterns and instances in turns: a pattern by the mean score of its distinct instances, an instance
 by the chance that one of its patterns is right. Mentions that patterns of high score vouch for become ``found`` spans.
 """
@@ -15,13 +16,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import boxed, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: A pattern counts with at least so many distinct instances, and is accepted from this score on.
 MIN_SUPPORT, ACCEPT, TURNS = 5, 0.8, 3
 MIN_CHARS, MIN_DIGITS = 8, 3
 
+# Words of labels that name a secret, and published formats of keys.
+SECRET_WORDS = ("password", "passwd", "pwd", "passphrase", "secret", "token", "api_key", "api-key", "apikey", "access_key", "access-key", "accesskey", "private_key", "credential")
+KEY_FORMATS = {
+    "aws": r"A(?:KIA|SIA)[0-9A-Z]{16}",
+    "github": r"gh[pousr]_[A-Za-z0-9]{36,}",
+    "slack": r"xox[abprs]-[A-Za-z0-9-]{10,}",
+    "google": r"AIza[0-9A-Za-z_-]{35}",
+    "stripe": r"[srp]k_(?:live|test)_[0-9A-Za-z]{16,}",
+    "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+}
+#: Score of a seed pattern, whatever its support.
+SEED_PATTERN = 0.95
+_SEED_PATTERN = "^(F .*|[KL] .*(" + "|".join(SECRET_WORDS) + ")[a-z_-]*[\"')\\]]* ?[:=]+[\"'(\\[]*)$"
+_FORMATS = [(name, re.compile(form)) for name, form in KEY_FORMATS.items()]
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # Dotted digits can only start where a run of digits starts; the look-behind keeps long runs linear.
@@ -30,7 +46,7 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
-_TRIM = "\"'`()[]{}<>,.;:!?|"
+_TRIM = "\"'`()[]{}<>,.;:!?|*#%&"
 
 
 def _luhn(digits: str) -> bool:
@@ -72,7 +88,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def _near(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns of a mention: glued key, label with a colon, two words before, words on both sides.
+    """Lexical patterns of a mention: glued key, label with a colon, two words before, words on both sides, format.
 
     A single common word says nothing about what follows it, so it's no pattern.
     """
@@ -83,12 +99,14 @@ def _near(text: str, start: int, end: int) -> list[str]:
     nxt = behind.split()[:1]
     patterns = ["K " + key] if re.search(r"[^\W\d]", key) else []
     if words and words[-1][-1] in ":=#":
-        patterns.append("L " + words[-1])
+        # A sign that stands alone belongs to the word before it.
+        patterns.append("L " + (" ".join(words) if len(words[-1]) == 1 else words[-1]))
     if len(words) == 2:
         patterns.append("LL " + " ".join(words) + " " + key)
     if words and nxt:
         patterns.append("LR " + words[-1] + " " + key + " " + nxt[0].lower()[:40])
-    return [p for p in patterns if not _DIGITS.search(p)]
+    patterns = [p for p in patterns if not _DIGITS.search(p)]
+    return patterns + ["F " + name for name, form in _FORMATS if form.fullmatch(text, start, end)]
 
 
 def mentions(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str, bool, list[str]]]:
@@ -108,6 +126,8 @@ def mentions(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int
             a = cut + 1
         while a < b and text[a] in _TRIM:
             a += 1
+        if a and text[a - 1] in "\"'`" and (end := text.find(text[a - 1], a, b)) >= 0:
+            b = end
         while b > a and text[b - 1] in _TRIM:
             b -= 1
         token = text[a:b]
@@ -120,7 +140,7 @@ SPAN = "array<struct<start:bigint,end:bigint,kind:string>>"
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base, seen): base spans and mentions of every whole text."""
+    """(doc_id, th, n_email, n_ip, n_card, n_phone, base, seen): hash of the text, base spans and mentions of every whole text."""
 
     def run(batches):
         for batch in batches:
@@ -136,10 +156,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 )
             got = pa.Table.from_pylist(rows, schema=_SCAN).combine_chunks().to_batches()
             for part in got:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *part.columns], ["doc_id", *part.schema.names])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *part.columns], ["doc_id", "th", *part.schema.names])
 
-    schema = f"doc_id long, n_email long, n_ip long, n_card long, n_phone long, base {SPAN}, seen array<struct<start:bigint,end:bigint,instance:string,seed:boolean,patterns:array<string>>>"
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    schema = f"doc_id {docs.select(id_col).schema[0].dataType.simpleString()}, th long, n_email long, n_ip long, n_card long, n_phone long, base {SPAN}, seen array<struct<start:bigint,end:bigint,instance:string,seed:boolean,patterns:array<string>>>"
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th")).mapInArrow(run, schema)
 
 
 _SEEN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("instance", pa.string()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.string()))])
@@ -159,33 +180,40 @@ def pattern_scores(scanned: DataFrame, turns: int = TURNS, min_support: int = MI
     for _ in range(turns):
         rated = edges.select("instance", "pattern").join(score.select("instance", "score"), "instance")
         # One instance of doubt is added to each pattern, so a few seeds alone never make it certain.
-        patterns = rated.groupBy("pattern").agg(F.count("*").alias("n"), F.sum("score").alias("s")).where(F.col("n") >= min_support).select("pattern", (F.col("s") / (F.col("n") + 1)).alias("rate"))
-        patterns = stored(patterns, "pii-patterns")
+        rate = F.col("s") / (F.col("n") + 1)
+        seed = F.col("pattern").rlike(_SEED_PATTERN)
+        patterns = rated.groupBy("pattern").agg(F.count("*").alias("n"), F.sum("score").alias("s")).where(seed | (F.col("n") >= min_support))
+        patterns = stored(patterns.select("pattern", F.when(seed, F.greatest(rate, F.lit(SEED_PATTERN))).otherwise(rate).alias("rate")), "pii-patterns")
         vouched = edges.select("instance", "pattern").join(patterns, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log1p(-F.least(F.lit(0.999), F.col("rate")) * 0.9)))).alias("v"))
         score = stored(score.select("instance", "seed").join(vouched, "instance", "left").select("instance", "seed", F.greatest("seed", F.coalesce("v", F.lit(0.0)) * 0.95).alias("score")), "pii-instances")
     return patterns.withColumnRenamed("rate", "score")
 
 
 def discovered(scanned: DataFrame, patterns: DataFrame, accept: float = ACCEPT) -> DataFrame:
-    """(doc_id, found): spans of mentions that are no seeds and stand in a context of an accepted pattern."""
-    m = scanned.select("doc_id", F.explode("seen").alias("m")).where("not m.seed").select("doc_id", "m.start", "m.end", F.explode("m.patterns").alias("pattern"))
-    hit = m.join(patterns.where(F.col("score") >= accept).select("pattern"), "pattern").select("doc_id", "start", "end").distinct()
-    # Spans of one document only; their number is bounded by its length.
-    return hit.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", F.lit("found").alias("kind")))).alias("found"))
+    """(doc_id, th, found): spans of mentions that are no base spans and stand in a context of an accepted pattern."""
+    m = scanned.select("doc_id", "th", F.explode("seen").alias("m")).where("not m.seed").select("doc_id", "th", "m.start", "m.end", F.explode("m.patterns").alias("pattern"))
+    hit = m.join(patterns.where(F.col("score") >= accept).select("pattern"), "pattern").select("doc_id", "th", "start", "end").distinct()
+    # Spans of one text only; their number is bounded by its length.
+    return hit.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list(F.struct("start", "end", F.lit("found").alias("kind")))).alias("found"))
+
+
+def _with_found(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Adds ``found`` to rows (doc_id, th, ...), by id and text; null ids are a value like any other."""
+    found = found.withColumnsRenamed({"doc_id": "__doc", "th": "__text"})
+    both = rows.join(found, rows["doc_id"].eqNullSafe(found["__doc"]) & rows["th"].eqNullSafe(found["__text"]), "left").drop("__doc", "__text")
+    return both.withColumn("found", F.coalesce("found", F.array().cast(SPAN)))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base, found): spans in code points, end exclusive.
+    """(doc_id, th, n_email, n_ip, n_card, n_phone, base, found): spans in code points, end exclusive.
 
-    Null and empty texts have no span. An id on several rows gives a row for each, each with the found spans that fit
-    its own mentions. An empty table gives an empty result. Other columns of ``docs`` are not read.
+    Null and empty texts have no span; very long ones are read whole. Each row gets the spans of its own text, also rows
+    that repeat an id or have none (``th`` is the text's hash). Spans that start together stand in the order of kinds. An
+    empty table gives an empty result. Other columns of ``docs`` are not read.
     """
     scanned = stored(scan(docs, id_col, text_col), "pii-scan")
     found = discovered(scanned, pattern_scores(scanned))
-    both = scanned.join(found, "doc_id", "left")
-    own = F.transform("seen", lambda m: F.struct(m["start"], m["end"]))
-    fits = F.filter(F.coalesce("found", F.array().cast(SPAN)), lambda x: F.array_contains(own, F.struct(x["start"], x["end"])))
-    return both.select("doc_id", *(f"n_{k}" for k in KINDS), "base", fits.alias("found"))
+    return _with_found(scanned, found).select("doc_id", "th", *(f"n_{k}" for k in KINDS), "base", "found")
 
 
 def _joined(spans):
@@ -193,20 +221,22 @@ def _joined(spans):
 
 
 def pii_digest(docs: DataFrame) -> DataFrame:
-    """doc_id, counts of base kinds, base_sha256 and all spans as text."""
+    """doc_id, counts of base kinds, base_sha256, all spans as text, and how many were found and are there in all."""
     rows = find_pii(docs)
     rank = lambda s: F.struct(s["start"].alias("start"), F.array_position(F.array(*(F.lit(k) for k in (*KINDS, "found"))), s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))
     every = F.array_sort(F.transform(F.concat("base", "found"), rank))
-    return rows.select("doc_id", *(f"n_{k}" for k in KINDS), F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"), _joined(every).alias("spans"))
+    return rows.select("doc_id", *(f"n_{k}" for k in KINDS), F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"), _joined(every).alias("spans"), F.size("found").cast("long").alias("n_found"), (F.size("base") + F.size("found")).cast("long").alias("n_spans"))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans become one, named by the first.
 
-    All rows and columns stay. A text without personal data is unchanged; a null text stays null. Rows without an id
-    lose their base spans.
+    All rows and columns stay, whatever their names. A text without personal data is unchanged; a null text stays null.
+    Each row is covered by the spans of its own text, also where an id stands on several rows or is missing.
     """
-    found = find_pii(docs, id_col, text_col).where(F.size("found") > 0).select(F.col("doc_id").alias("__id"), F.col("found").alias("__found")).dropDuplicates(["__id"])
+    text = F.col(text_col).cast("string")
+    rows = boxed(docs, doc_id=F.col(id_col), text=text, th=F.xxhash64(text))
+    found = find_pii(docs, id_col, text_col).where(F.size("found") > 0).groupBy("doc_id", "th").agg(F.first("found").alias("found"))
 
     @F.pandas_udf("string")
     def cover(texts, more):
@@ -218,7 +248,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 out.append(text)
                 continue
             base = base_spans(text)
-            spans = sorted([(a, b, k) for a, b, k in base] + ([(x["start"], x["end"], x["kind"]) for x in extra] if extra is not None else []))
+            spans = sorted([(a, b, k) for a, b, k in base] + [(x["start"], x["end"], x["kind"]) for x in extra])
             parts, at = [], 0
             for a, b, kind in spans:
                 if a >= at:
@@ -227,5 +257,5 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             out.append("".join(parts) + text[at:])
         return pd.Series(out, dtype=object)
 
-    joined = docs.join(found, docs[id_col] == F.col("__id"), "left")
-    return joined.withColumn(text_col, cover(F.col(text_col), F.col("__found"))).select(*docs.columns)
+    covered = _with_found(rows, found).select("row", cover("text", "found").alias("covered"))
+    return covered.select(*(F.col("covered").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, prefix_hash, span_hash, text_buffer
+from .common import _power, boxed, chunks, mix64, text_buffer
 
 BUCKETS = 1 << 17
 DIM = 10
@@ -29,41 +29,43 @@ THRESHOLD = 0.7
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(64 - BUCKETS.bit_length() + 1)
-#: Two marker words: one stands behind a word that repeats the word before it, the other behind any other word.
-_AGAIN, _FRESH = 0, 1
+#: Place values of the characters of an n-gram; odd numbers, so none is lost.
+_PLACE = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64)) for k in range(max(NGRAMS))]
 
 
 def _spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts with every kind of blank as one byte, and one blank before each text and after the last."""
+    """Characters of UTF-8 texts, every kind of blank as one, with one blank before each text and after the last."""
     n = len(offsets) - 1
-    out = np.full(len(data) + n + 1, 32, np.uint8)
-    place = np.arange(len(data)) + np.repeat(np.arange(1, n + 1), np.diff(offsets))
-    out[place] = np.where((data >= 9) & (data <= 13), 32, data)
-    return out, offsets + np.arange(n + 1)
+    letters = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    starts = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+    out = np.full(len(letters) + n + 1, 32, np.uint32)
+    place = np.arange(len(letters)) + np.repeat(np.arange(1, n + 1), np.diff(starts))
+    out[place] = np.where((letters >= 9) & (letters <= 13), 32, letters)
+    return out, starts + np.arange(n + 1)
 
 
 def features(data: np.ndarray, offsets: np.ndarray):
-    """For words, their marker words and each n-gram length: bucket, whether it counts, and first entry of each text (n+1 values).
+    """For words and each n-gram length: bucket, whether it counts, and first entry of each text (n+1 values).
 
-    N-grams of UTF-8 bytes; the first and last byte may be the blank around a word, inner ones may not.
+    N-grams of characters; the first and last may be the blank around a word, inner ones may not.
     """
     text, starts = _spaced(data, offsets)
+    wide = text.astype(np.uint64)
     blank = text == 32
     first = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
     last = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
-    whole = span_hash(prefix_hash(text), first, last)
-    order = np.searchsorted(first, starts)
-    sure = np.ones(len(first), bool)
-    yield (whole >> _SHIFT).astype(np.int32), sure, order
-    yield np.where(np.concatenate([[False], whole[1:] == whole[:-1]])[: len(whole)], _AGAIN, _FRESH).astype(np.int32), sure, order
-    wide = text.astype(np.uint64)
+    # A word's hash is a sum over its characters, each mixed with its place in the word.
+    total = np.zeros(len(wide) + 1, np.uint64)
+    np.cumsum(mix64(wide + np.uint64(1)) * _power("up", len(wide)), out=total[1:])
+    whole = mix64((total[last] - total[first]) * _power("down", len(wide) + 1)[first])
+    yield (whole >> _SHIFT).astype(np.int32), np.ones(len(first), bool), np.searchsorted(first, starts)
     inner = np.concatenate([[0], np.cumsum(blank)])
-    gram = wide[:-1] + (wide[1:] << np.uint64(8)) if len(wide) > 1 else wide[:0]
-    for n in range(3, max(NGRAMS) + 1):
+    gram = np.zeros(len(wide), np.uint64)
+    for n in range(1, max(NGRAMS) + 1):
         m = len(text) - n + 1
         if m <= 0:
             break
-        gram = gram[:m] + (wide[n - 1 :] << np.uint64(8 * (n - 1)))
+        gram = gram[:m] + wide[n - 1 :] * _PLACE[n - 1]
         if n in NGRAMS:
             ok = inner[n - 1 : n - 1 + m] == inner[1 : 1 + m]
             key = (gram + np.uint64(n)) * _MUL
@@ -162,15 +164,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with __score (0 to 1, higher: label 1 likelier) for every whole text.
+    """(row, score): each row of ``docs`` as a struct, and its score (0 to 1, higher: label 1 likelier) for the whole text.
 
-    Null and empty texts have the score of the bias alone. Without rows of both labels nothing can be learnt and every
-    score is 1.0. An empty table stays empty; ids on several rows are scored one by one.
+    Null and empty texts have the score of the bias alone; very long ones are averaged like any other. Without rows of
+    both labels nothing can be learnt and every score is 1.0. An empty table stays empty; ids on several rows are scored
+    one by one; a document with two labels counts as of quality 1. Columns of ``docs`` may have any name.
     """
     spark = docs.sparkSession
     model = train(docs, labels, id_col, text_col)
     if model is None:
-        return docs.withColumn("__score", F.lit(1.0))
+        return boxed(docs, score=F.lit(1.0))
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -182,18 +185,18 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
         return pd.Series(1 / (1 + np.exp(-z)))
 
-    return docs.withColumn("__score", score(F.col(text_col).cast("string")))
+    return boxed(docs, score=score(F.col(text_col).cast("string")))
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted (1 if score >= 0.7)."""
     rows = quality_scores(docs.select(id_col, text_col), labels, id_col, text_col)
-    return rows.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"))
+    return rows.select(F.col(f"row.{id_col}").alias("doc_id"), held_out(f"row.{id_col}").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that the classifier accepts, with their columns as they were."""
-    return quality_scores(docs, labels, id_col, text_col).where(F.col("__score") >= THRESHOLD).drop("__score")
+    return quality_scores(docs, labels, id_col, text_col).where(F.col("score") >= THRESHOLD).select("row.*")
 
 
 def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,11 +159,8 @@ class Encoder:
         ids = self.flat[np.repeat(self.start[both] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
         self._store(ids, at, count.reshape(-1, 2).sum(axis=1))
 
-    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another, each text's followed by end_id, and the n+1 offsets of the texts."""
-        if not self.by_piece:
-            rows = [[*x.ids, end_id] for x in self.full.encode_batch_fast(texts, add_special_tokens=False)]
-            return np.array([i for r in rows for i in r], np.int32), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+    def _places(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all pieces of the texts in the memo, and the number of pieces of each text."""
         if len(self.memo) > MEMO_PIECES:
             self._shrink()
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
@@ -174,6 +171,23 @@ class Encoder:
             self._learn()
             gc.enable()
         self.uses[: self.pieces] += np.bincount(at, minlength=self.pieces).astype(np.int32)
+        return at, sizes
+
+    def lengths(self, texts: list[str]) -> np.ndarray:
+        """Number of ids of each text."""
+        if not self.by_piece:
+            return np.array([len(x.ids) for x in self.full.encode_batch_fast(texts, add_special_tokens=False)], np.int64)
+        at, sizes = self._places(texts)
+        total = np.concatenate([[0], np.cumsum(self.count[at])])
+        ends = np.cumsum(sizes)
+        return total[ends] - total[ends - sizes]
+
+    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, each text's followed by end_id, and the n+1 offsets of the texts."""
+        if not self.by_piece:
+            rows = [[*x.ids, end_id] for x in self.full.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.array([i for r in rows for i in r], np.int32), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+        at, sizes = self._places(texts)
         # Ids of all pieces one after another, with one further place behind each text's.
         count = self.count[at]
         last = np.cumsum(sizes) - 1

@@ -87,6 +87,48 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch):
         assert got == brute_groups(rows)
 
 
+def test_one_id_on_two_texts_keeps_all_links(spark):
+    from gleanery.llm.near_dups import near_duplicates
+
+    text = lambda k, n=60: " ".join(f"{k}w{j}" for j in range(n))
+    rows = [(1, text("a")), (1, text("z")), (2, text("z") + " more"), (9, text("p")), (9, text("q")), (4, text("p") + " x"), (3, text("q") + " y"), (7, text("r")), (7, text("r")), (8, text("r") + " v")]
+    for part in (1, 4):
+        got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(part)).collect())
+        assert got == [(1, 56, 1), (1, 56, 1), (2, 57, 1), (3, 57, 3), (4, 57, 3), (7, 56, 7), (7, 56, 7), (8, 57, 7), (9, 56, 3), (9, 56, 3)]
+
+
+#: Names that operators use inside.
+NAMES = "row score gone bad found th n rep component_id shard words item seed pos covered k g a b h __score __id __found __bad __gone __doc __text"
+
+
+def clashing(spark, rows):
+    """Rows (id, text) with further columns of such names."""
+    names = NAMES.split()
+    return spark.createDataFrame([(d, t, *range(len(names))) for d, t in rows], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+
+
+def test_clashing_columns_stay_as_they_are(spark):
+    from gleanery.llm.decontaminate import drop_leaks, leaks
+    from gleanery.llm.licenses import scan_licenses
+    from gleanery.llm.near_dups import drop_near_duplicates
+    from gleanery.llm.packing import pack_documents
+    from gleanery.llm.pii import redact
+    from gleanery.llm.pseudo_lm import lm_scores
+    from gleanery.llm.quality import keep_quality
+    from gleanery.llm.repeats import removal_digest
+
+    text = " ".join(f"w{k}" for k in range(40))
+    docs = clashing(spark, [(1, text), (2, text + " more"), (3, None), (None, "mail to a@b.cd now"), (5, "mail to a@b.cd now"), (6, "q " + text[40:80] + " r " * 30)])
+    bench = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(10, 22)))], "item_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 7)], "doc_id long, quality int")
+    for out in (drop_near_duplicates(docs), drop_leaks(docs, bench), redact(docs), keep_quality(docs, labels)):
+        assert out.columns == docs.columns and out.select(docs.columns[2:]).distinct().count() <= 1
+        assert out.select("doc_id", *docs.columns[2:]).exceptAll(docs.select("doc_id", *docs.columns[2:])).count() == 0
+    assert drop_near_duplicates(docs).count() == 5 and {r.doc_id for r in leaks(docs, bench).collect()} == {1, 2} and redact(docs).where("text = 'mail to [EMAIL] now'").count() == 2
+    for out, n in ((scan_licenses(docs), 5), (pack_documents(docs), 6), (lm_scores(docs), 6), (removal_digest(docs), 6)):
+        assert out.count() == n
+
+
 def test_near_duplicates_odd_rows(spark):
     from gleanery.llm.near_dups import drop_near_duplicates, near_duplicates
 
@@ -318,6 +360,41 @@ def test_base_spans_are_those_of_the_patterns():
     assert base_spans("x" * 200_000 + "1" * 100_000) == []
 
 
+def test_digest_against_plain_patterns(spark):
+    """Every document of the table: base kinds by the patterns as the contract has them, and the secrets that were put in."""
+    from gleanery.llm.pii import KINDS, _luhn, pii_digest
+
+    digits = lambda x: re.sub("[^0-9]", "", x)
+    kinds = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda x: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda x: all(int(p) <= 255 for p in x.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda x: 14 <= len(digits(x)) <= 19 and _luhn(digits(x))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda x: 10 <= len(digits(x)) <= 15),
+    }
+    secrets = r"(?<=password=)[0-9a-f]{18}|(?<=token = \")[0-9a-f]{40}|AKIA[0-9A-Z]{16}"
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    got, total = {r.doc_id: r for r in pii_digest(docs).collect()}, 0
+    for d, t in docs.collect():
+        spans = [(m.start(), n, m.end(), k) for n, k in enumerate(KINDS) for m in re.finditer(kinds[k][0], t or "") if kinds[k][1](m.group())]
+        found = [(m.start(), 4, m.end(), "found") for m in re.finditer(secrets, t or "") if not any(a < m.end() and m.start() < b for a, _, b, _ in spans)]
+        total += len(found)
+        line = lambda x: ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(x))
+        r = got[d]
+        assert [r[f"n_{k}"] for k in KINDS] == [sum(s[3] == k for s in spans) for k in KINDS]
+        assert r.base_sha256 == hashlib.sha256(line(spans).encode()).hexdigest()
+        assert r.spans == line(spans + found) and (r.n_found, r.n_spans) == (len(found), len(spans) + len(found)), d
+    assert len(got) == docs.count() and total > 10
+
+
+def test_one_id_on_two_texts_is_redacted_row_by_row(spark):
+    from gleanery.llm.pii import redact
+
+    seeds = [(k, f"please write to account holder user{k}@mail.example.com today and thanks") for k in range(12)]
+    rows = [(100, "please write to account holder KX-99817-22 today and thanks"), (100, "nothing was ever written here in number 1234567 of them"), (None, "please write to account holder KX-99817-23 today and thanks")]
+    out = {r.text for r in redact(spark.createDataFrame(seeds + rows, "doc_id long, text string")).where("doc_id is null or doc_id = 100").collect()}
+    assert out == {"please write to account holder [FOUND] today and thanks", rows[1][1]}
+
+
 def test_contexts_find_unseen_identifiers(spark):
     from gleanery.llm.pii import find_pii, redact
 
@@ -344,9 +421,9 @@ def test_classifier_on_held_out_rows(spark):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
     h = x[x.held_out]
     assert len(h) > 50 and (h.predicted == h.quality).mean() > 0.9
-    assert quality_scores(odd(spark), y.limit(0)).where("__score = 1").count() == 9
+    assert quality_scores(odd(spark), y.limit(0)).where("score = 1").count() == 9
     scored = quality_scores(odd(spark).withColumnRenamed("rep", "score"), spark.createDataFrame([(1, 1, 0), (7, 0, 0)], "doc_id long, quality int, toxic int"))
-    assert scored.count() == 9 and scored.where("__score is null").count() == 0
+    assert scored.count() == 9 and scored.where("score is null").count() == 0
     assert keep_quality(odd(spark).limit(0), y).count() == 0
 
 
@@ -369,6 +446,16 @@ def test_packing_keeps_all_tokens(spark):
             assert final[k] == min(s for s in SIZES if s >= fill[k])
             at = np.sort(start[bins == k])
             assert at[0] == 0 and (np.sort(start[bins == k] + length[bins == k])[:-1] == at[1:]).all()
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tk = Tokenizer.from_file(path)
+    ids = collections.Counter()
+    for r in odd(spark).collect():
+        ids[r.doc_id] += 1 + len(tk.encode(r.text or "", add_special_tokens=False).ids)
+    by_ids = pack_documents(odd(spark), path).toPandas()
+    assert {None if d != d else int(d): n for d, n in by_ids.groupby("doc_id", dropna=False).length.sum().items()} == ids
     got = pack_documents(odd(spark), block_docs=3).toPandas()
     assert got.groupby("doc_id", dropna=False).length.sum().to_dict()[5] == 20_001 and len(got[got.doc_id == 4]) == 2 and got.bin_id.nunique() >= 3
     assert (got.groupby("bin_id").length.sum() <= got.groupby("bin_id").bin_size.first()).all() and pack_documents(odd(spark).limit(0)).count() == 0
