@@ -43,11 +43,16 @@ def damaged_batches(rows: DataFrame, batch: str, item: str, damaged: Column) ->
 def within_budget(groups: DataFrame, order: str, size: str, cap: int) -> DataFrame:
     """Whole groups in order until the sum reaches the cap; at least the first.
 
-    ``groups`` holds one row for each batch of work, so the running sum sees few rows.
+    The running sum takes two passes as in batch_ids(): inside ranges of the order, and over the ranges' totals.
     """
-    w = W.orderBy(order)
-    out = groups.withColumns({"total": F.sum(size).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)), "__first": F.row_number().over(w) == 1})
-    return out.where(F.col("__first") | (F.col("total") <= cap)).drop("__first")
+    dealt = groups.repartitionByRange(order).withColumn("__p", F.spark_partition_id())
+    so_far = lambda w: w.rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = dealt.withColumn("__s", F.sum(size).over(so_far(W.partitionBy("__p").orderBy(order))))
+    sums = dealt.groupBy("__p").agg(F.sum(size).alias("__t"))
+    base = sums.select("__p", (F.sum("__t").over(so_far(W.orderBy("__p"))) - F.col("__t")).alias("__b"))
+    out = inside.join(base, "__p").withColumn("total", F.col("__b") + F.col("__s")).drop("__p", "__s", "__b")
+    first = groups.agg(F.min(order).alias("__first"))
+    return out.join(F.broadcast(first), F.col(order) == F.col("__first"), "left").where(F.col("__first").isNotNull() | (F.col("total") <= cap)).drop("__first")
 
 
 def capped_intake(candidates: DataFrame, known: DataFrame, key: str, cap: int, *order: Column) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import compact_key, entity_key
+from ..functions.text import alias_key, compact_key, entity_key
 from ..functions.urls import canonical_url
 
 
@@ -64,6 +64,21 @@ def merge_aliases(rows: DataFrame, key: str, position: Column, alias: str) -> Da
     return one.groupBy(key).agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["a"]).alias("aliases"))
 
 
+def backfill_aliases(entities: DataFrame, mentions: DataFrame) -> DataFrame:
+    """(id, aliases) of the entities whose aliases grow: own ones first, then spellings of mentions in order, then the name.
+
+    ``entities`` (id, canonical_name, aliases array), ``mentions`` (entity_id, mention_text). Of spellings with one alias
+    key the first stays. Spellings are made distinct before they are collected.
+    """
+    own = entities.select("id", F.posexplode("aliases").alias("p", "a")).select("id", F.lit(0).alias("g"), "p", F.trim("a").alias("a"))
+    said = mentions.select(F.col("entity_id").alias("id"), F.lit(1).alias("g"), F.lit(0).alias("p"), F.col("mention_text").alias("a")).join(entities.select("id"), "id", "left_semi").distinct()
+    name = entities.select("id", F.lit(2).alias("g"), F.lit(0).alias("p"), F.col("canonical_name").alias("a"))
+    every = own.unionByName(said).unionByName(name).withColumn("k", alias_key(F.col("a"))).where("k <> ''")
+    first = every.groupBy("id", "k").agg(F.min(F.struct("g", "p", "a")).alias("x"))
+    out = first.groupBy("id").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["a"]).alias("aliases"), F.count_if(F.col("x.g") == 0).alias("had"))
+    return out.where(F.size("aliases") > F.col("had")).select("id", "aliases")
+
+
 def build_entities(mentions: DataFrame) -> DataFrame:
     """(entity_type, normalized_name, platform, canonical_name, n, aliases) from mentions in order of ``pos``.
 

@@ -86,5 +86,26 @@ def tiered_match(rows: DataFrame, catalog: DataFrame, tiers: list[tuple[str, str
     return done.unionByName(open_rows.select("id", F.lit(None).cast("long").alias("catalog_id"), F.lit("NOT_FOUND").alias("band")))
 
 
+def containment_match(rows: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(id, catalog_id, band): a catalog row of the same artist, else one of an artist with the row's first artist word.
+
+    ``rows`` (id, title, artist), ``catalog`` (catalog_id, title, artist). Of the same artist (equal in lower case) the
+    titles must share a word: HIGH if one holds the other, else MEDIUM. LOW needs a shared title word and the first word
+    of the artist among the artist's words of the catalog. Better bands first, then the least catalog_id. Both joins are
+    equalities on (artist, title word), so a common word meets only within an artist.
+    """
+    form = lambda c: F.lower(F.trim(c))
+    split = lambda c: F.array_distinct(F.array_remove(F.split(c, r"[^\p{L}\p{N}#]+"), ""))
+    r = rows.select("id", form("title").alias("t"), form("artist").alias("a")).withColumn("w", F.explode(split(F.col("t"))))
+    c = catalog.select("catalog_id", form("title").alias("ct"), form("artist").alias("ca")).withColumn("w", F.explode(split(F.col("ct"))))
+    same = r.join(c.withColumnRenamed("ca", "a"), ["a", "w"])
+    holds = F.col("t").contains(F.col("ct")) | F.col("ct").contains(F.col("t"))
+    near = same.select("id", "catalog_id", F.when(holds, 0).otherwise(1).alias("tier"))
+    low = r.withColumn("aw", F.get(split(F.col("a")), F.lit(0))).join(c.withColumn("aw", F.explode(split(F.col("ca")))), ["aw", "w"]).select("id", "catalog_id", F.lit(2).alias("tier"))
+    best = near.unionByName(low).groupBy("id").agg(F.min(F.struct("tier", "catalog_id")).alias("x"))
+    band = F.element_at(F.array(F.lit("HIGH"), F.lit("MEDIUM"), F.lit("LOW")), F.col("x.tier") + 1)
+    return rows.select("id").join(best, "id", "left").select("id", "x.catalog_id", F.when(F.col("x").isNull(), "NOT_FOUND").otherwise(band).alias("band"))
+
+
 def best_per(rows: DataFrame, key: str, *order: Column, n: int = 1) -> DataFrame:
     return rows.withColumn("__r", F.row_number().over(W.partitionBy(key).orderBy(*order))).where(F.col("__r") <= n).drop("__r")

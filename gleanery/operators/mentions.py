@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,33 +36,128 @@ def sanitize_mentions(mentions: DataFrame, types: list[str], review_below: float
     return m.withColumns({"sentiment_label": F.when(tone.isin(*SENTIMENTS), tone).otherwise("unknown"), "needs_review": F.col("__odd") | low, "review_reason": reason}).drop("__odd")
 
 
-def retype_mentions(mentions: DataFrame, rules: list[tuple[str, Column, str, str]]) -> DataFrame:
-    """Ordered rules (name, condition, new type, reason); each sees the types that earlier rules gave.
+class Rule(NamedTuple):
+    """Where ``when`` holds (null: it doesn't), a mention gets the type, name or platform given, and the reason to review it.
+
+    ``when`` and ``name`` are functions of the mention, a struct with mention_type, canonical_name, context_snippet,
+    platform, and blob (all its words in lower case, as they were before the first rule).
+    """
+
+    when: Callable[[Column], Column]
+    reason: str
+    kind: str | None = None
+    name: Callable[[Column], Column] | None = None
+    platform: str | None = None
+
 
-    A mention that a rule changes goes to review with the rule's reason, unless it has a reason already.
+def retype_mentions(mentions: DataFrame, rules: list[Rule], types: list[str] | None = None) -> DataFrame:
+    """Apply rules in order; each sees the types and names that earlier rules gave.
+
+    A mention that a rule changes goes to review with the rule's reason, unless it has a reason already. With ``types``,
+    any other type becomes ``other`` at the end, and ``other`` always goes to review. A platform that is set stays.
+    """
+    text = [F.coalesce(c, F.lit("")) for c in ("mention_text", "canonical_name", "context_snippet", "quoted_text") if c in mentions.columns]
+    platform = F.col("platform") if "platform" in mentions.columns else F.lit(None).cast("string")
+    if types is not None:
+        odd = Rule(lambda m: ~F.coalesce(m["mention_type"].isin(*types, "other"), F.lit(False)), "postprocess_unknown_type", "other")
+        rules = [*rules, odd, Rule(lambda m: m["mention_type"] == "other", "other_type_needs_review", "other")]
+
+    def step(rule: Rule) -> Callable[[Column], Column]:
+        return lambda m: apply(rule, m)
+
+    def apply(rule: Rule, m: Column) -> Column:
+        hit = F.coalesce(rule.when(m), F.lit(False))
+        new = {
+            "mention_type": m["mention_type"] if rule.kind is None else F.when(hit, rule.kind).otherwise(m["mention_type"]),
+            "canonical_name": m["canonical_name"] if rule.name is None else F.when(hit, rule.name(m)).otherwise(m["canonical_name"]),
+            "context_snippet": m["context_snippet"],
+            "platform": m["platform"] if rule.platform is None else F.when(hit, F.coalesce(_blank_null(m["platform"]), F.lit(rule.platform))).otherwise(m["platform"]),
+            "blob": m["blob"],
+            "needs_review": m["needs_review"] | hit,
+            "review_reason": F.coalesce(m["review_reason"], F.when(hit, rule.reason)),
+        }
+        return F.struct(*(c.alias(n) for n, c in new.items()))
+
+    # A list of one mention: each step's lambda names the state, so expressions stay as long as the rules and no longer.
+    state = F.array(F.struct("mention_type", "canonical_name", "context_snippet", platform.alias("platform"), F.lower(F.concat_ws(" ", *text)).alias("blob"), "needs_review", "review_reason"))
+    for rule in rules:
+        state = F.transform(state, step(rule))
+    changed = [c for c in ("mention_type", "canonical_name", "platform", "needs_review", "review_reason") if c in mentions.columns]
+    done = mentions.select(F.struct("*").alias("row"), F.get(state, F.lit(0)).alias("new"))
+    return done.select(*(F.col("new")[c].alias(c) if c in changed else F.col("row")[c].alias(c) for c in mentions.columns))
+
+
+# Words that the rules of the technology profile look for.
+OUTLET_WORDS = ("journal", "times", "bloomberg", "reuters")
+OUTLET_NAMES = ("wall street journal", "wsj", "new york times", "nyt", "bloomberg", "reuters", "the information")
+SURVEY_WORDS = ("survey", "poll", "barometer", "census", "questionnaire")
+BENCHMARK_NAMES = ("gpqa", "mmlu", "swe-bench", "swebench", "lm arena", "lmarena", "livecodebench", "terminal bench", "humanitys last exam", "hellaswag")
+POSTING_WORDS = ("tweeted", "posted", "reposted", "thread on x", "on x")
+
+
+def tech_rules(pulse_names: tuple[str, ...] = ("ai daily brief", "the ai daily brief"), pulse: str = "AI Usage Pulse Survey") -> list[Rule]:
+    """Rules of the technology profile in their order; the media profile has none but the check of types.
+
+    ``pulse_names``: names under which a programme's own survey is proposed where its text speaks of a pulse survey.
     """
-    m = mentions
-    for _, condition, kind, reason in rules:
-        hit = F.coalesce(condition, F.lit(False)) & (F.col("mention_type") != kind)
-        m = m.withColumn("__hit", hit)
-        m = m.withColumns({"mention_type": F.when(F.col("__hit"), kind).otherwise(F.col("mention_type")), "needs_review": F.col("needs_review") | F.col("__hit"), "review_reason": F.coalesce("review_reason", F.when(F.col("__hit"), reason))})
-        m = m.drop("__hit")
-    return m
-
-
-def tech_rules() -> list[tuple[str, Column, str, str]]:
-    """Rules of the technology profile, on the name and context of a mention."""
-    blob = F.lower(F.concat_ws(" ", "canonical_name", "mention_text", "context_snippet"))
-    kind = F.col("mention_type")
+    any_of = lambda c, words: c.rlike("|".join(re.escape(w) for w in words))
+    name = lambda m: F.lower(m["canonical_name"])
+    is_a = lambda m, *kinds: m["mention_type"].isin(*kinds)
+    own = lambda m: name(m).isin(*pulse_names) & m["blob"].contains("pulse survey")
+    outlet = lambda m: is_a(m, "survey") & ~own(m) & any_of(name(m), OUTLET_NAMES)
+    bare = lambda m, word: is_a(m, "survey") & ~any_of(name(m), OUTLET_NAMES + SURVEY_WORDS) & F.lower(m["context_snippet"]).contains(word)
+    loose = lambda m: is_a(m, "other", "organization", "person")
+    with_word = lambda word: lambda m: F.trim(F.concat_ws(" ", m["canonical_name"], F.lit(word)))
     return [
-        ("outlet is no report", (kind == "report") & ~blob.rlike("\\b(report|study|paper|index|survey)\\b"), "organization", "outlet_not_report"),
-        ("named survey", kind.isin("report", "other") & F.lower("canonical_name").rlike("\\b(survey|poll)\\b"), "survey", "survey_by_name"),
-        ("survey in context", (kind == "other") & blob.rlike("\\bsurvey\\b"), "survey", "survey_by_context"),
-        ("benchmark in context", (kind == "other") & blob.rlike("\\bbenchmark\\b"), "benchmark", "benchmark_by_context"),
-        ("poster is an account", (kind == "person") & blob.rlike("\\b(posted|tweeted)\\b"), "social_account", "poster_is_account"),
+        Rule(lambda m: is_a(m, "report") & any_of(m["blob"], OUTLET_WORDS), "media_outlet_not_report", "organization"),
+        Rule(lambda m: is_a(m, "survey") & own(m), "survey_name_normalized", name=lambda m: F.lit(pulse)),
+        Rule(outlet, "media_outlet_not_survey", "organization"),
+        Rule(lambda m: bare(m, "survey"), "survey_suffix_added", name=with_word("survey")),
+        Rule(lambda m: bare(m, "poll"), "survey_suffix_added", name=with_word("poll")),
+        Rule(lambda m: loose(m) & m["blob"].contains("survey"), "survey_retyped_from_context", "survey"),
+        Rule(lambda m: loose(m) & any_of(m["blob"], BENCHMARK_NAMES), "benchmark_retyped_from_context", "benchmark"),
+        Rule(lambda m: is_a(m, "person", "organization") & any_of(m["blob"], POSTING_WORDS), "posting_context_retyped_to_account", "account", platform="x"),
     ]
 
 
+#: What a model answers for one episode.
+RESPONSE = "mentions array<struct<mention_id:bigint,canonical_name:string,mention_text:string,mention_type:string,context_snippet:string,quoted_text:string,platform:string,sentiment_label:string,confidence:string,is_editorial:boolean>>, new_type_candidates array<string>"
+
+
+def process_responses(responses: DataFrame, types: list[str], core_types: list[str], tech: bool = True, column: str = "response") -> DataFrame:
+    """Model answers to the mentions that a profile loads: read, cleaned, retyped, editorial, of core types or ``other``."""
+    clean = sanitize_mentions(parse_responses(responses, RESPONSE, column), types)
+    return keep_for_profile(retype_mentions(clean, tech_rules() if tech else [], types), core_types)
+
+
+# Facts that become tags.
+TAG_FACTS = ("modality", "model_modality", "benchmark_domain", "domain", "category")
+QUESTION_FACTS = ("contains_survey_questions", "has_survey_questions")
+FACT = "struct<fact_key:string,fact_value:string,confidence:double>"
+
+
+def parse_facts(text: Column) -> Column:
+    """Facts from JSON text; blank or unreadable text gives none, elements that are no objects are dropped."""
+    parts = F.from_json(F.nullif(F.trim(text), F.lit("")), "array<string>")
+    read = F.transform(parts, lambda x: F.from_json(x, FACT))
+    return F.filter(F.coalesce(read, F.array().cast(f"array<{FACT}>")), lambda f: f.isNotNull() & (f["fact_key"].isNotNull() | f["fact_value"].isNotNull() | f["confidence"].isNotNull()))
+
+
+def derive_tags(kind: Column, platform: Column, facts: Column) -> Column:
+    """Map of tags (texts) from a mention's type, platform and listed facts; of equal facts the last counts.
+
+    Values stay JSON texts; a question flag is ``false`` for false, 0, null and empty values, else ``true``.
+    """
+    last_of = lambda *keys: F.try_element_at(F.filter(facts, lambda f: F.lower(F.trim(f["fact_key"])).isin(*keys)), F.lit(-1))
+    last = {k: last_of(k) for k in TAG_FACTS}
+    asked = last_of(*QUESTION_FACTS)
+    no = F.coalesce(F.lower(F.trim(asked["fact_value"])), F.lit("")).isin("", "false", "0", "null")
+    tags = {"platform": F.nullif(F.lower(platform), F.lit("")), "is_account": F.when(kind == "account", "true"), "is_survey": F.when(kind == "survey", "true"), "contains_survey_questions": F.when(asked.isNotNull(), F.when(no, "false").otherwise("true"))}
+    tags |= {k: F.when(f.isNotNull(), F.coalesce(f["fact_value"], F.lit("null"))) for k, f in last.items()}
+    pairs = F.array(*(F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in tags.items()))
+    return F.map_from_entries(F.filter(pairs, lambda e: e["value"].isNotNull()))
+
+
 def parse_responses(responses: DataFrame, schema: str, column: str = "response") -> DataFrame:
     """Model answers to one row for each mention; fences around the JSON are cut, unreadable answers give no row."""
     bare = F.regexp_replace(F.regexp_replace(F.trim(column), "^```(?:json)?\\s*", ""), "\\s*```$", "")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,31 @@ def postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(words(F.col(text_col))).alias("pos", "term")).select("term", "doc_id", "pos")
 
 
+def web_terms(text: str) -> dict[str, list]:
+    """Arguments of search() from a web-style string: words, "phrases", -excluded words, and words joined by OR."""
+    every, none, phrases, groups, joined = [], [], [], [], False
+    for minus, phrase, word in re.findall(r'(-?)(?:"([^"]*)"|([^\s"]+))', text):
+        if word == "OR" and not minus:
+            joined = bool(every or groups)
+            continue
+        terms = [t for t in re.split(r"[\W_]+", (phrase or word).lower()) if t]
+        if minus:
+            none += terms
+        elif len(terms) > 1:
+            phrases.append(terms)
+        elif terms and joined:
+            if groups and groups[-1] and groups[-1][-1] == last:
+                groups[-1].append(terms[0])
+            else:
+                groups.append([every.pop(), terms[0]])
+            last = terms[0]
+        elif terms:
+            every.append(terms[0])
+            last = terms[0]
+        joined = False
+    return {"every": every, "some": groups, "none": none, "phrases": phrases}
+
+
 def search(index: DataFrame, n_docs: int, every: list[str] = (), some: list[list[str]] = (), none: list[str] = (), phrases: list[list[str]] = (), limit: int | None = None) -> DataFrame:
     """(doc_id, score): documents with every term, one of each ``some`` group, all phrases and no ``none`` term.
 

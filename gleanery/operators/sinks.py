@@ -1,7 +1,8 @@
 """Table maintenance on plain Parquet: upserts, batch replacement, sync state, payloads, text pieces, repairs.
 
-A table is a folder of versions; a new version is written beside the old one and then named in a small pointer file, so
-readers see one version or the other, and a job that fails leaves the old one.
+A table is a folder of versions; a new version is written beside the old ones and then named by a row that is appended to
+a small table of pointers. Nothing is deleted or renamed, so readers see one version or the other, and a job that fails
+at any moment leaves the old one.
 """
 
 from __future__ import annotations
@@ -9,20 +10,28 @@ from __future__ import annotations
 import uuid
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _path(spark: SparkSession, name: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+_POINTER = "n long, version string"
+
+
+def _pointers(spark: SparkSession, table: str) -> tuple[int, str] | None:
+    try:
+        last = spark.read.schema(_POINTER).parquet(f"{table}/pointers").agg(F.max(F.struct("n", "version")).alias("x")).first().x
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return (last.n, last.version) if last else None
 
 
 def current_version(spark: SparkSession, table: str) -> str | None:
-    pointer, fs = _path(spark, f"{table}/current.txt")
-    if not fs.exists(pointer):
-        return None
-    return spark.read.text(f"{table}/current.txt").first()[0]
+    """The version that the last pointer names; None where no version was ever completed."""
+    last = _pointers(spark, table)
+    return last[1] if last else None
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame | None:
@@ -31,17 +40,12 @@ def read_table(spark: SparkSession, table: str) -> DataFrame | None:
 
 
 def swap_in(df: DataFrame, table: str) -> None:
-    """Write a new version and point to it."""
+    """Write a new version, then append the pointer that names it."""
     spark = df.sparkSession
     v = f"v-{uuid.uuid4().hex}"
     df.write.parquet(f"{table}/{v}")
-    tmp, fs = _path(spark, f"{table}/{v}.pointer")
-    out = fs.create(tmp, True)
-    out.writeBytes(v + "\n")
-    out.close()
-    target, _ = _path(spark, f"{table}/current.txt")
-    fs.delete(target, False)
-    fs.rename(tmp, target)
+    last = _pointers(spark, table)
+    spark.range(1).select(F.lit((last[0] if last else 0) + 1).cast("long").alias("n"), F.lit(v).alias("version")).coalesce(1).write.mode("append").parquet(f"{table}/pointers")
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame, key: str, order: Column, keep_old_when_null: list[str] = ()) -> DataFrame:

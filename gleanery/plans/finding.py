@@ -27,7 +27,7 @@ def f01(spark, sf_dir):
 )
 def f02(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    found = S.search(S.postings(d, "doc_id", "text"), d.count(), every=["that"], some=[["thand", "of"]], none=["stupid"], phrases=[["of", "the"]])
+    found = S.search(S.postings(d, "doc_id", "text"), d.count(), **S.web_terms('that thand OR of -stupid "of the"'))
     return found.withColumn("score", F.round("score", 6))
 
 
@@ -113,8 +113,9 @@ def j18(spark, sf_dir):
 def j17(spark, sf_dir):
     from ..operators.sinks import text_pieces
 
-    d = table(spark, sf_dir, "documents").where("n_chars > 4000").select("doc_id", "text")
-    passages = d.select(F.col("doc_id").alias("passage_id"), "doc_id", F.substring("text", 2500, 300).alias("text"))
+    # From the middle of each text on.
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    passages = d.select(F.col("doc_id").alias("passage_id"), "doc_id", F.col("text").substr(F.floor(F.length("text") / 2).cast("int") + 1, F.lit(300)).alias("text"))
     return M.anchor_blocks(passages, text_pieces(d, "doc_id", "text"))
 
 

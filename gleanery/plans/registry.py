@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, finding, landing, rollups, rows, streams, tables  # noqa: F401
+from . import base, files, finding, landing, rollups, rows, streams, tables  # noqa: F401
 
 Query = base.Callable
 

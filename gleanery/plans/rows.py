@@ -165,12 +165,17 @@ def n31(spark, sf_dir):
     return suspect_scrapes(table(spark, sf_dir, "documents"), "text", ["text", "lang"]).select("doc_id", "missing_core", "thin", "markdown_left")
 
 
-@query("n19_facts_and_tags", """SELECT event_id, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k, CASE WHEN try_cast(json_extract_string(props, '$.k') AS BIGINT) > 50 THEN 'high' ELSE 'low' END AS tag_level, event_type AS tag_type FROM events""")
+@query("n19_facts_and_tags", """SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 0 ELSE 2 END AS n_facts, CASE WHEN event_id % 3 = 0 THEN 'x' END AS platform, CASE WHEN user_id % 2 = 0 THEN 'true' END AS is_account,
+    CASE WHEN event_id % 5 <> 0 THEN json_extract_string(props, '$.k') END AS domain, CASE WHEN event_id % 5 <> 0 THEN CASE WHEN user_id % 4 = 0 THEN 'false' ELSE 'true' END END AS questions FROM events""")
 def n19(spark, sf_dir):
-    e = table(spark, sf_dir, "events").withColumn("facts", F.from_json("props", "map<string,string>"))
-    k = F.col("facts")["k"].try_cast("long")
-    tags = F.map_from_arrays(F.array(F.lit("level"), F.lit("type")), F.array(F.when(k > 50, "high").otherwise("low"), F.col("event_type")))
-    return e.select("event_id", k.alias("k"), tags["level"].alias("tag_level"), tags["type"].alias("tag_type"))
+    from ..operators.mentions import derive_tags, parse_facts
+
+    k, u = F.col("event_id"), F.col("user_id")
+    text = F.concat(F.lit('[{"fact_key": " Domain", "fact_value": "'), F.get_json_object("props", "$.k"), F.lit('"}, 7, {"fact_key": "has_survey_questions", "fact_value": '), F.when(u % 4 == 0, "false").otherwise("true"), F.lit("}]"))
+    facts = parse_facts(F.when(k % 5 == 0, "no json").otherwise(text))
+    tags = derive_tags(F.when(u % 2 == 0, "account").otherwise(F.col("event_type")), F.when(k % 3 == 0, "X"), facts)
+    e = table(spark, sf_dir, "events").select("event_id", facts.alias("facts"), tags.alias("tags"))
+    return e.select("event_id", F.size("facts").alias("n_facts"), *(F.col("tags")[t].alias(n) for t, n in (("platform", "platform"), ("is_account", "is_account"), ("domain", "domain"), ("contains_survey_questions", "questions"))))
 
 
 @query(

@@ -9,15 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.changes import change_of
-from ..operators.mentions import retype_mentions, search_queries, tech_rules
+from ..operators.mentions import search_queries
 from ..operators.sinks import replace_batches, write_batch
 from ..streaming import jobs as J
 from .base import EPISODES, MENTIONS, SYNC, query, table, view
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the storage that the cluster shares; a temporary one where no such setting exists."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-gleanery-", dir="/tmp")
+    """A new folder in the storage that the cluster shares; only a local session may do without such a setting."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="spark-gleanery-", dir="/tmp")
     return f"{root.rstrip('/')}/gleanery/{name}-{uuid.uuid4().hex}"
 
 
@@ -42,9 +47,9 @@ def _drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
 def st01(spark, sf_dir):
     at = (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("doc_id").cast("int") % 120)).alias
     d = _stream(spark, sf_dir, "documents")
-    episodes = d.select(F.col("doc_id").alias("episode_id"), at("published"), F.substring("text", 1, 40).alias("notes"))
+    episodes = d.select(F.col("doc_id").alias("episode_id"), at("published"), F.col("text").alias("notes"))
     late = F.when(F.col("doc_id") % 3 == 0, 10).otherwise(2)
-    transcripts = _stream(spark, sf_dir, "documents").where("doc_id % 5 <> 0").select(F.col("doc_id").alias("t_episode_id"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("doc_id").cast("int") % 120 + late)).alias("arrived"), F.substring("text", 1, 40).alias("transcript"))
+    transcripts = _stream(spark, sf_dir, "documents").where("doc_id % 5 <> 0").select(F.col("doc_id").alias("t_episode_id"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("doc_id").cast("int") % 120 + late)).alias("arrived"), F.col("text").alias("transcript"))
     return _drain(J.wait_for_transcript(episodes, transcripts), "st01").select("episode_id", "text", "source")
 
 
@@ -104,25 +109,6 @@ def k03(spark, sf_dir):
     return spark.read.parquet(root).groupBy(F.col("show_id").cast("long").alias("show_id"), "batch").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@query(
-    "n16_retype",
-    f"""WITH m AS ({MENTIONS}), t AS (SELECT mention_id, CASE WHEN entity_id % 4 = 0 THEN 'report' WHEN entity_id % 4 = 1 THEN 'other' WHEN entity_id % 4 = 2 THEN 'person' ELSE mention_type END AS mt, CASE WHEN entity_id % 3 = 0 THEN 'a fan survey' WHEN entity_id % 3 = 1 THEN 'they posted it' ELSE 'a paper' END AS ctx FROM m)
-    SELECT mention_id, CASE WHEN mt = 'report' AND ctx = 'they posted it' THEN 'organization' WHEN mt = 'other' AND ctx = 'a fan survey' THEN 'survey' WHEN mt = 'person' AND ctx = 'they posted it' THEN 'social_account' ELSE mt END AS mention_type FROM t""",
-)
-def n16(spark, sf_dir):
-    k = F.col("entity_id")
-    m = view(spark, sf_dir, MENTIONS).select(
-        "mention_id",
-        "canonical_name",
-        F.col("canonical_name").alias("mention_text"),
-        F.when(k % 3 == 0, "a fan survey").when(k % 3 == 1, "they posted it").otherwise("a paper").alias("context_snippet"),
-        F.when(k % 4 == 0, "report").when(k % 4 == 1, "other").when(k % 4 == 2, "person").otherwise(F.col("mention_type")).alias("mention_type"),
-        F.lit(False).alias("needs_review"),
-        F.lit(None).cast("string").alias("review_reason"),
-    )
-    return retype_mentions(m, tech_rules()).select("mention_id", "mention_type")
-
-
 @query("n29_search_queries", f"WITH m AS ({MENTIONS}) SELECT mention_id, 0 AS pos, canonical_name AS query FROM m UNION ALL SELECT mention_id, 1, concat(canonical_name, ' ', mention_type) FROM m")
 def n29(spark, sf_dir):
     return search_queries(view(spark, sf_dir, MENTIONS).withColumn("platform", F.lit(None).cast("string")))
@@ -147,7 +133,17 @@ def st02(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").dropDuplicates(["batch"])
 
 
-@query("st04_stale_sources")
+@query("st04_stale_sources", "WITH d AS (SELECT event_type, ts, max(ts) OVER () AS newest FROM events), k AS (SELECT * FROM d WHERE event_type <> 'error' OR ts < newest - INTERVAL 20 DAY) SELECT event_type AS source, date_trunc('milliseconds', max(ts)) AS last_seen FROM k WHERE event_type = 'error' GROUP BY 1")
 def st04(spark, sf_dir):
-    e = _stream(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("at"))
-    return _drain(J.stale_sources(e, "event_type", "at", 14), "st04")
+    """Errors stop 20 days before the end; files come in three steps of time, so timers see the watermark pass."""
+    root = _scratch(spark, "st04")
+    e = table(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("at"))
+    newest = e.agg(F.max("at").alias("newest"))
+    e = e.join(F.broadcast(newest), F.lit(True)).withColumn("left", F.col("newest").cast("double") - F.col("at").cast("double")).where("event_type <> 'error' or left > 20 * 86400").drop("newest")
+    for low, high in ((20, 10_000), (1, 20), (-1, 1)):
+        e.where((F.col("left") > low * 86400) & (F.col("left") <= high * 86400)).drop("left").write.mode("append").parquet(f"{root}/landed")
+        rows = spark.readStream.schema("event_type string, at timestamp").parquet(f"{root}/landed")
+        stale = J.stale_sources(rows, "event_type", "at", 14)
+        save = lambda df, n: df.write.mode("append").parquet(f"{root}/out")
+        stale.writeStream.foreachBatch(save).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stale.schema).parquet(f"{root}/out").select("source", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"))

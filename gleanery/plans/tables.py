@@ -96,6 +96,19 @@ def j14(spark, sf_dir):
     return J.tiered_match(p.where("p_partkey % 3 = 0").withColumnRenamed("p_partkey", "id"), p.where("p_partkey % 3 = 1").withColumnRenamed("p_partkey", "catalog_id"), [("HIGH", "a", ""), ("LOW", "b", "")])
 
 
+@query("j14_containment_match", """WITH s AS (SELECT p_partkey AS id, lower(CASE WHEN p_partkey % 2 = 0 THEN concat(p_name, ' live') ELSE p_name END) AS t, lower(concat(p_type, ' ', CASE WHEN p_partkey % 4 = 0 THEN 'x' ELSE p_brand END)) AS a FROM part WHERE p_partkey % 3 = 0),
+    c AS (SELECT p_partkey AS catalog_id, lower(p_name) AS ct, lower(concat(p_type, ' ', p_brand)) AS ca FROM part WHERE p_partkey % 3 = 1),
+    sw AS (SELECT DISTINCT id, t, a, string_split(a, ' ')[1] AS aw, unnest(string_split(t, ' ')) AS w FROM s), cw AS (SELECT DISTINCT catalog_id, ct, ca, unnest(string_split(ct, ' ')) AS w FROM c),
+    n AS (SELECT id, catalog_id, CASE WHEN contains(t, ct) OR contains(ct, t) THEN 0 ELSE 1 END AS tier FROM sw JOIN cw ON a = ca AND sw.w = cw.w UNION ALL SELECT id, catalog_id, 2 FROM sw JOIN cw ON sw.w = cw.w AND list_contains(string_split(ca, ' '), aw)),
+    b AS (SELECT id, arg_min(catalog_id, (tier, catalog_id)) AS catalog_id, min(tier) AS tier FROM n GROUP BY 1)
+    SELECT s.id, b.catalog_id, CASE WHEN tier = 0 THEN 'HIGH' WHEN tier = 1 THEN 'MEDIUM' WHEN tier = 2 THEN 'LOW' ELSE 'NOT_FOUND' END AS band FROM s LEFT JOIN b USING (id)""")
+def j14c(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    rows = p.where(k % 3 == 0).select(k.alias("id"), F.concat("p_name", F.when(k % 2 == 0, " live").otherwise("")).alias("title"), F.concat_ws(" ", "p_type", F.when(k % 4 == 0, "x").otherwise(F.col("p_brand"))).alias("artist"))
+    return J.containment_match(rows, p.where(k % 3 == 1).select(k.alias("catalog_id"), F.col("p_name").alias("title"), F.concat_ws(" ", "p_type", "p_brand").alias("artist")))
+
+
 @query("j21_provenance", "SELECT doc_id AS episode_id, CASE WHEN doc_id % 3 = 0 THEN CASE WHEN doc_id % 2 = 0 THEN doc_id * 10 END WHEN doc_id % 5 <> 0 THEN doc_id * 100 END AS transcript_id, doc_id % 3 <> 0 AND doc_id % 5 <> 0 AS inferred FROM documents")
 def j21(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("episode_id"))
@@ -190,9 +203,16 @@ def d08(spark, sf_dir):
     return D.curated_merges(e, merges)
 
 
-@query("d09_alias_backfill", f"{_M} SELECT entity_id, array_to_string(list_sort(list_distinct(list(concat(canonical_name, ' ', mention_type)))), '|') AS aliases FROM m GROUP BY 1")
+@query("d09_alias_backfill", f"""{_M}, e AS (SELECT DISTINCT user_id AS id, concat('Name ', user_id % 60) AS canonical_name, CASE WHEN user_id % 2 = 0 THEN concat('name-', user_id % 60) END AS own FROM events),
+    x AS (SELECT id, 0 AS g, own AS a FROM e WHERE own IS NOT NULL UNION SELECT entity_id, 1, concat(canonical_name, CASE WHEN mention_type = 'click' THEN '' ELSE concat('  (', mention_type, ')') END) FROM m UNION SELECT id, 2, canonical_name FROM e),
+    k AS (SELECT id, g, a, trim(regexp_replace(lower(trim(a)), '[^a-z0-9]+', ' ', 'g')) AS k FROM x), f AS (SELECT id, k, arg_min(a, (g, a)) AS a, min(g) AS g FROM k WHERE k <> '' GROUP BY 1, 2)
+    SELECT id, array_to_string(list(a ORDER BY g, a), '|') AS aliases FROM f GROUP BY id HAVING count(*) > count(*) FILTER (g = 0)""")
 def d09(spark, sf_dir):
-    return view(spark, sf_dir, MENTIONS).groupBy("entity_id").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "canonical_name", "mention_type"))), "|").alias("aliases"))
+    m = view(spark, sf_dir, MENTIONS)
+    own = F.when(F.col("id") % 2 == 0, F.array(F.concat(F.lit("name-"), F.col("id") % 60))).otherwise(F.array().cast("array<string>"))
+    e = m.select(F.col("entity_id").alias("id"), "canonical_name").distinct().withColumn("aliases", own)
+    said = m.select("entity_id", F.concat("canonical_name", F.when(F.col("mention_type") == "click", "").otherwise(F.concat(F.lit("  ("), "mention_type", F.lit(")")))).alias("mention_text"))
+    return D.backfill_aliases(e, said).select("id", F.array_join("aliases", "|").alias("aliases"))
 
 
 @query("d10_alias_splits", f"""WITH m AS (SELECT p_brand, CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE replace(p_name, ' ', '') END AS name FROM part), k AS (SELECT p_brand, {_KEY.format(c='name')} AS key FROM m)

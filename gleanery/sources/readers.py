@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import html_to_text
+from ..operators.mentions import parse_facts
 
 RSS = "title string, guid struct<_VALUE:string,_isPermaLink:boolean>, link string, enclosure struct<_url:string>, pubDate string, description string"
 EPISODE = "uuid string, name string, description string, audioUrl string, datePublished long, episodeNumber int, imageUrl string"
@@ -69,14 +70,14 @@ def join_paragraphs(rows: DataFrame, key: str, position: str, text: str) -> Data
     return kept.groupBy(key).agg(F.array_join(F.transform(parts, lambda x: x["t"]), "\n\n").alias("transcript"))
 
 
-def read_markdown(spark: SparkSession, path: str, exclude: str = r"/(node_modules|\.git|templates|archive)/|/(README|CLAUDE|INDEX)\.md$", least_chars: int = 500) -> DataFrame:
+def read_markdown(spark: SparkSession, path: str, exclude: str = r"/(node_modules|\.git|templates|archive)/|/(README|CLAUDE|INDEX)\.md$", least_chars: int = 500, names: str = "*.md") -> DataFrame:
     """Documents below a folder: path, title (first heading of the first ten lines), date (name, front matter, change time), text."""
-    raw = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").load(path)
+    raw = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", names).load(path)
     d = raw.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("changed"))
     d = d.where(~F.col("path").rlike(exclude) & (F.length("value") >= least_chars))
     head = F.slice(F.split("value", "\r?\n"), 1, 10)
     heading = F.get(F.filter(head, lambda x: x.startswith("# ")), F.lit(0))
-    name = F.regexp_extract("path", "([^/]+)\\.md$", 1)
+    name = F.regexp_extract("path", "([^/]+)\\.[A-Za-z]+$", 1)
     in_name = F.regexp_extract(name, "(\\d{4}-\\d{2}-\\d{2})", 1)
     in_front = F.regexp_extract("value", "(?s)^---.*?\\ndate: *[\"']?(\\d{4}-\\d{2}-\\d{2})", 1)
     read = lambda c: F.try_to_date(F.nullif(c, F.lit("")), "yyyy-MM-dd")
@@ -91,8 +92,7 @@ def read_mentions(spark: SparkSession, path: str) -> DataFrame:
     """A mention batch; flags and confidences are typed, facts read from their JSON (unreadable: none)."""
     raw = spark.read.schema(MENTION).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
     flag = lambda c: F.when(F.lower(c) == "true", True).when(F.lower(c) == "false", False)
-    facts = F.coalesce(F.from_json("facts_json", "array<struct<fact_key:string,fact_value:string,confidence:double>>"), F.array().cast("array<struct<fact_key:string,fact_value:string,confidence:double>>"))
-    return raw.withColumns({"is_editorial": flag("is_editorial"), "needs_review": flag("needs_review"), "confidence": F.col("confidence").try_cast("decimal(5,4)"), "facts": F.filter(facts, lambda f: f["fact_key"].isNotNull())}).drop("facts_json")
+    return raw.withColumns({"is_editorial": flag("is_editorial"), "needs_review": flag("needs_review"), "confidence": F.col("confidence").try_cast("decimal(5,4)"), "facts": F.filter(parse_facts(F.col("facts_json")), lambda f: f["fact_key"].isNotNull())}).drop("facts_json")
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:

@@ -86,10 +86,50 @@ def test_sanitize_mentions(spark):
 def test_retype_rules_run_in_order(spark):
     from gleanery.operators.mentions import retype_mentions, sanitize_mentions, tech_rules
 
-    rows = [mention(mention_type="other", context_snippet="a big survey of fans"), mention(mention_type="report", canonical_name="The Daily"), mention(mention_type="report", canonical_name="Fan Survey"), mention(mention_type="book")]
-    m = sanitize_mentions(spark.createDataFrame(rows, MENTION), ["report", "book", "organization", "survey"])
-    assert [r.mention_type for r in retype_mentions(m, tech_rules()).collect()] == ["survey", "organization", "survey", "book"]
-    assert [r.mention_type for r in retype_mentions(m, []).collect()] == ["other", "report", "report", "book"]
+    rows = [
+        mention(mention_type="other", context_snippet="a big survey of fans"),
+        mention(mention_type="report", canonical_name="Evening Journal"),
+        mention(mention_type="report", canonical_name="Evening Journal", context_snippet="their survey"),
+        mention(mention_type="survey", canonical_name="Fans", context_snippet="a poll"),
+        mention(mention_type="survey", canonical_name="Reuters"),
+        mention(mention_type="person", context_snippet="she posted it"),
+        mention(mention_type="book"),
+        mention(mention_type="other", context_snippet="nothing"),
+    ]
+    types = ["report", "book", "organization", "survey", "account", "person"]
+    m = sanitize_mentions(spark.createDataFrame(rows, MENTION), types)
+    got = [(r.mention_type, r.canonical_name, r.review_reason) for r in retype_mentions(m, tech_rules(), types).collect()]
+    name = got[0][1]
+    assert got == [("survey", name, "survey_retyped_from_context"), ("organization", "Evening Journal", "media_outlet_not_report"), ("survey", "Evening Journal", "media_outlet_not_report"), ("survey", "Fans poll", "survey_suffix_added"), ("organization", "Reuters", "media_outlet_not_survey"), ("account", name, "posting_context_retyped_to_account"), ("book", name, None), ("other", name, "other_type_needs_review")]
+    assert [r.mention_type for r in retype_mentions(m, []).collect()] == ["other", "report", "report", "survey", "survey", "person", "book", "other"]
+
+
+def test_web_search_strings():
+    from gleanery.operators.search import web_terms
+
+    none = {"every": [], "some": [], "none": [], "phrases": []}
+    assert web_terms('a "b c" d OR e OR f -g -"h i" "j"') == {"every": ["a", "j"], "some": [["d", "e", "f"]], "none": ["g", "h", "i"], "phrases": [["b", "c"]]}
+    assert web_terms("x-y Z") == {**none, "phrases": [["x", "y"]], "every": ["z"]} and web_terms("OR a OR") == {**none, "every": ["a"]} and web_terms("") == none
+
+
+def test_interrupted_swap_leaves_the_old_version(spark, tmp_path):
+    from gleanery.operators import sinks as K
+
+    table = f"file://{tmp_path}/t"
+    assert K.read_table(spark, table) is None
+    K.swap_in(spark.range(3), table)
+    spark.range(9).write.parquet(f"{table}/v-never-named")  # a job that died before its pointer was written
+    assert K.read_table(spark, table).count() == 3
+    K.swap_in(spark.range(5), table)
+    assert K.read_table(spark, table).count() == 5
+
+
+def test_children_of_merged_rows_are_repointed(spark):
+    from gleanery.operators.dedup import repoint
+
+    children = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, "a")], "ref long, t string")
+    moved = repoint(children, "ref", spark.createDataFrame([(1, 1), (2, 1)], "id long, survivor long"), "id", ["t"])
+    assert sorted((r.ref, r.t) for r in moved.collect()) == [(1, "a"), (1, "b"), (3, "a")]
 
 
 def test_parse_and_profile(spark):
