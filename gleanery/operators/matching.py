@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import math
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -43,26 +44,38 @@ def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=float)
 
 
-def _blocked(left: DataFrame, right: DataFrame, lid: str, ltext: str, rid: str, rtext: str, same: list[str], most_common: int) -> DataFrame:
-    """(lid, rid) pairs that share a token (and the columns ``same``).
+def _blocked(left: DataFrame, right: DataFrame, lid: str, ltext: str, rid: str, rtext: str, same: list[str], most_common: int, floor: float | None = None) -> DataFrame:
+    """(lid, rid) pairs that share a token (and the columns ``same``), found without a quadratic bucket of a frequent word.
 
-    Tokens that occur in more than ``most_common`` rows of the right side say little; pairs that share such tokens only
-    are found over pairs of neighbouring tokens instead, so a frequent word makes no quadratic bucket.
+    Tokens of at most ``most_common`` rows on the right side pair rows as they are, equal texts always meet. Over more
+    frequent tokens, with a ``floor`` for the ratio of matching characters (2 * matches over both lengths), rows meet
+    if their lengths allow that ratio, so no pair that reaches the floor is lost. Without a floor they meet over pairs
+    of neighbouring tokens, and rows that have no partner then (such as one-word names) over any token.
     """
-    rt = right.select(rid, *same, F.explode(F.array_distinct(words(F.col(rtext)))).alias("t"))
+    rt = right.select(rid, *same, F.length(rtext).alias("rl"), F.explode(F.array_distinct(words(F.col(rtext)))).alias("t"))
+    lt = left.select(lid, *same, F.length(ltext).alias("ll"), F.explode(F.array_distinct(words(F.col(ltext)))).alias("t"))
     freq = rt.groupBy("t").agg(F.count("*").alias("n"))
-    rare = freq.where(F.col("n") <= most_common).select("t")
+    rare, often = freq.where(F.col("n") <= most_common).select("t"), freq.where(F.col("n") > most_common).select("t")
+    equal = left.select(lid, *same, F.col(ltext).alias("x")).join(right.select(rid, *same, F.col(rtext).alias("x")), ["x", *same])
+    found = lt.join(rt.join(rare, "t"), ["t", *same]).select(lid, rid).unionByName(equal.select(lid, rid))
+    if floor is not None:
+        # Lengths of a pair that reaches the floor differ at most by this factor: one class of lengths or the next.
+        factor = math.log((2 - floor) / floor)
+        step = lambda c: F.floor(F.log(F.greatest(F.col(c), F.lit(1))) / factor).cast("int")
+        near = rt.join(often, "t").withColumn("c", F.explode(F.array(*(step("rl") + d for d in (-1, 0, 1)))))
+        fits = 2 * F.least("ll", "rl") >= floor * (F.col("ll") + F.col("rl")) - 1e-9
+        more = lt.withColumn("c", step("ll")).join(near, ["t", "c", *same]).where(fits)
+        return found.unionByName(more.select(lid, rid)).distinct()
 
     def pairs_of(text: Column) -> Column:
         w = words(text)
         return F.array_distinct(F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda x, y: F.concat_ws(" ", x, y)))
 
-    lt = left.select(lid, *same, F.explode(F.array_distinct(words(F.col(ltext)))).alias("t"))
-    one = lt.join(rt.join(rare, "t"), ["t", *same]).select(lid, rid)
     l2 = left.select(lid, *same, F.explode(pairs_of(F.col(ltext))).alias("t"))
     r2 = right.select(rid, *same, F.explode(pairs_of(F.col(rtext))).alias("t"))
-    two = l2.join(r2, ["t", *same]).select(lid, rid)
-    return one.unionByName(two).distinct()
+    found = found.unionByName(l2.join(r2, ["t", *same]).select(lid, rid))
+    alone = lt.join(found.select(lid).distinct(), lid, "left_anti")
+    return found.unionByName(alone.join(rt.join(often, "t"), ["t", *same]).select(lid, rid)).distinct()
 
 
 def resolve_titles(wanted: DataFrame, episodes: DataFrame, least: float = 0.85, most_common: int = 1000) -> DataFrame:
@@ -74,7 +87,7 @@ def resolve_titles(wanted: DataFrame, episodes: DataFrame, least: float = 0.85,
     e = episodes.withColumn("lt", F.lower(F.trim("title")))
     exact = w.join(e.groupBy("source", "lt").agg(F.min("episode_id").alias("episode_id")), ["source", "lt"]).select("wanted_id", "episode_id", F.lit(1.0).alias("ratio"))
     rest = w.join(exact.select("wanted_id"), "wanted_id", "left_anti")
-    pairs = _blocked(rest, e, "wanted_id", "lt", "episode_id", "lt", ["source"], most_common)
+    pairs = _blocked(rest, e, "wanted_id", "lt", "episode_id", "lt", ["source"], most_common, least)
     scored = pairs.join(rest.select("wanted_id", F.col("lt").alias("a")), "wanted_id").join(e.select("episode_id", F.col("lt").alias("b")), "episode_id").withColumn("ratio", sequence_ratio("a", "b")).where(F.col("ratio") >= least)
     best = scored.groupBy("wanted_id").agg(F.max(F.struct("ratio", (-F.col("episode_id")).alias("k"))).alias("x")).select("wanted_id", (-F.col("x.k")).alias("episode_id"), F.col("x.ratio").alias("ratio"))
     return exact.unionByName(best)
@@ -83,7 +96,7 @@ def resolve_titles(wanted: DataFrame, episodes: DataFrame, least: float = 0.85,
 def weighted_title_match(wanted: DataFrame, episodes: DataFrame, floor: float = 0.80, most_common: int = 1000) -> DataFrame:
     """(wanted_id, episode_id, score): 0.7 title + 0.3 source similarity, source 0.5 where one is unknown, title from ``floor`` on."""
     w, e = wanted.withColumn("lt", match_form(F.col("title"))), episodes.withColumn("lt", match_form(F.col("title")))
-    pairs = _blocked(w, e, "wanted_id", "lt", "episode_id", "lt", [], most_common)
+    pairs = _blocked(w, e, "wanted_id", "lt", "episode_id", "lt", [], most_common, floor)
     x = pairs.join(w.select("wanted_id", F.col("lt").alias("a"), F.lower("source").alias("sa")), "wanted_id").join(e.select("episode_id", F.col("lt").alias("b"), F.lower("source").alias("sb")), "episode_id")
     x = x.withColumn("t", sequence_ratio("a", "b")).where(F.col("t") >= floor).withColumn("s", F.coalesce(sequence_ratio("sa", "sb"), F.lit(0.5)))
     x = x.withColumn("score", F.round(0.7 * F.col("t") + 0.3 * F.when(F.isnan("s"), 0.5).otherwise(F.col("s")), 4))

@@ -36,7 +36,7 @@ SELECT event_id AS mention_id, event_id % 997 AS episode_id, (event_id % 997) %
        props
 FROM events"""
 EPISODES = """
-SELECT doc_id AS id, source AS show_slug, doc_id % 1000 AS number, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE substring(text, 1, 40) END AS title,
+SELECT doc_id AS id, source AS show_slug, doc_id % 1000 AS number, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE split_part(text, chr(10), 1) END AS title,
        CASE WHEN doc_id % 5 = 0 THEN NULL ELSE text END AS transcript, text AS notes,
        CASE WHEN doc_id % 13 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(doc_id % 120 AS INTEGER) END AS publish_date, n_chars
 FROM documents"""

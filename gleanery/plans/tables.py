@@ -132,9 +132,9 @@ def j23(spark, sf_dir):
 # ---------------------------------------------------------------- duplicates and entities
 
 
-@query("d01_duplicate_groups", "SELECT source AS k1, lower(trim(left(text, 60))) AS k2, count(*) AS n, min(doc_id) AS keep FROM documents GROUP BY ALL HAVING count(*) > 1")
+@query("d01_duplicate_groups", "SELECT source AS k1, lower(trim(split_part(text, chr(10), 1))) AS k2, count(*) AS n, min(doc_id) AS keep FROM documents GROUP BY ALL HAVING count(*) > 1")
 def d01(spark, sf_dir):
-    return D.duplicate_groups(table(spark, sf_dir, "documents"), "doc_id", F.col("source"), F.lower(F.trim(F.substring("text", 1, 60))))
+    return D.duplicate_groups(table(spark, sf_dir, "documents"), "doc_id", F.col("source"), F.lower(F.trim(F.split_part("text", F.lit("\n"), F.lit(1)))))
 
 
 @query(
@@ -150,12 +150,12 @@ def d02(spark, sf_dir):
 
 @query(
     "d03_merge_donors",
-    """WITH e AS (SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN left(text, 30) END AS title, CASE WHEN doc_id % 7 = 0 THEN doc_id % 2 = 0 END AS flag, n_chars, min(doc_id) OVER (PARTITION BY source, lang) AS survivor FROM documents)
+    """WITH e AS (SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN split_part(text, chr(10), 1) END AS title, CASE WHEN doc_id % 7 = 0 THEN doc_id % 2 = 0 END AS flag, n_chars, min(doc_id) OVER (PARTITION BY source, lang) AS survivor FROM documents)
     SELECT survivor AS doc_id, arg_min(title, doc_id) FILTER (title IS NOT NULL) AS title, bool_or(flag) AS flag, max(n_chars) AS n_chars FROM e GROUP BY 1""",
 )
 def d03(spark, sf_dir):
     k = F.col("doc_id")
-    d = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.when(k % 3 == 0, F.substring("text", 1, 30)).alias("title"), F.when(k % 7 == 0, k % 2 == 0).alias("flag"), "n_chars")
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.when(k % 3 == 0, F.split_part("text", F.lit("\n"), F.lit(1))).alias("title"), F.when(k % 7 == 0, k % 2 == 0).alias("flag"), "n_chars")
     survivors = D.choose_survivor(d, "doc_id", F.lit(0), "source", "lang")
     return D.merge_donors(d, "doc_id", survivors, ["title"], ["flag"], ["n_chars"])
 
@@ -228,10 +228,10 @@ def d11(spark, sf_dir):
     return D.collapse_urls(p, "url", "cited", "at", "page_id", ["url"])
 
 
-@query("d12_upsert_oneoff", """WITH o AS (SELECT lower(trim(left(text, 20))) AS key, max(doc_id % 3) AS q FROM documents WHERE doc_id % 2 = 0 GROUP BY 1), n AS (SELECT lower(trim(left(text, 20))) AS key, max(doc_id % 4) AS q FROM documents WHERE doc_id % 2 = 1 GROUP BY 1)
+@query("d12_upsert_oneoff", """WITH o AS (SELECT lower(trim(split_part(text, chr(10), 1))) AS key, max(doc_id % 3) AS q FROM documents WHERE doc_id % 2 = 0 GROUP BY 1), n AS (SELECT lower(trim(split_part(text, chr(10), 1))) AS key, max(doc_id % 4) AS q FROM documents WHERE doc_id % 2 = 1 GROUP BY 1)
     SELECT key, greatest(coalesce(o.q, -1), coalesce(n.q, -1)) AS quality, o.q IS NULL AS created, coalesce(o.q IS NOT NULL AND n.q > o.q, false) AS upgraded FROM o FULL JOIN n USING (key)""")
 def d12(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 20).alias("title"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"))
     k = F.col("doc_id")
     out = D.upsert_oneoff(d.where(k % 2 == 0).select("title", (k % 3).alias("quality")), d.where(k % 2 == 1).select("title", (k % 4).alias("quality")), "title", "quality")
     return out.select("key", "quality", "created", "upgraded")

@@ -246,3 +246,20 @@ def test_late_sources(spark, days, status):
 def test_page_dates(spark):
     pages = ['<meta content="2024-01-02T03:04:05Z" property="article:published_time">', '<script type="application/ld+json">{"datePublished": "2024-02-03"}</script>', '<time datetime="2024-03-04">x</time>', "<p>2024-05-06</p>"]
     assert each(spark, U.page_date, pages) == [dt.date(2024, 1, 2), dt.date(2024, 2, 3), dt.date(2024, 3, 4), None]
+
+
+def test_frequent_words_lose_no_candidate(spark):
+    """Titles that share only words of many titles: the equal one, the nearest one and a one-word name are found."""
+    from gleanery.operators import matching as M
+
+    songs = spark.createDataFrame([(1, "Intro", "Low"), (2, "The One", "Low")], "song_id long, title string, artist string")
+    catalog = spark.createDataFrame([(k, f"Intro {k}", ["x"]) for k in range(40)] + [(90, "intro", ["Low"]), (91, "One Other The", ["Low"])], "catalog_id long, title string, artists array<string>")
+    got = {r.song_id: (r.catalog_id, r.band) for r in M.match_catalog(songs, catalog, most_common=0).collect()}
+    assert got[1] == (90, "HIGH") and got[2][0] == 91
+    wanted = spark.createDataFrame([(1, "s", "the intro of a"), (2, "s", "intro")], "wanted_id long, source string, title string")
+    episodes = spark.createDataFrame([(k, "s", f"intro {k} and much more text") for k in range(40)] + [(90, "s", "the intro of b"), (91, "s", "INTRO")], "episode_id long, source string, title string")
+    for most in (0, 1000):
+        assert {r.wanted_id: r.episode_id for r in M.resolve_titles(wanted, episodes, most_common=most).collect()} == {1: 90, 2: 91}
+    names = spark.createDataFrame([(1, "intro", "report")], "mention_id long, canonical_name string, mention_type string")
+    links = spark.createDataFrame([(f"https://s{k}.example/x", "intro page") for k in range(30)] + [("https://intro.example/", "intro")], "url string, title string")
+    assert M.link_candidates(names, links, most_common=5).where("rank = 1").first().url == "https://intro.example/"
