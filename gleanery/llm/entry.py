@@ -90,4 +90,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_spaced_seed_leaks": op10_spaced_seed_leaks,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TOKENS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+
+ORACLE_SQL: dict[str, str] = {
+    # Every query against every vector.
+    "op2_vantage_point_search": """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+      u AS (SELECT * FROM v WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+      s AS (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score FROM u q JOIN u c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+      SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5""",
+    # All pairs of documents with a common shingle, and labels that spread over the links.
+    "op9_setsketch_near_dups": f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL),
+      s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 4], ' ') END AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+      n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+      p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+      l AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+      r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+      c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1)
+      SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)""",
+    # Equal tokens of all documents and items by offset; the fullest window that starts at an equal token is a fullest window.
+    "op10_spaced_seed_leaks": f"""WITH d AS (SELECT doc_id, {_TOKENS} AS w FROM documents), i AS (SELECT DISTINCT item_id, {_TOKENS} AS w FROM benchmark),
+      dt AS (SELECT doc_id, len(w) AS m, unnest(w) AS t, unnest(range(len(w))) AS p FROM d), it AS (SELECT item_id, len(w) AS n, unnest(w) AS t, unnest(range(len(w))) AS q FROM i WHERE len(w) > 0),
+      e AS (SELECT doc_id, item_id, p - q AS diag, q, m, n, least(n, 20) AS k FROM dt JOIN it USING (t)),
+      x AS (SELECT *, count(*) OVER (PARTITION BY doc_id, item_id, diag ORDER BY q RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING) AS full_, count(*) OVER (PARTITION BY doc_id, item_id, diag) AS every FROM e)
+      SELECT doc_id, item_id, max(CASE WHEN n <= 20 THEN every ELSE full_ END) AS matched, max(k) AS "window" FROM x
+      WHERE least(m, diag + n) - greatest(diag, 0) >= k GROUP BY 1, 2 HAVING max(CASE WHEN n <= 20 THEN every ELSE full_ END) >= max(CASE WHEN n < 10 THEN n ELSE ceil(k * 0.8) END)""",
+}

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from .common import stored
 
 LEAF = 128
-#: Vectors of a shard (about); with 64 numbers each a shard's tree takes 4 MB.
-SHARD_VECTORS = 8192
-#: Queries that meet a tree together.
-QUERY_BLOCK = 1024
+#: Bytes of vectors in a shard, and of queries that meet a tree together. Both travel, so both are alike in size.
+SHARD_BYTES = BLOCK_BYTES = 16 << 20
+#: Bytes of queries up to which all of them are broadcast and no tree travels.
+BROADCAST_BYTES = 16 << 20
 FACTOR = 1.0
 #: Squared distances are compared to 12 digits, so equal vectors tie; the tests of the tree allow for their square roots.
 _SLACK = 2e-6
@@ -109,25 +109,33 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return vectors.where(fine).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
 
 
-def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", factor: float = FACTOR, shard_vectors: int = SHARD_VECTORS) -> DataFrame:
+def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosine of each row of x with that of y, sums taken from the first number to the last."""
+    total = lambda a, b: np.cumsum(a * b, axis=1)[:, -1]
+    return total(x, y) / np.sqrt(total(x, x) * total(y, y))
+
+
+def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", factor: float = FACTOR, shard_vectors: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of each row that ``queries`` selects, by cosine in double precision.
 
     A query's own id is no candidate. Vectors null, zero, or with null or non-finite numbers take no part; vectors of
     another length than the query's are no candidates. Ties go to smaller ids. Ids on several rows: every such row is a
-    candidate for others, and one query is asked for each id. Empty tables give no rows.
+    candidate for others, and one query is asked for each id. Other columns are not read; empty tables give no rows.
 
-    Shards are dealt by a hash of the id; their number follows the number of rows, so a shard fits a task. Blocks of
-    queries meet every shard, k rows for each query come back from each, and the best are kept.
+    Shards are dealt by a hash of id and vector; their number follows the bytes of the vectors, so a shard fits a task.
+    All queries are broadcast if they are few; else blocks of queries as large as a shard meet every tree. k rows for
+    each query come back from each tree, and the best are kept.
     """
     rows = stored(usable(vectors, id_col, vec_col).withColumn("dim", F.size("v")), "vectors")
-    n = rows.count()
-    shards = max(1, -(-n // shard_vectors))
+    n, numbers = rows.agg(F.count("*"), F.coalesce(F.sum("dim"), F.lit(0))).first()
+    shards = max(1, -(-n // shard_vectors) if shard_vectors else -(-8 * numbers // SHARD_BYTES))
     # Equal ids may be many; their rows are dealt by content too.
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int"))
-    asked = rows.where(queries).dropDuplicates(["vec_id"])
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    asked = stored(rows.where(queries).dropDuplicates(["vec_id"]), "queries")
+    size = 8 * asked.agg(F.coalesce(F.sum("dim"), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // BLOCK_BYTES))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    packed = asked.groupBy("block", "dim").agg(F.collect_list(F.struct("vec_id", "v")).alias("asked"))  # about QUERY_BLOCK rows each
+    packed = asked.groupBy("block", "dim").agg(F.collect_list(F.struct("vec_id", "v")).alias("asked"))  # about BLOCK_BYTES each
 
     def plant(key, table):
         table = table.combine_chunks()
@@ -154,12 +162,15 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_
                 found, _ = search(_unit(x), order, nodes, _unit(q), k + 3, factor, q_ids, ids)
                 who, col = np.nonzero(found >= 0)
                 at = found[who, col]
-                dot = np.einsum("ij,ij->i", q[who], x[at])
-                score = dot / (np.sqrt(np.einsum("ij,ij->i", q[who], q[who])) * np.sqrt(np.einsum("ij,ij->i", x[at], x[at])))
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[who]), pa.array(ids[at]), pa.array(score)], ["query_id", "vec_id", "score"])
-
-    pairs = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(packed, ["block", "dim"])
-    found = pairs.repartition(F.col("shard"), F.col("block")).mapInArrow(ask, "query_id long, vec_id long, score double")
+                yield pa.RecordBatch.from_arrays([pa.array(q_ids[who]), pa.array(ids[at]), pa.array(cosines(q[who], x[at]))], ["query_id", "vec_id", "score"])
+
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    met = trees.withColumn("block", every(blocks))
+    if size <= BROADCAST_BYTES:
+        pairs = met.join(F.broadcast(packed), ["block", "dim"])
+    else:
+        pairs = met.join(packed.withColumn("shard", every(shards)), ["shard", "block", "dim"])
+    found = pairs.mapInArrow(ask, "query_id long, vec_id long, score double")
     from pyspark.sql import Window as W
 
     best = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))

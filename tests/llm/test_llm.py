@@ -550,9 +550,10 @@ def test_encoder_equals_the_library():
 # ---------------------------------------------------------------- vectors
 
 
-def test_search_is_exact_at_factor_one(spark):
+def test_search_is_exact_at_factor_one(spark, monkeypatch):
     from pyspark.sql import functions as F
 
+    from gleanery.llm import vp_search as V
     from gleanery.llm.vp_search import nearest
 
     rng = np.random.default_rng(3)
@@ -562,7 +563,9 @@ def test_search_is_exact_at_factor_one(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     u = x.astype(float)
     norm = np.linalg.norm(u, axis=1)
-    for factor, least in ((1.0, 1.0), (0.7, 0.9)):
+    for factor, least, most in ((1.0, 1.0, 16 << 20), (1.0, 1.0, 0), (0.7, 0.9, 16 << 20)):
+        monkeypatch.setattr(V, "BROADCAST_BYTES", most)  # 0: trees and blocks of queries are joined
+        monkeypatch.setattr(V, "BLOCK_BYTES", 16 << 20 if most else 500)
         got = nearest(df, F.col("vec_id") % 50 == 0, shard_vectors=200, factor=factor).toPandas()
         assert set(got.query_id) == set(range(0, 900, 50))
         hit = 0
@@ -591,6 +594,32 @@ def test_licence_rules(spark):
     assert scan_licenses(odd(spark)).count() == 8 and scan_licenses(odd(spark).limit(0)).count() == 0
 
 
+def test_licences_in_wrapped_comments(spark):
+    import textwrap
+
+    from gleanery.llm.licenses import scan_licenses
+
+    mit = 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.'
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n3. Neither the name of the Example Project nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    zlib = "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"
+    rows, want, k = [], {}, 0
+    for text, name in ((mit, "MIT"), (apache, "Apache-2.0"), (gpl, "GPL-3-or-later"), (bsd, "BSD-3-Clause"), (zlib, "Zlib")):
+        for lead, first, last in (("", "", ""), (" * ", "/*\n", "\n */"), ("# ", "", ""), ("// ", "", ""), ("", "<!--\n", "\n-->")):
+            for width in (60, 76, 10_000):
+                lines = [x for p in text.split("\n") for x in (textwrap.wrap(p, width) or [""])]
+                rows.append((k, "Some title\n\n" + first + "\n".join((lead + x).rstrip() for x in lines) + last + "\n\nint main() {}"))
+                want[k] = name
+                k += 1
+    got = {r.doc_id: r.licences for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: [x.licence for x in v] for d, v in got.items()} == {d: [n] for d, n in want.items()}
+    text = dict(rows)
+    for d, v in got.items():
+        part = text[d][v[0].start : v[0].end]
+        assert part[:9].lower() in ("permissio", "licensed ", "this prog", "redistrib", "this soft") and part[-1] in ".:"
+
+
 def test_licence_names_in_documents(spark):
     from gleanery.llm.licenses import licence_digest
 
