@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from .common import stored
 
 LEAF = 128
-#: Bytes of vectors in a shard, and of queries that meet a tree together. Both travel, so both are alike in size.
-SHARD_BYTES = BLOCK_BYTES = 16 << 20
+#: Bytes of vectors in a shard, and of queries that meet a tree together.
+SHARD_BYTES, BLOCK_BYTES = 4 << 20, 16 << 20
 #: Bytes of queries up to which all of them are broadcast and no tree travels.
 BROADCAST_BYTES = 16 << 20
 FACTOR = 1.0
@@ -123,8 +123,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_
     candidate for others, and one query is asked for each id. Other columns are not read; empty tables give no rows.
 
     Shards are dealt by a hash of id and vector; their number follows the bytes of the vectors, so a shard fits a task.
-    All queries are broadcast if they are few; else blocks of queries as large as a shard meet every tree. k rows for
-    each query come back from each tree, and the best are kept.
+    All queries are broadcast to the trees if they are few, and a tree is asked where it is planted; else blocks of
+    queries meet every tree in a join. k rows for each query come back from each tree, and the best are kept.
     """
     rows = stored(usable(vectors, id_col, vec_col).withColumn("dim", F.size("v")), "vectors")
     n, numbers = rows.agg(F.count("*"), F.coalesce(F.sum("dim"), F.lit(0))).first()
@@ -144,7 +144,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_
         node = np.array(nodes, np.float64)
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "dim": pa.array([key[1].as_py()], pa.int32()), "ids": pa.array([table.column("vec_id").to_numpy().tobytes()], pa.binary()), "raw": pa.array([x.tobytes()], pa.binary()), "ord": pa.array([order.astype(np.int64).tobytes()], pa.binary()), "node": pa.array([node.tobytes()], pa.binary())})
 
-    trees = stored(dealt.groupBy("shard", "dim").applyInArrow(plant, "shard int, dim int, ids binary, raw binary, ord binary, node binary"), "vp-trees")
+    trees = dealt.groupBy("shard", "dim").applyInArrow(plant, "shard int, dim int, ids binary, raw binary, ord binary, node binary")
 
     def ask(batches):
         for batch in batches:
@@ -165,11 +165,10 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_
                 yield pa.RecordBatch.from_arrays([pa.array(q_ids[who]), pa.array(ids[at]), pa.array(cosines(q[who], x[at]))], ["query_id", "vec_id", "score"])
 
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    met = trees.withColumn("block", every(blocks))
     if size <= BROADCAST_BYTES:
-        pairs = met.join(F.broadcast(packed), ["block", "dim"])
+        pairs = trees.withColumn("block", every(blocks)).join(F.broadcast(packed), ["block", "dim"])
     else:
-        pairs = met.join(packed.withColumn("shard", every(shards)), ["shard", "block", "dim"])
+        pairs = stored(trees, "vp-trees").withColumn("block", every(blocks)).join(packed.withColumn("shard", every(shards)), ["shard", "block", "dim"])
     found = pairs.mapInArrow(ask, "query_id long, vec_id long, score double")
     from pyspark.sql import Window as W
 
