@@ -302,6 +302,17 @@ def test_leaks_find_passages_with_substitutions(spark):
     assert X.leaks(odd(spark), bench).count() == 0 and X.leaks(docs, bench.limit(0)).count() == 0 and X.drop_leaks(odd(spark), bench).count() == 9
 
 
+def test_leaks_with_null_items_repeated_rows_and_ties(spark):
+    from gleanery.llm.decontaminate import drop_leaks, leaks
+
+    passage = " ".join(f"p{k}" for k in range(12))
+    bench = spark.createDataFrame([(1, passage), (1, passage), (2, passage), (3, None), (4, ""), (None, passage), (5, " .,; ")], "item_id long, text string")
+    rows = [(1, f"a b {passage} c {passage}"), (1, f"a b {passage} c {passage}"), (2, passage.upper()), (3, None), (4, "p0 p1 p2"), (None, passage)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in leaks(df, bench).collect()) == [(1, 1, 12, 12), (1, 2, 12, 12), (2, 1, 12, 12), (2, 2, 12, 12)]
+    assert sorted((r.doc_id for r in drop_leaks(df, bench).collect()), key=str) == [3, 4, None]
+
+
 def test_a_mask_fits_every_allowed_pattern():
     import itertools
     import math
@@ -461,6 +472,44 @@ def test_packing_keeps_all_tokens(spark):
     assert (got.groupby("bin_id").length.sum() <= got.groupby("bin_id").bin_size.first()).all() and pack_documents(odd(spark).limit(0)).count() == 0
 
 
+def test_packing_equals_a_plain_search():
+    """The same rule over a list of all open bins, looked through for each piece."""
+    from gleanery.llm.packing import OVERHEAD, pack
+
+    rng = np.random.default_rng(11)
+    for sizes in ((8, 16, 64), (10,), (5, 7, 11, 100)):
+        for _ in range(40):
+            lengths = rng.integers(1, 2 * max(sizes), int(rng.integers(0, 50)))
+            top, want, bins = max(sizes), {}, []
+            held, room = dict.fromkeys(sizes, 1.0), dict.fromkeys(sizes, 1.0)
+            for t, n in enumerate(lengths.tolist()):
+                for p in range(n // top):
+                    want[(t, p)] = (top, 0, top)
+            for t in sorted(range(len(lengths)), key=lambda t: (-(lengths[t] % top), t)):
+                n = int(lengths[t] % top)
+                if not n:
+                    continue
+                fit = [(b["size"] - b["fill"], -b["used"], k) for k, b in enumerate(bins) if b["size"] - b["fill"] >= n]
+                if fit:
+                    k = min(fit)[2]  # least free space; of equal ones the bin that was used last
+                else:
+                    size = min((s for s in sizes if s >= n), key=lambda s: ((s + OVERHEAD) / max(n, s * held[s] / room[s]), s))
+                    room[size] += size
+                    bins.append({"size": size, "fill": 0, "used": 0, "in": []})
+                    k = len(bins) - 1
+                b = bins[k]
+                b["in"].append((t, int(lengths[t] // top), b["fill"], n))
+                b["fill"] += n
+                held[b["size"]] += n
+                b["used"] = sum(len(x["in"]) for x in bins)
+            for b in bins:
+                final = min(s for s in sizes if s >= b["fill"])
+                want |= {(t, p): (final, start, n) for t, p, start, n in b["in"]}
+            text, piece, which, start, length, final = pack(lengths, sizes)
+            got = {(t, p): (int(final[b]), s, n) for t, p, b, s, n in zip(text.tolist(), piece.tolist(), which.tolist(), start.tolist(), length.tolist(), strict=True)}
+            assert got == want and len(final) == len(bins) + sum(n // top for n in lengths.tolist())
+
+
 def test_best_fit_beats_one_size():
     from gleanery.llm.packing import OVERHEAD, SIZES, pack
 
@@ -670,6 +719,44 @@ def test_scores_equal_a_plain_loop(spark, docs):
     assert x.count() == 9 and x.where("n_tokens = 0 and log_prob = 0 and mean_log_prob is null").count() == 3 and lm_scores(odd(spark).limit(0)).count() == 0
 
 
+def test_scores_by_hand(spark, docs):
+    """Sums of log-probabilities from the parameters and word counts alone, a token at a time in plain Python."""
+    import math
+
+    from gleanery.llm import pseudo_lm as M
+    from gleanery.llm.common import text_buffer, words_of
+
+    import pyarrow as pa
+
+    rows = docs.select("doc_id", "text").limit(30)
+    hashes, flat = M.train(rows)
+    at, p = 0, {}
+    for name, shape in M._SHAPES.items():
+        size = int(np.prod(shape))
+        p[name] = flat[at : at + size].astype(float).reshape(shape)
+        at += size
+    frequent = {h: M.RARE + 1 + k for k, h in enumerate(hashes[: M.FREQUENT].tolist())}
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    words = {d: words_of(*text_buffer(pa.array([t])))[2].tolist() for d, t in texts.items()}
+    count = collections.Counter(h for w in words.values() for h in w)
+    cell = lambda h: frequent.get(h, 1 + h % M.RARE)
+    in_cell = collections.Counter()
+    for h, n in count.items():
+        in_cell[cell(h)] += n
+    soft = lambda z, k: z[k] - max(z) - math.log(sum(math.exp(x - max(z)) for x in z))
+    got = {r.doc_id: r for r in M.lm_scores(rows).collect()}
+    for d in sorted(words, key=lambda d: len(words[d]))[:12]:
+        ids, total = [cell(h) for h in words[d]], 0.0
+        for k, i in enumerate(ids):
+            places = [*range(k - M.SIDE, k), *range(k + 1, k + M.SIDE + 1)]
+            h = np.tanh(p["hb"] + sum(p["ctx"][n][ids[x] if 0 <= x < len(ids) else 0] for n, x in enumerate(places)))
+            c, m = divmod(i, M.MEMBERS)
+            total += soft((h @ p["cw"] + p["cb"]).tolist(), c) + soft((h @ p["mw"][c] + p["mb"][c]).tolist(), m)
+            if i <= M.RARE:
+                total += math.log(count[words[d][k]] / in_cell[i])
+        assert got[d].n_tokens == len(ids) and abs(got[d].log_prob - total) < 1e-3 * max(1, abs(total)), d
+
+
 def test_every_word_has_its_own_probability(spark, docs, monkeypatch):
     from gleanery.llm import pseudo_lm as M
 
@@ -713,3 +800,32 @@ def test_pipeline_stages(spark):
     kept = {r.doc_id for r in docs.select("doc_id").collect()}
     packed = P.run(spark, SF).select("doc_id").distinct().collect()
     assert {r.doc_id for r in packed} == kept and 50 < len(kept) < 200
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls, empty and repeated rows, an id on two texts, and columns with names that the stages use."""
+    import corpus_pipeline as P
+
+    rng = random.Random(3)
+    text = lambda n: " ".join(f"w{rng.randrange(9000)}" for _ in range(n))
+    twin, leak = text(80), text(30)
+    rows = [(1, twin), (2, twin), (3, twin + " more"), (4, None), (5, ""), (6, "a b"), (6, text(50)), (7, f"x {leak} y"), (None, text(40)), (8, "write to me@example.com now"), (8, "write to me@example.com now"), (9, text(3000))]
+    names = ("row", "gone", "score", "th", "found", "bin_id")
+    sf = f"file://{tmp_path}"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names)
+    spark.createDataFrame([(d, t, "en", "s", 0, *range(len(names))) for d, t in rows], schema).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(1, leak), (2, None)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in P.STAGES[:-1]:
+        after = stage(spark, docs, sf)
+        assert after.columns == docs.columns and after.dtypes == docs.dtypes, name
+        docs = after
+    kept = sorted((r.doc_id for r in docs.collect()), key=str)
+    assert kept == [1, 4, 5, 6, 6, 8, 8, 9, None] and docs.where("text like '%[EMAIL]%'").count() == 2
+    packed = P.run(spark, sf).toPandas()
+    assert sorted(set(packed.doc_id.dropna().astype(int))) == [1, 4, 5, 6, 8, 9] and (packed.length > 0).all()
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{tmp_path}/empty/documents.parquet")
+    for name in ("benchmark", "labels"):
+        spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{sf}/empty/{name}.parquet")
+    assert P.run(spark, f"{sf}/empty").count() == 0
