@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanery.llm.common import stored
@@ -33,8 +34,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in which sequence."""
-    return pack_documents(docs)
+    """Where each piece of each document lies in which sequence; lengths are those of a public tokenizer."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [

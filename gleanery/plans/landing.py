@@ -20,7 +20,8 @@ def s03(spark, sf_dir):
     return S.join_paragraphs(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text")
 
 
-@query("s10_subtitle_text")
+@query("s10_subtitle_text", r"""WITH l AS (SELECT conv_id, turn, unnest(list_transform(string_split_regex(text, '\r?\n'), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')))) AS x, unnest(range(len(string_split_regex(text, '\r?\n')))) AS k FROM conversations)
+    SELECT c.conv_id, c.turn, CASE WHEN c.text IS NOT NULL THEN coalesce(string_agg(x, ' ' ORDER BY k), '') END AS text FROM conversations c LEFT JOIN l ON l.conv_id = c.conv_id AND l.turn = c.turn AND x <> '' AND NOT regexp_matches(x, '^\d+$') AND NOT contains(x, '-->') AND NOT regexp_matches(x, '^(WEBVTT|NOTE|Kind:|Language:)') GROUP BY c.conv_id, c.turn, c.text""")
 def s10(spark, sf_dir):
     from ..functions.text import subtitle_text
 

@@ -37,7 +37,9 @@ def n04(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.collapse_blanks(F.col("text")).alias("flat"), T.match_form(F.col("text")).alias("form"))
 
 
-@query("n05_html_text")
+@query("n05_html_text", r"""WITH b AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g') AS t FROM pages),
+    u AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(t, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&') AS t FROM b)
+    SELECT page_id, trim(regexp_replace(trim(regexp_replace(t, '[\s\x{00a0}]+', ' ', 'g')), ' +([.,;:!?])', '\1', 'g')) AS text FROM u""")
 def n05(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", T.html_to_text(F.col("html")).alias("text"))
 
@@ -153,7 +155,7 @@ def n28(spark, sf_dir):
     return e.groupBy(F.col("event_type").alias("model")).agg(F.round(F.sum(cost), 6).alias("cost"))
 
 
-@query("n30_short_quote")
+@query("n30_short_quote", r"""WITH f AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS f FROM documents) SELECT doc_id, CASE WHEN length(f) <= 480 THEN f ELSE concat(regexp_replace(left(f, 240), ' [^ ]*$', ''), ' … ', regexp_replace(right(f, 240), '^[^ ]* ', '')) END AS quote FROM f""")
 def n30(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.short_quote(F.col("text")).alias("quote"))
 

@@ -43,14 +43,24 @@ def _drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
-@query("st01_late_transcripts")
+@query("st01_late_transcripts", "SELECT doc_id AS episode_id, text, CASE WHEN doc_id % 5 <> 0 AND doc_id % 3 <> 0 THEN 'transcript' ELSE 'show_notes' END AS source FROM documents")
 def st01(spark, sf_dir):
-    at = (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("doc_id").cast("int") % 120)).alias
-    d = _stream(spark, sf_dir, "documents")
-    episodes = d.select(F.col("doc_id").alias("episode_id"), at("published"), F.col("text").alias("notes"))
-    late = F.when(F.col("doc_id") % 3 == 0, 10).otherwise(2)
-    transcripts = _stream(spark, sf_dir, "documents").where("doc_id % 5 <> 0").select(F.col("doc_id").alias("t_episode_id"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("doc_id").cast("int") % 120 + late)).alias("arrived"), F.col("text").alias("transcript"))
-    return _drain(J.wait_for_transcript(episodes, transcripts), "st01").select("episode_id", "text", "source")
+    """A transcript comes after 2 days, or after 10 days, which is too late; later rows of both streams move the watermark."""
+    root = _scratch(spark, "st01")
+    k = F.col("doc_id")
+    at = lambda days: F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(days)
+    d = table(spark, sf_dir, "documents")
+    episodes = d.select(k.alias("episode_id"), at(k.cast("int") % 120).alias("published"), F.col("text").alias("notes"))
+    transcripts = d.where(k % 5 != 0).select(k.alias("t_episode_id"), at(k.cast("int") % 120 + F.when(k % 3 == 0, 10).otherwise(2)).alias("arrived"), F.col("text").alias("transcript"))
+    for step in (0, 1, 2):
+        for rows, name in ((episodes, "episodes"), (transcripts, "transcripts")):
+            later = spark.range(1).select(F.lit(-1 - step).cast("long"), at(F.lit(1000 * step)), F.lit("later"))
+            (later.toDF(*rows.columns) if step else rows).write.mode("append").parquet(f"{root}/{name}")
+        e, t = (spark.readStream.schema(rows.schema).parquet(f"{root}/{name}") for rows, name in ((episodes, "episodes"), (transcripts, "transcripts")))
+        stream = J.wait_for_transcript(e, t)
+        save = lambda df, n: df.write.mode("append").parquet(f"{root}/out")
+        stream.writeStream.foreachBatch(save).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/out").where("episode_id >= 0").select("episode_id", "text", "source")
 
 
 @query("st03_drop_repeats", "SELECT DISTINCT user_id FROM events")
