@@ -101,7 +101,12 @@ def j16(spark, sf_dir):
     return M.locate_passages(table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "passage_id"), table(spark, sf_dir, "documents"))
 
 
-@query("j18_link_candidates")
+@query("j18_link_candidates", r"""WITH m AS (SELECT p_partkey AS mention_id, list_filter(string_split_regex(lower(p_name), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS mt FROM part WHERE p_partkey % 10 = 0),
+    k AS (SELECT DISTINCT url, list_filter(string_split_regex(lower(concat(p_name, ' ', url)), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS lt FROM pages JOIN part ON page_id = p_partkey),
+    s AS (SELECT mention_id, url, round(greatest(0.0, least(1.0, 0.45 * len(list_intersect(mt, lt)) / len(list_distinct(mt)) + CASE WHEN contains(replace(regexp_replace(lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)', 1)), '^www\.', ''), '.', ''), array_to_string(mt, '')) THEN 0.30 ELSE 0 END
+      + CASE WHEN ends_with(lower(url), '.pdf') THEN 0.15 ELSE 0 END - CASE WHEN regexp_matches(url, '(?i)[/?](search|s)\b') THEN 0.30 ELSE 0 END + 0.1)), 4) AS score FROM m JOIN k ON len(list_intersect(mt, lt)) > 0),
+    o AS (SELECT mention_id, url, max(score) AS score FROM s GROUP BY 1, 2)
+    SELECT mention_id, url, score, CAST(row_number() OVER w AS INTEGER) AS rank FROM o WINDOW w AS (PARTITION BY mention_id ORDER BY score DESC, url) QUALIFY row_number() OVER w <= 3""")
 def j18(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     mentions = p.where("p_partkey % 10 = 0").select(F.col("p_partkey").alias("mention_id"), F.col("p_name").alias("canonical_name"), F.lit("report").alias("mention_type"))

@@ -61,7 +61,10 @@ def k05(spark, sf_dir):
     return p.select("doc_id", read["body"].alias("body"), read["lang"].alias("lang"))
 
 
-@query("k06_text_pieces")
+@query("k06_text_pieces", r"""WITH RECURSIVE r AS (SELECT doc_id, text AS t, -1 AS pos, CAST(NULL AS VARCHAR) AS piece FROM documents WHERE regexp_matches(text, '\S')
+    UNION ALL SELECT doc_id, CASE WHEN length(t) > 1900 THEN CASE WHEN cut >= 1 THEN substr(t, cut + 2) ELSE substr(t, 1901) END END, pos + 1, CASE WHEN length(t) <= 1900 THEN t WHEN cut >= 1 THEN left(t, cut) ELSE left(t, 1900) END
+      FROM (SELECT *, 1899 - length(regexp_extract(left(t, 1900), '[^ \n\t]*$')) AS cut FROM r WHERE t IS NOT NULL))
+    SELECT doc_id, pos, piece, CAST(floor(pos / 100) AS INTEGER) AS request FROM r WHERE piece <> ''""")
 def k06(spark, sf_dir):
     return K.text_pieces(table(spark, sf_dir, "documents"), "doc_id", "text")
 
