@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy step handles at once; a step needs about 60 times as much memory.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+#: Bytes of rows that a Python worker gets at once while a frame is written: wide texts would otherwise come 10,000 rows
+#: at a time, once in the JVM's direct memory and some times over in the worker.
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,11 +39,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gleanery/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of at most BATCH_BYTES; the session's setting comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write a frame to the shared folder and read it: lineage is cut and lost executors cost nothing."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

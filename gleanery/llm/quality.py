@@ -180,7 +180,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     def score(texts):
         scores, bias = shared.value
         data, offsets = text_buffer(pa.Array.from_pandas(texts, type=pa.large_string()))
-        z = np.concatenate([logits(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], scores, bias) for a, b in chunks(offsets, 1 << 20)] or [np.zeros(0)])
+        z = np.concatenate([logits(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], scores, bias) for a, b in chunks(offsets)] or [np.zeros(0)])
         import pandas as pd
 
         return pd.Series(1 / (1 + np.exp(-z)))
