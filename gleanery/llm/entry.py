@@ -15,7 +15,10 @@ from .pii import pii_digest
 from .pseudo_lm import lm_scores
 from .quality import labels_of, quality_report
 from .repeats import removal_digest
+from .spelling import group_variants
+from .text_rank import rank_documents
 from .token_files import token_digests
+from .url_filter import filter_urls
 from .vp_search import nearest
 
 
@@ -77,6 +80,21 @@ def op10_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_automaton_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents that rank highest for each benchmark item."""
+    return rank_documents(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_markov_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    return filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_pivotal_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the corpus with the frequent words that they are variants of."""
+    return group_variants(_docs(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_masked_pseudo_likelihood": op1_masked_pseudo_likelihood,
     "op2_vantage_point_search": op2_vantage_point_search,
@@ -88,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_merged_bwt_repeats": op8_merged_bwt_repeats,
     "op9_setsketch_near_dups": op9_setsketch_near_dups,
     "op10_spaced_seed_leaks": op10_spaced_seed_leaks,
+    "op11_automaton_ranking": op11_automaton_ranking,
+    "op12_markov_url_filter": op12_markov_url_filter,
+    "op13_pivotal_gram_variants": op13_pivotal_gram_variants,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
