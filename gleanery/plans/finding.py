@@ -63,15 +63,26 @@ def f06(spark, sf_dir):
 def j12(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    wanted = p.where(k % 20 == 0).select(k.alias("wanted_id"), F.lit("x").alias("source"), F.concat("p_name", F.when(k % 3 == 0, "s").otherwise("")).alias("title"))
+    wanted = p.select(k.alias("wanted_id"), F.lit("x").alias("source"), F.concat("p_name", F.when(k % 3 == 0, "s").otherwise("")).alias("title"))
     return M.resolve_titles(wanted, p.select(k.alias("episode_id"), F.lit("x").alias("source"), F.col("p_name").alias("title")))
 
 
-@query("j13_catalog_match")
+# Longest common subsequences of all pairs of texts of two tables (x) and (y), one row of the table of lengths at a time.
+_LCS = """list_reduce(list_transform(string_split(x, ''), lambda c: [CAST(unicode(c) AS BIGINT)]), lambda r, c: list_reduce(list_transform(range(1, len(y) + 1), lambda j: [j]),
+      lambda n, j: list_append(n, CASE WHEN unicode(y[j[1]]) = c[1] THEN r[j[1]] + 1 ELSE greatest(r[j[1] + 1], n[j[1]]) END), [CAST(0 AS BIGINT)]), list_transform(range(len(y) + 1), lambda j: CAST(0 AS BIGINT)))[len(y) + 1]"""
+
+
+@query("j13_catalog_match", f"""WITH s AS (SELECT p_partkey AS song_id, lower(concat(p_name, ' ok')) AS a, trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g')) AS r, p_partkey FROM part), c AS (SELECT p_partkey AS catalog_id, lower(p_name) AS b, trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g')) AS r FROM part),
+    t AS (SELECT a AS x, b AS y FROM (SELECT DISTINCT a FROM s) JOIN (SELECT DISTINCT b FROM c) ON len(list_intersect(string_split(a, ' '), string_split(b, ' '))) > 0), n AS (SELECT i.r AS x, j.r AS y FROM (SELECT DISTINCT r FROM s) i, (SELECT DISTINCT r FROM c) j),
+    tr AS (SELECT x AS a, y AS b, round_even(100.0::DOUBLE * 2 * ({_LCS}) / (len(x) + len(y)), 0) / 100 AS t FROM t), nr AS (SELECT x, y, round_even(100.0::DOUBLE * 2 * ({_LCS}) / (len(x) + len(y)), 0) / 100 AS q FROM n),
+    k AS (SELECT b, r, min(catalog_id) AS catalog_id FROM c GROUP BY ALL), d AS (SELECT DISTINCT a, r FROM s),
+    m AS (SELECT d.a, d.r, catalog_id, round(CAST(CAST(0.55::DOUBLE * t + 0.45::DOUBLE * q AS VARCHAR) AS DECIMAL(30, 20)), 3)::DOUBLE AS score FROM d JOIN tr USING (a) JOIN k USING (b) JOIN nr ON nr.x = d.r AND nr.y = k.r),
+    best AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY a, r ORDER BY score DESC, catalog_id) = 1)
+    SELECT song_id, catalog_id, score, CASE WHEN score >= 0.9 THEN 'HIGH' WHEN score >= 0.7 THEN 'MEDIUM' ELSE 'LOW' END AS band FROM s JOIN best USING (a, r)""")
 def j13(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    songs = p.where(k % 20 == 0).select(k.alias("song_id"), F.concat(F.col("p_name"), F.lit(" ok")).alias("title"), F.col("p_brand").alias("artist"))
+    songs = p.select(k.alias("song_id"), F.concat(F.col("p_name"), F.lit(" ok")).alias("title"), F.col("p_brand").alias("artist"))
     return M.match_catalog(songs, p.select(k.alias("catalog_id"), F.col("p_name").alias("title"), F.array("p_brand").alias("artists")))
 
 
@@ -79,12 +90,10 @@ def j13(spark, sf_dir):
 def j15(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    wanted = p.where(k % 20 == 0).select(k.alias("wanted_id"), F.col("p_name").alias("title"), F.when(k % 40 == 0, F.col("p_brand")).alias("source"))
+    wanted = p.select(k.alias("wanted_id"), F.col("p_name").alias("title"), F.when(k % 40 == 0, F.col("p_brand")).alias("source"))
     return M.weighted_title_match(wanted, p.select(k.alias("episode_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("source")))
 
 
-
-
 def _runs(name: str, id_col: str, source: str) -> str:
     return f"{name} AS (SELECT {id_col}, len(w) AS n, unnest(range(0, greatest(len(w) - 4, 0))) AS pos, w FROM (SELECT {id_col}, {_W} AS w FROM {source}))"
 
@@ -101,7 +110,7 @@ def j16(spark, sf_dir):
     return M.locate_passages(table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "passage_id"), table(spark, sf_dir, "documents"))
 
 
-@query("j18_link_candidates", r"""WITH m AS (SELECT p_partkey AS mention_id, list_filter(string_split_regex(lower(p_name), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS mt FROM part WHERE p_partkey % 10 = 0),
+@query("j18_link_candidates", r"""WITH m AS (SELECT p_partkey AS mention_id, list_filter(string_split_regex(lower(p_name), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS mt FROM part),
     k AS (SELECT DISTINCT url, list_filter(string_split_regex(lower(concat(p_name, ' ', url)), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS lt FROM pages JOIN part ON page_id = p_partkey),
     s AS (SELECT mention_id, url, round(greatest(0.0, least(1.0, 0.45 * len(list_intersect(mt, lt)) / len(list_distinct(mt)) + CASE WHEN contains(replace(regexp_replace(lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)', 1)), '^www\.', ''), '.', ''), array_to_string(mt, '')) THEN 0.30 ELSE 0 END
       + CASE WHEN ends_with(lower(url), '.pdf') THEN 0.15 ELSE 0 END - CASE WHEN regexp_matches(url, '(?i)[/?](search|s)\b') THEN 0.30 ELSE 0 END + 0.1)), 4) AS score FROM m JOIN k ON len(list_intersect(mt, lt)) > 0),
@@ -109,7 +118,7 @@ def j16(spark, sf_dir):
     SELECT mention_id, url, score, CAST(row_number() OVER w AS INTEGER) AS rank FROM o WINDOW w AS (PARTITION BY mention_id ORDER BY score DESC, url) QUALIFY row_number() OVER w <= 3""")
 def j18(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    mentions = p.where("p_partkey % 10 = 0").select(F.col("p_partkey").alias("mention_id"), F.col("p_name").alias("canonical_name"), F.lit("report").alias("mention_type"))
+    mentions = p.select(F.col("p_partkey").alias("mention_id"), F.col("p_name").alias("canonical_name"), F.lit("report").alias("mention_type"))
     links = table(spark, sf_dir, "pages").select("page_id", "url").join(p.select(F.col("p_partkey").alias("page_id"), F.col("p_name").alias("title")), "page_id").select("url", "title")
     return M.link_candidates(mentions, links)
 
@@ -128,7 +137,7 @@ def j17(spark, sf_dir):
 def j20(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    mentions = p.where(k % 10 == 0).select(k.alias("mention_id"), (k % 50).alias("entity_id"), F.col("p_name").alias("canonical_name"), F.lit("report").alias("mention_type"), F.when(k % 30 == 0, F.lit("https://kept.example/x")).alias("source_url"), F.lit("missing").alias("link_status"), F.lit(None).cast("double").alias("link_confidence"))
+    mentions = p.select(k.alias("mention_id"), (k % 50).alias("entity_id"), F.col("p_name").alias("canonical_name"), F.lit("report").alias("mention_type"), F.when(k % 30 == 0, F.lit("https://kept.example/x")).alias("source_url"), F.lit("missing").alias("link_status"), F.lit(None).cast("double").alias("link_confidence"))
     links = table(spark, sf_dir, "pages").select("page_id", "url").join(p.select(k.alias("page_id"), F.col("p_name").alias("title")), "page_id").select("url", "title")
     best = M.link_candidates(mentions, links).join(mentions.select("mention_id", "canonical_name"), "mention_id").join(links, "url")
     entities = mentions.select(F.col("entity_id").alias("id")).distinct().withColumn("primary_url", F.lit(None).cast("string"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -254,7 +256,7 @@ def test_frequent_words_lose_no_candidate(spark):
 
     songs = spark.createDataFrame([(1, "Intro", "Low"), (2, "The One", "Low")], "song_id long, title string, artist string")
     catalog = spark.createDataFrame([(k, f"Intro {k}", ["x"]) for k in range(40)] + [(90, "intro", ["Low"]), (91, "One Other The", ["Low"])], "catalog_id long, title string, artists array<string>")
-    got = {r.song_id: (r.catalog_id, r.band) for r in M.match_catalog(songs, catalog, most_common=0).collect()}
+    got = {r.song_id: (r.catalog_id, r.band) for r in M.match_catalog(songs, catalog, block=4).collect()}
     assert got[1] == (90, "HIGH") and got[2][0] == 91
     wanted = spark.createDataFrame([(1, "s", "the intro of a"), (2, "s", "intro")], "wanted_id long, source string, title string")
     episodes = spark.createDataFrame([(k, "s", f"intro {k} and much more text") for k in range(40)] + [(90, "s", "the intro of b"), (91, "s", "INTRO")], "episode_id long, source string, title string")
@@ -262,4 +264,58 @@ def test_frequent_words_lose_no_candidate(spark):
         assert {r.wanted_id: r.episode_id for r in M.resolve_titles(wanted, episodes, most_common=most).collect()} == {1: 90, 2: 91}
     names = spark.createDataFrame([(1, "intro", "report")], "mention_id long, canonical_name string, mention_type string")
     links = spark.createDataFrame([(f"https://s{k}.example/x", "intro page") for k in range(30)] + [("https://intro.example/", "intro")], "url string, title string")
-    assert M.link_candidates(names, links, most_common=5).where("rank = 1").first().url == "https://intro.example/"
+    assert M.link_candidates(names, links, block=4).where("rank = 1").first().url == "https://intro.example/"
+
+
+@pytest.mark.parametrize("titles", [900, 1100])
+def test_best_title_over_a_frequent_word(spark, titles):
+    """A song that shares a rare word with one odd title still finds the title that it shares a very frequent word with."""
+    from gleanery.operators.matching import match_catalog
+
+    songs = spark.createDataFrame([(1, "intro zeta", "ann")], "song_id long, title string, artist string")
+    rows = [(5, "intro zetas", ["ann"]), (6, "zeta of something else altogether", ["bob"])] + [(100 + k, f"intro a{k}", ["x"]) for k in range(titles)]
+    found = match_catalog(songs, spark.createDataFrame(rows, "catalog_id long, title string, artists array<string>")).first()
+    assert (found.catalog_id, found.score, found.band) == (5, 0.972, "HIGH")
+
+
+def test_matches_equal_all_pairs_over_skewed_words(spark):
+    from gleanery.operators import matching as M
+
+    rng = random.Random(6)
+    often, rare = ["the", "love", "of"], [f"w{k}" for k in range(60)]
+    title = lambda: " ".join(rng.choice(often if rng.random() < 0.7 else rare) for _ in range(rng.randrange(0, 5))) + rng.choice(["", "", "s", "!"])
+    who = lambda: rng.choice(["ann", "Bo", "ann lee", None, "", "zoë " * 80])
+    songs = [(k, title(), who()) for k in range(160)] + [(900, None, "ann"), (901, "love", "ann"), (902, "love " * 70, "Bo")]
+    catalog = [(k, title(), rng.choice([None, [], [who()], [who(), who()]])) for k in range(400)] + [(1000, "love", ["ann"]), (1001, "love", ["ann"]), (1002, None, ["x"])]
+    s = spark.createDataFrame(songs, "song_id long, title string, artist string").select("*", T.match_form(F.col("title")).alias("a"), T.match_form(F.col("artist")).alias("r"))
+    c = spark.createDataFrame(catalog, "catalog_id long, title string, artists array<string>").select("*", T.match_form(F.col("title")).alias("b"))
+    cut = lambda x: {w for w in re.split(r"[\W_]+", (x or "").lower()) if w}
+    forms = {r.catalog_id: [None if x is None else re.sub(r"[\W_]+", " ", x.lower()).strip() for x in (r.artists or [])] for r in c.collect()}
+    rows, wanted = c.collect(), {}
+
+    def ratio(x, y):
+        n = len(x or "") + len(y or "")
+        return round(100 * 2 * M._lcs(x, y) / n) / 100 if x and y else 0.0
+
+    for x in s.collect():
+        best = [(M._half_up(0.55 * ratio(x.a, y.b) + 0.45 * max((ratio(x.r, z) for z in forms[y.catalog_id]), default=0.0), 3), -y.catalog_id) for y in rows if x.a is not None and y.b is not None and (cut(x.a) & cut(y.b) or x.a == y.b)]
+        wanted[x.song_id] = max(best) if best else (None, None)
+    for block in (16, 1024):
+        got = {r.song_id: (r.score, None if r.catalog_id is None else -r.catalog_id) for r in M.match_catalog(s.select("song_id", "title", "artist"), c.drop("b"), block=block).collect()}
+        assert got == wanted
+
+    links = spark.createDataFrame([(f"https://{rng.choice(['thelove', 'w3', 'site'])}.com/{k % 90}{rng.choice(['', '.pdf', '/search'])}", title()) for k in range(300)], "url string, title string")
+    names = [(k, title(), rng.choice(["report", "tool", None])) for k in range(120)]
+    names_frame = spark.createDataFrame(names, "mention_id long, canonical_name string, mention_type string")
+    plain = {}
+    for m, name, kind in names:
+        mt, score = [w for w in re.split(r"[\W_]+", name.lower()) if w], {}
+        for r in links.collect():
+            lt = cut(f"{r.title} {r.url}")
+            if set(mt) & lt:
+                host = re.match(r"https://([^/]*)", r.url)[1].replace(".", "")
+                v = 0.45 * (len(set(mt) & lt) / len(set(mt))) + (0.3 if "".join(mt) in host else 0.0) + (0.15 if kind == "report" and r.url.endswith(".pdf") else 0.0) - (0.3 if re.search(r"[/?](search|s)\b", r.url) else 0.0) + 0.1
+                score[r.url] = max(score.get(r.url, 0), M._half_up(max(0.0, min(1.0, v)), 4))
+        for place, (v, u) in enumerate(sorted((-v, u) for u, v in score.items())[:3]):
+            plain[m, u] = (-v, place + 1)
+    assert {(r.mention_id, r.url): (r.score, r["rank"]) for r in M.link_candidates(names_frame, links, block=32).collect()} == plain
