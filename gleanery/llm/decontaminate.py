@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 MASKS = ("10100111", "111011", "11001011")
 SPAN = 10
 WINDOW, MATCH = 20, 0.8
+#: Tokens of a text that are handled at once; a longer one is cut into blocks that share a window less a token, so every
+#: window lies whole in a block.
+BLOCK_TOKENS = 4096
 #: Benchmark tokens up to which the seeds (a few hundred bytes a token with the item's tokens) are broadcast.
 BROADCAST_TOKENS = 40_000
 
@@ -25,6 +28,18 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
+def token_blocks(docs: DataFrame, id_col: str, text_col: str, most: int | None = None) -> DataFrame:
+    """(doc_id, block, words): the tokens of each text in blocks of ``most`` and an overlap; short texts are one block.
+
+    The tokens stand in an array of one element that is exploded, so that they are cut once and not for every block.
+    """
+    most, share = most or BLOCK_TOKENS, WINDOW - 1
+    whole = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.explode_outer(F.array(tokens(F.col(text_col)))).alias("all"))
+    last = F.greatest(F.ceil((F.size("all") - share) / most).cast("int"), F.lit(1)) - 1
+    at = whole.select("doc_id", "all", F.explode(F.sequence(F.lit(0), last)).alias("block"))
+    return at.select("doc_id", "block", F.slice("all", F.col("block") * most + 1, F.lit(most + share)).alias("words"))
+
+
 def spread_seeds(rows: DataFrame, words: str, keep: tuple[str, ...], masks: tuple[str, ...] = MASKS) -> DataFrame:
     """A row (keep..., pos, seed) for each position and mask that ends inside the text; else the seed is null.
 
@@ -51,8 +66,10 @@ def _overlap(words: Column, item: Column, diag: Column) -> Column:
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, matched, window): items of which a document holds a passage, and the best window's count.
 
-    Null and empty texts hold no passage. Items under SPAN tokens are found where they stand whole and unchanged. Rows without an id take no part; an id or item on several rows counts
-    once. Either table may be empty. Other columns of both are not read.
+    Null and empty texts hold no passage. Items under SPAN tokens are found where they stand whole and unchanged. Rows
+    without an id take no part; an id or item on several rows counts once, and of equally full windows it doesn't matter
+    which. Very long texts are read whole, in blocks that share the tokens of a window less one. Either table may be
+    empty. Other columns of both are not read.
     """
     items = benchmark.select(F.col(item_col).alias("item_id"), tokens(F.col(item_text)).alias("item")).where(F.col("item_id").isNotNull() & (F.size("item") > 0)).distinct()
     # Short items: a full mask of each length that occurs, laid on their first token.
@@ -63,13 +80,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         probes = probes.unionByName(spread_seeds(items.where(F.size("item") == len(run)), "item", ("item_id", "item"), (run,)))
     probes = probes.where("seed is not null").withColumnRenamed("pos", "ipos")
     masks = (*MASKS, *runs)
-    cut = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("words"))
+    cut = token_blocks(docs, id_col, text_col)
     if size <= BROADCAST_TOKENS:
         # Generators and join stand in one stage, so a document's tokens are at hand for each hit without being copied.
         hits = spread_seeds(cut, "words", ("doc_id", "words"), masks).join(F.broadcast(probes), "seed").withColumn("diag", F.col("pos") - F.col("ipos"))
     else:
-        light = spread_seeds(cut, "words", ("doc_id",), masks).join(probes.drop("item"), "seed").select("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("diag")).distinct()
-        hits = light.join(cut, "doc_id").join(items, "item_id")
+        light = spread_seeds(cut, "words", ("doc_id", "block"), masks).join(probes.drop("item"), "seed").select("doc_id", "block", "item_id", (F.col("pos") - F.col("ipos")).alias("diag")).distinct()
+        hits = light.join(cut, ["doc_id", "block"]).join(items, "item_id")
     window = F.least(F.size("item"), F.lit(WINDOW))
     # The bound is put behind the grouping: as part of the join it would keep generators and join out of one stage.
     best = hits.select("doc_id", "item_id", _overlap(F.col("words"), F.col("item"), F.col("diag")).alias("matched"), window.alias("window")).groupBy("doc_id", "item_id").agg(F.max("matched").cast("long").alias("matched"), F.max("window").cast("long").alias("window"))
@@ -79,7 +96,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that hold no benchmark passage, with their columns, whatever their names; rows without an id stay.
 
-    If an id stands on several rows and one of them holds a passage, all rows of the id go.
+    If an id stands on several rows and one of them holds a passage, all rows of the id go. Null and empty texts stay,
+    very long ones are read whole; with an empty table on either side nothing goes.
     """
     bad = leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("bad")).distinct()
     return docs.join(bad, docs[id_col] == bad["bad"], "left_anti")

@@ -87,28 +87,36 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, KINDS[k]) for a, k, b in sorted(found)]
 
 
+_LETTER = re.compile(r"[^\W\d_]")
+
+
 def _near(text: str, start: int, end: int) -> list[str]:
     """Lexical patterns of a mention: glued key, label with a colon, two words before, words on both sides, format.
 
-    A single common word says nothing about what follows it, so it's no pattern.
+    A single common word says nothing about what follows it, so it's no pattern; nor do signs, so each side of a pattern
+    holds a word with a letter: cells of a table and quoted numbers have no context but their own words.
     """
     before, behind = text[max(0, start - 80) : start], text[end : end + 40]
     glued = re.search(r"\S+$", before)
     key = glued.group().lower()[-40:] if glued else ""
     words = [w.lower()[-40:] for w in (before[: glued.start()] if glued else before).split()[-2:]]
     nxt = behind.split()[:1]
-    patterns = ["K " + key] if re.search(r"[^\W\d]", key) else []
+    patterns = ["K " + key] if _LETTER.search(key) else []
     if words and words[-1][-1] in ":=#":
         # A sign that stands alone belongs to the word before it.
         patterns.append("L " + (" ".join(words) if len(words[-1]) == 1 else words[-1]))
-    if len(words) == 2:
+    if len(words) == 2 and _LETTER.search(words[0]) and _LETTER.search(words[1] + key):
         patterns.append("LL " + " ".join(words) + " " + key)
-    if words and nxt:
+    if words and nxt and _LETTER.search(words[-1] + key) and _LETTER.search(nxt[0]):
         patterns.append("LR " + words[-1] + " " + key + " " + nxt[0].lower()[:40])
-    patterns = [p for p in patterns if not _DIGITS.search(p)]
+    patterns = [p for p in patterns if _LETTER.search(p[2:]) and not _DIGITS.search(p)]
     return patterns + ["F " + name for name, form in _FORMATS if form.fullmatch(text, start, end)]
 
 
+#: What is no identifier: dates, times, versions, amounts and plain numbers. Such mentions count against their patterns.
+_PLAIN = re.compile(r"[$€£~±+-]?\d+(?:[.,:/\u2013-]\d+)*(?:[.,]\d+)?(?:st|nd|rd|th|%|[a-z]{1,2})?|\d{4}-\d\d?-\d\d?[T_]\d\d?:\d\d(?::\d\d(?:\.\d+)?)?(?:Z|[+-]\d\d:?\d\d)?|[vV]\d+(?:\.\d+)*")
+
+
 def mentions(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str, bool, list[str]]]:
     """(start, end, instance, is a seed, patterns) of base spans and of other tokens that look like identifiers."""
     out = [(a, b, text[a:b], True, _near(text, a, b)) for a, b, _ in base]
@@ -136,6 +144,10 @@ def mentions(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int
     return out
 
 
+def is_plain(token: str) -> bool:
+    return _PLAIN.fullmatch(token) is not None
+
+
 SPAN = "array<struct<start:bigint,end:bigint,kind:string>>"
 
 
@@ -152,47 +164,52 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 rows.append(
                     {f"n_{k}": sum(x[2] == k for x in base) for k in KINDS}
                     | {"base": [{"start": a, "end": b, "kind": k} for a, b, k in base]}
-                    | {"seen": [{"start": a, "end": b, "instance": hashlib.sha256(i.encode()).hexdigest()[:32], "seed": s, "patterns": p} for a, b, i, s, p in seen]}
+                    | {"seen": [{"start": a, "end": b, "instance": hashlib.sha256(i.encode()).hexdigest()[:32], "seed": s, "plain": not s and is_plain(text[a:b]), "patterns": p} for a, b, i, s, p in seen]}
                 )
             got = pa.Table.from_pylist(rows, schema=_SCAN).combine_chunks().to_batches()
             for part in got:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *part.columns], ["doc_id", "th", *part.schema.names])
 
-    schema = f"doc_id {docs.select(id_col).schema[0].dataType.simpleString()}, th long, n_email long, n_ip long, n_card long, n_phone long, base {SPAN}, seen array<struct<start:bigint,end:bigint,instance:string,seed:boolean,patterns:array<string>>>"
+    schema = f"doc_id {docs.select(id_col).schema[0].dataType.simpleString()}, th long, n_email long, n_ip long, n_card long, n_phone long, base {SPAN}, seen array<struct<start:bigint,end:bigint,instance:string,seed:boolean,plain:boolean,patterns:array<string>>>"
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th")).mapInArrow(run, schema)
 
 
-_SEEN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("instance", pa.string()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.string()))])
+_SEEN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("instance", pa.string()), ("seed", pa.bool_()), ("plain", pa.bool_()), ("patterns", pa.list_(pa.string()))])
 _SCAN = pa.schema([*((f"n_{k}", pa.int64()) for k in KINDS), ("base", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))), ("seen", pa.list_(_SEEN))])
 
 
 def pattern_scores(scanned: DataFrame, turns: int = TURNS, min_support: int = MIN_SUPPORT) -> DataFrame:
     """(pattern, score) after ``turns`` rounds over the graph of patterns and instances.
 
-    Edges are distinct pairs, so copies of a text add nothing. Both directions are plain grouped sums.
+    Edges are distinct pairs, so copies of a text add nothing. Both directions are plain grouped sums. Dates and plain
+    numbers are counter-examples: they keep the score 0 and count twice in the mean of a pattern.
     """
-    edges = scanned.select(F.explode("seen").alias("m")).select("m.instance", "m.seed", F.explode("m.patterns").alias("pattern"))
-    edges = stored(edges.groupBy("instance", "pattern").agg(F.max("seed").alias("seed")), "pii-edges")
-    known = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("seed"))
+    edges = scanned.select(F.explode("seen").alias("m")).select("m.instance", "m.seed", "m.plain", F.explode("m.patterns").alias("pattern"))
+    edges = stored(edges.groupBy("instance", "pattern").agg(F.max("seed").alias("seed"), F.min("plain").alias("plain")), "pii-edges")
+    known = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("seed"), F.min("plain").alias("plain"))
     score = stored(known.withColumn("score", F.col("seed")), "pii-instances")
     patterns = None
     for _ in range(turns):
-        rated = edges.select("instance", "pattern").join(score.select("instance", "score"), "instance")
+        rated = edges.select("instance", "pattern").join(score.select("instance", "score", "plain"), "instance")
         # One instance of doubt is added to each pattern, so a few seeds alone never make it certain.
         rate = F.col("s") / (F.col("n") + 1)
         seed = F.col("pattern").rlike(_SEED_PATTERN)
-        patterns = rated.groupBy("pattern").agg(F.count("*").alias("n"), F.sum("score").alias("s")).where(seed | (F.col("n") >= min_support))
+        patterns = rated.groupBy("pattern").agg((F.count("*") + F.count_if("plain")).alias("n"), F.sum("score").alias("s")).where(seed | (F.col("n") >= min_support))
         patterns = stored(patterns.select("pattern", F.when(seed, F.greatest(rate, F.lit(SEED_PATTERN))).otherwise(rate).alias("rate")), "pii-patterns")
         vouched = edges.select("instance", "pattern").join(patterns, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log1p(-F.least(F.lit(0.999), F.col("rate")) * 0.9)))).alias("v"))
-        score = stored(score.select("instance", "seed").join(vouched, "instance", "left").select("instance", "seed", F.greatest("seed", F.coalesce("v", F.lit(0.0)) * 0.95).alias("score")), "pii-instances")
+        score = stored(score.select("instance", "seed", "plain").join(vouched, "instance", "left").select("instance", "seed", "plain", F.greatest("seed", F.when(F.col("plain"), 0.0).otherwise(F.coalesce("v", F.lit(0.0)) * 0.95)).alias("score")), "pii-instances")
     return patterns.withColumnRenamed("rate", "score")
 
 
 def discovered(scanned: DataFrame, patterns: DataFrame, accept: float = ACCEPT) -> DataFrame:
-    """(doc_id, th, found): spans of mentions that are no base spans and stand in a context of an accepted pattern."""
-    m = scanned.select("doc_id", "th", F.explode("seen").alias("m")).where("not m.seed").select("doc_id", "th", "m.start", "m.end", F.explode("m.patterns").alias("pattern"))
-    hit = m.join(patterns.where(F.col("score") >= accept).select("pattern"), "pattern").select("doc_id", "th", "start", "end").distinct()
+    """(doc_id, th, found): spans of mentions that are no base spans and stand in a context of an accepted pattern.
+
+    Dates and plain numbers are found behind the label of a secret alone.
+    """
+    m = scanned.select("doc_id", "th", F.explode("seen").alias("m")).where("not m.seed").select("doc_id", "th", "m.start", "m.end", "m.plain", F.explode("m.patterns").alias("pattern"))
+    fits = ~F.col("plain") | F.col("pattern").rlike(_SEED_PATTERN)
+    hit = m.join(patterns.where(F.col("score") >= accept).select("pattern"), "pattern").where(fits).select("doc_id", "th", "start", "end").distinct()
     # Spans of one text only; their number is bounded by its length.
     return hit.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list(F.struct("start", "end", F.lit("found").alias("kind")))).alias("found"))
 

@@ -120,7 +120,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_
 
     A query's own id is no candidate. Vectors null, zero, or with null or non-finite numbers take no part; vectors of
     another length than the query's are no candidates. Ties go to smaller ids. Ids on several rows: every such row is a
-    candidate for others, and one query is asked for each id. Other columns are not read; empty tables give no rows.
+    candidate for others, and one query is asked for each id: its least vector, number by number. Other columns are not read; empty tables give no rows.
 
     Shards are dealt by a hash of id and vector; their number follows the bytes of the vectors, so a shard fits a task.
     All queries are broadcast to the trees if they are few, and a tree is asked where it is planted; else blocks of
@@ -131,7 +131,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_
     shards = max(1, -(-n // shard_vectors) if shard_vectors else -(-8 * numbers // SHARD_BYTES))
     # Equal ids may be many; their rows are dealt by content too.
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int"))
-    asked = stored(rows.where(queries).dropDuplicates(["vec_id"]), "queries")
+    asked = stored(rows.where(queries).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v")), "queries")
     size = 8 * asked.agg(F.coalesce(F.sum("dim"), F.lit(0))).first()[0]
     blocks = max(1, -(-size // BLOCK_BYTES))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))

@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.accumulators import AccumulatorParam
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -313,6 +314,29 @@ def test_leaks_with_null_items_repeated_rows_and_ties(spark):
     assert sorted((r.doc_id for r in drop_leaks(df, bench).collect()), key=str) == [3, 4, None]
 
 
+def test_leaks_in_very_long_texts(spark, monkeypatch):
+    """A text of 600,000 tokens in the memory of a small task; windows over the edge of a block; blocks make no difference."""
+    from gleanery.llm import decontaminate as X
+
+    rng = random.Random(3)
+    item = [f"q{k}" for k in range(26)]
+    near = [w if k % 6 else "other" for k, w in enumerate(item)]
+    long = [f"f{rng.randrange(50_000)}" for _ in range(600_000)]
+    edge = X.BLOCK_TOKENS * 100
+    long[edge - 13 : edge + 13] = near
+    rows = [(1, " ".join(long)), (2, " ".join(long[: edge - 4]))]
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, "q0 q1")], "item_id long, text string")
+    assert [tuple(r)[:2] for r in X.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()] == [(1, 7)]
+    # The item at every offset around the edges of short blocks, and no passage where only a part of it stands.
+    rows = [(k, " ".join(["x"] * k + near + ["y"] * 30)) for k in range(70)] + [(100 + k, " ".join(["x"] * k + near[:13] + ["y"] * 30)) for k in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(map(tuple, X.leaks(docs, bench).collect()))
+    for most in (X.BROADCAST_TOKENS, 0):
+        monkeypatch.setattr(X, "BROADCAST_TOKENS", most)
+        monkeypatch.setattr(X, "BLOCK_TOKENS", 23)
+        assert sorted(map(tuple, X.leaks(docs, bench).collect())) == whole and {d for d, *_ in whole} == set(range(70))
+
+
 def test_a_mask_fits_every_allowed_pattern():
     import itertools
     import math
@@ -419,6 +443,24 @@ def test_contexts_find_unseen_identifiers(spark):
     assert redact(odd(spark)).columns == odd(spark).columns and redact(odd(spark)).count() == 9 and find_pii(odd(spark).limit(0)).count() == 0
 
 
+def test_dates_numbers_and_cells_are_left_alone(spark):
+    """Contexts that hold personal data and ordinary values alike give nothing away; unseen identifiers are still found."""
+    from gleanery.llm.pii import find_pii, is_plain, redact
+
+    assert all(map(is_plain, ("2024-05-10", "12/11/2024", "12345678", "1,234,567.89", "$1200.50", "10:45:00", "2024-05-10T10:45:00Z", "v1.20.300", "1990-2004", "99.95%", "3000km")))
+    assert not any(map(is_plain, ("KX-99817-22", "a8f5f167f44f4964e6c998dee827110c", "AB123456C", "user20240102")))
+    seeds = [(k, f"| mail | user{k}@mail.example.com | open | 4{k:03} |\nreach me at customer account user{k}@x{k}.example.org for details") for k in range(40)]
+    cells = [(1000 + k, f"| item{k} | 2024-05-{10 + k} | sold | 1234567{k} |\nsum = \"20240511{k}\" | 1.234.567{k} |\norder 2024-06-1{k} was paid") for k in range(10)]
+    mixed = [(2000 + k, f"the meeting with mister {f'u{k}@a.example.com' if k % 3 else f'2024-06-{k + 10}'} was moved") for k in range(18)]
+    unseen = [(3000 + k, f"reach me at customer account QX{k}-77-{k}{k}81 for details") for k in range(8)] + [(3100, "reach me at customer account 2024-05-10 for details")]
+    df = spark.createDataFrame([*seeds, *cells, *mixed, *unseen], "doc_id long, text string")
+    text = dict([*seeds, *cells, *mixed, *unseen])
+    got = {r.doc_id: [text[r.doc_id][x.start : x.end] for x in r.found] for r in find_pii(df).collect() if r.found}
+    assert got == {3000 + k: [f"QX{k}-77-{k}{k}81"] for k in range(8)}
+    after = {r.doc_id: r.text for r in redact(df).collect()}
+    assert all(after[d] == t for d, t in cells) and after[3100] == text[3100]
+
+
 # ---------------------------------------------------------------- quality
 
 
@@ -633,6 +675,16 @@ def test_search_is_exact_at_factor_one(spark, monkeypatch):
 # ---------------------------------------------------------------- licences
 
 
+def test_a_query_on_two_vectors_is_its_least(spark):
+    from gleanery.llm.vp_search import nearest
+
+    rows = [(50, [1.0, 0.0], 7), (50, [0.0, 1.0], 7), (1, [1.0, 0.1], 7), (2, [0.1, 1.0], 7)]
+    for order in (rows, rows[::-1]):
+        v = spark.createDataFrame(order, "vec_id long, embedding array<double>, dim long").selectExpr("*", "1 as shard", "2 as block")
+        got = nearest(v, F.col("vec_id") % 50 == 0, 1).collect()
+        assert [(r.query_id, r.vec_id) for r in got] == [(50, 2)]
+
+
 def test_licence_rules(spark):
     from gleanery.llm.licenses import scan_licenses
 
