@@ -45,7 +45,7 @@ def coverage(groups: DataFrame, items: DataFrame, group: str, has: Column, date:
     under the minimum warns.
     """
     per = items.groupBy(group).agg(F.count("*").alias("items"), F.count_if(has).alias("covered"), F.max(date).alias("newest"), F.max(F.when(has, F.col(date))).alias("newest_covered"))
-    out = groups.select(group).join(per, group, "left").join(F.broadcast(policies), group, "left").na.fill(0, ["items", "covered"])
+    out = groups.select(group).join(per, group, "left").join(policies, group, "left").na.fill(0, ["items", "covered"])
     share = F.try_divide(F.col("covered").cast("double"), F.col("items"))
     lag = F.datediff("newest", "newest_covered")
     status = (
@@ -62,7 +62,7 @@ def freshness(items: DataFrame, group: str, date: str, as_of, limits: DataFrame
     """Days since each group's newest item against its limit; groups marked ``skip`` in ``limits`` pass as skipped."""
     out = items.groupBy(group).agg(F.max(date).alias("newest"))
     if limits is not None:
-        out = out.join(F.broadcast(limits), group, "left")
+        out = out.join(limits, group, "left")
     else:
         out = out.withColumns({"days": F.lit(None).cast("int"), "skip": F.lit(False)})
     age = F.datediff(F.lit(as_of), F.col("newest"))

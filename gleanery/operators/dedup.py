@@ -102,7 +102,7 @@ def curated_merges(entities: DataFrame, merges: DataFrame, rounds: int = 20) ->
     Chains are followed to their end; a cycle ends at its least id. The list is configuration and is broadcast.
     """
     e = entities.groupBy("entity_type", "normalized_name").agg(F.min("id").alias("id"))
-    m = F.broadcast(merges)
+    m = merges
     a = m.join(e.select("entity_type", F.col("normalized_name").alias("loser_name"), F.col("id").alias("loser")), ["entity_type", "loser_name"])
     pairs = a.join(e.select("entity_type", F.col("normalized_name").alias("winner_name"), F.col("id").alias("to")), ["entity_type", "winner_name"]).where("loser <> to").groupBy("loser").agg(F.min("to").alias("to"))
     step = pairs.select(F.col("loser").alias("id"), F.col("to").alias("winner"), F.least("loser", "to").alias("low"))

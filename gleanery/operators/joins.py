@@ -32,7 +32,7 @@ def number_gaps(rows: DataFrame, number: str, step: int = 1_000_000) -> DataFram
 
 def resolve_source(rows: DataFrame, domain: Column, sources: DataFrame, default: str) -> DataFrame:
     """Adds ``source`` by domain; ``sources`` (domain, source) is a small table of configuration."""
-    return rows.withColumn("domain", domain).join(F.broadcast(sources), "domain", "left").withColumn("source", F.coalesce("source", F.lit(default)))
+    return rows.withColumn("domain", domain).join(sources, "domain", "left").withColumn("source", F.coalesce("source", F.lit(default)))
 
 
 def first_needle(rows: DataFrame, text: str, needles: list[tuple[str, str]]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the storage that the cluster shares; only a local session may do without such a setting."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="spark-gleanery-", dir="/tmp")
+    return f"{root.rstrip('/')}/gleanery/{name}-{uuid.uuid4().hex}"
+
+
 #: Views in SQL that Spark and the oracle read alike: events as mentions, documents as episodes, orders as sync rows.
 MENTIONS = """
 SELECT event_id AS mention_id, event_id % 997 AS episode_id, (event_id % 997) % 7 AS show_id,

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from ..operators import mentions as M
 from ..sources import readers as R
 from .base import MENTIONS, query, table, view
-from .streams import _scratch
+from .base import scratch
 
 
 def _landed(lines: DataFrame, name: str, one_each: bool = False) -> str:
     """Folder with the one text column of ``lines``, a line for each row, or a file for each."""
-    path = _scratch(lines.sparkSession, name)
+    path = scratch(lines.sparkSession, name)
     (lines.write.option("maxRecordsPerFile", 1) if one_each else lines.write).text(path)
     return path
 
@@ -60,7 +60,7 @@ def s06(spark, sf_dir):
     text = F.concat(F.lit('two\nlines, "'), "canonical_name", F.lit('"'))
     given = {"episode_id": "episode_id", "entity_type": "mention_type", "canonical_name": "canonical_name", "mention_text": text, "is_editorial": (k % 3 == 0).cast("string"), "confidence": conf, "needs_review": F.col("needs_review").cast("string"), "context_snippet": k.cast("string"), "facts_json": facts}
     names = [c.split()[0] for c in R.MENTION.split(", ")]
-    path = _scratch(spark, "s06")
+    path = scratch(spark, "s06")
     rows = m.select(*((F.col(given[n]) if isinstance(given.get(n), str) else given.get(n, F.lit(None).cast("string"))).alias(n) for n in names))
     rows.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     got = R.require_rows(R.read_mentions(spark, path), "batch")

@@ -6,15 +6,24 @@ from pyspark.sql import functions as F
 
 from ..operators import matching as M
 from ..operators import search as S
-from .base import query, table
+from ..operators import text_index as X
+from .base import query, scratch, table
 
 _W = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
 _POST = f"p AS (SELECT doc_id, unnest({_W}) AS term, generate_subscripts({_W}, 1) - 1 AS pos FROM documents)"
 
 
+def _index(spark, sf_dir) -> str:
+    path = scratch(spark, "text-index")
+    X.build_index(table(spark, sf_dir, "documents"), "doc_id", "text", path)
+    return path
+
+
 @query("f01_term_index", f"WITH {_POST} SELECT term, count(DISTINCT doc_id) AS docs, count(*) AS n, CAST(max(pos) AS BIGINT) AS last FROM p GROUP BY 1")
 def f01(spark, sf_dir):
-    return S.postings(table(spark, sf_dir, "documents"), "doc_id", "text").groupBy("term").agg(F.countDistinct("doc_id").alias("docs"), F.count("*").alias("n"), F.max(F.col("pos").cast("long")).alias("last"))
+    """Counts from the measures of a stored index; no postings are read."""
+    rows = spark.read.parquet(f"{_index(spark, sf_dir)}/postings")
+    return rows.groupBy("term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.max("last").cast("long").alias("last"))
 
 
 @query(
@@ -26,16 +35,34 @@ def f01(spark, sf_dir):
     SELECT doc_id, round(score, 6) AS score FROM s JOIN ph USING (doc_id)""",
 )
 def f02(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    found = S.search(S.postings(d, "doc_id", "text"), d.count(), **S.web_terms('that thand OR of -stupid "of the"'))
+    found = X.search_index(spark, _index(spark, sf_dir), **S.web_terms('that thand OR of -stupid "of the"'))
     return found.withColumn("score", F.round("score", 6))
 
 
-@query("f03_snippets")
+_HIT = "h AS (SELECT doc_id, pos, term FROM p SEMI JOIN top USING (doc_id) WHERE term IN ('that', 'of'))"
+
+
+def _best(name: str, hits: str, more: str = "") -> str:
+    """The best window of hits for each document, widened to 6 words."""
+    return f"""{name}0 AS (SELECT a.doc_id, a.pos AS s, b.pos AS e, count(DISTINCT c.term) AS d FROM {hits} a JOIN {hits} b ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos AND a.pos + 21 JOIN {hits} c ON c.doc_id = a.doc_id AND c.pos BETWEEN a.pos AND b.pos {more} GROUP BY ALL),
+    {name}1 AS (SELECT doc_id, s, least(len - 1, greatest(e, s + 5)) AS e, len FROM (SELECT * FROM {name}0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d DESC, e - s, s) = 1) JOIN size USING (doc_id)), {name} AS (SELECT doc_id, greatest(0, least(s, e - 5)) AS s, e FROM {name}1)"""
+
+
+@query(
+    "f03_snippets",
+    rf"""WITH {_POST}, t AS (SELECT doc_id, term, count(*) AS tf FROM p WHERE term IN ('that', 'of') GROUP BY ALL), f AS (SELECT term, count(*) AS df FROM t GROUP BY 1),
+    top AS (SELECT doc_id, sum(tf * ln((SELECT count(*) FROM documents) / df)) AS score FROM t JOIN f USING (term) GROUP BY 1 HAVING count(*) = 2 ORDER BY 2 DESC, 1 LIMIT 20),
+    {_HIT}, size AS (SELECT doc_id, len(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+')) AS len FROM documents SEMI JOIN top USING (doc_id)), {_best("x", "h")},
+    h2 AS (SELECT h.* FROM h JOIN x ON h.doc_id = x.doc_id AND NOT h.pos BETWEEN x.s AND x.e), {_best("y", "h2", "AND NOT EXISTS (FROM x WHERE x.doc_id = a.doc_id AND a.pos < x.s AND b.pos >= x.s)")},
+    m AS (SELECT x.doc_id, CASE WHEN y.s IS NULL THEN [(x.s, x.e)] WHEN y.s <= x.e + 1 AND x.s <= y.e + 1 THEN [(least(x.s, y.s), greatest(x.e, y.e))] WHEN x.s < y.s THEN [(x.s, x.e), (y.s, y.e)] ELSE [(y.s, y.e), (x.s, x.e)] END AS f FROM x LEFT JOIN y USING (doc_id)),
+    w AS (SELECT doc_id, f, list_transform(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+[^\p{{L}}\p{{N}}]*'), lambda v: CASE WHEN lower(regexp_extract(v, '^[\p{{L}}\p{{N}}]+')) IN ('that', 'of') THEN regexp_replace(v, '^([\p{{L}}\p{{N}}]+)', '[\1]') ELSE v END) AS w FROM m JOIN documents USING (doc_id))
+    SELECT doc_id, round(score, 6) AS score, list_transform(f, lambda q: trim(regexp_replace(array_to_string(w[q[1] + 1 : q[2] + 1], ''), '\s+', ' ', 'g'))) AS fragments FROM w JOIN top USING (doc_id)""",
+)
 def f03(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    top = S.search(S.postings(d, "doc_id", "text"), d.count(), every=["that"], limit=10)
-    return S.snippets(top, d, "doc_id", "text", ["that"])
+    path = _index(spark, sf_dir)
+    terms = ["that", "of"]
+    top = X.search_index(spark, path, every=terms, limit=20)
+    return S.snippets(top, X.places_of(X.rows_of(spark, path, terms)), table(spark, sf_dir, "documents"), "doc_id", "text", terms).withColumn("score", F.round("score", 6))
 
 
 @query("f04_keyword", "SELECT doc_id FROM documents WHERE text ILIKE '%license%'")

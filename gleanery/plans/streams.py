@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,18 +9,7 @@ from ..operators.changes import change_of
 from ..operators.mentions import search_queries
 from ..operators.sinks import replace_batches, write_batch
 from ..streaming import jobs as J
-from .base import EPISODES, MENTIONS, SYNC, query, table, view
-
-
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the storage that the cluster shares; only a local session may do without such a setting."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="spark-gleanery-", dir="/tmp")
-    return f"{root.rstrip('/')}/gleanery/{name}-{uuid.uuid4().hex}"
+from .base import EPISODES, MENTIONS, SYNC, query, scratch, table, view
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +23,7 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Run until nothing is left; the result is written by batch and read back."""
     spark = stream.sparkSession
-    root = _scratch(spark, name)
+    root = scratch(spark, name)
     save = lambda df, n: df.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{root}/out")
     stream.writeStream.foreachBatch(save).outputMode(mode).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
@@ -46,7 +32,7 @@ def _drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
 @query("st01_late_transcripts", "SELECT doc_id AS episode_id, text, CASE WHEN doc_id % 5 <> 0 AND doc_id % 3 <> 0 THEN 'transcript' ELSE 'show_notes' END AS source FROM documents")
 def st01(spark, sf_dir):
     """A transcript comes after 2 days, or after 10 days, which is too late; later rows of both streams move the watermark."""
-    root = _scratch(spark, "st01")
+    root = scratch(spark, "st01")
     k = F.col("doc_id")
     at = lambda days: F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(days)
     d = table(spark, sf_dir, "documents")
@@ -83,7 +69,7 @@ def st05r(spark, sf_dir):
 
 @query("st06_sync_changes", f"WITH s AS ({SYNC}) SELECT id, CASE WHEN page_id IS NULL THEN 'create' ELSE 'update' END AS change FROM s WHERE page_id IS NULL OR synced_on IS NULL OR updated_on > synced_on OR last_on > synced_on")
 def st06(spark, sf_dir):
-    root = _scratch(spark, "st06")
+    root = scratch(spark, "st06")
 
     def load(batch: DataFrame, n: int) -> None:
         batch.createOrReplaceTempView("gleanery_st06")
@@ -96,7 +82,7 @@ def st06(spark, sf_dir):
 
 @query("st07_gated_load", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def st07(spark, sf_dir):
-    root = _scratch(spark, "st07")
+    root = scratch(spark, "st07")
     gate = lambda b: "no confidence" if b.where("value is null").limit(1).count() else None
     J.load_each_batch(_stream(spark, sf_dir, "events"), lambda b, n: b.write.mode("append").parquet(f"{root}/out"), f"{root}/state", gate).awaitTermination()
     return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.count("*").alias("n"))
@@ -104,14 +90,14 @@ def st07(spark, sf_dir):
 
 @query("k01_write_batch", f"WITH m AS ({MENTIONS}) SELECT episode_id, count(*) AS mention_count, count(*) FILTER (needs_review) AS review_count FROM m GROUP BY 1")
 def k01(spark, sf_dir):
-    root = _scratch(spark, "k01")
+    root = scratch(spark, "k01")
     write_batch(view(spark, sf_dir, MENTIONS), root)
     return spark.read.schema("episode_id long, mention_count long, review_count long").option("header", True).csv(f"{root}/episode_summary")
 
 
 @query("k03_replace_batches", "SELECT user_id % 5 AS show_id, event_type AS batch, count(*) AS n, round(sum(CASE WHEN event_type = 'click' THEN value * 2 ELSE value END), 4) AS total FROM events GROUP BY ALL")
 def k03(spark, sf_dir):
-    root = _scratch(spark, "k03")
+    root = scratch(spark, "k03")
     e = table(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("show_id"), F.col("event_type").alias("batch"), "value")
     replace_batches(e, root, ["show_id", "batch"])
     for _ in range(2):  # a repeated load changes nothing more
@@ -135,7 +121,7 @@ def e08(spark, sf_dir):
 
 @query("st02_redo_late", "WITH d AS (SELECT doc_id AS episode_id, doc_id % 40 AS batch, CASE WHEN doc_id % 6 = 0 THEN 'show_notes' ELSE 'transcript' END AS source FROM documents), b AS (SELECT DISTINCT batch FROM d WHERE source = 'show_notes' AND episode_id % 9 = 0) SELECT batch, array_to_string(list_sort(list_distinct(list(CAST(episode_id AS VARCHAR)))), ',') AS items, count(DISTINCT episode_id) AS n FROM d WHERE batch IN (SELECT batch FROM b) GROUP BY 1")
 def st02(spark, sf_dir):
-    root = _scratch(spark, "st02")
+    root = scratch(spark, "st02")
     k = F.col("doc_id")
     done = lambda: table(spark, sf_dir, "documents").select(k.alias("episode_id"), (k % 40).alias("batch"), F.when(k % 6 == 0, "show_notes").otherwise("transcript").alias("source"))
     came = _stream(spark, sf_dir, "documents").where(k % 9 == 0).select(k.alias("episode_id"))
@@ -146,7 +132,7 @@ def st02(spark, sf_dir):
 @query("st04_stale_sources", "WITH d AS (SELECT event_type, ts, max(ts) OVER () AS newest FROM events), k AS (SELECT * FROM d WHERE event_type <> 'error' OR ts < newest - INTERVAL 20 DAY) SELECT event_type AS source, date_trunc('milliseconds', max(ts)) AS last_seen FROM k WHERE event_type = 'error' GROUP BY 1")
 def st04(spark, sf_dir):
     """Errors stop 20 days before the end; files come in three steps of time, so timers see the watermark pass."""
-    root = _scratch(spark, "st04")
+    root = scratch(spark, "st04")
     e = table(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("at"))
     newest = e.agg(F.max("at").alias("newest"))
     e = e.join(F.broadcast(newest), F.lit(True)).withColumn("left", F.col("newest").cast("double") - F.col("at").cast("double")).where("event_type <> 'error' or left > 20 * 86400").drop("newest")

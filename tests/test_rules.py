@@ -319,3 +319,74 @@ def test_matches_equal_all_pairs_over_skewed_words(spark):
         for place, (v, u) in enumerate(sorted((-v, u) for u, v in score.items())[:3]):
             plain[m, u] = (-v, place + 1)
     assert {(r.mention_id, r.url): (r.score, r["rank"]) for r in M.link_candidates(names_frame, links, block=32).collect()} == plain
+
+
+def test_stored_index_equals_a_search_over_plain_postings(spark, tmp_path):
+    from gleanery.operators import search as S
+    from gleanery.operators import text_index as X
+
+    rng = random.Random(4)
+    words = ["the", "love", "of", "zeta", "Ring", "a1", "rare"]
+    text = lambda: " ".join(rng.choices(words, [30, 8, 20, 2, 5, 3, 1], k=rng.randrange(0, 60)))
+    rows = [(k * 7, text()) for k in range(1500)] + [(20_000, None), (20_001, ""), (None, "the love")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path, later = str(tmp_path / "index"), docs.where("doc_id % 5 = 0")
+    X.build_index(docs.where("doc_id % 5 <> 0 or doc_id is null"), "doc_id", "text", path)
+    X.build_index(later, "doc_id", "text", path)  # ranges that are there already get further rows
+    asks = ["the love", "rare OR zeta", 'love -the "of love"', '"the of the" ring', "nowhere", "-the", ""]
+
+    def check(path, docs):
+        n = docs.where("doc_id is not null").count()
+        plain = S.postings(docs.where("doc_id is not null"), "doc_id", "text").cache()
+        for ask in asks:
+            for limit in (None, 7):
+                got = [(r.doc_id, round(r.score, 9)) for r in X.search_index(spark, path, **S.web_terms(ask), limit=limit).orderBy(F.desc("score"), "doc_id").collect()]
+                wanted = [(r.doc_id, round(r.score, 9)) for r in S.search(plain, n, **S.web_terms(ask), limit=limit).orderBy(F.desc("score"), "doc_id").collect()] if ask and ask != "-the" else []
+                if ask != "-the":
+                    assert got == wanted, (ask, limit)
+
+    check(path, docs)
+    # Replaced, emptied, removed and new documents.
+    changed = spark.createDataFrame([(0, "zeta zeta rare"), (7, ""), (14, None), (99_999, "rare love of the ring")], "doc_id long, text string")
+    X.refreshed(spark, path, changed, "doc_id", "text", str(tmp_path / "next"))
+    check(str(tmp_path / "next"), docs.join(changed.select("doc_id"), "doc_id", "left_anti").unionByName(changed.where("text is not null")))
+    # Only the folders of the terms are read, and only rows of these terms.
+    plan = X.rows_of(spark, path, ["zeta", "rare"])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*bucket", plan) and re.search(r"PushedFilters: \[.*In\(term", plan)
+    assert len({f.split("bucket=")[1].split("/")[0] for f in X.rows_of(spark, path, ["zeta"]).inputFiles()}) >= 1
+    read = spark.read.parquet(f"{path}/postings").where("term = 'the'")
+    assert read.agg(F.max(F.size("entries"))).first()[0] <= X.RANGE and read.count() > 1
+
+
+def test_promising_ranges_are_read_first(spark, tmp_path, monkeypatch):
+    """Ranges that can't reach the last of the best rows are left out; the rows are the same."""
+    from gleanery.operators import search as S
+    from gleanery.operators import text_index as X
+
+    monkeypatch.setattr(X, "PROBE", 1)
+    docs = spark.createDataFrame([(k, "ring " * (1 + (k // 1024 == 2) * (k % 50)) + "of") for k in range(5000)] + [(9000, "none")], "doc_id long, text string")
+    path = str(tmp_path / "index")
+    X.build_index(docs, "doc_id", "text", path)
+    got = X.search_index(spark, path, every=["ring", "of"], limit=5)
+    assert [r.doc_id for r in got.collect()] == [r.doc_id for r in S.search(S.postings(docs, "doc_id", "text"), 5001, every=["ring", "of"], limit=5).collect()]
+    bounds = spark.read.parquet(f"{path}/postings").where("term = 'ring'").select("block", "most")
+    assert {r.block: r.most for r in bounds.collect()} == {0: 1, 1: 1, 2: 50, 3: 1, 4: 1}
+
+
+def test_best_fragments_equal_all_windows():
+    from gleanery.operators.search import best_fragments
+
+    rng = random.Random(9)
+    for _ in range(300):
+        n = rng.randrange(1, 80)
+        hits = [(k, rng.choice("abc")) for k in sorted(rng.sample(range(n), rng.randrange(1, min(n, 12) + 1)))]
+        width, least = rng.choice([6, 10, 22]), rng.choice([1, 6])
+        windows = [(-len({t for p, t in hits if s <= p <= e}), e - s, s) for s, _ in hits for e, _ in hits if 0 <= e - s < width]
+        d, size, s = min(windows)
+        e = min(n - 1, max(s + size, s + least - 1))
+        first = (max(0, min(s, e - least + 1)), e)
+        assert best_fragments(hits, n, 1, least, width) == [first]
+        two = best_fragments(hits, n, 2, least, width)
+        assert len(two) <= 2 and any(a <= first[0] and first[1] <= b for a, b in two) and (len(two) == 1 or two[1][0] > two[0][1] + 1)
+        if len(two) == 1 and two[0] == first:
+            assert all(first[0] <= p <= first[1] for p, _ in hits)
