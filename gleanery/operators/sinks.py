@@ -1,51 +1,36 @@
 """Table maintenance on plain Parquet: upserts, batch replacement, sync state, payloads, text pieces, repairs.
 
-A table is a folder of versions; a new version is written beside the old ones and then named by a row that is appended to
-a small table of pointers. Nothing is deleted or renamed, so readers see one version or the other, and a job that fails
-at any moment leaves the old one.
+A table that is upserted lies in folders by a hash of its key. An upsert reads and writes the folders of incoming keys
+alone; Spark's dynamic overwrite puts them in place when the job has succeeded, so one that fails leaves the table as it
+was. One writer at a time; readers that began before must not be reading the folders that change.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-_POINTER = "n long, version string"
-
-
-def _pointers(spark: SparkSession, table: str) -> tuple[int, str] | None:
-    try:
-        last = spark.read.schema(_POINTER).parquet(f"{table}/pointers").agg(F.max(F.struct("n", "version")).alias("x")).first().x
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return (last.n, last.version) if last else None
-
+def write_buckets(rows: DataFrame, path: str, key: str, buckets: int = 64) -> None:
+    """Write a new table in folders by a hash of the key; rows without one go."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    rows.where(F.col(key).isNotNull()).withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(path)
 
-def current_version(spark: SparkSession, table: str) -> str | None:
-    """The version that the last pointer names; None where no version was ever completed."""
-    last = _pointers(spark, table)
-    return last[1] if last else None
 
+def upsert_buckets(incoming: DataFrame, path: str, key: str, order: Column, keep_old_when_null: list[str] = (), buckets: int = 64) -> None:
+    """Put rows over the table at ``path`` by key, as upsert() does; folders without an incoming key aren't touched.
 
-def read_table(spark: SparkSession, table: str) -> DataFrame | None:
-    v = current_version(spark, table)
-    return spark.read.parquet(f"{table}/{v}") if v else None
-
-
-def swap_in(df: DataFrame, table: str) -> None:
-    """Write a new version, then append the pointer that names it."""
-    spark = df.sparkSession
-    v = f"v-{uuid.uuid4().hex}"
-    df.write.parquet(f"{table}/{v}")
-    last = _pointers(spark, table)
-    spark.range(1).select(F.lit((last[0] if last else 0) + 1).cast("long").alias("n"), F.lit(v).alias("version")).coalesce(1).write.mode("append").parquet(f"{table}/pointers")
+    The folders are at most ``buckets`` numbers; they are named in the read, so Spark prunes the others. ``created``
+    tells for each row of a touched folder whether this upsert made it. A repeated upsert changes nothing but that flag.
+    """
+    spark = incoming.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    touched = [r[0] for r in incoming.where(F.col(key).isNotNull()).select(bucket).distinct().collect()]
+    if touched:
+        old = spark.read.parquet(path).where(F.col("bucket").isin(*touched))
+        new = upsert(old.drop("bucket", "created"), incoming, key, order, keep_old_when_null).withColumn("bucket", bucket)
+        new.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame, key: str, order: Column, keep_old_when_null: list[str] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import sinks as K
 from ..operators.mentions import link_status, source_label
 from ..sources import readers as S
-from .base import EPISODES, MENTIONS, query, table, view
+from .base import EPISODES, MENTIONS, query, scratch, table, view
 
 
 @query("s02_epoch_dates", "SELECT event_id, CAST(to_timestamp(event_id * 4321) AT TIME ZONE 'UTC' AS DATE) AS d FROM events")
@@ -45,7 +45,10 @@ def k02(spark, sf_dir):
     k = F.col("o_orderkey")
     old = o.where(k % 3 != 0).select("o_orderkey", F.col("o_totalprice").alias("price"), F.concat(F.lit("c"), "o_custkey").alias("note"))
     new = o.where(k % 4 == 0).select("o_orderkey", (F.col("o_totalprice") * 2).alias("price"), F.when(k % 2 == 0, "new").alias("note"))
-    return K.upsert(old, new, "o_orderkey", F.col("price"), ["note"])
+    path = scratch(spark, "k02")
+    K.write_buckets(old, path, "o_orderkey")
+    K.upsert_buckets(new, path, "o_orderkey", F.col("price"), ["note"])
+    return spark.read.schema("o_orderkey long, price double, note string, created boolean").parquet(path).select("o_orderkey", "price", "note", F.coalesce("created", F.lit(False)).alias("created"))
 
 
 @query("k04_sync_state", f"WITH m AS ({MENTIONS}), w AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY publish_date DESC, mention_id DESC) AS rn FROM m) SELECT entity_id, mention_type AS state, source_url AS page_id FROM w WHERE rn = 1")
@@ -54,16 +57,32 @@ def k04(spark, sf_dir):
     return K.sync_state(e, "entity_id").select("entity_id", "state", "page_id")
 
 
-@query("k05_payload", "SELECT doc_id, left(text, 2000) AS body, lang FROM documents")
+_PIECES = r"""WITH RECURSIVE r AS (SELECT doc_id, text AS t, -1 AS pos, CAST(NULL AS VARCHAR) AS piece FROM documents WHERE regexp_matches(text, '\S')
+    UNION ALL SELECT doc_id, CASE WHEN length(t) > 1900 THEN CASE WHEN cut >= 1 THEN substr(t, cut + 2) ELSE substr(t, 1901) END END, pos + 1, CASE WHEN length(t) <= 1900 THEN t WHEN cut >= 1 THEN left(t, cut) ELSE left(t, 1900) END
+      FROM (SELECT *, 1899 - length(regexp_extract(left(t, 1900), '[^ \n\t]*$')) AS cut FROM r WHERE t IS NOT NULL))"""
+
+
+@query(
+    "k05_payload",
+    f"""{_PIECES},
+    n AS (SELECT doc_id, count(*) AS n_blocks FROM r WHERE piece <> '' GROUP BY 1)
+    SELECT CAST(doc_id AS VARCHAR) AS key, left(text, 2000) AS body, lang, coalesce(n_blocks, 0) AS n_blocks, CAST(greatest(1, ceil(coalesce(n_blocks, 0) / 100)) AS BIGINT) AS n_requests, 'synced' AS state FROM documents LEFT JOIN n USING (doc_id)""",
+)
 def k05(spark, sf_dir):
-    p = K.page_payload(table(spark, sf_dir, "documents"), "doc_id", {"body": F.col("text"), "lang": F.col("lang"), "none": F.lit(None).cast("string")})
-    read = F.from_json("payload", "body string, lang string")
-    return p.select("doc_id", read["body"].alias("body"), read["lang"].alias("lang"))
+    """Pages are sent through the sink; what arrived is read back with the state that the sync events give."""
+    from ..operators.page_sink import push_pages
 
+    d, root = table(spark, sf_dir, "documents"), scratch(spark, "k05")
+    p = K.page_payload(d, "doc_id", {"body": F.col("text"), "lang": F.col("lang"), "none": F.lit(None).cast("string")})
+    blocks = K.text_pieces(d, "doc_id", "text").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("b"))
+    push_pages(p.join(blocks, "doc_id", "left"), F.col("doc_id"), F.col("payload"), F.col("b.piece"), root, "2024-01-01T00:00:00Z")
+    came = spark.read.schema("key string, page_id string, request int, payload string, blocks array<string>").json(f"{root}/requests")
+    pages = came.groupBy("key").agg(F.max(F.from_json("payload", "body string, lang string")).alias("p"), F.sum(F.size("blocks")).alias("n_blocks"), F.count("*").alias("n_requests"))
+    events = spark.read.schema("key string, at string, state string, page_id string, error string").json(f"{root}/events").withColumn("event_id", F.col("page_id"))
+    return pages.join(K.sync_state(events, "key"), "key").select("key", F.col("p.body").alias("body"), F.col("p.lang").alias("lang"), "n_blocks", "n_requests", "state")
 
-@query("k06_text_pieces", r"""WITH RECURSIVE r AS (SELECT doc_id, text AS t, -1 AS pos, CAST(NULL AS VARCHAR) AS piece FROM documents WHERE regexp_matches(text, '\S')
-    UNION ALL SELECT doc_id, CASE WHEN length(t) > 1900 THEN CASE WHEN cut >= 1 THEN substr(t, cut + 2) ELSE substr(t, 1901) END END, pos + 1, CASE WHEN length(t) <= 1900 THEN t WHEN cut >= 1 THEN left(t, cut) ELSE left(t, 1900) END
-      FROM (SELECT *, 1899 - length(regexp_extract(left(t, 1900), '[^ \n\t]*$')) AS cut FROM r WHERE t IS NOT NULL))
+
+@query("k06_text_pieces", f"""{_PIECES}
     SELECT doc_id, pos, piece, CAST(floor(pos / 100) AS INTEGER) AS request FROM r WHERE piece <> ''""")
 def k06(spark, sf_dir):
     return K.text_pieces(table(spark, sf_dir, "documents"), "doc_id", "text")

@@ -71,21 +71,23 @@ def st05r(spark, sf_dir):
 def st06(spark, sf_dir):
     root = scratch(spark, "st06")
 
-    def load(batch: DataFrame, n: int) -> None:
+    def changes(batch: DataFrame, n: int) -> DataFrame:
         batch.createOrReplaceTempView("gleanery_st06")
         rows = batch.sparkSession.sql(SYNC.replace("FROM orders", "FROM gleanery_st06"))
-        rows.select("id", change_of().alias("change")).where("change <> 'unchanged'").write.mode("append").parquet(f"{root}/out")
+        return rows.select("id", change_of().alias("change")).where("change <> 'unchanged'")
 
-    J.load_each_batch(_stream(spark, sf_dir, "orders"), load, f"{root}/state").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    J.load_once(_stream(spark, sf_dir, "orders"), root, f"{root}/state", changes).awaitTermination()
+    return J.loaded(spark, root).drop("batch")
 
 
 @query("st07_gated_load", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def st07(spark, sf_dir):
+    """The share of rows without a value is measured while they are written."""
     root = scratch(spark, "st07")
-    gate = lambda b: "no confidence" if b.where("value is null").limit(1).count() else None
-    J.load_each_batch(_stream(spark, sf_dir, "events"), lambda b, n: b.write.mode("append").parquet(f"{root}/out"), f"{root}/state", gate).awaitTermination()
-    return spark.read.parquet(f"{root}/out").groupBy("event_type").agg(F.count("*").alias("n"))
+    measures = {"n_rows": F.count(F.lit(1)), "missing": F.count_if(F.col("value").isNull())}
+    gate = lambda m: "no confidence" if m["missing"] else None
+    J.load_once(_stream(spark, sf_dir, "events"), root, f"{root}/state", measures=measures, gate=gate).awaitTermination()
+    return J.loaded(spark, root).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 @query("k01_write_batch", f"WITH m AS ({MENTIONS}) SELECT episode_id, count(*) AS mention_count, count(*) FILTER (needs_review) AS review_count FROM m GROUP BY 1")
@@ -125,8 +127,9 @@ def st02(spark, sf_dir):
     k = F.col("doc_id")
     done = lambda: table(spark, sf_dir, "documents").select(k.alias("episode_id"), (k % 40).alias("batch"), F.when(k % 6 == 0, "show_notes").otherwise("transcript").alias("source"))
     came = _stream(spark, sf_dir, "documents").where(k % 9 == 0).select(k.alias("episode_id"))
-    J.redo_late(came, done, lambda df, n: df.write.mode("append").parquet(f"{root}/out"), f"{root}/state").awaitTermination()
-    return spark.read.parquet(f"{root}/out").dropDuplicates(["batch"])
+    J.redo_late(came, done, root, f"{root}/state").awaitTermination()
+    # A batch that several micro-batches name is done anew once.
+    return J.loaded(spark, root).drop("batch").withColumnRenamed("redo", "batch").dropDuplicates(["batch"])
 
 
 @query("st04_stale_sources", "WITH d AS (SELECT event_type, ts, max(ts) OVER () AS newest FROM events), k AS (SELECT * FROM d WHERE event_type <> 'error' OR ts < newest - INTERVAL 20 DAY) SELECT event_type AS source, date_trunc('milliseconds', max(ts)) AS last_seen FROM k WHERE event_type = 'error' GROUP BY 1")

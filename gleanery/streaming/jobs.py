@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -73,16 +74,53 @@ def load_each_batch(stream: DataFrame, load: Callable[[DataFrame, int], None], c
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def redo_late(transcripts: DataFrame, extracted: Callable[[], DataFrame], redo: Callable[[DataFrame, int], None], checkpoint: str):
+def load_once(stream: DataFrame, path: str, checkpoint: str, rows: Callable[[DataFrame, int], DataFrame] | None = None, measures: dict[str, Column] | None = None, gate: Callable[[dict], str | None] | None = None):
+    """Start a query that loads each micro-batch exactly once, and is gated by measures of the rows as they are written.
+
+    What ``rows`` makes of a batch goes to a folder named by the batch's number, which a replay overwrites, so a load that
+    died half-way or was not recorded by the checkpoint leaves no row twice. ``measures`` are observed on that write; no
+    second pass is made. If the gate names a reason, the query stops and the batch stays out of the ledger; else the
+    ledger gets a row (number and measures), and loaded() shows the batch. A path belongs to one checkpoint.
+    """
+    measures = measures or {"n_rows": F.count(F.lit(1))}
+
+    def each(batch: DataFrame, n: int) -> None:
+        seen = Observation(f"load-{n}-{uuid.uuid4().hex}")
+        out = rows(batch, n) if rows else batch
+        named = [c.alias(k) for k, c in measures.items()]
+        out.observe(seen, *named).write.mode("overwrite").parquet(f"{path}/rows/batch={n}")
+        found = seen.get
+        reason = gate(found) if gate is not None else None
+        if reason:
+            raise ValueError(f"batch {n} stopped: {reason}")
+        line = batch.sparkSession.range(1).select(F.lit(n).cast("long").alias("n"), *(F.lit(found[f.name]).cast(f.dataType).alias(f.name) for f in out.agg(*named).schema))
+        line.coalesce(1).write.mode("overwrite").parquet(f"{path}/ledger/batch={n}")
+
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    """(batch, n, measures...): the batches that were loaded."""
+    return spark.read.parquet(f"{path}/ledger")
+
+
+def loaded(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """The rows of loaded batches, with their number ``batch``; folders of batches that were stopped aren't read."""
+    reader = spark.read.schema(schema + ", batch int") if schema else spark.read
+    return reader.parquet(f"{path}/rows").join(ledger(spark, path).select("batch"), "batch", "left_semi")
+
+
+def redo_late(transcripts: DataFrame, extracted: Callable[[], DataFrame], path: str, checkpoint: str):
     """Start a query that names whole batches to extract anew when a transcript comes after its episode was read from notes.
 
-    ``transcripts`` is a stream (episode_id); ``extracted`` gives the current table (episode_id, batch, source).
+    ``transcripts`` is a stream (episode_id); ``extracted`` gives the current table (episode_id, batch, source). The
+    named batches lie under ``path`` and are read by loaded(); a replay names those of its own micro-batch once.
     """
-    def load(batch: DataFrame, n: int) -> None:
+    def named(batch: DataFrame, n: int) -> DataFrame:
         from ..operators.changes import damaged_batches
 
         came = batch.select("episode_id").distinct().withColumn("came", F.lit(True))
-        rows = extracted().join(came, "episode_id", "left")
-        redo(damaged_batches(rows, "batch", "episode_id", F.coalesce("came", F.lit(False)) & (F.col("source") == "show_notes")), n)
+        rows = extracted().withColumnRenamed("batch", "redo").join(came, "episode_id", "left")
+        return damaged_batches(rows, "redo", "episode_id", F.coalesce("came", F.lit(False)) & (F.col("source") == "show_notes"))
 
-    return load_each_batch(transcripts, load, checkpoint)
+    return load_once(transcripts, path, checkpoint, named)

@@ -159,3 +159,39 @@ def test_gate_stops_before_load(spark, tmp_path):
     with pytest.raises(Exception, match="bad rows"):
         load_each_batch(x.stream(), load, str(tmp_path / "c"), gate).awaitTermination(60)
     assert spark.read.parquet(out).count() == 1
+
+
+def test_a_replayed_load_leaves_each_row_once(spark, tmp_path):
+    """A load that dies after its rows were written, a gate that stops a batch, and a replay of both."""
+    from pyspark.sql import functions as F
+
+    from gleanery.streaming import jobs as J
+
+    x = Landing(spark, tmp_path / "x", "id long, ok boolean")
+    out, state, broken = str(tmp_path / "out"), str(tmp_path / "c"), []
+    measures = {"n_rows": F.count(F.lit(1)), "bad": F.count_if(~F.col("ok")), "most": F.max("id")}
+
+    def gate(m):
+        if broken:
+            raise OSError("the machine went away")
+        return "bad rows" if m["bad"] else None
+
+    load = lambda: J.load_once(x.stream(), out, state, lambda df, n: df.where("id is not null"), measures, gate).awaitTermination(60)
+    x.put([(1, True), (2, True), (None, True)])
+    broken.append(1)
+    with pytest.raises(Exception, match="went away"):
+        load()
+    assert len(list((tmp_path / "out" / "rows").glob("batch=0/part-*"))) > 0 and not (tmp_path / "out" / "ledger").exists()
+    broken.clear()
+    load()
+    assert sorted(r.id for r in J.loaded(spark, out).collect()) == [1, 2]
+    x.put([(3, True), (4, False)])
+    with pytest.raises(Exception, match="bad rows"):
+        load()
+    assert sorted(r.id for r in J.loaded(spark, out).collect()) == [1, 2]
+    measures["bad"] = F.count_if(F.lit(False))  # someone has looked at the batch and lets it pass
+    load()
+    x.put([(None, True)])  # a batch of which no row is left
+    load()
+    assert sorted(r.id for r in J.loaded(spark, out).collect()) == [1, 2, 3, 4]
+    assert sorted((r.n, r.n_rows, r.most) for r in J.ledger(spark, out).collect()) == [(0, 2, 2), (1, 2, 4), (2, 0, None)]

@@ -114,16 +114,58 @@ def test_web_search_strings():
     assert web_terms("x-y Z") == {**none, "phrases": [["x", "y"]], "every": ["z"]} and web_terms("OR a OR") == {**none, "every": ["a"]} and web_terms("") == none
 
 
-def test_interrupted_swap_leaves_the_old_version(spark, tmp_path):
+def test_upsert_rewrites_touched_folders_alone(spark, tmp_path):
+    import os
+
     from gleanery.operators import sinks as K
 
-    table = f"file://{tmp_path}/t"
-    assert K.read_table(spark, table) is None
-    K.swap_in(spark.range(3), table)
-    spark.range(9).write.parquet(f"{table}/v-never-named")  # a job that died before its pointer was written
-    assert K.read_table(spark, table).count() == 3
-    K.swap_in(spark.range(5), table)
-    assert K.read_table(spark, table).count() == 5
+    path, made = str(tmp_path / "t"), "id long, note string, n int"
+    K.write_buckets(spark.createDataFrame([(k, f"a{k}", k) for k in range(200)] + [(None, "x", 1)], made), path, "id", 16)
+    files = lambda: {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.startswith("part-")}
+    before = files()
+    new = spark.createDataFrame([(3, None, 9), (3, "b", 50), (500, "new", 1), (None, "y", 2)], made)
+    touched = {r.b for r in new.where("id is not null").select(F.pmod(F.xxhash64("id"), F.lit(16)).alias("b")).collect()}
+    wanted = sorted([(k, f"a{k}", k) for k in range(200) if k != 3] + [(3, "a3", 9), (500, "new", 1)])
+    for _ in range(2):
+        K.upsert_buckets(new, path, "id", F.col("n"), ["note"], 16)
+        assert sorted(tuple(r) for r in spark.read.parquet(path).select("id", "note", "n").collect()) == wanted
+    gone = {int(f.split("bucket=")[1].split("/")[0]) for f in before - files()}
+    assert gone == touched and len(touched) < 16
+    K.upsert_buckets(new.limit(0), path, "id", F.col("n"), ["note"], 16)
+    # An upsert that fails leaves the table as it was.
+    with pytest.raises(Exception, match="bad row"):
+        K.upsert_buckets(new.withColumn("n", F.raise_error(F.lit("bad row")).cast("int")), path, "id", F.lit(1), ["note"], 16)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("id", "note", "n").collect()) == wanted
+
+
+def test_page_sink_publishes_at_commit(spark, tmp_path):
+    import glob
+    import json
+
+    from gleanery.operators import sinks as K
+    from gleanery.operators.page_sink import FolderService, PageWriter, push_pages
+
+    rows = spark.createDataFrame([(1, "p", [f"b{k}" for k in range(250)]), (2, "q", []), (3, None, ["x"]), (None, "r", ["x"]), (4, "s", None)], "id long, payload string, blocks array<string>").repartition(3)
+    path = str(tmp_path / "service")
+    for _ in range(2):  # a page that is sent again is the same page
+        push_pages(rows, F.col("id"), F.col("payload"), F.col("blocks"), path, "2024-05-01")
+    sent = [json.loads(x) for f in glob.glob(f"{path}/requests/*.json") for x in open(f)]
+    assert sorted((x["key"], x["request"], len(x["blocks"])) for x in sent) == sorted(2 * [("1", 0, 100), ("1", 1, 100), ("1", 2, 50), ("2", 0, 0), ("4", 0, 0)]) and len({x["page_id"] for x in sent}) == 3
+    events = spark.read.schema("key string, at string, state string, page_id string, error string").json(f"{path}/events").withColumn("event_id", F.col("page_id"))
+    assert {(r.key, r.state, r.error) for r in K.sync_state(events, "key").collect()} == {("1", "synced", None), ("2", "synced", None), ("4", "synced", None), ("3", "failed", "no payload"), (None, "failed", "no key")}
+    # A job that fails publishes nothing, nor does a task whose message never came.
+    other = str(tmp_path / "other")
+    bad = rows.withColumn("payload", F.when(F.col("id") == 4, F.raise_error(F.lit("lost"))).otherwise(F.col("payload")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        push_pages(bad, F.col("id"), F.col("payload"), F.col("blocks"), other, "2024-05-01")
+    assert not glob.glob(f"{other}/requests/*") and not glob.glob(f"{other}/events/*")
+    writer = PageWriter({"path": other, "perrequest": "2"})
+    two = [writer.write(iter(rows.where("id < 3").selectExpr("string(id) as key", "payload", "blocks").collect())) for _ in range(2)]
+    writer.abort([two[0], None])
+    writer.commit([two[1]])
+    assert two[1].requests == 126 and len(glob.glob(f"{other}/requests/*")) == 1 and not glob.glob(f"{other}/_staged/requests/{two[0].name}*")
+    with pytest.raises(ValueError, match="mounted"):
+        FolderService("s3://bucket/x")
 
 
 def test_children_of_merged_rows_are_repointed(spark):
@@ -214,16 +256,9 @@ def test_fuzzy_matches(spark):
     assert [r.mention_id for r in safe_links(c).collect()] == [1]
 
 
-def test_upsert_and_batches(spark, tmp_path):
+def test_batches_are_replaced_whole(spark, tmp_path):
     from gleanery.operators import sinks as K
 
-    table = str(tmp_path / "t")
-    new = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (2, "c", 7), (None, "x", 1)], "id long, note string, n int")
-    K.swap_in(K.upsert(None, new, "id", F.col("n")).drop("created"), table)
-    again = spark.createDataFrame([(2, None, 9), (3, "d", 1)], "id long, note string, n int")
-    for _ in range(2):  # the second run changes nothing
-        K.swap_in(K.upsert(K.read_table(spark, table), again, "id", F.col("n"), ["note"]).drop("created"), table)
-        assert sorted(tuple(r) for r in K.read_table(spark, table).collect()) == [(1, "a", 5), (2, "b", 9), (3, "d", 1)]
     path = str(tmp_path / "b")
     K.replace_batches(spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "x", 3)], "show int, batch string, v int"), path, ["show", "batch"])
     K.replace_batches(spark.createDataFrame([(1, "x", 9)], "show int, batch string, v int"), path, ["show", "batch"])
