@@ -5,6 +5,7 @@ from __future__ import annotations
 import decimal
 import difflib
 import math
+import os
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..functions.text import confidence_band, match_form
 from ..functions.urls import host
@@ -249,25 +250,122 @@ def match_catalog(songs: DataFrame, catalog: DataFrame, block: int = BLOCK) -> D
     return out.select("song_id", (-F.col("m.k")).alias("catalog_id"), F.col("m.score").alias("score"), F.when(F.col("m").isNull(), "NOT_FOUND").otherwise(confidence_band(F.col("m.score"))).alias("band"))
 
 
-def locate_passages(passages: DataFrame, docs: DataFrame, width: int = 5, least: float = 0.6) -> DataFrame:
-    """(passage_id, doc_id, first_word, words, share): where a passage stands in a text, punctuation and case ignored.
+def whole_words(needle: list[str], least: float) -> int:
+    """Whole words that every stretch of ``least`` of a needle's characters holds, however it is laid."""
+    text = " ".join(needle)
+    ends, starts, at = [], [], 0
+    for w in needle:
+        starts.append(at)
+        ends.append(at + len(w))
+        at += len(w) + 1
+    size = int(len(text) * least)
+    return min((sum(a <= s and e <= a + size for s, e in zip(starts, ends, strict=True)) for a in range(len(text) - size + 1)), default=0)
 
-    Runs of ``width`` words of both sides meet in a join; each hit votes for the place at which the passage would begin.
-    The place with most votes is taken if the votes cover ``least`` of the passage's runs. Passages under 8 words are
-    not looked for.
+
+def laid_block(needle: list[str], text: list[str], at: int) -> tuple[int, int, int]:
+    """(characters, first word, characters before it) of the longest common block of a needle laid on a text from word ``at`` on.
+
+    A block is a run of equal words with the characters that their neighbours share at either end, as it stands in both
+    texts when words are joined by blanks. Of equally long ones the first counts.
     """
-    def runs(rows: DataFrame, id_col: str, text: str) -> DataFrame:
-        w = rows.select(id_col, words(F.col(text)).alias("w"))
-        n = F.greatest(F.size("w") - (width - 1), F.lit(0))
-        zipped = F.arrays_zip(*(F.slice("w", k + 1, n).alias(f"w{k}") for k in range(width)))
-        return w.select(id_col, F.size("w").alias("n"), F.posexplode(zipped).alias("pos", "x")).select(id_col, "n", "pos", F.xxhash64(*(f"x.w{k}" for k in range(width))).alias("h"))
-
-    p = runs(passages, "passage_id", "text").where("n >= 8").withColumnRenamed("pos", "pp")
-    d = runs(docs, "doc_id", "text").select("doc_id", "pos", "h")
-    votes = d.join(p, "h").groupBy("passage_id", "doc_id", "n", (F.col("pos") - F.col("pp")).alias("first_word")).agg(F.countDistinct("pp").alias("v"))
-    best = votes.groupBy("passage_id", "doc_id", "n").agg(F.max(F.struct("v", (-F.col("first_word")).alias("k"))).alias("m"))
-    share = F.round(F.col("m.v") / (F.col("n") - (width - 1)), 4)
-    return best.select("passage_id", "doc_id", (-F.col("m.k")).alias("first_word"), F.col("n").alias("words"), share.alias("share")).where(F.col("share") >= least)
+    best, j = (0, 0, 0), 0
+    fits = lambda k: 0 <= k < len(needle) and 0 <= at + k < len(text)
+    while j < len(needle):
+        if not (fits(j) and needle[j] == text[at + j]):
+            j += 1
+            continue
+        first = j
+        while fits(j) and needle[j] == text[at + j]:
+            j += 1
+        before = after = 0
+        if fits(first - 1):
+            before = 1 + len(os.path.commonprefix([needle[first - 1][::-1], text[at + first - 1][::-1]]))
+        if fits(j):
+            after = 1 + len(os.path.commonprefix([needle[j], text[at + j]]))
+        size = before + sum(map(len, needle[first:j])) + j - first - 1 + after
+        if size > best[0]:
+            best = (size, first, before)
+    return best
+
+
+@F.pandas_udf(IntegerType())
+def _whole_words(needles: pd.Series, least: pd.Series) -> pd.Series:
+    return pd.Series([min(5, max(1, whole_words(list(n), x))) for n, x in zip(needles, least, strict=True)], dtype="int32")
+
+
+@F.pandas_udf(StructType([StructField(c, IntegerType()) for c in ("size", "first", "before")]))
+def _laid_block(needles: pd.Series, texts: pd.Series, at: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([laid_block(list(n), list(t), a) for n, t, a in zip(needles, texts, at, strict=True)], columns=["size", "first", "before"]).astype("int32")
+
+
+def _longest_blocks(needles: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """(passage_id, doc_id, at, size, length): where the longest common block lays a needle on a text, if it is long enough.
+
+    ``needles`` (passage_id, needle) are short lists of words, ``docs`` (doc_id, w) all words of texts. Every block that is long enough holds a run of whole words
+    of known width, so such runs of both sides meet in an equality join; each meeting lays the needle on the text, and the
+    places that differ are compared word by word.
+    """
+    def runs(rows: DataFrame, words_: str, *keep: str, width: Column) -> DataFrame:
+        at = F.explode(F.sequence(F.lit(0), F.size(words_) - width))
+        return rows.where(F.size(words_) >= width).select(*keep, width.alias("k"), words_, at.alias("pos")).select(*keep, "k", "pos", F.xxhash64("k", F.array_join(F.slice(words_, F.col("pos") + 1, F.col("k")), " ")).alias("h"))
+
+    n = needles.where("size(needle) > 0").withColumn("width", _whole_words("needle", F.lit(least)))
+    asked = runs(n, "needle", "passage_id", width=F.col("width")).select("passage_id", "h", F.col("pos").alias("np"))
+    widths = n.select("width").distinct()  # five at most
+    held = runs(docs.crossJoin(F.broadcast(widths)), "w", "doc_id", width=F.col("width")).select("doc_id", "h", "pos")
+    laid = held.join(asked, "h").select("passage_id", "doc_id", (F.col("pos") - F.col("np")).alias("at")).distinct()
+    # Only the words under the needle and one on either side go to the comparison.
+    low = F.greatest(F.col("at") - 1, F.lit(0))
+    x = laid.join(needles, "passage_id").join(docs, "doc_id").withColumn("part", F.slice("w", low + 1, F.size("needle") + 2)).withColumn("block", _laid_block("needle", "part", F.col("at") - low))
+    length = F.length(F.array_join("needle", " "))
+    x = x.select("passage_id", "doc_id", "at", "block.*", length.alias("length")).where(F.col("size") >= F.floor(F.col("length") * F.lit(least)))
+    # The longest, then the one that begins first in the text, then in the needle.
+    rank = F.struct(F.col("size"), -(F.col("at") + F.col("first")), F.col("before"), -F.col("first"))
+    return x.groupBy("passage_id", "doc_id").agg(F.max_by(F.struct("at", "size", "length"), rank).alias("b")).select("passage_id", "doc_id", "b.*")
+
+
+def locate_passages(passages: DataFrame, docs: DataFrame, window: int = 12, least: float = 0.6, least_words: int = 1) -> DataFrame:
+    """(passage_id, doc_id, first_word, last_word, words, share): where a passage stands in a text, punctuation and case ignored.
+
+    The first ``window`` words of a passage are laid where the text holds the longest block of characters in common with
+    them; the block must make ``least`` of their characters, its part is ``share``. The last ``window`` words are looked
+    for from there on in the same way and give ``last_word``, else null. Short passages are looked for too, unless
+    ``least_words`` says otherwise. A block that holds no whole word isn't seen. Null and wordless texts hold nothing;
+    ids must be unique.
+    """
+    p = passages.select("passage_id", words(F.col("text")).alias("p")).where(F.size("p") >= least_words)
+    d = docs.select("doc_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    cut = lambda start: p.select("passage_id", F.slice("p", start, F.lit(window)).alias("needle"))
+    head = _longest_blocks(cut(F.lit(1)), d, least)
+    # For the tail a text begins where the head was found; a pair is a text of its own.
+    since = F.greatest(F.col("at"), F.lit(0))
+    pairs = head.select(F.struct("passage_id", "doc_id").alias("pair"), "passage_id", "doc_id", since.alias("since"))
+    rest = pairs.join(d, "doc_id").select(F.col("pair"), "passage_id", "since", F.expr("slice(w, since + 1, size(w))").alias("w"))
+    ends = _longest_tails(cut(F.greatest(F.size("p") - window, F.lit(0)) + 1), rest, least)
+    out = head.join(p.select("passage_id", F.size("p").alias("words")), "passage_id").join(ends, ["passage_id", "doc_id"], "left")
+    return out.select("passage_id", "doc_id", since.alias("first_word"), "last_word", "words", F.round(F.col("size") / F.col("length"), 4).alias("share"))
+
+
+def _longest_tails(tails: DataFrame, rest: DataFrame, least: float) -> DataFrame:
+    """(passage_id, doc_id, last_word): the tail of each pair's passage in the rest of its text, which few rows have."""
+    x = rest.join(tails, "passage_id")
+    best = x.withColumn("b", _tail_block("needle", "w", F.lit(least))).where(F.col("b").isNotNull())
+    return best.select("pair.*", (F.col("since") + F.least(F.col("b") + F.size("needle"), F.size("w")) - 1).alias("last_word"))
+
+
+@F.pandas_udf(IntegerType())
+def _tail_block(needles: pd.Series, texts: pd.Series, least: pd.Series) -> pd.Series:
+    """Where the longest block lays a needle on a text, or null: only places with a common word are looked at."""
+    out: list[int | None] = []
+    for needle, text, share in zip(needles, texts, least, strict=True):
+        needle, text, own = list(needle), list(text), {}
+        for j, w in enumerate(needle):
+            own.setdefault(w, []).append(j)
+        places = {k - j for k, w in enumerate(text) if w in own for j in own[w]}
+        found = [(size, -(at + first), before, -first, at) for at in places for size, first, before in (laid_block(needle, text, at),)]
+        best = max(found, default=None)
+        out.append(best[4] if best and best[0] >= int(len(" ".join(needle)) * share) else None)
+    return pd.Series(out, dtype="Int32")
 
 
 def _best_links(keep: int):

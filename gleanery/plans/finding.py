@@ -8,6 +8,7 @@ from ..operators import matching as M
 from ..operators import search as S
 from ..operators import text_index as X
 from .base import query, scratch, table
+from .landing import PIECES
 
 _W = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
 _POST = f"p AS (SELECT doc_id, unnest({_W}) AS term, generate_subscripts({_W}, 1) - 1 AS pos FROM documents)"
@@ -121,17 +122,27 @@ def j15(spark, sf_dir):
     return M.weighted_title_match(wanted, p.select(k.alias("episode_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("source")))
 
 
-def _runs(name: str, id_col: str, source: str) -> str:
-    return f"{name} AS (SELECT {id_col}, len(w) AS n, unnest(range(0, greatest(len(w) - 4, 0))) AS pos, w FROM (SELECT {id_col}, {_W} AS w FROM {source}))"
-
+def _laid(name: str, needle: str, docs: str) -> str:
+    """Equal words of needles (item_id, nw) and texts (item_id or none, doc_id, w) by offset, in runs with what their neighbours share."""
+    pair = "USING (item_id, t)" if docs == "rest" else "USING (t)"
+    also = "item_id, " if docs == "rest" else ""
+    same = "list_max(list_filter(range(least(len(x), len(y)) + 1), lambda q: {side}(x, q) = {side}(y, q)))"
+    return f"""{name}h AS (SELECT item_id, doc_id, pos - j AS lay, j FROM (SELECT {also}doc_id, unnest(w) AS t, unnest(range(len(w))) AS pos FROM {docs}) JOIN (SELECT item_id, unnest(nw) AS t, unnest(range(len(nw))) AS j FROM {needle}) {pair}),
+    {name}i AS (SELECT item_id, doc_id, lay, min(j) AS a, max(j) AS b FROM (SELECT *, j - row_number() OVER (PARTITION BY item_id, doc_id, lay ORDER BY j) AS g FROM {name}h) GROUP BY item_id, doc_id, lay, g),
+    {name}c AS (SELECT {name}i.*, nw, len(array_to_string(nw, ' ')) AS length, len(array_to_string(nw[a + 1 : b + 1], ' ')) AS core FROM {name}i JOIN {needle} USING (item_id)
+      WHERE core + 2 + coalesce(len(nw[a]), 0) + coalesce(len(nw[b + 2]), 0) >= floor(length * 0.6::DOUBLE)),
+    {name}e AS (SELECT {name}c.*, CASE WHEN b + 1 < len(nw) AND lay + b + 1 < len(w) THEN 1 + (SELECT {same.format(side="left")} FROM (SELECT nw[b + 2] AS x, w[lay + b + 2] AS y)) ELSE 0 END AS after,
+      CASE WHEN a > 0 AND lay + a > 0 THEN 1 + (SELECT {same.format(side="right")} FROM (SELECT nw[a] AS x, w[lay + a] AS y)) ELSE 0 END AS before FROM {name}c JOIN {docs} USING ({also}doc_id)),
+    {name} AS (SELECT *, core + after + before AS size FROM {name}e WHERE core + after + before >= floor(length * 0.6::DOUBLE) QUALIFY row_number() OVER (PARTITION BY item_id, doc_id ORDER BY size DESC, lay + a, before DESC, a) = 1)"""
 
 
 @query(
     "j16_locate_passages",
-    f"""WITH {_runs('r', 'item_id', 'benchmark')}, {_runs('s', 'doc_id', 'documents')},
-    a AS (SELECT item_id, n, pos, array_to_string(w[pos + 1 : pos + 5], ' ') AS h FROM r WHERE n >= 8), b AS (SELECT doc_id, pos, array_to_string(w[pos + 1 : pos + 5], ' ') AS h FROM s),
-    v AS (SELECT item_id, doc_id, n, b.pos - a.pos AS first_word, count(DISTINCT a.pos) AS v FROM a JOIN b USING (h) GROUP BY ALL), m AS (SELECT *, row_number() OVER (PARTITION BY item_id, doc_id ORDER BY v DESC, first_word) AS k FROM v)
-    SELECT item_id AS passage_id, doc_id, CAST(first_word AS INTEGER) AS first_word, CAST(n AS INTEGER) AS words, round(v / (n - 4), 4) AS share FROM m WHERE k = 1 AND round(v / (n - 4), 4) >= 0.6""",
+    rf"""WITH d AS (SELECT doc_id, {_W} AS w FROM documents), p AS (SELECT item_id, {_W} AS p FROM benchmark), n AS (SELECT item_id, p[1:12] AS nw FROM p), m AS (SELECT item_id, p[greatest(len(p) - 12, 0) + 1 : len(p)] AS nw FROM p),
+    {_laid("x", "n", "d")},
+    rest AS (SELECT item_id, doc_id, greatest(lay, 0) AS since, w[greatest(lay, 0) + 1 : len(w)] AS w FROM x JOIN d USING (doc_id)), {_laid("y", "m", "rest")}
+    SELECT item_id AS passage_id, doc_id, CAST(greatest(x.lay, 0) AS INTEGER) AS first_word, CAST(since + least(y.lay + len(y.nw), len(rest.w)) - 1 AS INTEGER) AS last_word, CAST(len(p) AS INTEGER) AS words, round(x.size / x.length, 4) AS share
+    FROM x JOIN p USING (item_id) JOIN rest USING (item_id, doc_id) LEFT JOIN y USING (item_id, doc_id)""",
 )
 def j16(spark, sf_dir):
     return M.locate_passages(table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "passage_id"), table(spark, sf_dir, "documents"))
@@ -150,7 +161,17 @@ def j18(spark, sf_dir):
     return M.link_candidates(mentions, links)
 
 
-@query("j17_anchor_blocks")
+_FORM = r"trim(regexp_replace(lower({t}), '[^\p{{L}}\p{{N}}\p{{M}}]+', ' ', 'g'))"
+_RUNS3 = "list_distinct(list_transform(range(greatest(len(w) - 2, 0)), lambda i: array_to_string(w[i + 1 : i + 3], ' ')))"
+
+
+@query(
+    "j17_anchor_blocks",
+    f"""{PIECES}, b AS (SELECT doc_id, pos, {_FORM.format(t="piece")} AS bf, {_W.replace("lower(text)", "lower(piece)")} AS w FROM r WHERE piece <> ''),
+    p AS (SELECT doc_id, {_W.replace("lower(text)", "lower(substr(text, length(text) // 2 + 1, 300))")} AS w FROM documents WHERE text IS NOT NULL), ph AS (SELECT doc_id, array_to_string(w[1:8], ' ') AS head, {_RUNS3} AS runs FROM p), bh AS (SELECT doc_id, pos, bf, {_RUNS3} AS runs FROM b),
+    s AS (SELECT doc_id, pos, contains(bf, head) AS has, len(list_intersect(ph.runs, bh.runs)) AS n FROM ph JOIN bh USING (doc_id))
+    SELECT doc_id AS passage_id, doc_id, pos FROM s WHERE n > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY has DESC, n DESC, pos) = 1""",
+)
 def j17(spark, sf_dir):
     from ..operators.sinks import text_pieces
 

@@ -57,14 +57,14 @@ def k04(spark, sf_dir):
     return K.sync_state(e, "entity_id").select("entity_id", "state", "page_id")
 
 
-_PIECES = r"""WITH RECURSIVE r AS (SELECT doc_id, text AS t, -1 AS pos, CAST(NULL AS VARCHAR) AS piece FROM documents WHERE regexp_matches(text, '\S')
+PIECES = r"""WITH RECURSIVE r AS (SELECT doc_id, text AS t, -1 AS pos, CAST(NULL AS VARCHAR) AS piece FROM documents WHERE regexp_matches(text, '\S')
     UNION ALL SELECT doc_id, CASE WHEN length(t) > 1900 THEN CASE WHEN cut >= 1 THEN substr(t, cut + 2) ELSE substr(t, 1901) END END, pos + 1, CASE WHEN length(t) <= 1900 THEN t WHEN cut >= 1 THEN left(t, cut) ELSE left(t, 1900) END
       FROM (SELECT *, 1899 - length(regexp_extract(left(t, 1900), '[^ \n\t]*$')) AS cut FROM r WHERE t IS NOT NULL))"""
 
 
 @query(
     "k05_payload",
-    f"""{_PIECES},
+    f"""{PIECES},
     n AS (SELECT doc_id, count(*) AS n_blocks FROM r WHERE piece <> '' GROUP BY 1)
     SELECT CAST(doc_id AS VARCHAR) AS key, left(text, 2000) AS body, lang, coalesce(n_blocks, 0) AS n_blocks, CAST(greatest(1, ceil(coalesce(n_blocks, 0) / 100)) AS BIGINT) AS n_requests, 'synced' AS state FROM documents LEFT JOIN n USING (doc_id)""",
 )
@@ -82,7 +82,7 @@ def k05(spark, sf_dir):
     return pages.join(K.sync_state(events, "key"), "key").select("key", F.col("p.body").alias("body"), F.col("p.lang").alias("lang"), "n_blocks", "n_requests", "state")
 
 
-@query("k06_text_pieces", f"""{_PIECES}
+@query("k06_text_pieces", f"""{PIECES}
     SELECT doc_id, pos, piece, CAST(floor(pos / 100) AS INTEGER) AS request FROM r WHERE piece <> ''""")
 def k06(spark, sf_dir):
     return K.text_pieces(table(spark, sf_dir, "documents"), "doc_id", "text")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import difflib
 import random
 import re
 
@@ -425,3 +426,65 @@ def test_best_fragments_equal_all_windows():
         assert len(two) <= 2 and any(a <= first[0] and first[1] <= b for a, b in two) and (len(two) == 1 or two[1][0] > two[0][1] + 1)
         if len(two) == 1 and two[0] == first:
             assert all(first[0] <= p <= first[1] for p, _ in hits)
+
+
+def plain_span(clip: str, text: str, window: int = 12, least: float = 0.6):
+    """The rule over whole texts with difflib: word of the start, word of the end."""
+    cut = lambda t: [w for w in re.split(r"[\W_]+", t.lower()) if w]
+    p, w = cut(clip), cut(text)
+
+    def best(needle, hay):
+        n, h = " ".join(needle), " ".join(hay)
+        m = difflib.SequenceMatcher(None, h, n, autojunk=False).find_longest_match(0, len(h), 0, len(n))
+        if not needle or m.size < int(len(n) * least):
+            return None
+        # A word that both hold lays the needle on the text.
+        for a, b in ((m.a + k, m.b + k) for k in range(m.size)):
+            if (b == 0 or n[b - 1] == " ") and (a == 0 or h[a - 1] == " ") and h[a:].split(" ")[0] == n[b:].split(" ")[0] and len(n[b:].split(" ")[0]) <= m.size - (b - m.b):
+                return h[:a].count(" ") - n[:b].count(" ")
+        return None
+
+    at = best(p[:window], w)
+    if at is None:
+        return None
+    since = max(at, 0)
+    end = best(p[-window:], w[since:])
+    return since, None if end is None else since + min(end + len(p[-window:]), len(w) - since) - 1
+
+
+def test_clips_are_located_as_by_plain_block_search(spark):
+    from gleanery.operators.matching import locate_passages
+
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("abcdeéo") for _ in range(rng.randrange(2, 9))) for _ in range(400)]
+    texts = [[rng.choice(vocabulary) for _ in range(rng.randrange(80, 250))] for _ in range(12)]
+    clips = []
+    for k in range(90):
+        text, size = rng.choice(texts), rng.choice([1, 3, 5, 7, 8, 12, 20, 40, 60])
+        start = rng.randrange(0, len(text) - size)
+        clip = list(text[start : start + size])
+        for _ in range(rng.choice([0, 0, 1, 2, 4])):
+            at = rng.randrange(len(clip))
+            clip[at : at + 1] = rng.choice([[], [clip[at] + "s"], [rng.choice(vocabulary)], [clip[at], "um"]])
+            clip = clip or ["um"]
+        clips.append((k, " ".join(clip).title() if k % 2 else ", ".join(clip) + "."))
+    clips += [(900, None), (901, "..."), (902, "totally unrelated gardening tulips watering cans and sunshine every day")]
+    docs = [(d, " -- ".join(t)) for d, t in enumerate(texts)] + [(100, None), (101, "")]
+    wanted = {}
+    for k, c in clips:
+        for d, t in docs:
+            if c and t and (span := plain_span(c, t)):
+                wanted[k, d] = span
+    got = locate_passages(spark.createDataFrame(clips, "passage_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r.passage_id, r.doc_id): (r.first_word, r.last_word) for r in got} == wanted and len(wanted) > 60
+    least = locate_passages(spark.createDataFrame(clips, "passage_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string"), least_words=8).collect()
+    assert {(r.passage_id, r.doc_id) for r in least} == {(r.passage_id, r.doc_id) for r in got if r.words >= 8}
+
+
+def test_clips_despite_drift_of_punctuation(spark):
+    from gleanery.operators.matching import locate_passages
+
+    text = "Welcome back to the show. " * 20 + "OpenAI just released a new report breaking down the six core ways businesses are using AI today, they call them use case primitives. " + "More filler content here. " * 20
+    clips = [(1, "OpenAI just released a new report breaking down the six core ways businesses are using AI today. They call them use case primitives."), (2, "totally unrelated words about gardening tulips daffodils watering cans and sunshine every single day")]
+    got = locate_passages(spark.createDataFrame(clips, "passage_id long, text string"), spark.createDataFrame([(5, text)], "doc_id long, text string")).collect()
+    assert [(r.passage_id, r.first_word, r.last_word, r.share) for r in got] == [(1, 100, 122, 1.0)]
