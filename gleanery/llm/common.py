@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +69,13 @@ def boxed(docs: DataFrame, **columns) -> DataFrame:
     return docs.select(F.struct("*").alias("row"), *(c.alias(name) for name, c in columns.items()))
 
 
+def release_memory() -> None:
+    """Give what is free back to the system: a worker serves task after task, and what it keeps adds to the executor's."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another C library than glibc keeps what it has
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 # ---------------------------------------------------------------- text buffers
 
 

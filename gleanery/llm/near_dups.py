@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, connected_components, mix64, shingle_sets, stored, text_buffer
+from .common import chunks, connected_components, mix64, release_memory, shingle_sets, stored, text_buffer
 
 REGISTERS, BAND_ROWS = 128, 4
 BASE = 1.001
@@ -90,6 +90,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
                 lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32), pa.array(bands.ravel()))
                 raw = pa.array([r.tobytes() for r in regs], pa.binary())
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n), pa.array(f1), pa.array(f2), lists, raw], ["doc_id", "th", "n", "f1", "f2", "bands", "regs"])
+            release_memory()
 
     return _texts(docs, id_col, text_col).where("doc_id is not null").mapInArrow(run, "doc_id long, th long, n long, f1 long, f2 long, bands array<long>, regs binary")
 
@@ -110,6 +111,7 @@ def shingle_table(rows: DataFrame, width: int) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(ends, pa.array(flat))], ["rep", "shingles"])
+            release_memory()
 
     return rows.select("rep", "text").mapInArrow(run, "rep long, shingles array<long>")
 
@@ -178,6 +180,7 @@ def _in_blocks(rows: DataFrame, threshold: float, percent: int, exact: bool) ->
                 y = y[100 * both >= percent * (n[x] + n[y] - both)]
                 y = y[np.unique(comp[y], return_index=True)[1]]
                 links += [(rep[x], rep[k]) for k in y]
+        release_memory()
         if exact:
             a, b = zip(*links, strict=True) if links else ((), ())
             return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})

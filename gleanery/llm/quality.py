@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _power, boxed, chunks, mix64, text_buffer
+from .common import boxed, chunks, mix64, _power, release_memory, text_buffer
 
 BUCKETS = 1 << 17
 DIM = 10
@@ -157,6 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         if len(set(y.tolist())) < 2:
             return pa.table({"scores": pa.array([], pa.binary()), "bias": pa.array([], pa.float64())})
         scores, bias = fit(((t.as_py() or "").encode() for t in table.column("__text")), y)
+        release_memory()
         return pa.table({"scores": pa.array([scores.astype(np.float32).tobytes()], pa.binary()), "bias": [bias]})
 
     rows = sample.withColumn("__g", F.lit(1)).groupBy("__g").applyInArrow(run, "scores binary, bias double").collect()
@@ -183,6 +184,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         z = np.concatenate([logits(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], scores, bias) for a, b in chunks(offsets)] or [np.zeros(0)])
         import pandas as pd
 
+        release_memory()
         return pd.Series(1 / (1 + np.exp(-z)))
 
     return boxed(docs, score=score(F.col(text_col).cast("string")))
