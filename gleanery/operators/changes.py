@@ -40,18 +40,28 @@ def damaged_batches(rows: DataFrame, batch: str, item: str, damaged: Column) ->
     return rows.join(bad, batch, "left_semi").groupBy(batch).agg(F.array_join(F.array_sort(F.collect_set(F.col(item).cast("string"))), ",").alias("items"), F.countDistinct(item).alias("n"))
 
 
+def _dealt(rows: DataFrame, *order: Column | str) -> DataFrame:
+    """Rows in ranges of the order, with the range's number ``__p``, written once.
+
+    Two branches read the numbers, and a branch that dealt the rows anew could draw other bounds. The frame goes to the
+    folder in spark.checkpoint.dir; a session without one keeps it in its executors.
+    """
+    dealt = rows.repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
+    return dealt.checkpoint() if rows.sparkSession.conf.get("spark.checkpoint.dir", None) else dealt.persist()
+
+
 def within_budget(groups: DataFrame, order: str, size: str, cap: int) -> DataFrame:
     """Whole groups in order until the sum reaches the cap; at least the first.
 
     The running sum takes two passes as in batch_ids(): inside ranges of the order, and over the ranges' totals.
     """
-    dealt = groups.repartitionByRange(order).withColumn("__p", F.spark_partition_id())
+    dealt = _dealt(groups, order)
     so_far = lambda w: w.rowsBetween(W.unboundedPreceding, W.currentRow)
     inside = dealt.withColumn("__s", F.sum(size).over(so_far(W.partitionBy("__p").orderBy(order))))
     sums = dealt.groupBy("__p").agg(F.sum(size).alias("__t"))
     base = sums.select("__p", (F.sum("__t").over(so_far(W.orderBy("__p"))) - F.col("__t")).alias("__b"))
     out = inside.join(base, "__p").withColumn("total", F.col("__b") + F.col("__s")).drop("__p", "__s", "__b")
-    first = groups.agg(F.min(order).alias("__first"))
+    first = dealt.agg(F.min(order).alias("__first"))
     return out.join(F.broadcast(first), F.col(order) == F.col("__first"), "left").where(F.col("__first").isNotNull() | (F.col("total") <= cap)).drop("__first")
 
 
@@ -72,7 +82,7 @@ def batch_ids(rows: DataFrame, size: int, *order: Column) -> DataFrame:
     Two passes instead of one global window: rows are range-partitioned by the order, numbered inside each partition,
     and the partitions' counts (few rows) give the offsets.
     """
-    dealt = rows.repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
+    dealt = _dealt(rows, *order)
     inside = dealt.withColumn("__n", F.row_number().over(W.partitionBy("__p").orderBy(*order)) - 1)
     counts = dealt.groupBy("__p").agg(F.count("*").alias("__c"))
     base = counts.select("__p", (F.sum("__c").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("__c")).alias("__b"))

@@ -158,13 +158,39 @@ def derive_tags(kind: Column, platform: Column, facts: Column) -> Column:
     return F.map_from_entries(F.filter(pairs, lambda e: e["value"].isNotNull()))
 
 
+def _bare(column: str) -> Column:
+    """A model's answer without the fence around its JSON."""
+    return F.regexp_replace(F.regexp_replace(F.trim(column), "^```(?:json)?\\s*", ""), "\\s*```$", "")
+
+
 def parse_responses(responses: DataFrame, schema: str, column: str = "response") -> DataFrame:
-    """Model answers to one row for each mention; fences around the JSON are cut, unreadable answers give no row."""
-    bare = F.regexp_replace(F.regexp_replace(F.trim(column), "^```(?:json)?\\s*", ""), "\\s*```$", "")
-    read = responses.withColumn("__r", F.from_json(bare, schema, {"mode": "PERMISSIVE"}))
+    """Model answers to one row for each mention; answers without a list of mentions are in rejected_responses()."""
+    read = responses.withColumn("__r", F.from_json(_bare(column), schema, {"mode": "PERMISSIVE"}))
     return read.withColumn("m", F.explode("__r.mentions")).drop("__r", column).select("*", "m.*").drop("m")
 
 
+def rejected_responses(responses: DataFrame, column: str = "response") -> DataFrame:
+    """Answers that give no mention, with ``reason``: empty, not_json, not_an_object, no_mentions, mentions_not_a_list.
+
+    The answer is read as a variant, so its shape need not be known. An empty list of mentions is a good answer.
+    """
+    kind = lambda v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    found = F.try_variant_get("__v", "$.mentions", "variant")
+    reason = (
+        F.when(F.coalesce(F.trim(_bare(column)), F.lit("")) == "", "empty")
+        .when(F.col("__v").isNull(), "not_json")
+        .when(kind(F.col("__v")) != "OBJECT", "not_an_object")
+        .when(found.isNull() | F.is_variant_null(found), "no_mentions")
+        .when(kind(found) != "ARRAY", "mentions_not_a_list")
+    )
+    return responses.withColumn("__v", F.try_parse_json(_bare(column))).withColumn("reason", reason).drop("__v").where("reason is not null")
+
+
+def response_shape(responses: DataFrame, column: str = "response") -> DataFrame:
+    """One row (shape): the schema that all readable answers fit."""
+    return responses.select(F.try_parse_json(_bare(column)).alias("v")).where("v is not null").agg(F.schema_of_variant_agg("v").alias("shape"))
+
+
 def keep_for_profile(mentions: DataFrame, core_types: list[str], editorial_only: bool = True, core_only: bool = True) -> DataFrame:
     """Mentions that a profile loads: editorial ones, of its core types or ``other``."""
     out = mentions

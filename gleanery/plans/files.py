@@ -67,6 +67,32 @@ def s06(spark, sf_dir):
     return got.select(F.col("context_snippet").cast("long").alias("mention_id"), "mention_text", "is_editorial", "needs_review", F.col("confidence").cast("double").alias("confidence"), F.size("facts").alias("n_facts"), F.get("facts", F.lit(0))["fact_value"].alias("domain"))
 
 
+def _as_csv(rows: DataFrame, name: str) -> str:
+    path = scratch(rows.sparkSession, name)
+    rows.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return path
+
+
+@query("s06_review_queue", f"WITH m AS ({MENTIONS}) SELECT mention_id, episode_id, concat('two', chr(10), 'lines, \"', canonical_name, '\"') AS mention_text, CASE WHEN mention_id % 10 <> 0 THEN round(confidence, 4) END AS confidence, CASE WHEN mention_id % 3 = 0 THEN 'low_confidence' END AS review_reason, source_url FROM m WHERE needs_review")
+def s06r(spark, sf_dir):
+    k = F.col("mention_id")
+    conf = F.when(k % 10 == 0, "n/a").otherwise(F.format_string("%.4f", F.round("confidence", 4)))
+    given = {"episode_id": F.col("episode_id"), "entity_type": F.col("mention_type"), "canonical_name": F.col("canonical_name"), "mention_text": F.concat(F.lit('two\nlines, "'), "canonical_name", F.lit('"')), "confidence": conf, "review_reason": F.when(k % 3 == 0, "low_confidence"), "platform": F.lit(None).cast("string"), "source_url": F.col("source_url"), "context_snippet": k.cast("string")}
+    rows = view(spark, sf_dir, MENTIONS).where("needs_review").select(*(c.alias(n) for n, c in given.items()))
+    got = R.read_review_queue(spark, _as_csv(rows, "s06-review"))
+    return got.select(F.col("context_snippet").cast("long").alias("mention_id"), "episode_id", "mention_text", F.col("confidence").cast("double").alias("confidence"), "review_reason", "source_url")
+
+
+@query("s06_episode_summary", f"WITH m AS ({MENTIONS}) SELECT episode_id, CASE WHEN episode_id % 6 <> 0 THEN min(publish_date) END AS publish_date, count(*) AS mention_count, count(*) FILTER (needs_review) AS review_count, CASE WHEN episode_id % 4 = 0 THEN 0 ELSE 10 * count(*) END AS total_tokens, CASE WHEN episode_id % 4 <> 0 THEN count(*) / 8 END AS cost FROM m GROUP BY 1")
+def s06s(spark, sf_dir):
+    e = F.col("episode_id")
+    per = view(spark, sf_dir, MENTIONS).groupBy("episode_id").agg(F.min("publish_date").alias("d"), F.count("*").alias("n"), F.count_if("needs_review").alias("r"))
+    given = {"episode_id": e, "publish_date": F.when(e % 6 == 0, "soon").otherwise(F.col("d").cast("string")), "title": F.concat(F.lit('Part "'), e, F.lit('",\nsecond line')), "episode_url": F.lit(None).cast("string"), "transcript_path": F.lit("x.txt"), "mention_count": F.col("n"), "review_count": F.col("r")}
+    given |= {c: F.when(e % 4 != 0, F.col("n") * x) for c, x in (("prompt_tokens", 8), ("completion_tokens", 2), ("total_tokens", 10))} | {"estimated_total_cost_usd": F.when(e % 4 != 0, F.format_string("%.6f", F.col("n") / 8)).otherwise("None")}
+    got = R.read_episode_summary(spark, _as_csv(per.select(*(c.alias(n) for n, c in given.items())), "s06-summary"))
+    return got.select("episode_id", "publish_date", F.col("mention_count").cast("long").alias("mention_count"), F.col("review_count").cast("long").alias("review_count"), "total_tokens", F.col("estimated_total_cost_usd").cast("double").alias("cost"))
+
+
 @query("s07_manifests", "SELECT concat('batch-', CAST(floor(event_id / 500) AS BIGINT)) AS batch_name, event_type AS type, count(*) AS n FROM events GROUP BY ALL")
 def s07(spark, sf_dir):
     counts = table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / 500).alias("b"), "event_type").agg(F.count("*").alias("n"))
@@ -132,6 +158,15 @@ def n17(spark, sf_dir):
     return out.select("mention_id", "canonical_name", "mention_type", F.round("confidence", 6).alias("confidence"), "needs_review", "review_reason")
 
 
+@query("n17_rejected_answers", "WITH e AS (SELECT DISTINCT CAST(floor(event_id / 20) AS BIGINT) AS id FROM events) SELECT id AS episode_id, CASE id % 9 WHEN 0 THEN 'not_json' WHEN 1 THEN 'empty' WHEN 2 THEN 'not_an_object' WHEN 3 THEN 'no_mentions' ELSE 'mentions_not_a_list' END AS reason FROM e WHERE id % 9 < 5")
+def n17r(spark, sf_dir):
+    """Answers of which some are cut off, empty or of another shape; they are told apart, not lost."""
+    k = F.col("episode_id") % 9
+    bad = F.when(k == 0, F.left("response", F.lit(40))).when(k == 1, "```json\n```").when(k == 2, '[1, 2]').when(k == 3, '{"new_type_candidates": []}').when(k == 4, '```{"mentions": {"x": 1}}```')
+    answers = _answers(spark, sf_dir).withColumn("response", F.coalesce(bad, "response"))
+    return M.rejected_responses(answers).select("episode_id", "reason")
+
+
 @query("n18_new_types", "SELECT concat('type ', user_id % 9) AS type, count(*) AS n FROM events WHERE user_id % 9 NOT IN (1, 2, 3) GROUP BY 1")
 def n18(spark, sf_dir):
     read = _answers(spark, sf_dir).select(F.from_json(F.regexp_extract("response", r"(?s)\{.*\}", 0), M.RESPONSE).alias("r")).select("r.new_type_candidates")

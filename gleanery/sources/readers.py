@@ -95,6 +95,26 @@ def read_mentions(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumns({"is_editorial": flag("is_editorial"), "needs_review": flag("needs_review"), "confidence": F.col("confidence").try_cast("decimal(5,4)"), "facts": F.filter(parse_facts(F.col("facts_json")), lambda f: f["fact_key"].isNotNull())}).drop("facts_json")
 
 
+#: Columns of a batch's review queue and of its summary by episode.
+REVIEW = "episode_id long, entity_type string, canonical_name string, mention_text string, confidence string, review_reason string, platform string, source_url string, context_snippet string"
+SUMMARY = "episode_id long, publish_date string, title string, episode_url string, transcript_path string, mention_count int, review_count int, prompt_tokens long, completion_tokens long, total_tokens long, estimated_total_cost_usd string"
+
+
+def _read_batch(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
+
+
+def read_review_queue(spark: SparkSession, path: str) -> DataFrame:
+    """The review queue of a batch; confidences that are no numbers are null."""
+    return _read_batch(spark, path, REVIEW).withColumn("confidence", F.col("confidence").try_cast("decimal(5,4)"))
+
+
+def read_episode_summary(spark: SparkSession, path: str) -> DataFrame:
+    """A batch's summary by episode; dates and costs that can't be read are null, missing token counts are 0."""
+    typed = _read_batch(spark, path, SUMMARY).withColumns({"publish_date": F.to_date(F.try_to_timestamp("publish_date")), "estimated_total_cost_usd": F.col("estimated_total_cost_usd").try_cast("decimal(12,6)")})
+    return typed.na.fill(0, ["prompt_tokens", "completion_tokens", "total_tokens"])
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """The frame, or an error if it is empty."""
     if not df.limit(1).count():
