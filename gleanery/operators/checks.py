@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 RESULT = ["name", "status", "summary", "details"]
@@ -95,6 +97,19 @@ def late_source_queue(items: DataFrame, key: str, from_notes: Column, arrived: s
     return items.where(from_notes & F.col(arrived).isNotNull()).select(key, days.cast("long").alias("days"), F.when(days > fail_after, "fail").otherwise("warn").alias("status"))
 
 
+def measured_write(rows: DataFrame, path: str, measures: dict[str, Column]) -> dict:
+    """Write rows and return measures of them that were taken on the way; no second pass is made."""
+    seen = Observation(f"write-{uuid.uuid4().hex}")
+    rows.observe(seen, *(c.alias(n) for n, c in measures.items())).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
+def rules_on_write(rows: DataFrame, path: str, rules: dict[str, Column]) -> DataFrame:
+    """field_rules() of rows while they are written."""
+    found = measured_write(rows, path, {r: F.count_if(F.coalesce(c, F.lit(False))) for r, c in rules.items()})
+    return rows.sparkSession.createDataFrame(list(found.items()), "rule string, n long")
+
+
 def field_rules(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """(rule, n): rows that break each rule, all rules in one pass."""
     counted = rows.agg(*(F.count_if(F.coalesce(c, F.lit(False))).alias(r) for r, c in rules.items()))

@@ -33,6 +33,25 @@ def upsert_buckets(incoming: DataFrame, path: str, key: str, order: Column, keep
         new.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
 
+def delete_keys(keys: DataFrame, path: str, key: str, buckets: int = 64) -> None:
+    """Take rows out of the table at ``path`` by key; folders without such a key aren't touched.
+
+    A folder of which no row is left keeps an empty file, as an overwrite of nothing would leave the folder as it is.
+    """
+    spark = keys.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    touched = [r[0] for r in keys.where(F.col(key).isNotNull()).select(bucket).distinct().collect()]
+    if not touched:
+        return
+    old = spark.read.parquet(path).where(F.col("bucket").isin(*touched))
+    left = old.join(keys.select(key).distinct(), key, "left_anti")
+    full = {r[0] for r in left.select("bucket").distinct().collect()}
+    for empty in sorted(set(touched) - full):
+        spark.createDataFrame([], left.drop("bucket").schema).write.mode("overwrite").parquet(f"{path}/bucket={empty}")
+    if full:
+        left.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
 def upsert(existing: DataFrame | None, incoming: DataFrame, key: str, order: Column, keep_old_when_null: list[str] = ()) -> DataFrame:
     """Existing rows with the incoming ones put over them by key, and a flag ``created``.
 

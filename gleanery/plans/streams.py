@@ -132,17 +132,26 @@ def st02(spark, sf_dir):
     return J.loaded(spark, root).drop("batch").withColumnRenamed("redo", "batch").dropDuplicates(["batch"])
 
 
-@query("st04_stale_sources", "WITH d AS (SELECT event_type, ts, max(ts) OVER () AS newest FROM events), k AS (SELECT * FROM d WHERE event_type <> 'error' OR ts < newest - INTERVAL 20 DAY) SELECT event_type AS source, date_trunc('milliseconds', max(ts)) AS last_seen FROM k WHERE event_type = 'error' GROUP BY 1")
+@query(
+    "st04_stale_sources",
+    """WITH d AS (SELECT event_type, ts, max(ts) OVER () AS newest, min(ts) OVER () AS oldest FROM events), k AS (SELECT * FROM d WHERE event_type <> 'error' OR ts < newest - INTERVAL 20 DAY)
+    SELECT event_type AS source, date_trunc('milliseconds', max(ts)) AS last_seen FROM k WHERE event_type = 'error' GROUP BY 1 UNION ALL SELECT concat('silent ', event_type), date_trunc('milliseconds', min(oldest)) FROM d GROUP BY 1""",
+)
 def st04(spark, sf_dir):
-    """Errors stop 20 days before the end; files come in three steps of time, so timers see the watermark pass."""
+    """Errors stop 20 days before the end; files come in three steps of time, so timers see the watermark pass.
+
+    For each kind of event a source is known from before the stream that never sends.
+    """
     root = scratch(spark, "st04")
+    J.stateful_session(spark)
     e = table(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("at"))
-    newest = e.agg(F.max("at").alias("newest"))
-    e = e.join(F.broadcast(newest), F.lit(True)).withColumn("left", F.col("newest").cast("double") - F.col("at").cast("double")).where("event_type <> 'error' or left > 20 * 86400").drop("newest")
+    span = e.agg(F.max("at").alias("newest"), F.min("at").alias("oldest"))
+    known = e.select(F.concat(F.lit("silent "), "event_type").alias("source")).distinct().crossJoin(F.broadcast(span)).select("source", F.col("oldest").alias("at"))
+    e = e.join(F.broadcast(span), F.lit(True)).withColumn("left", F.col("newest").cast("double") - F.col("at").cast("double")).where("event_type <> 'error' or left > 20 * 86400").drop("newest", "oldest")
     for low, high in ((20, 10_000), (1, 20), (-1, 1)):
         e.where((F.col("left") > low * 86400) & (F.col("left") <= high * 86400)).drop("left").write.mode("append").parquet(f"{root}/landed")
         rows = spark.readStream.schema("event_type string, at timestamp").parquet(f"{root}/landed")
-        stale = J.stale_sources(rows, "event_type", "at", 14)
-        save = lambda df, n: df.write.mode("append").parquet(f"{root}/out")
+        stale = J.stale_sources(rows, "event_type", "at", 14, known=known)
+        save = lambda df, n: df.write.mode("overwrite").parquet(f"{root}/out/step={low}/batch={n}")  # noqa: B023, E731
         stale.writeStream.foreachBatch(save).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stale.schema).parquet(f"{root}/out").select("source", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"))

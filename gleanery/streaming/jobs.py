@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
 def wait_for_transcript(episodes: DataFrame, transcripts: DataFrame, days: int = 7) -> DataFrame:
@@ -38,24 +38,59 @@ def rolling_counts(rows: DataFrame, at: str, *keys: str, days: int = 15, delay:
     return rows.withWatermark(at, delay).groupBy(F.window(at, f"{days} days", "1 day").alias("w"), *keys).agg(F.count("*").alias("n")).select(F.to_date(F.col("w.end")).alias("until"), *keys, "n")
 
 
-def stale_sources(rows: DataFrame, source: str, at: str, days: int, delay: str = "1 day") -> DataFrame:
-    """(source, last_seen): a row whenever a source has sent nothing for ``days`` of event time. State is one time stamp a source."""
-    wait = days * 86_400_000
+class _Watch(StatefulProcessor):
+    """One time stamp and one timer for each source; a source fires once when its timer passes, until it sends again."""
 
-    def watch(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            (last,) = state.get
-            state.remove()
-            yield pd.DataFrame({"source": [key[0]], "last_seen": [pd.Timestamp(last, unit="ms")]})
-            return
-        newest = max(int(p[at].max().timestamp() * 1000) for p in parts)
-        last = max(newest, state.get[0]) if state.exists else newest
-        state.update((last,))
+    def __init__(self, wait_ms: int):
+        self.wait = wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "last long")
+
+    def _set(self, last: int, watermark: int) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.last.update((last,))
         # A timer can't be set in the past; a source that lags behind the watermark is asked for at once.
-        state.setTimeoutTimestamp(max(last + wait, state.getCurrentWatermarkMs() + 1))
+        self.handle.registerTimer(max(last + self.wait, watermark + 1))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        newest = max(int(p["at"].max().timestamp() * 1000) for p in rows)
+        known = self.last.get()
+        self._set(max(newest, known[0]) if known else newest, timerValues.getCurrentWatermarkInMs())
+        yield pd.DataFrame({"source": [], "last_seen": []}).astype({"source": "object", "last_seen": "datetime64[ns]"})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        known = self.last.get()
+        self.last.clear()
+        if known:
+            yield pd.DataFrame({"source": [key[0]], "last_seen": [pd.Timestamp(known[0], unit="ms")]})
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self._set(int(initialState["at"].max().timestamp() * 1000), timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
+def stale_sources(rows: DataFrame, source: str, at: str, days: int, delay: str = "1 day", known: DataFrame | None = None) -> DataFrame:
+    """(source, last_seen): a row whenever a source has sent nothing for ``days`` of event time.
+
+    ``known`` (source, at) are sources with the time they were last seen before the stream began, so that one that never
+    sends again is told too. State is a time stamp and a timer a source; it lies in RocksDB (stateful_session() sets
+    that), so it may outgrow memory, and a restart goes on with the timers that were set.
+    """
+    typed = lambda x, s, t: x.select(F.col(s).cast("string").alias("source"), F.col(t).cast("timestamp").alias("at"))
+    kept = typed(rows, source, at).withWatermark("at", delay)
+    first = typed(known, "source", "at").groupBy("source") if known is not None else None
+    return kept.groupBy("source").transformWithStateInPandas(_Watch(days * 86_400_000), "source string, last_seen timestamp", "Append", "EventTime", initialState=first)
+
 
-    kept = rows.select(F.col(source).cast("string").alias("source"), F.col(at).cast("timestamp").alias(at)).withWatermark(at, delay)
-    return kept.groupBy("source").applyInPandasWithState(watch, "source string, last_seen timestamp", "last long", "append", GroupStateTimeout.EventTimeTimeout)
+def stateful_session(spark: SparkSession) -> None:
+    """State of streams that start from now on lies in RocksDB with a log of changes, which timers and typed state need."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def load_each_batch(stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str, gate: Callable[[DataFrame], Column | None] | None = None):

@@ -134,16 +134,29 @@ def test_repeats_and_counts(spark, tmp_path):
 
 
 def test_stale_sources(spark, tmp_path):
-    from gleanery.streaming.jobs import stale_sources
+    """Timers survive a restart; a source that is known but never sends is told; one that sends again can fire again."""
+    from gleanery.streaming.jobs import stale_sources, stateful_session
 
+    stateful_session(spark)
     x = Landing(spark, tmp_path / "x", "source string, at timestamp")
+    known = spark.createDataFrame([("silent", day(-5)), ("old", day(-2)), ("silent", day(-30))], "source string, at timestamp")
     x.put([("old", day(0)), ("new", day(0))])
-    run = lambda: [r.source for r in drain(stale_sources(x.stream(), "source", "at", 14), "s", str(tmp_path / "c")).collect()]
+
+    def run():
+        q = stale_sources(x.stream(), "source", "at", 14, known=known)
+        return sorted((r.source, (r.last_seen - day(0)).days) for r in drain(q, "s", str(tmp_path / "c")).collect())
+
     assert run() == []
     x.put([("new", day(20))])
     run()
     x.put([("new", day(21))])
-    assert run() == ["old"]
+    assert run() == [("old", 0), ("silent", -5)]
+    x.put([("old", day(22)), ("new", day(23))])
+    assert run() == [("old", 0), ("silent", -5)]
+    x.put([("new", day(60))])
+    run()
+    x.put([("new", day(61))])
+    assert [r for r in run() if r[0] == "old"] == [("old", 0), ("old", 22)]
 
 
 def test_gate_stops_before_load(spark, tmp_path):

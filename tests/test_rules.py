@@ -191,6 +191,17 @@ def test_parse_and_profile(spark):
     assert [tuple(r) for r in new_type_candidates(spark.createDataFrame([(["model", "Robot "],), (["robot"],)], "proposed_type array<string>"), types).collect()] == [("robot", 2)]
 
 
+def test_unreadable_answers_are_kept_with_a_reason(spark):
+    from gleanery.operators.mentions import RESPONSE, parse_responses, rejected_responses, response_shape
+
+    good = '{"mentions": [{"canonical_name": "X", "confidence": "0.9"}]}'
+    rows = [(1, good), (2, f"```json\n{good}\n```"), (3, '{"mentions": []}'), (4, good[:20]), (5, None), (6, "``` ```"), (7, "sorry"), (8, "[1]"), (9, '{"mentions": null}'), (10, '{"notes": []}'), (11, '{"mentions": {"a": 1}}'), (12, "7")]
+    df = spark.createDataFrame(rows, "id int, response string")
+    assert {r.id: r.reason for r in rejected_responses(df).collect()} == {4: "not_json", 5: "empty", 6: "empty", 7: "not_json", 8: "not_an_object", 9: "no_mentions", 10: "no_mentions", 11: "mentions_not_a_list", 12: "not_an_object"}
+    assert sorted(r.id for r in parse_responses(df, RESPONSE).collect()) == [1, 2]
+    assert "mentions" in response_shape(df.where("id < 4")).first().shape and rejected_responses(df.limit(0)).count() == 0
+
+
 def test_alias_merge_keeps_first_spelling(spark):
     from gleanery.operators.dedup import merge_aliases
 
