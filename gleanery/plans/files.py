@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import mentions as M
 from ..sources import readers as R
+from ..sources.landing import land_files, landed
 from .base import MENTIONS, query, table, view
 from .base import scratch
 
@@ -40,6 +41,20 @@ def s04(spark, sf_dir):
     return found.select("title", "publish_date", F.col("text").contains(F.col("title")).alias("has_text"))
 
 
+@query("s04_incremental_landing", "SELECT CAST(doc_id % 20 AS INTEGER) AS f, CAST(sum(1 + length(CASE WHEN doc_id % 20 < 5 THEN concat(doc_id, ' changed') ELSE concat(doc_id, ' ', lang) END)) AS BIGINT) AS n FROM documents WHERE doc_id % 20 <> 9 GROUP BY 1")
+def s04i(spark, sf_dir):
+    """Files land, some are replaced and one becomes empty; the second run brings the table up to date."""
+    k, root = F.col("doc_id"), scratch(spark, "s04-landing")
+    d = table(spark, sf_dir, "documents").withColumn("f", (k % 20).cast("int"))
+    d.select("f", F.concat(k, F.lit(" "), "lang").alias("value")).repartition("f").write.partitionBy("f").text(f"{root}/files")
+    land_files(spark, f"{root}/files", f"{root}/table", "*.txt")
+    d.where("f < 5").select("f", F.concat(k, F.lit(" changed")).alias("value")).repartition("f").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("f").text(f"{root}/files")
+    d.limit(0).select(F.lit("").alias("value")).write.mode("overwrite").text(f"{root}/files/f=9")
+    land_files(spark, f"{root}/files", f"{root}/table", "*.txt")
+    rows = landed(spark, f"{root}/table").where("length > 0")
+    return rows.groupBy(F.regexp_extract("path", "/f=([0-9]+)/", 1).cast("int").alias("f")).agg(F.sum(F.length("content")).alias("n"))
+
+
 @query("s05_page_cache", "SELECT page_id AS db_id, url, page_id % 6 <> 0 AS success, length(html) AS n, CASE WHEN page_id % 6 <> 0 THEN substring(url, 1, 12) END AS site FROM pages")
 def s05(spark, sf_dir):
     k = F.col("page_id")

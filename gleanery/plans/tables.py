@@ -13,7 +13,7 @@ from ..operators import checks as Q
 from ..operators import dedup as D
 from ..operators import evaluation as E
 from ..operators import joins as J
-from .base import EPISODES, MENTIONS, SYNC, query, table, view
+from .base import EPISODES, MENTIONS, SYNC, query, scratch, table, view
 from .rows import _HOST, _KEY, CANONICAL
 
 _M = f"WITH m AS ({MENTIONS})"
@@ -300,9 +300,22 @@ def q08(spark, sf_dir):
     return Q.late_source_queue(view(spark, sf_dir, EPISODES), "id", F.col("id") % 3 == 0, "publish_date", _APRIL)
 
 
-@query("q09_field_rules", f"{_M} SELECT 'blank_name' AS rule, count(*) FILTER (trim(canonical_name) = '') AS n FROM m UNION ALL SELECT 'confidence', count(*) FILTER (confidence < 0.1 OR confidence > 0.9) FROM m UNION ALL SELECT 'no_link', count(*) FILTER (source_url IS NULL) FROM m")
+_RULES = f"{_M} SELECT 'blank_name' AS rule, count(*) FILTER (trim(canonical_name) = '') AS n FROM m UNION ALL SELECT 'confidence', count(*) FILTER (confidence < 0.1 OR confidence > 0.9) FROM m UNION ALL SELECT 'no_link', count(*) FILTER (source_url IS NULL) FROM m"
+
+
+def _rules():
+    return {"blank_name": F.trim("canonical_name") == "", "confidence": (F.col("confidence") < 0.1) | (F.col("confidence") > 0.9), "no_link": F.col("source_url").isNull()}
+
+
+@query("q09_field_rules", _RULES)
 def q09(spark, sf_dir):
-    return Q.field_rules(view(spark, sf_dir, MENTIONS), {"blank_name": F.trim("canonical_name") == "", "confidence": (F.col("confidence") < 0.1) | (F.col("confidence") > 0.9), "no_link": F.col("source_url").isNull()})
+    return Q.field_rules(view(spark, sf_dir, MENTIONS), _rules())
+
+
+@query("q09_rules_on_load", _RULES)
+def q09w(spark, sf_dir):
+    """The same rules, counted while the mentions are written."""
+    return Q.rules_on_write(view(spark, sf_dir, MENTIONS), scratch(spark, "q09"), _rules())
 
 
 @query("q10_alias_split_check", f"""WITH k AS (SELECT p_brand, {_KEY.format(c="CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE replace(p_name, ' ', '') END")} AS key FROM part), f AS (SELECT p_brand, replace(key, ' ', '') AS c FROM k WHERE key <> '' GROUP BY 1, 2 HAVING count(DISTINCT key) > 1)

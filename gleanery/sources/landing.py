@@ -2,7 +2,8 @@
 
 The listing (path, time, size) is read without contents. Contents are read from the oldest time that the listing shows
 as new or changed on; Spark's reader of binary files skips older ones by that filter. What a file holds is told by its
-hash, so one that was only touched changes nothing, and files that are gone leave the table.
+hash, so one that was only touched changes nothing, and files that are gone leave the table. Spark's file sources don't
+show empty files, so a file that was emptied is gone.
 """
 
 from __future__ import annotations

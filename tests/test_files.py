@@ -208,3 +208,57 @@ def test_a_replayed_load_leaves_each_row_once(spark, tmp_path):
     load()
     assert sorted(r.id for r in J.loaded(spark, out).collect()) == [1, 2, 3, 4]
     assert sorted((r.n, r.n_rows, r.most) for r in J.ledger(spark, out).collect()) == [(0, 2, 2), (1, 2, 4), (2, 0, None)]
+
+
+def test_landing_reads_what_changed(spark, tmp_path):
+    import os
+    import time
+
+    from gleanery.sources.landing import changes, land_files, landed
+
+    files, table = tmp_path / "files", str(tmp_path / "table")
+    (files / "deep").mkdir(parents=True)
+    put = lambda name, text, at: ((files / name).write_text(text), os.utime(files / name, (at, at)))
+    rows = lambda t: sorted((r.path.rsplit("files/", 1)[1], r.content, r.length) for r in landed(spark, t).collect())
+    begin = time.time() - 10_000
+    for k in range(12):
+        put(f"{k}.md", f"text {k}", begin + k)
+    put("deep/x.md", "deep", begin)
+    put("other.txt", "no", begin)
+    land_files(spark, str(files), table, "*.md", 4)
+    assert len(rows(table)) == 13
+    fresh, gone = changes(spark, str(files), table, "*.md")
+    assert fresh is None and gone.count() == 0
+    put("3.md", "text three", begin + 500)  # changed
+    put("new.md", "new", begin + 501)
+    put("8.md", "", begin + 503)  # an emptied file counts as gone
+    os.utime(files / "5.md", (begin + 502, begin + 502))  # touched alone
+    os.remove(files / "7.md")
+    fresh, gone = changes(spark, str(files), table, "*.md")
+    assert sorted(r.path.rsplit("/", 1)[1] for r in fresh.collect()) == ["3.md", "5.md", "new.md"] and gone.count() == 2
+    land_files(spark, str(files), table, "*.md", 4)
+    put("old.md", "moved in with an old time", begin + 2)
+    land_files(spark, str(files), table, "*.md", 4)
+    land_files(spark, str(files), str(tmp_path / "full"), "*.md", 4)
+    assert rows(table) == rows(str(tmp_path / "full")) and len(rows(table)) == 13
+    for f in files.rglob("*.md"):
+        os.remove(f)
+    land_files(spark, str(files), table, "*.md", 4)
+    assert rows(table) == []
+
+
+def test_measures_are_taken_on_the_write(spark, tmp_path):
+    from gleanery.operators.checks import field_rules, rules_on_write
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = spark.createDataFrame([(1, 0.5), (2, None), (3, 7.0)], "id int, c double")
+    rules = {"missing": F.col("c").isNull(), "range": F.col("c") > 1}
+    got = rules_on_write(rows.mapInPandas(look, rows.schema), str(tmp_path / "t"), rules)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, field_rules(rows, rules).collect())) == [("missing", 1), ("range", 1)]
+    assert seen.value == 3 and spark.read.parquet(str(tmp_path / "t")).count() == 3
