@@ -14,27 +14,42 @@ from gleanery.llm.quality import keep_quality, labels_of
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Null and empty texts are judged by the bias, repeated rows one by one; an empty table stays empty, and all columns stay.
+    """
     return keep_quality(docs, labels_of(spark, sf_dir))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
+    """One document of each group stays.
+
+    Null and empty texts and rows without an id belong to no group and stay; ties go to the least id; all columns stay.
+    """
     return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
+    """Documents that hold a passage of the benchmark go.
+
+    Null and empty texts and rows without an id stay, very long texts are read whole; with an empty table nothing goes.
+    """
     return drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by the name of its kind."""
+    """Personal data is replaced by the name of its kind.
+
+    No row goes; null texts stay null, each of several rows of an id is covered by the spans of its own text.
+    """
     return redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in which sequence; lengths are those of a public tokenizer."""
+    """Where each piece of each document lies in which sequence; lengths are those of a public tokenizer.
+
+    Null and empty texts have no piece, long ones several; repeated rows are packed one by one; an empty table gives no row.
+    """
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -249,7 +249,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """``docs`` with every span replaced by its kind in brackets; overlapping spans become one, named by the first.
 
     All rows and columns stay, whatever their names. A text without personal data is unchanged; a null text stays null.
-    Each row is covered by the spans of its own text, also where an id stands on several rows or is missing.
+    Each row is covered by the spans of its own text, also where an id stands on several rows or is missing. Very long
+    texts are read whole; an empty table stays empty.
     """
     text = F.col(text_col).cast("string")
     rows = boxed(docs, doc_id=F.col(id_col), text=text, th=F.xxhash64(text))

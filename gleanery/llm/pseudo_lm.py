@@ -34,6 +34,8 @@ CORPUS_RATE = RATE
 KNOWN_WORDS = 1 << 18
 #: The common start is trained on at most so many documents.
 START_DOCS = 1500
+#: Bytes of a text of the start sample at most, so that the one task that sees the sample is bounded.
+START_BYTES = 64 << 10
 
 _SHAPES = {"ctx": (2 * SIDE, VOCABULARY, DIM), "hb": (DIM,), "cw": (DIM, CLASSES), "cb": (CLASSES,), "mw": (CLASSES, DIM, MEMBERS), "mb": (CLASSES, MEMBERS)}
 PARAMETERS = sum(int(np.prod(s)) for s in _SHAPES.values())
@@ -225,7 +227,8 @@ def word_shares(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame]:
     shares = rest.join(F.broadcast(total), "cell").select("h", "n", F.log(F.col("n") / F.col("total")).alias("share"))
     # The floor is the least count over which the words are few enough.
     floor, words = None, 0
-    for r in sorted(rest.groupBy("n").agg(F.count("*").alias("words")).collect(), key=lambda r: -r.n):
+    # Each count has a word at least, so KNOWN_WORDS + 1 rows tell it, however many counts there are.
+    for r in rest.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.col("n").desc()).limit(KNOWN_WORDS + 1).collect():
         words += r.words
         if words > KNOWN_WORDS:
             break
@@ -257,8 +260,9 @@ def train_with_rest(docs: DataFrame, start_docs: int = START_DOCS) -> tuple[np.n
                 learn(net, ids, around, RATE / (1 + turn))
         return pa.table({"net": pa.array([net.flat.tobytes()], pa.binary())})
 
-    # The sample is chosen by hashes alone, so tasks hand on numbers, not texts.
-    hashed = docs.withColumn("k", F.xxhash64("doc_id", "text", F.lit(4)))
+    # The sample is chosen by hashes alone, so tasks hand on numbers, not texts. It only gives the point from which every
+    # partition goes on with all of its texts, the longest ones included.
+    hashed = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= START_BYTES).withColumn("k", F.xxhash64("doc_id", "text", F.lit(4)))
     chosen = hashed.select("k").orderBy("k").limit(start_docs).distinct()
     sample = hashed.join(F.broadcast(chosen), "k").dropDuplicates(["k"]).select("k", "text").withColumn("g", F.lit(1))
     first = sample.groupBy("g").applyInArrow(start, "net binary").collect()
@@ -286,7 +290,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """(doc_id, n_tokens, log_prob, mean_log_prob): the pseudo-likelihood of every whole text.
 
     Null, empty and blank texts have no token: log_prob 0, mean null. Every row gets a result, also rows that repeat
-    an id or have none. An empty table gives an empty result.
+    an id or have none; equal texts have equal scores. Very long texts are learnt from and scored whole. An empty table
+    gives an empty result. Other columns are not read and may have any name.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     spark = docs.sparkSession

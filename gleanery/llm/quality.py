@@ -197,7 +197,11 @@ def quality_report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that the classifier accepts, with their columns as they were."""
+    """The documents that the classifier accepts, with their columns as they were, whatever their names.
+
+    Whole texts are judged, null and empty ones by the bias alone; a score of exactly THRESHOLD is accepted. Repeated
+    rows are judged one by one. An empty table stays empty; without rows of both labels every document is kept.
+    """
     return quality_scores(docs, labels, id_col, text_col).where(F.col("score") >= THRESHOLD).select("row.*")
 
 

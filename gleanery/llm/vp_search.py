@@ -13,13 +13,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import scratch_path, stored
 
 LEAF = 128
-#: Bytes of vectors in a shard, and of queries that meet a tree together.
+#: Bytes of vectors in a shard, and of the queries that are broadcast at once.
 SHARD_BYTES, BLOCK_BYTES = 4 << 20, 16 << 20
-#: Bytes of queries up to which all of them are broadcast and no tree travels.
-BROADCAST_BYTES = 16 << 20
 FACTOR = 1.0
 #: Squared distances are compared to 12 digits, so equal vectors tie; the tests of the tree allow for their square roots.
 _SLACK = 2e-6
@@ -120,11 +118,13 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_
 
     A query's own id is no candidate. Vectors null, zero, or with null or non-finite numbers take no part; vectors of
     another length than the query's are no candidates. Ties go to smaller ids. Ids on several rows: every such row is a
-    candidate for others, and one query is asked for each id: its least vector, number by number. Other columns are not read; empty tables give no rows.
+    candidate for others, and one query is asked for each id: its least vector, number by number. Other columns are not
+    read and may have any name; empty tables give no rows.
 
     Shards are dealt by a hash of id and vector; their number follows the bytes of the vectors, so a shard fits a task.
-    All queries are broadcast to the trees if they are few, and a tree is asked where it is planted; else blocks of
-    queries meet every tree in a join. k rows for each query come back from each tree, and the best are kept.
+    Queries are broadcast in rounds of about BLOCK_BYTES; a tree is asked where it lies and never travels. k rows for each
+    query come back from each tree, and the best are kept. With more than one round trees are written once, and the
+    finished queries of a round too.
     """
     rows = stored(usable(vectors, id_col, vec_col).withColumn("dim", F.size("v")), "vectors")
     n, numbers = rows.agg(F.count("*"), F.coalesce(F.sum("dim"), F.lit(0))).first()
@@ -164,13 +164,17 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_
                 at = found[who, col]
                 yield pa.RecordBatch.from_arrays([pa.array(q_ids[who]), pa.array(ids[at]), pa.array(cosines(q[who], x[at]))], ["query_id", "vec_id", "score"])
 
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    if size <= BROADCAST_BYTES:
-        pairs = trees.withColumn("block", every(blocks)).join(F.broadcast(packed), ["block", "dim"])
-    else:
-        pairs = stored(trees, "vp-trees").withColumn("block", every(blocks)).join(packed.withColumn("shard", every(shards)), ["shard", "block", "dim"])
-    found = pairs.mapInArrow(ask, "query_id long, vec_id long, score double")
     from pyspark.sql import Window as W
 
     best = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    def ranked(own: DataFrame, which: DataFrame) -> DataFrame:
+        found = own.join(F.broadcast(which), "dim").mapInArrow(ask, "query_id long, vec_id long, score double")
+        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    if blocks == 1:
+        return ranked(trees, packed.drop("block"))
+    trees, path = stored(trees, "vp-trees"), scratch_path(vectors.sparkSession, "vp-rounds")
+    for block in range(blocks):
+        ranked(trees, packed.where(F.col("block") == block).drop("block")).write.parquet(f"{path}/round={block}")
+    return vectors.sparkSession.read.parquet(path).select("query_id", "rank", "vec_id", "score")

@@ -655,8 +655,7 @@ def test_search_is_exact_at_factor_one(spark, monkeypatch):
     u = x.astype(float)
     norm = np.linalg.norm(u, axis=1)
     for factor, least, most in ((1.0, 1.0, 16 << 20), (1.0, 1.0, 0), (0.7, 0.9, 16 << 20)):
-        monkeypatch.setattr(V, "BROADCAST_BYTES", most)  # 0: trees and blocks of queries are joined
-        monkeypatch.setattr(V, "BLOCK_BYTES", 16 << 20 if most else 500)
+        monkeypatch.setattr(V, "BLOCK_BYTES", most or 500)  # 0: queries are asked in several rounds
         got = nearest(df, F.col("vec_id") % 50 == 0, shard_vectors=200, factor=factor).toPandas()
         assert set(got.query_id) == set(range(0, 900, 50))
         hit = 0
