@@ -90,16 +90,17 @@ def j11(spark, sf_dir):
     return J.by_domain_or_type(p, F.regexp_extract(U.host(F.col("url")), "[^.]+$", 0), ["org"], F.col("page_id") % 4, [0]).select("page_id")
 
 
-@query("j14_tiered_match", """WITH s AS (SELECT p_partkey AS id, lower(p_name) AS a, p_brand AS b FROM part WHERE p_partkey % 3 = 0), c AS (SELECT p_partkey AS catalog_id, lower(p_name) AS a, p_brand AS b FROM part WHERE p_partkey % 3 = 1),
+@query("j14_tiered_match", """WITH s AS (SELECT p_partkey AS id, lower(CASE WHEN p_partkey % 3 = 0 THEN concat(p_name, ' live') ELSE p_name END) AS a, CASE WHEN p_partkey % 5 = 0 THEN 'x' ELSE p_brand END AS b FROM part), c AS (SELECT p_partkey AS catalog_id, lower(p_name) AS a, p_brand AS b FROM part),
     ta AS (SELECT a, min(catalog_id) AS k FROM c GROUP BY 1), tb AS (SELECT b, min(catalog_id) AS k FROM c GROUP BY 1)
     SELECT id, coalesce(ta.k, tb.k) AS catalog_id, CASE WHEN ta.k IS NOT NULL THEN 'HIGH' WHEN tb.k IS NOT NULL THEN 'LOW' ELSE 'NOT_FOUND' END AS band FROM s LEFT JOIN ta USING (a) LEFT JOIN tb USING (b)""")
 def j14(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select("p_partkey", F.lower("p_name").alias("a"), F.col("p_brand").alias("b"))
-    return J.tiered_match(p.where("p_partkey % 3 = 0").withColumnRenamed("p_partkey", "id"), p.where("p_partkey % 3 = 1").withColumnRenamed("p_partkey", "catalog_id"), [("HIGH", "a", ""), ("LOW", "b", "")])
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    songs = p.select(k.alias("id"), F.lower(F.concat("p_name", F.when(k % 3 == 0, " live").otherwise(""))).alias("a"), F.when(k % 5 == 0, "x").otherwise(F.col("p_brand")).alias("b"))
+    return J.tiered_match(songs, p.select(k.alias("catalog_id"), F.lower("p_name").alias("a"), F.col("p_brand").alias("b")), [("HIGH", "a", ""), ("LOW", "b", "")])
 
 
-@query("j14_containment_match", """WITH s AS (SELECT p_partkey AS id, lower(CASE WHEN p_partkey % 2 = 0 THEN concat(p_name, ' live') ELSE p_name END) AS t, lower(concat(p_type, ' ', CASE WHEN p_partkey % 4 = 0 THEN 'x' ELSE p_brand END)) AS a FROM part WHERE p_partkey % 3 = 0),
-    c AS (SELECT p_partkey AS catalog_id, lower(p_name) AS ct, lower(concat(p_type, ' ', p_brand)) AS ca FROM part WHERE p_partkey % 3 = 1),
+@query("j14_containment_match", """WITH s AS (SELECT p_partkey AS id, lower(CASE WHEN p_partkey % 2 = 0 THEN concat(p_name, ' live') ELSE p_name END) AS t, lower(concat(p_type, ' ', CASE WHEN p_partkey % 4 = 0 THEN 'x' ELSE p_brand END)) AS a FROM part),
+    c AS (SELECT p_partkey AS catalog_id, lower(p_name) AS ct, lower(concat(p_type, ' ', p_brand)) AS ca FROM part),
     sw AS (SELECT DISTINCT id, t, a, string_split(a, ' ')[1] AS aw, unnest(string_split(t, ' ')) AS w FROM s), cw AS (SELECT DISTINCT catalog_id, ct, ca, unnest(string_split(ct, ' ')) AS w FROM c),
     n AS (SELECT id, catalog_id, CASE WHEN contains(t, ct) OR contains(ct, t) THEN 0 ELSE 1 END AS tier FROM sw JOIN cw ON a = ca AND sw.w = cw.w UNION ALL SELECT id, catalog_id, 2 FROM sw JOIN cw ON sw.w = cw.w AND list_contains(string_split(ca, ' '), aw)),
     b AS (SELECT id, arg_min(catalog_id, (tier, catalog_id)) AS catalog_id, min(tier) AS tier FROM n GROUP BY 1)
@@ -107,8 +108,8 @@ def j14(spark, sf_dir):
 def j14c(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    rows = p.where(k % 3 == 0).select(k.alias("id"), F.concat("p_name", F.when(k % 2 == 0, " live").otherwise("")).alias("title"), F.concat_ws(" ", "p_type", F.when(k % 4 == 0, "x").otherwise(F.col("p_brand"))).alias("artist"))
-    return J.containment_match(rows, p.where(k % 3 == 1).select(k.alias("catalog_id"), F.col("p_name").alias("title"), F.concat_ws(" ", "p_type", "p_brand").alias("artist")))
+    rows = p.select(k.alias("id"), F.concat("p_name", F.when(k % 2 == 0, " live").otherwise("")).alias("title"), F.concat_ws(" ", "p_type", F.when(k % 4 == 0, "x").otherwise(F.col("p_brand"))).alias("artist"))
+    return J.containment_match(rows, p.select(k.alias("catalog_id"), F.col("p_name").alias("title"), F.concat_ws(" ", "p_type", "p_brand").alias("artist")))
 
 
 @query("j21_provenance", "SELECT doc_id AS episode_id, CASE WHEN doc_id % 3 = 0 THEN CASE WHEN doc_id % 2 = 0 THEN doc_id * 10 END WHEN doc_id % 5 <> 0 THEN doc_id * 100 END AS transcript_id, doc_id % 3 <> 0 AND doc_id % 5 <> 0 AS inferred FROM documents")
