@@ -30,10 +30,12 @@ def index_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ``last`` are documents, occurrences, occurrences in one document at most, and the last position. Ids must be whole
     numbers and stand on one row each; rows without an id and texts without words have no postings.
 
-    Both groupings use one exchange, by term and range, so a frequent term is as many groups as there are ranges.
+    Texts are dealt by document, so words are grouped into positions without another exchange; what is exchanged then is a
+    row for each term of a document. A frequent term is as many groups as there are ranges.
     """
-    one = postings(docs.where(F.col(id_col).isNotNull()), id_col, text_col).withColumn("block", F.floor(F.col("doc_id") / RANGE))
-    each = one.repartition("term", "block").groupBy("term", "block", "doc_id").agg(F.array_sort(F.collect_list("pos")).alias("pos"))
+    dealt = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).repartition("doc_id")
+    each = postings(dealt, "doc_id", "text").groupBy("doc_id", "term").agg(F.array_sort(F.collect_list("pos")).alias("pos"))
+    each = each.withColumn("block", F.floor(F.col("doc_id") / RANGE))
     entry = F.struct((F.col("doc_id") - F.col("block") * RANGE).cast("int").alias("at"), "pos")
     rows = each.groupBy("term", "block").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     return _measured(rows)
