@@ -26,6 +26,8 @@ TOP = (1 << 16) - 2
 #: An estimate so far below the threshold (five standard errors at 128 registers) is not worth a look at the sets.
 MARGIN = 0.2
 BLOCK_ROWS = 2048
+#: Bytes of a pair of blocks from which a worker gives memory back; most buckets are a few rows and stay below.
+RELEASE_BYTES = 4 << 20
 HUB_ROUNDS = 3
 
 _RNG = np.random.default_rng(77)
@@ -180,7 +182,8 @@ def _in_blocks(rows: DataFrame, threshold: float, percent: int, exact: bool) ->
                 y = y[100 * both >= percent * (n[x] + n[y] - both)]
                 y = y[np.unique(comp[y], return_index=True)[1]]
                 links += [(rep[x], rep[k]) for k in y]
-        release_memory()
+        if table.nbytes > RELEASE_BYTES:
+            release_memory()
         if exact:
             a, b = zip(*links, strict=True) if links else ((), ())
             return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
