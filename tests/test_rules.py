@@ -479,7 +479,7 @@ def test_clips_are_located_as_by_plain_block_search(spark):
             clip[at : at + 1] = rng.choice([[], [clip[at] + "s"], [rng.choice(vocabulary)], [clip[at], "um"]])
             clip = clip or ["um"]
         clips.append((k, " ".join(clip).title() if k % 2 else ", ".join(clip) + "."))
-    clips += [(900, None), (901, "..."), (902, "totally unrelated gardening tulips watering cans and sunshine every day")]
+    clips += [(900, None), (901, "..."), (902, "nothing in common here but gravel seagulls lanterns marmalade velvet staircases")]
     docs = [(d, " -- ".join(t)) for d, t in enumerate(texts)] + [(100, None), (101, "")]
     wanted = {}
     for k, c in clips:
@@ -495,7 +495,7 @@ def test_clips_are_located_as_by_plain_block_search(spark):
 def test_clips_despite_drift_of_punctuation(spark):
     from gleanery.operators.matching import locate_passages
 
-    text = "Welcome back to the show. " * 20 + "OpenAI just released a new report breaking down the six core ways businesses are using AI today, they call them use case primitives. " + "More filler content here. " * 20
-    clips = [(1, "OpenAI just released a new report breaking down the six core ways businesses are using AI today. They call them use case primitives."), (2, "totally unrelated words about gardening tulips daffodils watering cans and sunshine every single day")]
+    text = "So much for the weather. " * 20 + "The committee printed a thin booklet on seven quiet paths by which bakeries keep their ovens warm, it names them slow habits. " + "And now some music again. " * 20
+    clips = [(1, "the committee printed a thin booklet on seven quiet paths by which bakeries keep their ovens warm. It names them: slow habits"), (2, "nothing in common here but gravel seagulls lanterns marmalade velvet staircases and thunder every winter morning")]
     got = locate_passages(spark.createDataFrame(clips, "passage_id long, text string"), spark.createDataFrame([(5, text)], "doc_id long, text string")).collect()
-    assert [(r.passage_id, r.first_word, r.last_word, r.share) for r in got] == [(1, 100, 122, 1.0)]
+    assert [(r.passage_id, r.first_word, r.last_word, r.share) for r in got] == [(1, 100, 121, 1.0)]
