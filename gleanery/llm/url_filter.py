@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 #: Fixed values: (rule, verdict); host before the first slash, path from it on.
-RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "allow"), ("com/fr/", "allow"), ("com/de/", "block"))
+RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 #: Characters before the predicted one at most, and the weight of the lower order beside an order's counts.
 ORDER, MU = 4, 4.0
 #: A gram is known if it makes one part in so many of its class, so each order knows at most twice as many grams.

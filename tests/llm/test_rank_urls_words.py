@@ -155,6 +155,20 @@ def test_urls_against_a_plain_model(spark, monkeypatch, known):
         assert (got[k].score is None) == (score is None) and (score is None or abs(got[k].score / U.UNIT - score) < 1e-4)
 
 
+def test_rules_are_those_of_the_contract(spark):
+    """Each rule with its word, on a URL of its own host, a subdomain and a path just beside it."""
+    from gleanery.llm.url_filter import filter_urls
+
+    wanted = {
+        "http://some.org/en/1": ("org/", "allow"), "http://example.org/es/5": ("example.org/es/", "block"), "http://a.Example.ORG/es/": ("example.org/es/", "block"),
+        "http://example.org/en/1": ("example.org/en/1", "block"), "http://b.example.org/en/12?x": ("example.org/en/1", "block"), "http://example.org/en/2": ("org/", "allow"),
+        "http://x.com/fr/9": ("com/fr/", "allow"), "http://x.com/de/9": ("com/de/", "block"),
+    }
+    pages = spark.createDataFrame(list(enumerate(wanted)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in filter_urls(pages).collect()}
+    assert [got[k] for k in range(len(wanted))] == list(wanted.values())
+
+
 def test_urls_without_anything_to_learn(spark):
     from gleanery.llm.url_filter import filter_urls
 
