@@ -499,3 +499,14 @@ def test_clips_despite_drift_of_punctuation(spark):
     clips = [(1, "the committee printed a thin booklet on seven quiet paths by which bakeries keep their ovens warm. It names them: slow habits"), (2, "nothing in common here but gravel seagulls lanterns marmalade velvet staircases and thunder every winter morning")]
     got = locate_passages(spark.createDataFrame(clips, "passage_id long, text string"), spark.createDataFrame([(5, text)], "doc_id long, text string")).collect()
     assert [(r.passage_id, r.first_word, r.last_word, r.share) for r in got] == [(1, 100, 121, 1.0)]
+
+
+def test_anti_join_asks_all_orders(spark, tmp_path):
+    """A customer with any order is no gap, whatever the order's number."""
+    from gleanery.plans import registry
+
+    spark.range(1, 8).toDF("c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, 4), (6, None)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    got = registry.queries()["j03_anti_join"](spark, str(tmp_path))
+    assert sorted(r.c_custkey for r in got.collect()) == [5, 6, 7]
+    assert "%" not in registry.oracle_sql()["j03_anti_join"]
