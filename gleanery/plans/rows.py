@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from html import unescape
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -37,9 +40,29 @@ def n04(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.collapse_blanks(F.col("text")).alias("flat"), T.match_form(F.col("text")).alias("form"))
 
 
-@query("n05_html_text", r"""WITH b AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g') AS t FROM pages),
-    u AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(t, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&') AS t FROM b)
-    SELECT page_id, trim(regexp_replace(trim(regexp_replace(t, '[\s\x{00a0}]+', ' ', 'g')), ' +([.,;:!?])', '\1', 'g')) AS text FROM u""")
+# What html.unescape() takes for a reference, and Unicode's white space.
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_BLANKS = r"[\t-\r \x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def _references() -> str:
+    """Character references of HTML as html.unescape() reads them: whole table of names, with or without the semicolon, and numbers."""
+    text = lambda v: "'" + v.replace("'", "''") + "'"
+    names = ", ".join(f"({text(n)}, {text(v)})" for n, v in sorted(html5.items()))
+    low = ", ".join(f"({n}, {text(v) if '\x00' not in v else 'NULL'})" for n in range(160) for v in (unescape(f"&#{n};"),))
+    return rf"""names AS (SELECT * FROM (VALUES {names}) v(name, value)), low AS (SELECT * FROM (VALUES {low}) v(n, value)),
+    b AS (SELECT page_id, row_number() OVER () AS r, regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script[\s\x0b]*>|<style\b.*?</style[\s\x0b]*>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g') AS t FROM pages),
+    p AS (SELECT r, unnest(string_split_regex(t, '{_REFERENCE}')) AS gap, unnest(list_prepend('', regexp_extract_all(t, '{_REFERENCE}'))) AS ref, generate_subscripts(string_split_regex(t, '{_REFERENCE}'), 1) AS k FROM b),
+    x AS (SELECT DISTINCT ref, substr(ref, 2) AS s, ltrim(regexp_extract(ref, '^&#([0-9]+)', 1), '0') AS d, ltrim(regexp_extract(ref, '^&#[xX]([0-9a-fA-F]+)', 1), '0') AS h FROM p),
+    y AS (SELECT ref, s, starts_with(ref, '&#') AS number, CASE WHEN greatest(length(d), length(h)) > 7 THEN 2000000 WHEN d <> '' THEN CAST(d AS BIGINT) WHEN h <> '' THEN CAST(concat('0x', h) AS BIGINT) ELSE 0 END AS n FROM x),
+    named AS (SELECT ref, arg_max(value || substr(s, length(name) + 1), length(name)) AS value FROM y JOIN names ON starts_with(s, name) WHERE NOT number GROUP BY 1),
+    d AS (SELECT ref, CASE WHEN NOT number THEN coalesce(named.value, ref) WHEN y.n < 160 THEN low.value WHEN y.n BETWEEN 55296 AND 57343 OR y.n > 1114111 THEN chr(65533) WHEN y.n BETWEEN 64976 AND 65007 OR y.n & 65534 = 65534 THEN '' ELSE chr(CAST(y.n AS INTEGER)) END AS value
+      FROM y LEFT JOIN named USING (ref) LEFT JOIN low ON low.n = y.n),
+    u AS (SELECT r, string_agg(value || gap, '' ORDER BY k) AS t FROM p JOIN d USING (ref) GROUP BY 1)"""
+
+
+@query("n05_html_text", rf"""WITH {_references()}
+    SELECT page_id, trim(regexp_replace(trim(regexp_replace(u.t, '{_BLANKS}', ' ', 'g')), ' +([.,;:!?])', '\1', 'g')) AS text FROM b LEFT JOIN u USING (r)""")
 def n05(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", T.html_to_text(F.col("html")).alias("text"))
 

@@ -510,3 +510,23 @@ def test_anti_join_asks_all_orders(spark, tmp_path):
     got = registry.queries()["j03_anti_join"](spark, str(tmp_path))
     assert sorted(r.c_custkey for r in got.collect()) == [5, 6, 7]
     assert "%" not in registry.oracle_sql()["j03_anti_join"]
+
+
+def test_html_text_equals_its_sql_on_all_references(spark, tmp_path):
+    """References with and without the semicolon, cut-off ones, numbers beyond the code points, and every blank of Unicode."""
+    import html
+
+    import duckdb
+
+    from gleanery.plans import registry
+
+    texts = ["&&&amp", "a &amp; b &amp b &am", "&ampx &notit; &notin; &nosuch; &lt&gt", "&mdash;&Aacute&CounterClockwiseContourIntegral;&fjlig;", "&#x41&#65;&#0;&#128;&#xD800;&#x110000;&#99999999999999999999;&#xfdd0;&#1;&#13;x&#x1F600;",
+             "&# &#x; &; & &amp;lt; &amp;amp;", "a\u2003\u3000b \u0085 c\x0bd .", None, "", " <p>x</p> ! ", "<script>1</script\x0b>y<!-- z -->"]
+    texts += [f"<b>{n}</b>&{n} &{n}x" for n in html.entities.html5]
+    spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.text for r in registry.queries()["n05_html_text"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    wanted = dict(con.sql(registry.oracle_sql()["n05_html_text"]).fetchall())
+    assert len(got) == len(texts) and {k: (got[k], wanted[k]) for k in got if got[k] != wanted[k]} == {}
+    assert got[0] == "&&&" and got[1] == "a & b & b &am"
