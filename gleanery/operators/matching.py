@@ -467,19 +467,22 @@ def anchor_blocks(passages: DataFrame, blocks: DataFrame, head_words: int = 8, w
     """(passage_id, doc_id, pos): the text piece in which a passage begins.
 
     ``passages`` (passage_id, doc_id, text), ``blocks`` (doc_id, pos, piece). A block that holds the first words of the
-    passage is taken, the first of several; else the block that shares most runs of ``width`` words with it. Candidates
-    come from a join on document and run, never from all blocks of all documents.
-    """
-    p = passages.select("passage_id", "doc_id", match_form(F.col("text")).alias("f"), words(F.col("text")).alias("w"))
-    p = p.withColumn("head", F.array_join(F.slice("w", 1, head_words), " "))
-    b = blocks.select("doc_id", "pos", match_form(F.col("piece")).alias("bf"), words(F.col("piece")).alias("w"))
-
-    def runs(rows: DataFrame, *keep: str) -> DataFrame:
-        n = F.greatest(F.size("w") - (width - 1), F.lit(0))
-        zipped = F.arrays_zip(*(F.slice("w", k + 1, n).alias(f"w{k}") for k in range(width)))
-        return rows.select(*keep, F.explode(zipped).alias("x")).select(*keep, F.xxhash64(*(f"x.w{k}" for k in range(width))).alias("h")).distinct()
+    passage is taken, the first of several; else the block that shares most runs of ``width`` words with it. A block
+    without a common run is none. Only blocks of the passage's own document are looked at.
 
-    shared = runs(p, "passage_id", "doc_id").join(runs(b, "doc_id", "pos"), ["doc_id", "h"]).groupBy("passage_id", "doc_id", "pos").agg(F.count("*").alias("n"))
-    x = shared.join(p.select("passage_id", "head"), "passage_id").join(b.select("doc_id", "pos", "bf"), ["doc_id", "pos"])
+    What is exchanged are the texts, once, by document; runs are made behind the exchange and never leave their row. The
+    sides meet by a merge, so neither is held whole in one place.
+    """
+    def runs(w: Column) -> Column:
+        n = F.greatest(F.size(w) - (width - 1), F.lit(0))
+        zipped = F.arrays_zip(*(F.slice(w, k + 1, n).alias(f"w{k}") for k in range(width)))
+        return F.transform(zipped, lambda x: F.xxhash64(*(x[f"w{k}"] for k in range(width))))
+
+    # Sorted before the runs are made, so a merge sorts no row with its runs.
+    dealt = lambda rows: rows.where("doc_id is not null").repartition("doc_id").sortWithinPartitions("doc_id")
+    p = dealt(passages.select("passage_id", "doc_id", "text")).withColumn("w", words(F.col("text")))
+    p = p.select("passage_id", "doc_id", F.array_join(F.slice("w", 1, head_words), " ").alias("head"), runs(F.col("w")).alias("r"))
+    b = dealt(blocks.select("doc_id", "pos", "piece")).withColumn("w", words(F.col("piece"))).select("doc_id", "pos", match_form(F.col("piece")).alias("bf"), runs(F.col("w")).alias("br"))
+    x = p.hint("merge").join(b, "doc_id").withColumn("n", F.size(F.array_intersect("r", "br"))).where("n > 0")
     rank = F.struct(F.col("bf").contains(F.col("head")), F.col("n"), -F.col("pos"))
     return x.groupBy("passage_id", "doc_id").agg(F.max_by("pos", rank).alias("pos"))

@@ -530,3 +530,23 @@ def test_html_text_equals_its_sql_on_all_references(spark, tmp_path):
     wanted = dict(con.sql(registry.oracle_sql()["n05_html_text"]).fetchall())
     assert len(got) == len(texts) and {k: (got[k], wanted[k]) for k in got if got[k] != wanted[k]} == {}
     assert got[0] == "&&&" and got[1] == "a & b & b &am"
+
+
+def test_first_blocks_equal_a_plain_loop_with_two_exchanges(spark):
+    """Texts are exchanged once a side, no side is broadcast, and runs stay in their row."""
+    from gleanery.operators.matching import anchor_blocks
+
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(30)]
+    blocks = [(d, k, " ".join(rng.choice(words) for _ in range(40))) for d in range(6) for k in range(5)] + [(7, 0, None), (None, 0, "w1 w2 w3"), (8, 0, "a b")]
+    passages = [(10 * d + k, d, " ".join(blocks[5 * d + k][2].split()[20:]) + " " + blocks[5 * d][2][:30]) for d in range(6) for k in range(5)] + [(90, 7, "w1 w2 w3"), (91, None, "w1 w2 w3"), (92, 8, "a b"), (93, 1, None)]
+    runs = lambda t: {tuple(t.split()[k : k + 3]) for k in range(len(t.split()) - 2)}
+    wanted = {}
+    for i, d, t in passages:
+        fit = [(" ".join(t.split()[:8]) in b, len(runs(t) & runs(b)), -pos) for e, pos, b in blocks if t and b and d == e and d is not None and runs(t) & runs(b)]
+        if fit:
+            wanted[i] = -max(fit)[2]
+    out = anchor_blocks(spark.createDataFrame(passages, "passage_id long, doc_id long, text string"), spark.createDataFrame(blocks, "doc_id long, pos int, piece string"))
+    assert {r.passage_id: r.pos for r in out.collect()} == wanted and len(wanted) == 30
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert len(re.findall(r"\bExchange ", plan)) == 2 and "Broadcast" not in plan
