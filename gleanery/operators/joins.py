@@ -91,18 +91,25 @@ def containment_match(rows: DataFrame, catalog: DataFrame) -> DataFrame:
 
     ``rows`` (id, title, artist), ``catalog`` (catalog_id, title, artist). Of the same artist (equal in lower case) the
     titles must share a word: HIGH if one holds the other, else MEDIUM. LOW needs a shared title word and the first word
-    of the artist among the artist's words of the catalog. Better bands first, then the least catalog_id. Both joins are
-    equalities on (artist, title word), so a common word meets only within an artist.
+    of the artist among the artist's words of the catalog. Better bands first, then the least catalog_id. All joins are
+    equalities on (artist, title word). MEDIUM and LOW ask for the least catalog_id alone, so they meet one row for each
+    artist (or artist word) and title word; HIGH compares different titles of one artist that share a word, each once.
     """
     form = lambda c: F.lower(F.trim(c))
     split = lambda c: F.array_distinct(F.array_remove(F.split(c, r"[^\p{L}\p{N}#]+"), ""))
-    r = rows.select("id", form("title").alias("t"), form("artist").alias("a")).withColumn("w", F.explode(split(F.col("t"))))
-    c = catalog.select("catalog_id", form("title").alias("ct"), form("artist").alias("ca")).withColumn("w", F.explode(split(F.col("ct"))))
-    same = r.join(c.withColumnRenamed("ca", "a"), ["a", "w"])
+    least = F.min(F.struct("catalog_id")).alias("x")
+    r = rows.select("id", form("title").alias("t"), form("artist").alias("a"))
+    rw = r.select("t", "a").distinct().withColumn("w", F.explode(split(F.col("t"))))
+    c = catalog.groupBy(form("title").alias("ct"), form("artist").alias("a")).agg(least).select("ct", "a", "x.catalog_id")
+    cw = c.withColumn("w", F.explode(split(F.col("ct"))))
     holds = F.col("t").contains(F.col("ct")) | F.col("ct").contains(F.col("t"))
-    near = same.select("id", "catalog_id", F.when(holds, 0).otherwise(1).alias("tier"))
-    low = r.withColumn("aw", F.get(split(F.col("a")), F.lit(0))).join(c.withColumn("aw", F.explode(split(F.col("ca")))), ["aw", "w"]).select("id", "catalog_id", F.lit(2).alias("tier"))
-    best = near.unionByName(low).groupBy("id").agg(F.min(F.struct("tier", "catalog_id")).alias("x"))
+    high = rw.join(cw, ["a", "w"]).where(holds)
+    medium = rw.join(cw.groupBy("a", "w").agg(least), ["a", "w"])
+    by_word = cw.select(F.explode(split(F.col("a"))).alias("aw"), "w", "catalog_id").groupBy("aw", "w").agg(least)
+    low = rw.withColumn("aw", F.get(split(F.col("a")), F.lit(0))).join(by_word, ["aw", "w"])
+    found = [x.select("t", "a", F.struct(F.lit(tier).alias("tier"), F.col(of).alias("catalog_id")).alias("x")) for tier, x, of in ((0, high, "catalog_id"), (1, medium, "x.catalog_id"), (2, low, "x.catalog_id"))]
+    each = found[0].unionByName(found[1]).unionByName(found[2]).groupBy("t", "a").agg(F.min("x").alias("x"))
+    best = r.join(each, ["t", "a"]).groupBy("id").agg(F.min("x").alias("x"))
     band = F.element_at(F.array(F.lit("HIGH"), F.lit("MEDIUM"), F.lit("LOW")), F.col("x.tier") + 1)
     return rows.select("id").join(best, "id", "left").select("id", "x.catalog_id", F.when(F.col("x").isNull(), "NOT_FOUND").otherwise(band).alias("band"))
 

@@ -550,3 +550,28 @@ def test_first_blocks_equal_a_plain_loop_with_two_exchanges(spark):
     assert {r.passage_id: r.pos for r in out.collect()} == wanted and len(wanted) == 30
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert len(re.findall(r"\bExchange ", plan)) == 2 and "Broadcast" not in plan
+
+
+def test_containment_match_meets_each_pair_of_titles_once(spark):
+    """Copies of titles multiply no pairs; bands and least ids are those of all pairs."""
+    from gleanery.operators.joins import containment_match
+
+    titles = ["red ring", "ring", "red", "blue ring live", "Blue Ring", "bolt", None, ""]
+    rows = [(k, titles[k % 8], ["large one", "large two", "x", None, "small one"][k % 5]) for k in range(400)]
+    catalog = [(1000 - k, titles[(k + k // 7) % 8], ["large one", "small one", "one large", "two"][k % 4]) for k in range(400)]
+    split = lambda t: re.findall("[^\\W_]+", t.lower())
+    wanted = {}
+    for i, t, a in rows:
+        fit = []
+        for c, ct, ca in catalog:
+            if t and ct and a and set(split(t)) & set(split(ct)):
+                if a == ca:
+                    fit.append((0 if t.lower() in ct.lower() or ct.lower() in t.lower() else 1, c))
+                elif split(a)[0] in split(ca):
+                    fit.append((2, c))
+        tier, c = min(fit, default=(3, None))
+        wanted[i] = (c, ["HIGH", "MEDIUM", "LOW", "NOT_FOUND"][tier])
+    out = containment_match(spark.createDataFrame(rows, "id long, title string, artist string"), spark.createDataFrame(catalog, "catalog_id long, title string, artist string"))
+    assert {r.id: (r.catalog_id, r.band) for r in out.collect()} == wanted
+    # Artist words and title words meet as one row each, not as all catalog rows.
+    assert re.search(r"Aggregate \[aw#\d+, w#\d+\]", out._jdf.queryExecution().optimizedPlan().toString())
