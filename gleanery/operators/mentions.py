@@ -146,16 +146,25 @@ def parse_facts(text: Column) -> Column:
 def derive_tags(kind: Column, platform: Column, facts: Column) -> Column:
     """Map of tags (texts) from a mention's type, platform and listed facts; of equal facts the last counts.
 
-    Values stay JSON texts; a question flag is ``false`` for false, 0, null and empty values, else ``true``.
+    Values stay JSON texts; a question flag is ``false`` for false, 0, null and empty values, else ``true``. Facts, and then
+    the last of each kind, are a list of one whose lambda names them, so an expression that reads facts is evaluated once.
     """
-    last_of = lambda *keys: F.try_element_at(F.filter(facts, lambda f: F.lower(F.trim(f["fact_key"])).isin(*keys)), F.lit(-1))
-    last = {k: last_of(k) for k in TAG_FACTS}
-    asked = last_of(*QUESTION_FACTS)
-    no = F.coalesce(F.lower(F.trim(asked["fact_value"])), F.lit("")).isin("", "false", "0", "null")
-    tags = {"platform": F.nullif(F.lower(platform), F.lit("")), "is_account": F.when(kind == "account", "true"), "is_survey": F.when(kind == "survey", "true"), "contains_survey_questions": F.when(asked.isNotNull(), F.when(no, "false").otherwise("true"))}
-    tags |= {k: F.when(f.isNotNull(), F.coalesce(f["fact_value"], F.lit("null"))) for k, f in last.items()}
-    pairs = F.array(*(F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in tags.items()))
-    return F.map_from_entries(F.filter(pairs, lambda e: e["value"].isNotNull()))
+    def once(value: Column, f: Callable[[Column], Column]) -> Column:
+        return F.get(F.transform(F.array(value), f), F.lit(0))
+
+    def lasts(found: Column) -> Column:
+        last_of = lambda *keys: F.try_element_at(F.filter(found, lambda f: f["key"].isin(*keys)), F.lit(-1))["value"]
+        return F.struct(last_of(*QUESTION_FACTS).alias("asked"), *(last_of(k).alias(k) for k in TAG_FACTS))
+
+    def tags_of(last: Column) -> Column:
+        no = F.lower(F.trim(last["asked"])).isin("", "false", "0", "null")
+        tags = {"platform": F.nullif(F.lower(platform), F.lit("")), "is_account": F.when(kind == "account", "true"), "is_survey": F.when(kind == "survey", "true"), "contains_survey_questions": F.when(last["asked"].isNotNull(), F.when(no, "false").otherwise("true"))}
+        pairs = F.array(*(F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in (tags | {k: last[k] for k in TAG_FACTS}).items()))
+        return F.map_from_entries(F.filter(pairs, lambda e: e["value"].isNotNull()))
+
+    # A fact without a value counts as JSON's null.
+    keyed = F.transform(facts, lambda f: F.struct(F.lower(F.trim(f["fact_key"])).alias("key"), F.coalesce(f["fact_value"], F.lit("null")).alias("value")))
+    return once(keyed, lambda found: once(lasts(found), tags_of))
 
 
 def _bare(column: str) -> Column:

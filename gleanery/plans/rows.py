@@ -198,8 +198,9 @@ def n19(spark, sf_dir):
     k, u = F.col("event_id"), F.col("user_id")
     text = F.concat(F.lit('[{"fact_key": " Domain", "fact_value": "'), F.get_json_object("props", "$.k"), F.lit('"}, 7, {"fact_key": "has_survey_questions", "fact_value": '), F.when(u % 4 == 0, "false").otherwise("true"), F.lit("}]"))
     facts = parse_facts(F.when(k % 5 == 0, "no json").otherwise(text))
-    tags = derive_tags(F.when(u % 2 == 0, "account").otherwise(F.col("event_type")), F.when(k % 3 == 0, "X"), facts)
-    e = table(spark, sf_dir, "events").select("event_id", facts.alias("facts"), tags.alias("tags"))
+    e = table(spark, sf_dir, "events").select("event_id", F.when(u % 2 == 0, "account").otherwise(F.col("event_type")).alias("kind"), F.when(k % 3 == 0, "X").alias("platform"), facts.alias("facts"))
+    # Facts are a column first, so they are read from their JSON once.
+    e = e.select("event_id", "facts", derive_tags(F.col("kind"), F.col("platform"), F.col("facts")).alias("tags"))
     return e.select("event_id", F.size("facts").alias("n_facts"), *(F.col("tags")[t].alias(n) for t, n in (("platform", "platform"), ("is_account", "is_account"), ("domain", "domain"), ("contains_survey_questions", "questions"))))
 
 

@@ -575,3 +575,14 @@ def test_containment_match_meets_each_pair_of_titles_once(spark):
     assert {r.id: (r.catalog_id, r.band) for r in out.collect()} == wanted
     # Artist words and title words meet as one row each, not as all catalog rows.
     assert re.search(r"Aggregate \[aw#\d+, w#\d+\]", out._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_facts_are_read_once_for_all_tags(spark):
+    from gleanery.operators.mentions import derive_tags, parse_facts
+
+    texts = ['[{"fact_key": " Domain", "fact_value": "a"}, 7, {"fact_key": "domain"}]', '[{"fact_key": "has_survey_questions", "fact_value": " FALSE "}]', '[{"fact_key": "contains_survey_questions"}]', '[{"fact_key": "modality", "fact_value": "x"}, {"fact_key": "has_survey_questions", "fact_value": 1}]', "no json", None]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    out = rows.select("k", derive_tags(F.when(F.col("k") == 0, "account"), F.when(F.col("k") == 1, "X"), parse_facts(F.col("t"))).alias("tags"))
+    wanted = [{"is_account": "true", "domain": "null"}, {"platform": "x", "contains_survey_questions": "false"}, {"contains_survey_questions": "false"}, {"modality": "x", "contains_survey_questions": "true"}, {}, {}]
+    assert [r.tags for r in out.orderBy("k").collect()] == wanted
+    assert out._jdf.queryExecution().optimizedPlan().toString().lower().count("fact_key") < 12
