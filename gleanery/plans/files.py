@@ -12,10 +12,21 @@ from .base import MENTIONS, query, table, view
 from .base import scratch
 
 
+#: Files that one task writes where each row is a file.
+FILES_PER_TASK = 200
+
+
 def _landed(lines: DataFrame, name: str, one_each: bool = False) -> str:
-    """Folder with the one text column of ``lines``, a line for each row, or a file for each."""
+    """Folder with the one text column of ``lines``, a line for each row, or a file for each.
+
+    Files for each row are dealt over as many tasks as they need, so no task writes them all.
+    """
     path = scratch(lines.sparkSession, name)
-    (lines.write.option("maxRecordsPerFile", 1) if one_each else lines.write).text(path)
+    if not one_each:
+        lines.write.text(path)
+        return path
+    tasks = -(-lines.count() // FILES_PER_TASK) or 1
+    lines.repartition(tasks).write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 

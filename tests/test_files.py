@@ -262,3 +262,22 @@ def test_measures_are_taken_on_the_write(spark, tmp_path):
     got = rules_on_write(rows.mapInPandas(look, rows.schema), str(tmp_path / "t"), rules)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, field_rules(rows, rules).collect())) == [("missing", 1), ("range", 1)]
     assert seen.value == 3 and spark.read.parquet(str(tmp_path / "t")).count() == 3
+
+
+def test_a_file_for_each_row_is_written_by_several_tasks(spark, monkeypatch):
+    import collections
+    import glob
+    import re
+
+    from pyspark.sql import functions as F
+
+    from gleanery.plans import files
+
+    monkeypatch.setattr(files, "FILES_PER_TASK", 20)
+    path = files._landed(spark.range(100).coalesce(1).select(F.concat(F.lit("row "), "id").alias("value")), "dealt", one_each=True)
+    names = glob.glob(path.removeprefix("file://") + "/*.txt")
+    tasks = collections.Counter(re.search("part-([0-9]+)", n)[1] for n in names)
+    assert len(names) == 100 and len(tasks) == 5
+    assert sorted(r.value for r in spark.read.text(path).collect()) == sorted(f"row {k}" for k in range(100))
+    empty = files._landed(spark.range(0).select(F.lit("x").alias("value")), "dealt", one_each=True)
+    assert spark.read.text(empty).count() == 0
