@@ -11,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .search import named_terms, postings, ranked
+from .search import named_terms, ranked, words
 
 #: Folders of an index, documents of a row, and rows that a ranked search reads before it knows a bound.
 BUCKETS, RANGE, PROBE = 64, 1024, 8
+#: Bytes of text (about) whose words a task sorts, so that the sort stays in memory.
+TASK_BYTES = 8 << 20
 #: Lists aren't kept by dictionary, so that their numbers become differences.
 FORMAT = {"parquet.writer.version": "v2", "parquet.enable.dictionary#entries.list.element.at": "false", "parquet.enable.dictionary#entries.list.element.pos.list.element": "false"}
 
@@ -24,38 +26,49 @@ def bucket_of(term: Column) -> Column:
 
 
 def index_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(bucket, term, block, docs, n, most, last, entries): a row for each term and range of document numbers.
+    """(term, block, places): a row for each term and range of document numbers.
 
-    ``entries`` are structs of a document's place in its range and its sorted positions; ``docs``, ``n``, ``most`` and
-    ``last`` are documents, occurrences, occurrences in one document at most, and the last position. Ids must be whole
-    numbers and stand on one row each; rows without an id and texts without words have no postings.
+    ``places`` are sorted whole numbers, a document's place in its range above the position, so a row travels in 8 bytes
+    an occurrence. Ids must be whole numbers and stand on one row each; rows without an id and texts without words have no
+    places.
 
-    Texts are dealt by document, so words are grouped into positions without another exchange; what is exchanged then is a
-    row for each term of a document. A frequent term is as many groups as there are ranges.
+    Whole texts are dealt by range, and words are grouped where their text is: nothing as large as the words is exchanged,
+    and a task sorts the words of about TASK_BYTES of text (or of one range) at any size of the corpus. A frequent term is
+    as many groups as there are ranges.
     """
-    dealt = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).repartition("doc_id")
-    each = postings(dealt, "doc_id", "text").groupBy("doc_id", "term").agg(F.array_sort(F.collect_list("pos")).alias("pos"))
-    each = each.withColumn("block", F.floor(F.col("doc_id") / RANGE))
-    entry = F.struct((F.col("doc_id") - F.col("block") * RANGE).cast("int").alias("at"), "pos")
-    rows = each.groupBy("term", "block").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    return _measured(rows)
-
-
-def _measured(rows: DataFrame) -> DataFrame:
-    sizes = F.transform("entries", lambda e: F.size(e["pos"]))
-    return rows.select(
-        bucket_of(F.col("term")).alias("bucket"), "term", "block", F.size("entries").cast("long").alias("docs"), F.aggregate(sizes, F.lit(0).cast("long"), lambda x, y: x + y).alias("n"), F.array_max(sizes).alias("most"),
-        F.array_max(F.transform("entries", lambda e: F.element_at(e["pos"], -1))).alias("last"), "entries",
+    known = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    tasks = (known.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // TASK_BYTES + 1
+    dealt = known.withColumn("block", F.floor(F.col("doc_id") / RANGE)).repartition(tasks, "block")
+    each = dealt.select("block", (F.col("doc_id") - F.col("block") * RANGE).cast("long").alias("at"), F.posexplode(words(F.col("text"))).alias("pos", "term"))
+    return each.groupBy("term", "block").agg(F.array_sort(F.collect_list(_place(F.col("at"), F.col("pos")))).alias("places"))
+
+
+def _place(at: Column, pos: Column) -> Column:
+    return F.shiftleft(at.cast("long"), 32).bitwiseOR(pos.cast("long"))
+
+
+def _kept(rows: DataFrame) -> DataFrame:
+    """Rows as they are stored, from index_rows()."""
+    at = lambda x: F.shiftright(x, 32).cast("int")
+    pos = lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    place = lambda i: F.get("places", i)
+    first = F.filter(F.sequence(F.lit(0), F.size("places") - 1), lambda i: (i == 0) | (at(place(i)) != at(place(i - 1))))
+    cut = rows.withColumn("first", first)
+    entry = lambda i, k: F.struct(at(place(i)).alias("at"), F.transform(F.slice("places", i + 1, F.coalesce(F.get("first", k + 1), F.size("places")) - i), pos).alias("pos"))
+    out = cut.withColumn("entries", F.transform("first", entry))
+    return out.select(
+        bucket_of(F.col("term")).alias("bucket"), "term", "block", F.size("entries").cast("long").alias("docs"), F.size("places").cast("long").alias("n"), F.array_max(F.transform("entries", lambda e: F.size(e["pos"]))).alias("most"),
+        F.array_max(F.transform("places", pos)).alias("last"), "entries",
     )
 
 
 def write_index(rows: DataFrame, docs: DataFrame, id_col: str, path: str) -> None:
-    """Append rows to the index at ``path``, and the ids of the documents that they come from.
+    """Append rows of index_rows() to the index at ``path``, and the ids of the documents that they come from.
 
     A folder's rows are rebalanced, so one with a very frequent term is written by several tasks.
     """
-    even = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "block")
-    even.write.mode("append").options(**FORMAT).partitionBy("bucket").parquet(f"{path}/postings")
+    even = rows.withColumn("bucket", bucket_of(F.col("term"))).hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "block")
+    _kept(even).write.mode("append").options(**FORMAT).partitionBy("bucket").parquet(f"{path}/postings")
     docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id")).write.mode("append").parquet(f"{path}/documents")
 
 
@@ -77,7 +90,8 @@ def refreshed(spark: SparkSession, path: str, docs: DataFrame, id_col: str, text
     kept = old.join(gone, "block", "left").select("term", "block", F.when(F.col("gone").isNull(), F.col("entries")).otherwise(F.filter("entries", lambda e: ~F.array_contains("gone", e["at"]))).alias("entries")).where("size(entries) > 0")
     now = docs.where(F.col(text_col).isNotNull())
     ids = spark.read.parquet(f"{path}/documents").join(docs.select(F.col(id_col).cast("long").alias("doc_id")), "doc_id", "left_anti").unionByName(now.select(F.col(id_col).cast("long").alias("doc_id")))
-    write_index(_measured(kept).unionByName(index_rows(now, id_col, text_col)), ids, "doc_id", to)
+    places = F.flatten(F.transform("entries", lambda e: F.transform(e["pos"], lambda p: _place(e["at"], p))))
+    write_index(kept.select("term", "block", places.alias("places")).unionByName(index_rows(now, id_col, text_col)), ids, "doc_id", to)
 
 
 def rows_of(spark: SparkSession, path: str, terms: list[str]) -> DataFrame:

@@ -405,6 +405,23 @@ def test_stored_index_equals_a_search_over_plain_postings(spark, tmp_path):
     assert read.agg(F.max(F.size("entries"))).first()[0] <= X.RANGE and read.count() > 1
 
 
+def test_words_of_an_index_are_grouped_where_their_text_is(spark, tmp_path, monkeypatch):
+    """Only texts are exchanged before words are grouped, and tasks follow the bytes of text; a repeated id is one document."""
+    from gleanery.operators import text_index as X
+
+    monkeypatch.setattr(X, "TASK_BYTES", 10_000, raising=False)
+    docs = spark.createDataFrame([(k, "the ring of the ring") for k in range(-30, 3000)] + [(7, "ring rare"), (8, None), (None, "rare")], "doc_id long, text string")
+    rows = X.index_rows(docs, "doc_id", "text")
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert re.findall(r"Exchange (\w+)\((\w+?)#\w+, (\d+)\)", plan) == [("hashpartitioning", "block", str(3031 * 20 // 10_000 + 1))]
+    X.build_index(docs, "doc_id", "text", str(tmp_path / "index"))
+    stored = spark.read.parquet(str(tmp_path / "index") + "/postings")
+    total = {r.term: (r.docs, r.n, r.most, r.last) for r in stored.groupBy("term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.max("most").alias("most"), F.max("last").alias("last")).collect()}
+    assert total == {"the": (3030, 6060, 2, 3), "ring": (3030, 6061, 3, 4), "of": (3030, 3030, 1, 2), "rare": (1, 1, 1, 1)}
+    entries = {(r.term, r.block): [(e["at"], e["pos"]) for e in r.entries] for r in stored.collect()}
+    assert entries["ring", 0][7] == (7, [0, 1, 4]) and entries["the", -1] == [(k, [0, 3]) for k in range(994, 1024)] and entries["rare", 0] == [(7, [1])]
+
+
 def test_promising_ranges_are_read_first(spark, tmp_path, monkeypatch):
     """Ranges that can't reach the last of the best rows are left out; the rows are the same."""
     from gleanery.operators import search as S
