@@ -121,14 +121,17 @@ def best_fragments(hits: list[tuple[int, str]], n_words: int, most: int = FRAGME
 def snippets(found: DataFrame, places: DataFrame, docs: DataFrame, id_col: str, text_col: str, terms: list[str]) -> DataFrame:
     """Adds ``fragments``: the best fragments around hits, hits in brackets; for the rows of a result, not for a corpus.
 
-    ``places`` (term, doc_id, pos) come from the index; a text is cut into words only to show the chosen ones.
+    ``places`` (term, doc_id, pos) come from the index; a text is cut into words only to show the chosen ones. The ids of
+    the result are broadcast, so texts and places of other documents are not exchanged.
     """
     @F.pandas_udf("array<struct<first:int,last:int>>")
     def choose(hits: pd.Series, n: pd.Series) -> pd.Series:
         return pd.Series([[{"first": a, "last": b} for a, b in best_fragments([(h["pos"], h["term"]) for h in x], k)] for x, k in zip(hits, n, strict=True)])
 
-    hits = places.where(F.col("term").isin(*terms)).join(found.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "term")).alias("hits"))
-    d = docs.select(F.col(id_col).alias("doc_id"), F.regexp_extract_all(text_col, F.lit(r"([\p{L}\p{N}]+[^\p{L}\p{N}]*)"), 1).alias("w"))
+    ids = F.broadcast(found.select("doc_id"))
+    hits = places.where(F.col("term").isin(*terms)).join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "term")).alias("hits"))
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(ids, "doc_id", "left_semi")
+    d = own.select("doc_id", F.regexp_extract_all("text", F.lit(r"([\p{L}\p{N}]+[^\p{L}\p{N}]*)"), 1).alias("w"))
     x = found.join(hits, "doc_id").join(d, "doc_id")
     run = lambda w: F.regexp_extract(w, r"^[\p{L}\p{N}]+", 0)
     mark = lambda w: F.when(F.lower(run(w)).isin(*terms), F.concat(F.lit("["), run(w), F.lit("]"), F.substring(w, F.length(run(w)) + 1, F.length(w)))).otherwise(w)

@@ -422,6 +422,17 @@ def test_words_of_an_index_are_grouped_where_their_text_is(spark, tmp_path, monk
     assert entries["ring", 0][7] == (7, [0, 1, 4]) and entries["the", -1] == [(k, [0, 3]) for k in range(994, 1024)] and entries["rare", 0] == [(7, [1])]
 
 
+def test_snippets_exchange_the_texts_of_the_result_alone(spark):
+    from gleanery.operators import search as S
+
+    docs = spark.createDataFrame([(k, f"the ring of {k}") for k in range(50)], "doc_id long, text string")
+    found = spark.createDataFrame([(3, 1.0), (41, 0.5)], "doc_id long, score double")
+    out = S.snippets(found, S.postings(docs, "doc_id", "text"), docs, "doc_id", "text", ["ring"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 2 and plan.count("rightHint=(strategy=broadcast)") == 2
+    assert {r.doc_id: r.fragments for r in out.collect()} == {3: ["the [ring] of 3"], 41: ["the [ring] of 41"]}
+
+
 def test_promising_ranges_are_read_first(spark, tmp_path, monkeypatch):
     """Ranges that can't reach the last of the best rows are left out; the rows are the same."""
     from gleanery.operators import search as S
