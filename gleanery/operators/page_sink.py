@@ -16,11 +16,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 #: Blocks that one request may carry.
 PER_REQUEST = 100
+#: Rows of a batch that are Python objects at a time.
+SLICE = 64
 
 
 @dataclass
@@ -96,6 +98,18 @@ class PageWriter(DataSourceWriter):
                 self.service.discard(m.name)
 
 
+class ArrowPageWriter(PageWriter, DataSourceArrowWriter):
+    """A PageWriter that takes Spark's batches as they come and makes SLICE rows of them at a time, so a worker holds a batch once."""
+
+    def write(self, batches: Iterator) -> Sent:
+        def rows():
+            for batch in batches:
+                for first in range(0, batch.num_rows, SLICE):
+                    yield from zip(*(c.to_pylist() for c in batch.slice(first, SLICE).columns), strict=True)
+
+        return super().write(rows())
+
+
 class PageSink(DataSource):
     """Rows (key string, payload string, blocks array of strings); options ``path``, ``perRequest``, ``at``."""
 
@@ -103,12 +117,12 @@ class PageSink(DataSource):
     def name(cls) -> str:
         return "gleanery_pages"
 
-    def writer(self, schema: StructType, overwrite: bool) -> PageWriter:
+    def writer(self, schema: StructType, overwrite: bool) -> ArrowPageWriter:
         if overwrite:
             raise ValueError("pages are added or changed; the sink never clears the service")
         if [f.name for f in schema] != ["key", "payload", "blocks"]:
             raise ValueError("rows must be (key, payload, blocks)")
-        return PageWriter(dict(self.options))
+        return ArrowPageWriter(dict(self.options))
 
 
 def push_pages(rows: DataFrame, key: Column, payload: Column, blocks: Column, path: str, at: str, per_request: int = PER_REQUEST) -> None:

@@ -7,7 +7,6 @@ was. One writer at a time; readers that began before must not be reading the fol
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,7 +91,7 @@ def page_payload(rows: DataFrame, key: str, properties: dict[str, Column], most:
 
 
 def pieces_of(text: str, most: int) -> list[str]:
-    """Pieces of at most ``most`` characters, cut behind the last blank that fits, or hard where there is none."""
+    """Pieces of at most ``most`` characters, cut behind the last blank that fits, or hard where there is none; the rule of text_pieces()."""
     out, at = [], 0
     if not text.strip():
         return out
@@ -105,13 +104,22 @@ def pieces_of(text: str, most: int) -> list[str]:
     return [p for p in out if p]
 
 
+#: What str.strip() takes for blank, as a class of characters.
+_BLANK = "\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+
+
 def text_pieces(rows: DataFrame, key: str, text: str, most: int = 1900, per_request: int = 100) -> DataFrame:
-    """(key, request, pos, piece): text in pieces, ``per_request`` to a request."""
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: pieces_of(t or "", most))
+    """(key, request, pos, piece): text in pieces as pieces_of() cuts it, ``per_request`` to a request.
 
-    return rows.select(key, F.posexplode(cut(F.col(text))).alias("pos", "piece")).withColumn("request", F.floor(F.col("pos") / per_request).cast("int"))
+    A match is what is left if it fits, else up to the last blank that does, else a hard cut; one that isn't the last ends
+    with a blank only if it was cut there.
+    """
+    at_blank = rf".{{1,{most - 1}}}[ \n\t]|" if most > 1 else ""
+    found = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{most}}}\z|{at_blank}.{{{most}}}"), F.lit(0))
+    each = rows.select(key, F.when(F.col(text).rlike(f"[^{_BLANK}]"), found).alias("found")).select(key, F.size("found").alias("n"), F.posexplode("found").alias("pos", "piece"))
+    cut = (F.col("pos") < F.col("n") - 1) & F.right("piece", F.lit(1)).isin(" ", "\n", "\t") & F.lit(most > 1)
+    piece = F.when(cut, F.col("piece").substr(F.lit(1), F.length("piece") - 1)).otherwise(F.col("piece"))
+    return each.select(key, "pos", piece.alias("piece"), F.floor(F.col("pos") / per_request).cast("int").alias("request"))
 
 
 def fill_missing(rows: DataFrame, repaired: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -239,6 +239,43 @@ def test_text_pieces(spark):
     assert set(got.request) == {0, 1} and set(got.id) == {1}
 
 
+def test_text_pieces_are_cut_without_python(spark):
+    from gleanery.operators.sinks import pieces_of, text_pieces
+
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("ab \n\t\r\u00a0é😀", [9, 4, 2, 1, 1, 1, 1, 2, 2], k=rng.randrange(0, 60))) for _ in range(400)]
+    texts += [c * n for c in ("x", " ", "\n", "\u2003", "\x1c", "\x0b", "😀", "x ", " x") for n in (1, 2, 6, 7, 8, 13, 14, 15, 21)]
+    df = spark.createDataFrame([*enumerate(texts), (-1, None)], "id int, t string")
+    for most in (1, 2, 7, 20):
+        out = text_pieces(df, "id", "t", most, 2)
+        assert not re.search("Python|Arrow|Pandas", out._jdf.queryExecution().executedPlan().toString())
+        want = {(k, n, p, n // 2) for k, t in enumerate(texts) for n, p in enumerate(pieces_of(t, most))}
+        assert {(r.id, r.pos, r.piece, r.request) for r in out.collect()} == want
+
+
+def test_page_sink_holds_few_rows_of_a_batch_at_a_time(tmp_path, monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql.datasource import DataSourceArrowWriter
+    from pyspark.sql.types import StructType
+
+    from gleanery.operators import page_sink as P
+
+    writer = P.PageSink({"path": str(tmp_path)}).writer(StructType().add("key", "string").add("payload", "string").add("blocks", "string"), False)
+    assert isinstance(writer, DataSourceArrowWriter)
+    batch = pa.RecordBatch.from_arrays([pa.array([str(k) for k in range(150)]), pa.array(["p"] * 149 + [None]), pa.array([["b"] * (k % 3) for k in range(150)])], ["key", "payload", "blocks"])
+    taken = []
+
+    class Batch:
+        num_rows = batch.num_rows
+
+        def slice(self, first, n):
+            taken.append(n)
+            return batch.slice(first, n)
+
+    sent = writer.write(iter([Batch(), Batch()]))
+    assert (sent.pages, sent.requests, sent.blocks) == (298, 298, 296) and taken == 2 * [64, 64, 64]
+
+
 def test_scores(spark):
     from gleanery.operators.evaluation import breaches, collapse_mentions, precision_recall
 
