@@ -281,3 +281,19 @@ def test_a_file_for_each_row_is_written_by_several_tasks(spark, monkeypatch):
     assert sorted(r.value for r in spark.read.text(path).collect()) == sorted(f"row {k}" for k in range(100))
     empty = files._landed(spark.range(0).select(F.lit("x").alias("value")), "dealt", one_each=True)
     assert spark.read.text(empty).count() == 0
+
+
+def test_late_transcripts_pass_over_their_state_four_times(spark, tmp_path, monkeypatch):
+    """Texts wait in RocksDB, and no pass is made once the watermark is past every episode."""
+    import glob
+
+    from gleanery.plans import streams
+
+    monkeypatch.setattr(streams, "scratch", lambda spark, name: str(tmp_path / name))
+    docs = [(k, f"text {k}") for k in range(60)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "in/documents.parquet"))
+    got = streams.st01(spark, str(tmp_path / "in")).collect()
+    assert sorted(tuple(r) for r in got) == [(k, t, "transcript" if k % 5 and k % 3 else "show_notes") for k, t in docs]
+    assert len(glob.glob(f"{tmp_path}/st01/state/commits/[0-9]*")) == 4
+    kinds = {f.rsplit(".", 1)[-1] for f in glob.glob(f"{tmp_path}/st01/state/state/**/*", recursive=True) if "." in f.rsplit("/", 1)[-1]}
+    assert kinds & {"changelog", "zip"} and "delta" not in kinds
